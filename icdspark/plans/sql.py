@@ -156,3 +156,57 @@ def with_ctes(body: str, *names: str, extra: dict[str, tuple[str, tuple[str, ...
         return body
     parts = [f"{n} AS (\n{table[n][0]}\n)" for n in order]
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+# Prediction proxy (dense long table) and helpers used by metric oracles.
+CTES["pred"] = (
+    """SELECT vec_id AS instance, CAST(j AS BIGINT) AS label, 8.0 * CAST(embedding[j + 1] AS DOUBLE) AS logit,
+       1.0 / (1.0 + exp(-(8.0 * CAST(embedding[j + 1] AS DOUBLE)))) AS score,
+       CASE WHEN label = j OR (vec_id + label) % 10 = j THEN 1 ELSE 0 END AS y
+FROM embeddings CROSS JOIN range(10) AS r(j)""",
+    (),
+)
+CTES["predh"] = ("SELECT *, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS yhat FROM pred", ("pred",))
+CTES["per_label"] = (
+    """SELECT label, CAST(sum(y * yhat) AS DOUBLE) AS i, CAST(sum(greatest(y, yhat)) AS DOUBLE) AS u,
+       CAST(sum(yhat) AS DOUBLE) AS h, CAST(sum(y) AS DOUBLE) AS t FROM predh GROUP BY label""",
+    ("predh",),
+)
+CTES["per_instance"] = (
+    """SELECT instance, CAST(sum(y * yhat) AS DOUBLE) AS i, CAST(sum(greatest(y, yhat)) AS DOUBLE) AS u,
+       CAST(sum(yhat) AS DOUBLE) AS h, CAST(sum(y) AS DOUBLE) AS t FROM predh GROUP BY instance""",
+    ("predh",),
+)
+CTES["score_counts"] = (
+    "SELECT label, score, CAST(sum(y) AS BIGINT) AS pos, CAST(sum(1 - y) AS BIGINT) AS neg FROM pred GROUP BY label, score",
+    ("pred",),
+)
+CTES["score_cum"] = (
+    """SELECT label, score, pos, neg,
+       coalesce(sum(pos) OVER (PARTITION BY label ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_below,
+       coalesce(sum(neg) OVER (PARTITION BY label ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
+       sum(pos) OVER (PARTITION BY label) AS p, sum(neg) OVER (PARTITION BY label) AS n
+FROM score_counts""",
+    ("score_counts",),
+)
+CTES["micro_counts"] = (
+    "SELECT score, CAST(sum(y) AS BIGINT) AS pos, CAST(sum(1 - y) AS BIGINT) AS neg FROM pred GROUP BY score",
+    ("pred",),
+)
+CTES["micro_cum"] = (
+    """SELECT score, pos, neg,
+       coalesce(sum(pos) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_below,
+       coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
+       sum(pos) OVER () AS p, sum(neg) OVER () AS n
+FROM micro_counts""",
+    ("micro_counts",),
+)
+CTES["label_auc"] = (
+    """SELECT label, sum(pos * (neg_below + neg / 2.0)) / (CAST(max(p) AS DOUBLE) * max(n)) AS auc
+FROM score_cum GROUP BY label HAVING max(p) > 0 AND max(n) > 0""",
+    ("score_cum",),
+)
+
+
+def r9(expr: str) -> str:
+    return f"round({expr}, 9)"
