@@ -114,17 +114,12 @@ def admission_texts(notes: DataFrame) -> DataFrame:
 
 
 def join_texts_labels(texts: DataFrame, labels: DataFrame) -> DataFrame:
-    """d03: inner join on (subject_id, hadm_id).
+    """d03: inner join of per-admission texts and labels on (subject_id, hadm_id).
 
-    The equi-join key is ``hadm_id`` alone with ``subject_id`` equality as a
-    residual condition: both sides are already hash-partitioned on ``hadm_id``
-    by the cohort semi-joins, so neither side is shuffled again.
+    Both sides come out of aggregations grouped by the same keys, so they are
+    already hash-partitioned on them and the join adds no shuffle.
     """
-    t = texts.alias("t")
-    lab = labels.alias("l")
-    return t.join(
-        lab, (F.col("t.hadm_id") == F.col("l.hadm_id")) & (F.col("t.subject_id") == F.col("l.subject_id"))
-    ).select("t.subject_id", "t.hadm_id", "t.text", "l.labels")
+    return texts.join(labels, ["subject_id", "hadm_id"]).select("subject_id", "hadm_id", "text", "labels")
 
 
 def missing_labels(texts: DataFrame, labels: DataFrame) -> DataFrame:
@@ -132,14 +127,16 @@ def missing_labels(texts: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.join(labels, ["subject_id", "hadm_id"], "left_anti")
 
 
-def labelled_admissions(
-    diag_raw: DataFrame, proc_raw: DataFrame, notes_raw: DataFrame, strip_zeros: bool = True
-) -> DataFrame:
-    """The ETL slice: subject_id, hadm_id, text, labels for admissions with notes and codes."""
-    codes = all_codes(load_diagnoses(diag_raw, strip_zeros), load_procedures(proc_raw, strip_zeros))
-    notes = tokenize_notes(load_notes(notes_raw))
-    kept_codes, kept_notes = filter_cohort(codes, notes)
-    return join_texts_labels(admission_texts(kept_notes), admission_labels(kept_codes))
+def labelled_admissions(codes: DataFrame, notes: DataFrame) -> DataFrame:
+    """The ETL result: subject_id, hadm_id, text, labels for admissions with notes and codes.
+
+    Same rows as  group(notes ⋉ codes) ⋈ group(codes ⋉ notes): a pair
+    (subject, admission) present on both sides has its admission in both
+    inputs, so the two semi-joins remove nothing the inner join keeps.  Written
+    this way the notes are shuffled once and the codes once (the groupings),
+    instead of once per semi-join and again for the final join.
+    """
+    return join_texts_labels(admission_texts(notes), admission_labels(codes))
 
 
 # -- counts and frequencies -------------------------------------------------

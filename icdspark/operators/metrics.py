@@ -142,3 +142,21 @@ def normalized_confusion(matrix: DataFrame) -> DataFrame:
     """e12: each row (true class) divided by its total; the window is per true class."""
     w = Window.partitionBy("y_true")
     return matrix.withColumn("share", F.col("n") / F.sum("n").over(w))
+
+
+def evaluation_report(pred: DataFrame, with_top_k: bool = True, logit: str | None = "logit") -> DataFrame:
+    """f20: one-row report: loss, macro and micro scores, macro/micro AUC, P@5/8/15.
+
+    Each part is a one-row aggregate; they are combined with one-row cross joins.
+    """
+    from icdspark.operators import roc
+
+    parts = [macro_scores(pred), micro_scores(pred), roc.macro_auc(pred), roc.micro_auc(pred)]
+    if logit and logit in pred.columns:
+        parts.insert(0, bce_with_logits(pred, logit))
+    if with_top_k:
+        parts.append(precision_at_k(pred, TOP_KS))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.crossJoin(p)
+    return out

@@ -39,5 +39,4 @@ class Etl:
         return co.filter_cohort(self.codes(), self.tokenized_notes())
 
     def labelled(self) -> DataFrame:
-        kept_codes, kept_notes = self.cohort()
-        return co.join_texts_labels(co.admission_texts(kept_notes), co.admission_labels(kept_codes))
+        return co.labelled_admissions(self.codes(), self.tokenized_notes())

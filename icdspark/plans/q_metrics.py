@@ -241,3 +241,35 @@ def e11(spark, sf):
 )
 def e12(spark, sf):
     return _round(me.normalized_confusion(me.confusion_matrix(ProxyTables(spark, sf).class_pairs())))
+
+
+@register("f19_macro_roc_area")
+def f19(spark, sf):
+    return _round(roc.macro_roc_area(_pred(spark, sf)))
+
+
+def _report_sql() -> str:
+    body = f"""SELECT lo.loss, ma.*, mi.*, {r9('am.auc_macro')} AS auc_macro, {r9('ai.auc_micro')} AS auc_micro, pk.* FROM
+  (SELECT {r9('avg(greatest(logit, 0.0) - logit * y + ln(1 + exp(-abs(logit))))')} AS loss FROM pred) lo,
+  (SELECT {r9('ma')} AS macro_accuracy, {r9('mp')} AS macro_precision, {r9('mr')} AS macro_recall,
+          {r9('CASE WHEN mp + mr = 0 THEN 0.0 ELSE 2 * mp * mr / (mp + mr) END')} AS macro_f1
+   FROM (SELECT avg(i / (u + 1e-10)) AS ma, avg(i / (h + 1e-10)) AS mp, avg(i / (t + 1e-10)) AS mr FROM per_label)) ma,
+  (SELECT {r9('a')} AS micro_accuracy, {r9('p')} AS micro_precision, {r9('r')} AS micro_recall,
+          {r9('CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END')} AS micro_f1
+   FROM (SELECT sum(i) / nullif(sum(u), 0) AS a, sum(i) / nullif(sum(h), 0) AS p, sum(i) / nullif(sum(t), 0) AS r
+         FROM per_label)) mi,
+  (SELECT avg(auc) AS auc_macro FROM label_auc) am,
+  (SELECT sum(pos * (neg_below + neg / 2.0)) / (CAST(max(p) AS DOUBLE) * max(n)) AS auc_micro FROM micro_cum) ai,
+  (SELECT {r9('avg(p5)')} AS p_at_5, {r9('avg(p8)')} AS p_at_8, {r9('avg(p15)')} AS p_at_15 FROM (
+     SELECT instance,
+            sum(CASE WHEN rk <= 5 THEN y ELSE 0 END) / sum(CASE WHEN rk <= 5 THEN 1 ELSE 0 END) AS p5,
+            sum(CASE WHEN rk <= 8 THEN y ELSE 0 END) / sum(CASE WHEN rk <= 8 THEN 1 ELSE 0 END) AS p8,
+            sum(CASE WHEN rk <= 15 THEN y ELSE 0 END) / sum(CASE WHEN rk <= 15 THEN 1 ELSE 0 END) AS p15
+     FROM (SELECT instance, y, row_number() OVER (PARTITION BY instance ORDER BY score DESC, label DESC) AS rk FROM pred)
+     GROUP BY instance)) pk"""
+    return with_ctes(body, "pred", "per_label", "label_auc", "micro_cum")
+
+
+@register("f20_evaluation_report", _report_sql())
+def f20(spark, sf):
+    return _round(me.evaluation_report(_pred(spark, sf)))
