@@ -44,7 +44,7 @@ def tokenize(text) -> Column:
     an all-whitespace text gives no token and an empty text gives ``['']``.
     """
     lowered = F.lower(as_col(text))
-    stripped = F.regexp_replace(lowered, r"\s+$", "")
+    stripped = F.rtrim(lowered, F.lit(JAVA_WHITESPACE))
     return (
         F.when(lowered == F.lit(""), F.array(F.lit("")))
         .when(stripped == F.lit(""), F.array().cast("array<string>"))
@@ -52,6 +52,20 @@ def tokenize(text) -> Column:
     )
 
 
+# Fixed value: Java's \s class (the tokeniser's separators).
+JAVA_WHITESPACE = " \t\n\x0b\f\r"
+
+
+def tokenized_text(text) -> Column:
+    """c05 + c06 fused: the tokens of ``tokenize(text)`` joined by one space.
+
+    Equal to ``join_tokens(tokenize(text))`` without building the array:
+    trailing separators vanish, every remaining separator becomes one space.
+    """
+    stripped = F.rtrim(F.lower(as_col(text)), F.lit(JAVA_WHITESPACE))
+    return F.translate(stripped, JAVA_WHITESPACE, " " * len(JAVA_WHITESPACE))
+
+
 def join_tokens(tokens, sep: str = " ") -> Column:
     """c06: null-safe join of a token array (null array -> null, not '')."""
     tokens = as_col(tokens)

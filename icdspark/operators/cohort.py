@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icdspark.functions.codes import dot_diagnosis, dot_procedure
-from icdspark.functions.text import clean_note, join_tokens, tokenize
+from icdspark.functions.text import clean_note, tokenized_text
 from icdspark.operators.grouping import ordered_concat
 
 # The kept note category (exact, case-sensitive), code/text separators.
@@ -81,7 +81,7 @@ def all_codes(diagnoses: DataFrame, procedures: DataFrame) -> DataFrame:
 
 def tokenize_notes(notes: DataFrame) -> DataFrame:
     """c01 + c05 + c06: clean, tokenise and re-join each note's text."""
-    return notes.withColumn("text", join_tokens(tokenize(clean_note("text"))))
+    return notes.withColumn("text", tokenized_text(clean_note("text")))
 
 
 def filter_cohort(codes: DataFrame, notes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -127,7 +127,7 @@ def missing_labels(texts: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.join(labels, ["subject_id", "hadm_id"], "left_anti")
 
 
-def labelled_admissions(codes: DataFrame, notes: DataFrame) -> DataFrame:
+def labelled_admissions(codes: DataFrame, notes: DataFrame, notes_tokenized: bool = False) -> DataFrame:
     """The ETL result: subject_id, hadm_id, text, labels for admissions with notes and codes.
 
     Same rows as  group(notes ⋉ codes) ⋈ group(codes ⋉ notes): a pair
@@ -135,7 +135,16 @@ def labelled_admissions(codes: DataFrame, notes: DataFrame) -> DataFrame:
     inputs, so the two semi-joins remove nothing the inner join keeps.  Written
     this way the notes are shuffled once and the codes once (the groupings),
     instead of once per semi-join and again for the final join.
+
+    Raw notes are hash-partitioned on the grouping keys *before* the regex
+    cleaning, so the expensive per-character work runs with the shuffle's
+    parallelism whatever the input file layout (one unsplittable file would
+    otherwise clean every note in one task); the grouping and the join reuse
+    that partitioning, so this adds no shuffle.
     """
+    notes = notes.repartition("subject_id", "hadm_id")
+    if not notes_tokenized:
+        notes = tokenize_notes(notes)
     return join_texts_labels(admission_texts(notes), admission_labels(codes))
 
 

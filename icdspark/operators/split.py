@@ -32,7 +32,7 @@ def assign_splits(
 ) -> DataFrame:
     """g01: one row per patient: subject_id, n_admissions, split."""
     per_patient = labelled.groupBy("subject_id").agg(F.count(F.lit(1)).alias("n_admissions"))
-    total = labelled.agg(F.count(F.lit(1)).cast("double").alias("__total"))
+    total = per_patient.agg(F.sum("n_admissions").cast("double").alias("__total"))
     ranked = running_sum(
         per_patient,
         ["subject_id"],

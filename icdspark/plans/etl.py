@@ -39,4 +39,4 @@ class Etl:
         return co.filter_cohort(self.codes(), self.tokenized_notes())
 
     def labelled(self) -> DataFrame:
-        return co.labelled_admissions(self.codes(), self.tokenized_notes())
+        return co.labelled_admissions(self.codes(), self.notes())

@@ -86,3 +86,11 @@ def test_text_length_and_splits(spark):
 def test_join_tokens_null_safe(spark):
     df = spark.createDataFrame([(None,), (["a", "b"],)], "t array<string>")
     assert [r[0] for r in df.select(ft.join_tokens("t")).collect()] == [None, "a b"]
+
+
+def test_tokenized_text_equals_joined_tokens(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(ft.clean_note("text").alias("c"))
+    extra = spark.createDataFrame([("",), (" ",), (" a\tB \x0b",), ("\t",), ("x\fy  ",)], "c string")
+    both = docs.unionByName(extra)
+    bad = both.filter(ft.tokenized_text("c") != ft.join_tokens(ft.tokenize("c"))).count()
+    assert bad == 0
