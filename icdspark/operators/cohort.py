@@ -29,31 +29,49 @@ def _id(c: str, on_bad: str) -> Column:
     return F.when(col.isNull(), F.raise_error(F.lit(f"null {c}"))).otherwise(col.cast("bigint"))
 
 
-def _load_codes(raw: DataFrame, dotting, strip_zeros: bool, drop_subset, on_bad: str) -> DataFrame:
+def typed_codes(raw: DataFrame, src: int, drop_subset=None, on_bad: str = "raise") -> DataFrame:
+    """Codes with typed ids and the raw (un-dotted) code: subject_id, hadm_id, seq_num, raw_code, src."""
     df = raw.na.drop(how="any", subset=drop_subset)
     out = df.select(
         _id("subject_id", on_bad).alias("subject_id"),
         _id("hadm_id", on_bad).alias("hadm_id"),
         F.col("seq_num").cast("string").alias("seq_num"),
-        dotting(F.col("icd9_code"), strip_zeros).alias("icd9_code"),
+        F.col("icd9_code").alias("raw_code"),
+        F.lit(src).alias("src"),
     )
     if on_bad == "quarantine":
         out = out.filter(F.col("subject_id").isNotNull() & F.col("hadm_id").isNotNull())
     return out
 
 
+def normalize_codes(typed: DataFrame, strip_zeros: bool = True) -> DataFrame:
+    """c02/c03 by source: diagnosis rule for ``src = 0``, procedure rule otherwise."""
+    code = F.when(F.col("src") == SRC_DIAG, dot_diagnosis("raw_code", strip_zeros)).otherwise(
+        dot_procedure("raw_code", strip_zeros)
+    )
+    return typed.select("subject_id", "hadm_id", "seq_num", code.alias("icd9_code"), "src")
+
+
 def load_diagnoses(raw: DataFrame, strip_zeros: bool = True, drop_subset=None, on_bad: str = "raise") -> DataFrame:
     """a04: drop rows with any null, cast ids, dot diagnosis codes (c02).
 
     ``drop_subset=None`` drops on every column of ``raw`` like the source loader;
     naming the four used columns lets the scan prune the rest.
     """
-    return _load_codes(raw, dot_diagnosis, strip_zeros, drop_subset, on_bad)
+    return normalize_codes(typed_codes(raw, SRC_DIAG, drop_subset, on_bad), strip_zeros).drop("src")
 
 
 def load_procedures(raw: DataFrame, strip_zeros: bool = True, drop_subset=None, on_bad: str = "raise") -> DataFrame:
     """a05: as a04 with the procedure rule (c03)."""
-    return _load_codes(raw, dot_procedure, strip_zeros, drop_subset, on_bad)
+    return normalize_codes(typed_codes(raw, SRC_PROC, drop_subset, on_bad), strip_zeros).drop("src")
+
+
+def keyed_codes(diag_raw: DataFrame, proc_raw: DataFrame, strip_zeros: bool = True) -> DataFrame:
+    """h01 for the labelled-admission job: the union, hash-partitioned on
+    (subject_id, hadm_id) *before* the per-row code normalisation, so that work
+    runs with shuffle parallelism and the later grouping adds no shuffle."""
+    typed = typed_codes(diag_raw, SRC_DIAG).unionByName(typed_codes(proc_raw, SRC_PROC))
+    return normalize_codes(typed.repartition("subject_id", "hadm_id"), strip_zeros)
 
 
 def load_notes(raw: DataFrame, on_bad: str = "raise") -> DataFrame:

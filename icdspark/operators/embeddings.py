@@ -34,11 +34,13 @@ def fit_word2vec(
 ) -> Word2VecModel:
     """i01: Word2Vec on the training texts split on one space (c10).
 
-    ``num_partitions`` (default: the input's partition count) spreads the
-    skip-gram training; Spark's own default of 1 trains in a single task.
+    ``num_partitions`` (default: the session's default parallelism) spreads
+    the skip-gram training; Spark's own default of 1 trains in a single task.
+    More partitions train faster but merge more partial vectors per
+    iteration (a shuffle of vocabulary x dims per partition).
     """
     tokens = train.select(split_on_space(text_col).alias("tokens"))
-    parts = num_partitions or max(1, tokens.rdd.getNumPartitions())
+    parts = num_partitions or max(1, train.sparkSession.sparkContext.defaultParallelism)
     w2v = Word2Vec(
         vectorSize=vector_size, minCount=min_count, windowSize=window_size, maxSentenceLength=max_sentence_length,
         maxIter=max_iter, seed=seed, numPartitions=parts, inputCol="tokens", outputCol="doc_vector",

@@ -39,4 +39,7 @@ class Etl:
         return co.filter_cohort(self.codes(), self.tokenized_notes())
 
     def labelled(self) -> DataFrame:
-        return co.labelled_admissions(self.codes(), self.notes())
+        codes = co.keyed_codes(
+            ProxyTables.bronze(self.proxy.diag_raw()), ProxyTables.bronze(self.proxy.proc_raw()), self.strip_zeros
+        )
+        return co.labelled_admissions(codes, self.notes())

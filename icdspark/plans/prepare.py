@@ -18,13 +18,21 @@ from icdspark.operators import features as fe
 from icdspark.operators import split as sp
 from icdspark.operators.running import split_bucket
 from icdspark.plans.etl import Etl
-from icdspark.session import checkpoint_dir
+import uuid
 
+from icdspark.session import shared_path
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a reliable checkpoint in the shared folder and read it back."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
+
+    The write is the lineage cut: later stages (and recomputed tasks after an
+    executor loss) read the table, never the upstream plan.  Parquet keeps the
+    columns prunable and gives AQE real sizes for its join decisions.
+    """
+    path = shared_path(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def order_key(length_col: str = "tlen", key: str = "hadm_id"):
@@ -46,7 +54,7 @@ class Prepared:
         labelled = self.etl.labelled()
         out = sp.split_admissions(labelled, sp.assign_splits(labelled))
         out = out.withColumn("tlen", F.size(F.split("text", " ")))
-        return materialize(out)
+        return materialize(out, "split_admissions")
 
     @property
     def labelled(self) -> DataFrame:
@@ -54,11 +62,11 @@ class Prepared:
 
     @cached_property
     def label_index(self) -> DataFrame:
-        return materialize(fe.label_index(self.labelled))
+        return materialize(fe.label_index(self.labelled), "label_index")
 
     @cached_property
     def word_index(self) -> DataFrame:
-        return materialize(fe.word_index(fe.vocabulary(self.split_adm.filter(F.col("split") == "train"))))
+        return materialize(fe.word_index(fe.vocabulary(self.split_adm.filter(F.col("split") == "train"))), "word_index")
 
     @cached_property
     def num_labels(self) -> int:
