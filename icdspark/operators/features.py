@@ -101,17 +101,27 @@ def doc_word_ids(
 
 def encode_documents(
     docs: DataFrame, labels_index: DataFrame, words_index: DataFrame, num_labels: int, num_words: int,
-    key: str = "hadm_id", max_len: int = MAX_DOC_TOKENS,
+    key: str = "hadm_id", max_len: int = MAX_DOC_TOKENS, carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """i05: ``key, word_ids, label_ids, labels_multi_hot`` for documents with a known label.
-
-    Documents with no word tokens keep an empty id list (the original keeps them too).
+    """i05: ``key, word_ids, label_ids, labels_multi_hot`` (+ ``carry`` columns)
+    for documents with a known label.
+
+    The documents are hash-partitioned on ``key`` once; the token and label
+    explodes, the (size-checked) broadcast lookups, the per-document regrouping
+    and the final joins then all keep that partitioning, so the only shuffle
+    moves each text once -- not the exploded (doc, position, id) rows, which
+    are several times larger.  Documents with no word tokens keep an empty id
+    list (the original keeps them too).
     """
+    docs = docs.select(key, "text", "labels", *carry).repartition(key)
     lab = doc_label_ids(docs, labels_index, key)
     words = doc_word_ids(docs, words_index, num_words, key, max_len)
-    out = docs.select(key).join(lab, key).join(words, key, "left")
+    out = lab.join(words, key, "left")
+    if carry:
+        out = out.join(docs.select(key, *carry), key)
     return out.select(
         key,
+        *carry,
         F.coalesce(F.col("word_ids"), F.array().cast("array<bigint>")).alias("word_ids"),
         "label_ids",
         multi_hot("label_ids", num_labels).alias("labels_multi_hot"),

@@ -94,6 +94,14 @@ def micro_auc(pred: DataFrame, num_buckets: int = SCORE_BUCKETS) -> DataFrame:
 __all__ = ["eligible_labels", "roc_points", "label_auc", "macro_auc", "micro_auc", "score_counts", "Window"]
 
 
+def fpr_grid(pred: DataFrame, num_buckets: int = SCORE_BUCKETS) -> DataFrame:
+    """h04: the union of every label's FPR values (plus 0), distinct."""
+    cum = _cumulative(score_counts(pred, True), True, num_buckets)
+    fpr = ((F.col("N") - F.col("neg_below")).cast("double") / F.col("N").cast("double")).alias("fpr")
+    zero = pred.sparkSession.range(1).select(F.lit(0.0).alias("fpr"))
+    return cum.select(fpr).unionByName(zero).distinct()
+
+
 def macro_roc_area(pred: DataFrame, num_buckets: int = SCORE_BUCKETS) -> DataFrame:
     """f19: area under the macro-average ROC curve (mean of the labels' TPRs
     interpolated on the union of all FPR values, then trapezoids).

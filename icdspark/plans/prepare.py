@@ -88,10 +88,10 @@ class Prepared:
 
     def encoded(self) -> DataFrame:
         """i05 on every split: split, hadm_id, tlen, word_ids, label_ids, labels_multi_hot."""
-        enc = fe.encode_documents(
-            self.split_adm, self.label_index, self.word_index, self.num_labels, self.num_words
+        return fe.encode_documents(
+            self.split_adm, self.label_index, self.word_index, self.num_labels, self.num_words,
+            carry=("split", "tlen"),
         )
-        return enc.join(self.split_adm.select("hadm_id", "split", "tlen"), "hadm_id")
 
     def batched(self, batch_size: int = fe.EVAL_BATCH) -> DataFrame:
         """i06 per split in file order (length, id): batch, position, slot, padded."""

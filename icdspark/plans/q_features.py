@@ -373,3 +373,39 @@ def c18(spark, sf):
     v = ProxyTables(spark, sf).vectors().select("idx", l2_normalize("vector").alias("v"))
     return v.select("idx", F.posexplode("v").alias("dim", "value")).select(
         "idx", F.col("dim").cast("bigint").alias("dim"), F.round("value", 9).alias("value"))
+
+
+@register("d10_frequency_class_index", dsql(
+    "SELECT f.label, f.frequency, i.idx FROM freq f JOIN label_idx i ON f.label = i.label", "label_idx", "freq"))
+def d10(spark, sf):
+    f = _Feat(spark, sf)
+    kept_codes, _ = f.etl.cohort()
+    w = fe.class_weights(co.label_frequency(kept_codes), f.label_index())
+    freq = co.label_frequency(kept_codes)
+    return freq.join(w.select("label", "idx"), "label").select("label", "frequency", "idx")
+
+
+@register("g09_weights_by_index", dsql(
+    """SELECT idx, CAST(1.0 - f.frequency / (SELECT CAST(sum(frequency) AS DOUBLE) FROM freq) AS FLOAT) AS weight,
+       row_number() OVER (ORDER BY idx) AS ord FROM freq f JOIN label_idx i ON f.label = i.label""", "label_idx", "freq"))
+def g09(spark, sf):
+    """Weights in class-index order; ``ord`` makes the order observable (idx is dense)."""
+    f = _Feat(spark, sf)
+    kept_codes, _ = f.etl.cohort()
+    w = fe.class_weights(co.label_frequency(kept_codes), f.label_index())
+    return w.select("idx", "weight", (F.col("idx") + 1).alias("ord"))
+
+
+@register("g10_preview_rows")
+def g10(spark, sf):
+    """Preview: 20 rows of the labelled admissions (the limit is the feature)."""
+    return Etl(spark, sf).labelled().limit(20)
+
+
+@register("h04_fpr_grid", fsql(
+    """SELECT DISTINCT fpr FROM (
+  SELECT round(CAST(n - neg_below AS DOUBLE) / n, 9) AS fpr FROM score_cum UNION ALL SELECT 0.0)""", "score_cum"))
+def h04(spark, sf):
+    from icdspark.operators import roc
+
+    return roc.fpr_grid(ProxyTables(spark, sf).pred()).select(F.round("fpr", 9).alias("fpr")).distinct()

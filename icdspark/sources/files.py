@@ -121,3 +121,19 @@ def parse_text_dictionary(lines: DataFrame, line_col: str = "line") -> DataFrame
             F.array_join(F.slice("_p", 2, 1 << 30), " ").alias("description"),
         )
     )
+
+
+def read_splits(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """a11: read the labelled splits back.
+
+    Parquet: one table partitioned by ``split`` (a filter on ``split`` prunes
+    partitions).  CSV: a folder with one ``<split>_split.csv`` per split, read
+    with the labelled schema; the split name comes from the file name.
+    """
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    from icdspark.sources.schemas import LABELLED
+
+    df = read_csv_table(spark, f"{path}/*_split.csv", schema=LABELLED, register=False)
+    name = F.regexp_extract(F.input_file_name(), r"([A-Za-z]+)_split\.csv", 1)
+    return df.withColumn("split", name)

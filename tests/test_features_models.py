@@ -103,3 +103,14 @@ def test_streaming_notes(spark, tmp_dir):
     q.awaitTermination(120)
     out = spark.read.parquet(os.path.join(tmp_dir, "out")).collect()
     assert [(r["row_id"], r["text"]) for r in out] == [(1, "hello world")]
+
+
+def test_class_weights_strict_missing_label_raises(spark):
+    import pytest
+
+    freq = spark.createDataFrame([("a", 3), ("zz", 1)], "label string, frequency long")
+    idx = spark.createDataFrame([("a", 0)], "label string, idx long")
+    with pytest.raises(Exception, match="unknown label"):
+        fe.class_weights(freq, idx).collect()
+    ok = fe.class_weights(freq.filter("label = 'a'"), idx).collect()
+    assert [(r["idx"], r["weight"]) for r in ok] == [(0, 0.0)]

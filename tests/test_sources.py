@@ -65,3 +65,24 @@ def test_partitioned_parquet_roundtrip(spark, tmp_dir):
     fs.write_table(df, out, partition_by=["split"])
     back = spark.read.parquet(out).filter(F.col("split") == "val")
     assert [r["hadm_id"] for r in back.collect()] == [2]
+
+
+def test_read_splits_csv_and_parquet(spark, tmp_dir):
+    for split, rows in (("train", "1,10,a b,401.9"), ("val", "2,20,c,38.93;401.9")):
+        d = os.path.join(tmp_dir, "csv")
+        os.makedirs(d, exist_ok=True)
+        with open(os.path.join(d, f"{split}_split.csv"), "w") as f:
+            f.write("SUBJECT_ID,HADM_ID,TEXT,LABELS\n" + rows + "\n")
+    df = fs.read_splits(spark, os.path.join(tmp_dir, "csv"), fmt="csv")
+    got = {(r["hadm_id"], r["split"], r["labels"]) for r in df.collect()}
+    assert got == {(10, "train", "401.9"), (20, "val", "38.93;401.9")}
+    out = os.path.join(tmp_dir, "pq")
+    fs.write_table(df, out, partition_by=["split"])
+    assert fs.read_splits(spark, out).filter("split = 'val'").count() == 1
+
+
+def test_join_vector(spark):
+    from icdspark.functions.text import join_vector
+
+    df = spark.createDataFrame([([0.5, -2.0],), (None,)], "v array<double>")
+    assert [r[0] for r in df.select(join_vector("v")).collect()] == ["0.5 -2.0", None]
