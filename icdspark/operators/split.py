@@ -54,8 +54,16 @@ def assign_splits(
 
 
 def split_admissions(labelled: DataFrame, assignment: DataFrame) -> DataFrame:
-    """d04: attach each admission's split via its patient (join on subject_id)."""
-    return labelled.join(assignment.select("subject_id", "split"), "subject_id")
+    """d04: attach each admission's split via its patient.
+
+    The patient -> split assignment is first expanded to admission keys (only
+    key columns move), then joined on (subject_id, hadm_id): the labelled side
+    is already partitioned on those keys by its grouping, so the texts are not
+    shuffled again whatever the size of the assignment.
+    """
+    keys = labelled.select("subject_id", "hadm_id")
+    adm_split = keys.join(assignment.select("subject_id", "split"), "subject_id")
+    return labelled.join(adm_split, ["subject_id", "hadm_id"])
 
 
 def order_within_split(split_df: DataFrame, num_buckets: int = 64) -> DataFrame:
