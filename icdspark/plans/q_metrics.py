@@ -243,7 +243,39 @@ def e12(spark, sf):
     return _round(me.normalized_confusion(me.confusion_matrix(ProxyTables(spark, sf).class_pairs())))
 
 
-@register("f19_macro_roc_area")
+_F19_SQL = with_ctes(
+    f"""SELECT {r9('sum((g - pg) * (m + pm) / 2)')} AS auc_macro_curve FROM (
+  SELECT g, m, lag(g) OVER (ORDER BY g) AS pg, lag(m) OVER (ORDER BY g) AS pm FROM mean_tpr)""",
+    "mean_tpr",
+    extra={
+        "pts": (
+            """SELECT label, CAST(n - neg_below AS DOUBLE) / n AS fpr, CAST(p - pos_below AS DOUBLE) / p AS tpr FROM score_cum
+UNION ALL SELECT DISTINCT label, 0.0, 0.0 FROM score_cum""",
+            ("score_cum",),
+        ),
+        "tops": ("SELECT label, fpr, max(tpr) AS top, min(tpr) AS bot FROM pts GROUP BY label, fpr", ("pts",)),
+        "grid": ("SELECT DISTINCT fpr AS g FROM pts", ("pts",)),
+        "ev": (
+            """SELECT l.label, grid.g,
+       (SELECT max(fpr) FROM tops t WHERE t.label = l.label AND t.fpr <= grid.g) AS a,
+       (SELECT min(fpr) FROM tops t WHERE t.label = l.label AND t.fpr > grid.g) AS b
+FROM (SELECT DISTINCT label FROM pts) l, grid""",
+            ("tops", "grid"),
+        ),
+        "interp": (
+            """SELECT ev.label, ev.g,
+       CASE WHEN ev.b IS NULL OR ev.a = ev.g THEN ta.top
+            ELSE ta.top + (ev.g - ev.a) * (tb.bot - ta.top) / (ev.b - ev.a) END AS v
+FROM ev JOIN tops ta ON ta.label = ev.label AND ta.fpr = ev.a
+LEFT JOIN tops tb ON tb.label = ev.label AND tb.fpr = ev.b""",
+            ("ev",),
+        ),
+        "mean_tpr": ("SELECT g, avg(v) AS m FROM interp GROUP BY g", ("interp",)),
+    },
+)
+
+
+@register("f19_macro_roc_area", _F19_SQL)
 def f19(spark, sf):
     return _round(roc.macro_roc_area(_pred(spark, sf)))
 

@@ -54,9 +54,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     setting is absent -- local tests -- a private folder is created and set.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    if not current:
+        current = spark.sparkContext.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="icdspark-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, current)
+        try:
+            spark.conf.set(CHECKPOINT_CONF, current)
+        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current
