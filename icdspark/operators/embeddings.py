@@ -87,7 +87,9 @@ def embedding_table(word_index: DataFrame, vectors: DataFrame, dim: int, seed: i
 def token_vectors(doc_ids: DataFrame, embedding: DataFrame, key: str = "hadm_id", ids_col: str = "word_ids") -> DataFrame:
     """d07: one row per document token with its vector (inner join on the id)."""
     toks = doc_ids.select(key, F.posexplode(ids_col).alias("pos", "idx"))
-    return toks.join(broadcast_if_small(embedding.select("idx", "vector")), "idx")
+    emb = embedding.select("idx", "vector")
+    dims = emb.select(F.max(F.size("vector"))).first()[0] or 0
+    return toks.join(broadcast_if_small(emb, row_bytes=8 * dims + 32), "idx")
 
 
 def max_pool(doc_ids: DataFrame, embedding: DataFrame, key: str = "hadm_id", ids_col: str = "word_ids") -> DataFrame:

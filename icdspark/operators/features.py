@@ -24,12 +24,22 @@ EVAL_BATCH = 32
 TEST_BATCH = 1
 PAD_ID = 0
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 256 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows (measured)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, row_bytes: int | None = None, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Broadcast-hint ``df`` only if its measured size is within bounds.
+
+    The row count is measured (at most ``limit + 1`` rows are counted); with
+    ``row_bytes`` the estimate rows x row_bytes must also stay under
+    ``max_bytes`` (wide rows such as embedding vectors).  Beyond the bounds the
+    join is left to the planner (shuffle join, AQE skew handling).
+    """
+    limit = max_rows if row_bytes is None else min(max_rows, max(1, max_bytes // row_bytes))
+    n = df.limit(limit + 1).count()
+    return F.broadcast(df) if n <= limit else df
 
 
 # ----------------------------------------------------------------- indexes
