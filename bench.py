@@ -1,5 +1,9 @@
 """Headline-query timings: prints one JSON line.
 
+Stages follow the application's flow: the labelled-admission ETL and split,
+the split table written once (``prepare_splits``), then indexes, encoding,
+batching and Word2Vec reading that table; metrics/ROC read the predictions.
+
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEATS (default 2; the best run per query is reported).
 Each query is executed to completion with the no-op sink (no driver collect).
@@ -48,11 +52,24 @@ def main() -> None:
         lab = Etl(spark, sf_dir).labelled()
         run(sp.split_admissions(lab, sp.assign_splits(lab)))
 
+    state: dict = {}
+
+    def q_prepare_splits():
+        # stage A: ETL + split, written once to the shared folder (later stages read it)
+        p = Prepared(spark, sf_dir)
+        p.split_adm
+        state["split_adm"] = p.split_adm
+
+    def q_indexes():
+        p = Prepared.from_split_table(spark, sf_dir, state["split_adm"])
+        p.label_index, p.word_index, p.num_labels, p.num_words, p.length_splits
+        state["prep"] = p
+
     def q_encode():
-        run(Prepared(spark, sf_dir).encoded())
+        run(state["prep"].encoded())
 
     def q_batch_pad():
-        run(Prepared(spark, sf_dir).batched())
+        run(state["prep"].batched())
 
     def q_metrics_report():
         run(me.evaluation_report(ProxyTables(spark, sf_dir).pred()))
@@ -66,12 +83,13 @@ def main() -> None:
         run(roc.macro_roc_area(ProxyTables(spark, sf_dir).pred()))
 
     def q_word2vec():
-        prep = Prepared(spark, sf_dir)
-        em.fit_word2vec(prep.split_adm.filter(F.col("split") == "train"), seed=7)
+        em.fit_word2vec(state["split_adm"].filter(F.col("split") == "train"), seed=7)
 
     queries = {
         "labelled_admissions": q_labelled,
         "split": q_split,
+        "prepare_splits": q_prepare_splits,
+        "indexes": q_indexes,
         "encode": q_encode,
         "batch_pad": q_batch_pad,
         "metrics_report": q_metrics_report,

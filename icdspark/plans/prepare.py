@@ -49,6 +49,13 @@ class Prepared:
         self.buckets = buckets
         self.etl = Etl(spark, sf_dir)
 
+    @classmethod
+    def from_split_table(cls, spark: SparkSession, sf_dir: str, split_adm: DataFrame, buckets: int = 64) -> "Prepared":
+        """Continue from an already written split table (later runs skip the ETL)."""
+        out = cls(spark, sf_dir, buckets)
+        out.__dict__["split_adm"] = split_adm
+        return out
+
     @cached_property
     def split_adm(self) -> DataFrame:
         labelled = self.etl.labelled()
