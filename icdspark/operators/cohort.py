@@ -22,11 +22,20 @@ SRC_PROC = 1
 
 
 def _id(c: str, on_bad: str) -> Column:
-    """Cast an id column to bigint: ANSI cast (raises on bad text) or quarantine."""
+    """Cast an id column to bigint.
+
+    ``raise``: a null or non-integer id fails the job (whatever the session's
+    ANSI setting); ``quarantine``: such rows get a null id and are dropped.
+    """
     col = F.col(c)
+    parsed = F.expr(f"try_cast(`{c}` as bigint)")
     if on_bad == "quarantine":
-        return F.expr(f"try_cast(`{c}` as bigint)")
-    return F.when(col.isNull(), F.raise_error(F.lit(f"null {c}"))).otherwise(col.cast("bigint"))
+        return parsed
+    return (
+        F.when(col.isNull(), F.raise_error(F.lit(f"null {c}")))
+        .when(parsed.isNull(), F.raise_error(F.concat(F.lit(f"bad {c}: "), col.cast("string"))))
+        .otherwise(parsed)
+    )
 
 
 def typed_codes(raw: DataFrame, src: int, drop_subset=None, on_bad: str = "raise") -> DataFrame:

@@ -47,6 +47,24 @@ def build_session(
     return spark
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, cores: int | None = None) -> dict[str, str]:
+    """Partition sizing for a target input volume (e.g. 100 TB on a large cluster).
+
+    Shuffles start with about one partition per ``partition_bytes`` of input
+    (never fewer than 2 x cores), AQE then coalesces small ones towards the
+    advisory size and splits skewed join partitions; scans split files at the
+    same size.  Every task therefore holds a bounded slice that can spill.
+    """
+    parts = max(2 * (cores or 1), -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 

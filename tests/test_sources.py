@@ -86,3 +86,25 @@ def test_join_vector(spark):
 
     df = spark.createDataFrame([([0.5, -2.0],), (None,)], "v array<double>")
     assert [r[0] for r in df.select(join_vector("v")).collect()] == ["0.5 -2.0", None]
+
+
+def test_strict_id_cast_raises_and_quarantine_drops(spark):
+    import pytest
+
+    from icdspark.operators.cohort import load_notes
+
+    raw = spark.createDataFrame(
+        [("1", "10", "100", "Discharge summary", "t"), ("2", "x1", "100", "Discharge summary", "t")],
+        "row_id string, subject_id string, hadm_id string, category string, text string",
+    )
+    with pytest.raises(Exception, match="bad subject_id"):
+        load_notes(raw).collect()
+    assert [r["row_id"] for r in load_notes(raw, on_bad="quarantine").collect()] == [1]
+
+
+def test_scale_conf():
+    from icdspark.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40), cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(1 << 20, cores=8)["spark.sql.shuffle.partitions"] == "16"
