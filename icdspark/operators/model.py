@@ -27,7 +27,15 @@ def fit_label_models(
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    data = features.select(array_to_vector(feature_col).alias("features"), F.col(labels_col).alias("y")).persist()
+    spark = features.sparkSession
+    data = features.select(array_to_vector(feature_col).alias("features"), F.col(labels_col).alias("y"))
+    # Size the cached training frame to ~64 MB partitions: every L-BFGS iteration
+    # is one job over it, so tiny partitions only add per-task overhead.
+    shape = features.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(feature_col)).alias("d")).first()
+    est = (shape["n"] or 0) * ((shape["d"] or 0) * 8 + num_labels * 4 + 64)
+    parallel = spark.sparkContext.defaultParallelism
+    parts = int(min(max(1, -(-est // (64 << 20))), 4 * parallel))
+    data = data.repartition(parts).persist()
     stats = data.select(F.posexplode("y").alias("label", "v")).groupBy("label").agg(
         F.sum("v").alias("pos"), F.count(F.lit(1)).alias("n")
     )
@@ -45,7 +53,6 @@ def fit_label_models(
             rows = list(pool.map(fit, range(num_labels)))
     finally:
         data.unpersist()
-    spark = features.sparkSession
     return spark.createDataFrame(rows, "label long, weights array<double>, bias double, skipped boolean")
 
 
