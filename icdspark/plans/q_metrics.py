@@ -139,13 +139,13 @@ WHERE rk <= 5""",
     ),
 )
 def g07(spark, sf):
-    return me.top_k(_pred(spark, sf), 5).select("instance", "label", "rank")
+    return me.top_k(_pred(spark, sf), 5).select("instance", "label", F.col("rank").cast("bigint").alias("rank"))
 
 
 @register(
     "b09_auc_eligible_labels",
     with_ctes(
-        "SELECT label, sum(y) AS P, sum(1 - y) AS N FROM pred GROUP BY label HAVING sum(y) > 0 AND sum(1 - y) > 0",
+        "SELECT label, CAST(sum(y) AS BIGINT) AS P, CAST(sum(1 - y) AS BIGINT) AS N FROM pred GROUP BY label HAVING sum(y) > 0 AND sum(1 - y) > 0",
         "pred",
     ),
 )

@@ -74,7 +74,7 @@ def g02(spark, sf):
 @register(
     "g01_split_sizes",
     split_sql(
-        "SELECT split, sum(n_admissions) AS n_admissions, count(*) AS n_patients FROM assignment GROUP BY split",
+        "SELECT split, CAST(sum(n_admissions) AS BIGINT) AS n_admissions, count(*) AS n_patients FROM assignment GROUP BY split",
         "assignment",
     ),
 )
