@@ -149,9 +149,23 @@ def batch_ids(df: DataFrame, order_cols: list, bucket: Column, batch_size: int,
     ).drop("__rn")
 
 
+# Fixed values of the epoch-shuffle hash: a multiplicative congruential map on
+# 31-bit residues (odd multiplier, so distinct residues stay distinct).
+SHUFFLE_MULT = 1103515245
+SHUFFLE_MOD = 1 << 31
+
+
 def shuffled_order(df: DataFrame, seed: int, key: str = "hadm_id") -> DataFrame:
-    """g11: a seeded, reproducible shuffle key (hash of key and seed)."""
-    return df.withColumn("shuffle_key", F.xxhash64(F.col(key), F.lit(seed)))
+    """g11: a seeded, reproducible shuffle key of an integer id.
+
+    ``(pmod(id, 2^31) * 1103515245 + seed) mod 2^31`` -- integer arithmetic
+    that cannot overflow a bigint, the same on every engine; ties (ids equal
+    mod 2^31) are broken by the id itself by the caller.
+    """
+    residue = F.pmod(F.col(key), F.lit(SHUFFLE_MOD))
+    return df.withColumn(
+        "shuffle_key", F.pmod(residue * F.lit(SHUFFLE_MULT) + F.lit(seed), F.lit(SHUFFLE_MOD))
+    )
 
 
 def sort_within_batch(df: DataFrame, length_col: str = "length", partition_cols=()) -> DataFrame:

@@ -262,15 +262,18 @@ def c14(spark, sf):
     return out.select("split", "hadm_id", _ids_str("padded").alias("padded"))
 
 
-@register("g11_epoch_shuffle")
+@register("g11_epoch_shuffle", fsql(
+    """SELECT hadm_id, position, position // 32 AS batch FROM (
+  SELECT hadm_id, row_number() OVER (ORDER BY ((hadm_id % 2147483648) * 1103515245 + 1) % 2147483648, hadm_id) - 1 AS position
+  FROM split_adm WHERE split = 'train')""", "split_adm"))
 def g11(spark, sf):
     f = _Feat(spark, sf)
     train = fe.shuffled_order(f.split_adm.filter(F.col("split") == "train"), seed=1)
     splits = [s for s in train.approxQuantile("shuffle_key", [i / 16 for i in range(1, 16)], 0.001) if s is not None]
     from icdspark.operators.running import split_bucket
 
-    return fe.batch_ids(train, ["shuffle_key", "hadm_id"], split_bucket("shuffle_key", splits), fe.TRAIN_BATCH).select(
-        "hadm_id", "position", "batch")
+    out = fe.batch_ids(train, ["shuffle_key", "hadm_id"], split_bucket("shuffle_key", splits), fe.TRAIN_BATCH)
+    return out.select("hadm_id", F.col("position").cast("bigint").alias("position"), F.col("batch").cast("bigint").alias("batch"))
 
 
 # ------------------------------------------------------- dictionaries, weights
@@ -396,10 +399,11 @@ def g09(spark, sf):
     return w.select("idx", "weight", (F.col("idx") + 1).alias("ord"))
 
 
-@register("g10_preview_rows")
+@register("g10_preview_rows", fsql(
+    "SELECT subject_id, hadm_id, text, labels FROM labelled ORDER BY hadm_id, subject_id LIMIT 20", "labelled"))
 def g10(spark, sf):
-    """Preview: 20 rows of the labelled admissions (the limit is the feature)."""
-    return Etl(spark, sf).labelled().limit(20)
+    """Preview: the first 20 labelled admissions by key (the limit is the feature; a bounded top-k)."""
+    return Etl(spark, sf).labelled().orderBy("hadm_id", "subject_id").limit(20)
 
 
 @register("h04_fpr_grid", fsql(
