@@ -72,11 +72,19 @@ def vocabulary(train: DataFrame, min_count: int = MIN_WORD_COUNT, text_col: str
 
 
 def word_index(vocab: DataFrame) -> DataFrame:
-    """g04: 1-based ``idx`` by (count desc, word); 0 is padding, V+1 unknown."""
-    keyed = vocab.withColumn("__neg", -F.col("count"))
-    bucket = F.struct(F.col("__neg"), F.substring("word", 1, 2))
-    ranked = row_number(keyed, ["__neg", "word"], bucket=bucket, name="idx")
-    return ranked.select("word", "count", "idx")
+    """g04: 1-based ``idx`` by (count desc, word); 0 is padding, V+1 unknown.
+
+    idx = (words with a higher count) + (rank of the word among words with its
+    count).  The second part is a bucketed row number partitioned by count
+    (buckets = 2-character word prefixes), so the large low-count groups are
+    spread; the first part is a prefix sum over the distinct counts, a table
+    far smaller than the vocabulary.
+    """
+    within = row_number(vocab, ["word"], bucket=F.substring("word", 1, 2), name="__r", partition_cols=["count"])
+    sizes = vocab.groupBy("count").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.orderBy(F.col("count").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("count", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__above"))
+    return within.join(offsets, "count").select("word", "count", (F.col("__above") + F.col("__r")).alias("idx"))
 
 
 # ------------------------------------------------------------- lookups

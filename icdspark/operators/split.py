@@ -28,18 +28,24 @@ def assign_splits(
     labelled: DataFrame,
     p_train: float = TRAIN_SHARE,
     p_val: float = VAL_SHARE,
-    bucket_width: int = PATIENT_BUCKET_WIDTH,
+    bucket_width: int | None = None,
+    num_buckets: int = 64,
 ) -> DataFrame:
-    """g01: one row per patient: subject_id, n_admissions, split."""
+    """g01: one row per patient: subject_id, n_admissions, split.
+
+    Running-sum buckets are quantile ranges of the patient ids (one sketch pass
+    over the per-patient keys; ``num_buckets`` balanced buckets whatever the id
+    distribution).  ``bucket_width`` switches to fixed id ranges instead (no
+    extra pass; at most ``bucket_width`` patients per bucket, but as many
+    buckets as the id range needs).
+    """
     per_patient = labelled.groupBy("subject_id").agg(F.count(F.lit(1)).alias("n_admissions"))
     total = per_patient.agg(F.sum("n_admissions").cast("double").alias("__total"))
-    ranked = running_sum(
-        per_patient,
-        ["subject_id"],
-        {"__before": "n_admissions"},
-        bucket=range_bucket("subject_id", bucket_width),
-        exclusive=True,
-    )
+    if bucket_width:
+        bucket = range_bucket("subject_id", bucket_width)
+    else:
+        bucket = quantile_bucket(per_patient, "subject_id", num_buckets)
+    ranked = running_sum(per_patient, ["subject_id"], {"__before": "n_admissions"}, bucket=bucket, exclusive=True)
     # one-row frames: the total and the train total T (both 1 x 1)
     ranked = ranked.crossJoin(total)
     is_train = F.col("__before") / F.col("__total") <= F.lit(p_train)
