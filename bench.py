@@ -49,8 +49,7 @@ def main() -> None:
         run(Etl(spark, sf_dir).labelled())
 
     def q_split():
-        lab = Etl(spark, sf_dir).labelled()
-        run(sp.split_admissions(lab, sp.assign_splits(lab)))
+        run(Etl(spark, sf_dir).split())
 
     state: dict = {}
 

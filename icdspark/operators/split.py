@@ -30,21 +30,26 @@ def assign_splits(
     p_val: float = VAL_SHARE,
     bucket_width: int | None = None,
     num_buckets: int = 64,
+    id_source: DataFrame | None = None,
 ) -> DataFrame:
     """g01: one row per patient: subject_id, n_admissions, split.
 
-    Running-sum buckets are quantile ranges of the patient ids (one sketch pass
-    over the per-patient keys; ``num_buckets`` balanced buckets whatever the id
-    distribution).  ``bucket_width`` switches to fixed id ranges instead (no
-    extra pass; at most ``bucket_width`` patients per bucket, but as many
-    buckets as the id range needs).
+    Running-sum buckets are quantile ranges of patient ids: ``num_buckets``
+    balanced buckets whatever the id distribution.  The sketch runs over
+    ``id_source`` (any frame with the patients' ``subject_id``, e.g. the raw
+    notes -- a one-column scan) or, by default, over the per-patient keys
+    (which re-evaluates the labelled keys once).  Buckets only need to be
+    monotone in the id, so any sample of the ids gives correct results.
+    ``bucket_width`` switches to fixed id ranges (no sketch; at most
+    ``bucket_width`` patients per bucket, as many buckets as the id range needs).
     """
     per_patient = labelled.groupBy("subject_id").agg(F.count(F.lit(1)).alias("n_admissions"))
     total = per_patient.agg(F.sum("n_admissions").cast("double").alias("__total"))
     if bucket_width:
         bucket = range_bucket("subject_id", bucket_width)
     else:
-        bucket = quantile_bucket(per_patient, "subject_id", num_buckets)
+        source = (id_source if id_source is not None else per_patient).select("subject_id")
+        bucket = quantile_bucket(source, "subject_id", num_buckets)
     ranked = running_sum(per_patient, ["subject_id"], {"__before": "n_admissions"}, bucket=bucket, exclusive=True)
     # one-row frames: the total and the train total T (both 1 x 1)
     ranked = ranked.crossJoin(total)

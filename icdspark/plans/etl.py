@@ -38,6 +38,19 @@ class Etl:
     def cohort(self) -> tuple[DataFrame, DataFrame]:
         return co.filter_cohort(self.codes(), self.tokenized_notes())
 
+    def patient_ids(self) -> DataFrame:
+        """Patient ids of the raw notes: a cheap sample for split bucket boundaries."""
+        from pyspark.sql import functions as F
+
+        return self.proxy.notes_raw().select(F.col("subject_id").cast("bigint").alias("subject_id"))
+
+    def split(self, labelled: DataFrame | None = None) -> DataFrame:
+        """Labelled admissions with their patient-disjoint split (g01 + d04)."""
+        from icdspark.operators import split as sp
+
+        lab = labelled if labelled is not None else self.labelled()
+        return sp.split_admissions(lab, sp.assign_splits(lab, id_source=self.patient_ids()))
+
     def labelled(self) -> DataFrame:
         codes = co.keyed_codes(
             ProxyTables.bronze(self.proxy.diag_raw()), ProxyTables.bronze(self.proxy.proc_raw()), self.strip_zeros

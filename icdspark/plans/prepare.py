@@ -58,8 +58,7 @@ class Prepared:
 
     @cached_property
     def split_adm(self) -> DataFrame:
-        labelled = self.etl.labelled()
-        out = sp.split_admissions(labelled, sp.assign_splits(labelled))
+        out = self.etl.split()
         out = out.withColumn("tlen", F.size(F.split("text", " ")))
         return materialize(out, "split_admissions")
 

@@ -39,8 +39,9 @@ def split_sql(body: str, *names: str) -> str:
 
 
 def _assignment(spark, sf):
-    labelled = Etl(spark, sf).labelled()
-    return labelled, sp.assign_splits(labelled)
+    etl = Etl(spark, sf)
+    labelled = etl.labelled()
+    return labelled, sp.assign_splits(labelled, id_source=etl.patient_ids())
 
 
 @register("g01_group_split", split_sql("SELECT subject_id, n_admissions, split FROM assignment", "assignment"))
