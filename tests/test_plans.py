@@ -76,3 +76,21 @@ def test_broadcast_guard(spark):
     guarded = fe.broadcast_if_small(big, max_rows=50)
     assert guarded is big
     assert fe.broadcast_if_small(big, max_rows=1000, row_bytes=1 << 20, max_bytes=10 << 20) is big
+
+
+def test_encoding_shuffles_documents_not_tokens(spark):
+    import re
+
+    from icdspark.plans.prepare import Prepared
+
+    prep = Prepared(spark, SF)
+    prep.split_adm, prep.label_index, prep.word_index  # materialised inputs
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(prep.encoded())
+        keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+        assert keys, plan
+        # every shuffle is keyed on the document id (never on words or exploded tokens)
+        assert all(k.split(",")[0].startswith("hadm_id") for k in keys), keys
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
