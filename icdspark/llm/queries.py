@@ -5,8 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from icdspark.llm import license_scan, quality_rules, secret_scan, token_counts, sentencepiece_codec
+from pyspark.sql import functions as F
+
+from icdspark.llm import (
+    decontaminate,
+    license_scan,
+    line_dedup,
+    quality_rules,
+    secret_scan,
+    sentencepiece_codec,
+    simhash_dedup,
+    token_counts,
+)
 from icdspark.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -18,6 +28,11 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("f")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best segmentation (ids), scores of the four best, and whether decoding gives the text back."""
     return sentencepiece_codec.encode(read_table(spark, sf_dir, "documents"), piece_model())
@@ -27,13 +42,22 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of document and benchmark item that it holds, with the edit distance."""
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), piece_model())
 
 
-def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without later repeated runs, and how many lines went."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, removed_col="n_removed")
 
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(
@@ -47,7 +71,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op2_sentencepiece, op3_license_scan, op6_token_counts, op9_secret_scan, op10_quality_rules)
+        for f in (op1_simhash_dedup, op2_sentencepiece, op3_license_scan, op5_decontaminate, op6_token_counts, op7_line_dedup, op9_secret_scan, op10_quality_rules)
     }
 
 
