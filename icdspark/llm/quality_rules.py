@@ -72,6 +72,11 @@ class Measures:
         """Words that end in ``!!``."""
         return self.text.count("!! ") + self.text.count("!!\n") + self.text.endswith("!!")
 
+    @cached_property
+    def n_stuttered(self) -> int:
+        """Words that are equal to the word before."""
+        return sum(map(bytes.__eq__, self.words, self.words[1:]))
+
     @cached_property
     def n_repeat_words(self) -> int:
         words = self.words
@@ -102,6 +107,7 @@ RULES: dict[str, Callable[[Measures], bool]] = {
     "few_words": lambda m: m.n_words < 20,
     "repeated_windows": lambda m: 100 * m.n_repeat_words > 30 * m.n_words,
     "symbols": lambda m: 10 * m.n_symbols > 3 * m.n_words,
+    "stutter": lambda m: 10 * m.n_stuttered > 3 * m.n_words,
     "shouting": lambda m: 10 * m.n_shouted > 3 * m.n_words,
     "repeated_lines": lambda m: len(m.worded_lines) >= 5 and 2 * m.n_dup_lines > len(m.worded_lines),
     "word_length": lambda m: not 2 * m.n_words <= m.word_chars <= 20 * m.n_words,

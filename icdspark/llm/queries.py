@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from icdspark.llm import (
     decontaminate,
+    html_extract,
     license_scan,
     line_dedup,
+    quality_classifier,
     quality_rules,
     secret_scan,
     sentencepiece_codec,
@@ -42,6 +44,12 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    weights = quality_classifier.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality_classifier.classify(docs, weights)
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of document and benchmark item that it holds, with the edit distance."""
     return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -57,6 +65,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs, removed_col="n_removed")
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -69,10 +81,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op1_simhash_dedup, op2_sentencepiece, op3_license_scan, op5_decontaminate, op6_token_counts, op7_line_dedup, op9_secret_scan, op10_quality_rules)
-    }
+    operators = (
+        op1_simhash_dedup, op2_sentencepiece, op3_license_scan, op4_quality_classifier, op5_decontaminate,
+        op6_token_counts, op7_line_dedup, op8_html_extract, op9_secret_scan, op10_quality_rules,
+    )
+    return {f.__name__: f for f in operators}
 
 
 def oracle_sql() -> dict[str, str]:
