@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icdspark.llm.common import need_columns, stored, work_folder
+from icdspark.llm.common import free_name, need_columns, stored, work_folder
 
 #: Edits that an item may have, as a share of its characters.
 ERROR_RATE = 0.06
@@ -188,5 +188,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
     Rows that share an id with a leaking one go with it (null ids too).
     """
     leaks = find_leaks(docs, benchmark, error_rate, min_words, id_col=id_col, text_col=text_col)
-    ids = stored(leaks.select("doc_id").distinct(), work_folder(docs.sparkSession), "leaks")
-    return docs.join(ids, F.col(id_col).eqNullSafe(ids["doc_id"]), "left_anti")
+    key = free_name(docs, "key")
+    ids = stored(leaks.select(F.col("doc_id").alias(key)).distinct(), work_folder(docs.sparkSession), "leaks")
+    return docs.join(ids, F.col(id_col).eqNullSafe(F.col(key)), "left_anti")
