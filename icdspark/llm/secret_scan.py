@@ -73,7 +73,7 @@ def entropy_spans(value: bytes, window: int, bits: float) -> list[tuple[int, int
     """
     if len(value) < window:
         return []
-    plogp = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
+    plogp = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]  # a step adds before it removes
     counts = [0] * 256
     total = 0.0
     limit = (math.log2(window) - bits) * window + 1e-9

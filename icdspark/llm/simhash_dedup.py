@@ -125,11 +125,12 @@ def links(prints: DataFrame, folder: str, max_bits: int = MAX_BITS, bucket_rows:
         keys.append(key)
         sizes = rows.groupBy(*keys).count().filter("count > 1")
         sizes = stored(sizes, folder, f"buckets{level}")
-        small = rows.join(sizes.filter(F.col("count") <= bucket_rows).drop("count"), keys, "left_semi")
+        last = level + 1 == len(LEVEL_BITS)  # here the free bits bound the size
+        small = rows.join(sizes.filter(F.lit(last) | (F.col("count") <= bucket_rows)).drop("count"), keys, "left_semi")
         members = small.groupBy(*keys).agg(F.collect_list("f").alias("members")).select("members")
         found = found.unionByName(members.mapInPandas(joined, "a long, b long"))
         large = sizes.filter(F.col("count") > bucket_rows).drop("count")
-        if level + 1 == len(LEVEL_BITS) or large.isEmpty():
+        if last or large.isEmpty():
             break
         rows = stored(rows.join(large, keys, "left_semi"), folder, f"large{level}")
     return found.distinct()
