@@ -17,6 +17,7 @@ from icdspark.llm import (
     secret_scan,
     sentencepiece_codec,
     simhash_dedup,
+    sql,
     token_counts,
 )
 from icdspark.llm.common import read_table
@@ -89,4 +90,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_quality_rules": sql.QUALITY_RULES}
