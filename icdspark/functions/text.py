@@ -7,17 +7,8 @@ from pyspark.sql import functions as F
 
 from icdspark.functions._util import as_col
 
-# ---------------------------------------------------------------------------
-# The note cleaner's six ordered replacements (Java regex syntax,
-# applied with regexp_replace, i.e. replace-all, in exactly this order).
-#   1. \[\*\*.*\*\*\]                         -> two spaces  (de-identification tags)
-#   2. [ " \[ \] ( ) * \- : ; \ / { }  @ # $ % ^ & + ` ~ ? > < , !  = . _  | ]+
-#                                             -> two spaces  (punctuation runs; "\ " is a space)
-#   3. [\n,\r]+                               -> one space   (line breaks)
-#   4. \W\d+\W                                -> two spaces  (number-only words)
-#   5. \s[A-Z,a-z,0-9]\s                      -> two spaces  (one-character words)
-#   6. \s{2,}                                 -> one space   (collapse runs; no trim)
-# ---------------------------------------------------------------------------
+# The note cleaner's six replacements (Java regex syntax, replace-all, in this order): tags of
+# de-identified text, punctuation runs, line breaks, number-only words, one-character words, white space runs.
 CLEANER_RULES: tuple[tuple[str, str], ...] = (
     (r"\[\*\*.*\*\*\]", "  "),
     (r'[ " \[ \] ( ) * \- : ; \ / { }  @ # $ % ^ & + ` ~ ? > < , !  = . _  | ]+', "  "),

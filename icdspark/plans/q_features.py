@@ -57,8 +57,8 @@ FROM doc_tokens t LEFT JOIN word_idx w ON t.word = w.word GROUP BY t.hadm_id""",
 ORDER BY count(DISTINCT hadm_id) DESC, label LIMIT 50""",
             ("kept_codes",),
         ),
-        "diag_desc": ("SELECT p_partkey AS pos, CAST(p_partkey % 1500 AS VARCHAR) AS code, p_name AS description FROM part", ()),
-        "proc_desc": ("SELECT p_partkey AS pos, CAST(p_partkey % 1300 AS VARCHAR) AS code, p_type AS description FROM part", ()),
+        "diag_desc": ("SELECT p_partkey AS pos, CAST(p_partkey // 2 AS VARCHAR) AS code, p_name AS description FROM part", ()),
+        "proc_desc": ("SELECT p_partkey AS pos, CAST(p_partkey // 3 AS VARCHAR) AS code, p_type AS description FROM part", ()),
     }
 )
 
@@ -316,7 +316,7 @@ GROUP BY key""",
     "t_rows": (
         """SELECT pos, toks[1] AS key, array_to_string(toks[2:], ' ') AS description FROM (
   SELECT p_partkey AS pos, list_filter(regexp_split_to_array('  ' || code || '   ' || p_brand || '  ' || p_type, '\\s+'), lambda x: x <> '') AS toks
-  FROM (SELECT p_partkey, p_brand, p_type, CAST(p_partkey % 1700 AS VARCHAR) AS raw FROM part) s,
+  FROM (SELECT p_partkey, p_brand, p_type, CAST(p_partkey * 2 // 3 AS VARCHAR) AS raw FROM part) s,
   LATERAL (SELECT """ + reformat_sql('raw', True) + """ AS code) c)""",
         (),
     ),

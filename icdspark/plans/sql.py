@@ -6,14 +6,12 @@ data; RE2 has no look-ahead, so zero stripping is written with ``ltrim``).
 
 from __future__ import annotations
 
-# RE2 spellings of the six cleaner rules (order as applied).
-RE2_CLEANER = (
-    (r"\[\*\*.*\*\*\]", "  "),
-    (r'[ "\[\]()*\-:;/{}@#$%^&+`~?><,!=._|]+', "  "),
-    (r"[\n,\r]+", " "),
-    (r"\W\d+\W", "  "),
-    (r"\s[A-Z,a-z,0-9]\s", "  "),
-    (r"\s{2,}", " "),
+from icdspark.functions.text import CLEANER_RULES, PY_WHITESPACE
+
+# Fixed value: the RE2 spelling of the cleaner's second rule; the others are the same in RE2.
+_RE2_PUNCTUATION = r'[ "\[\]()*\-:;/{}@#$%^&+`~?><,!=._|]+'
+RE2_CLEANER = tuple(
+    (_RE2_PUNCTUATION if n == 1 else pattern, replacement) for n, (pattern, replacement) in enumerate(CLEANER_RULES)
 )
 
 
@@ -33,11 +31,14 @@ def tokens_joined_sql(x: str) -> str:
 
 
 def split_ws_sql(x: str) -> str:
-    from icdspark.functions.text import PY_WHITESPACE
-
     return f"list_filter(regexp_split_to_array({x}, {q(PY_WHITESPACE)}), lambda x: x <> '')"
 
 
+def pad_sql(c: str, n: int) -> str:
+    c = f"CAST({c} AS VARCHAR)"
+    return f"CASE WHEN length({c}) < {n} THEN lpad({c}, {n}, '0') ELSE {c} END"
+
+
 def strip_zeros_sql(c: str) -> str:
     return f"(CASE WHEN {c} <> '' AND ltrim({c}, '0') = '' THEN '0' ELSE ltrim({c}, '0') END)"
 
@@ -69,23 +70,23 @@ def reformat_sql(c: str, is_diag: bool) -> str:
 # name -> (sql, dependencies).  Views are built only from the given base tables.
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "notes_raw": (
-        """SELECT doc_id AS row_id, o_custkey AS subject_id, doc_id - doc_id % 3 AS hadm_id,
+        """SELECT doc_id AS row_id, coalesce(o_custkey, doc_id - doc_id % 3) AS subject_id, doc_id - doc_id % 3 AS hadm_id,
        CASE WHEN lang = 'en' THEN 'Discharge summary' ELSE 'Nursing' END AS category, text
-FROM documents JOIN orders ON o_orderkey = doc_id - doc_id % 3""",
+FROM documents LEFT JOIN orders ON o_orderkey = doc_id - doc_id % 3""",
         (),
     ),
     "diag_raw": (
-        """SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, l_linenumber AS seq_num,
-       CASE l_suppkey % 10 WHEN 0 THEN 'E' || lpad(CAST(l_partkey AS VARCHAR), 4, '0')
-                           WHEN 1 THEN 'V' || lpad(CAST(l_partkey AS VARCHAR), 4, '0')
-                           ELSE lpad(CAST(l_partkey AS VARCHAR), 5, '0') END AS icd9_code
+        f"""SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, l_linenumber AS seq_num,
+       CASE l_suppkey % 10 WHEN 0 THEN 'E' || ({pad_sql('l_partkey', 4)})
+                           WHEN 1 THEN 'V' || ({pad_sql('l_partkey', 4)})
+                           ELSE {pad_sql('l_partkey', 5)} END AS icd9_code
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
         (),
     ),
     "proc_raw": (
-        """SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, l_linenumber AS seq_num,
-       lpad(CAST(l_suppkey AS VARCHAR), 4, '0') AS icd9_code
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber <= 2""",
+        f"""SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, l_linenumber AS seq_num,
+       {pad_sql('l_suppkey', 4)} AS icd9_code
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
         (),
     ),
     "diagnoses": (
@@ -160,12 +161,19 @@ def with_ctes(body: str, *names: str, extra: dict[str, tuple[str, tuple[str, ...
 
 # Prediction proxy (dense long table) and helpers used by metric oracles.
 CTES["pred"] = (
-    """SELECT vec_id AS instance, CAST(j AS BIGINT) AS label, 8.0 * CAST(embedding[j + 1] AS DOUBLE) AS logit,
-       1.0 / (1.0 + exp(-(8.0 * CAST(embedding[j + 1] AS DOUBLE)))) AS score,
-       CASE WHEN label = j OR (vec_id + label) % 10 = j THEN 1 ELSE 0 END AS y
-FROM embeddings CROSS JOIN range(10) AS r(j)""",
+    """SELECT vec_id AS instance, CAST(j AS BIGINT) AS label, 8.0 * CAST(x AS DOUBLE) AS logit,
+       1.0 / (1.0 + exp(-(8.0 * CAST(x AS DOUBLE)))) AS score,
+       CASE WHEN label = j OR (vec_id + label) % n = j THEN 1 ELSE 0 END AS y
+FROM (SELECT vec_id, label, len(embedding) AS n, unnest(embedding) AS x, unnest(range(len(embedding))) AS j FROM embeddings)""",
     (),
 )
+
+
+def tied(sql: str) -> str:
+    """The same query over predictions with logits rounded down to half units (``pred_tied`` of the proxies)."""
+    return sql.replace("8.0 * CAST(x AS DOUBLE)", "floor(8.0 * CAST(x AS DOUBLE) / 0.5) * 0.5")
+
+
 CTES["predh"] = ("SELECT *, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS yhat FROM pred", ("pred",))
 CTES["per_label"] = (
     """SELECT label, CAST(sum(y * yhat) AS DOUBLE) AS i, CAST(sum(greatest(y, yhat)) AS DOUBLE) AS u,
