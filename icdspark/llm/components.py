@@ -56,7 +56,8 @@ def _sums(links: DataFrame) -> tuple:
 def connected(links: DataFrame, nodes: DataFrame, folder: str) -> DataFrame:
     """``node, label`` for all ``nodes`` (``node, label``): the smallest label of the node's component."""
     root = roots(links, folder)
-    with_root = nodes.join(root, "node", "left").select(
-        "node", "label", F.coalesce("root", "node").alias("root"))
-    least = with_root.groupBy("root").agg(F.min("label").alias("label"))
-    return with_root.drop("label").join(least, "root").select("node", "label")
+    root = root.unionByName(root.select(F.col("root").alias("node"), "root").distinct())
+    members = stored(nodes.join(root, "node"), folder, "members")
+    least = stored(members.groupBy("root").agg(F.min("label").alias("least")), folder, "least")
+    linked = stored(members.select("node", "root").join(least, "root").select("node", "least"), folder, "linked")
+    return nodes.join(linked, "node", "left").select("node", F.coalesce("least", "label").alias("label"))

@@ -190,4 +190,4 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
     leaks = find_leaks(docs, benchmark, error_rate, min_words, id_col=id_col, text_col=text_col)
     key = free_name(docs, "key")
     ids = stored(leaks.select(F.col("doc_id").alias(key)).distinct(), work_folder(docs.sparkSession), "leaks")
-    return docs.join(ids, F.col(id_col).eqNullSafe(F.col(key)), "left_anti")
+    return docs.join(ids.hint("merge"), F.col(id_col).eqNullSafe(F.col(key)), "left_anti")

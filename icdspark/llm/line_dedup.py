@@ -102,13 +102,15 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int =
     units = stored(
         docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"), cut(F.col(text_col)).alias("w"))
         .select("doc_id", "h", "w.*").filter(F.size("window") > 0), folder, "units")
-    repeated = units.select(F.explode("grams").alias("gram")).groupBy("gram").count().filter("count > 1").select("gram")
+    # stored before they are joined: both sides of a join are then plain exchanges, and a hot key can be split
+    repeated = units.select(F.explode("grams").alias("gram")).groupBy("gram").count().filter("count > 1")
+    repeated = stored(repeated.select("gram"), folder, "repeated")
     windows = stored(
         units.select("doc_id", "h", F.explode(F.arrays_zip("start", "end", "window", "gram")).alias("w"))
         .select("doc_id", "h", "w.*").join(repeated, "gram", "left_semi").drop("gram"), folder, "windows")
     place = F.struct("doc_id", "h", "start")
     first = windows.groupBy("window").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last")
+    first = stored(first.filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last"), folder, "first")
     later = windows.join(first, "window").filter(~place.eqNullSafe(F.col("first")))
     return later.groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
 
@@ -136,8 +138,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = G
         return pd.DataFrame(rows, columns=["text", "removed"]).astype({"removed": "int64"})
 
     key, text_hash, found, out = (free_name(docs, n) for n in ("key", "text_hash", "runs", "cleaned"))
+    # always a merge join: the runs grow with the documents, so they aren't broadcast at any size
     joined = docs.join(
-        runs.select(F.col("doc_id").alias(key), F.col("h").alias(text_hash), F.col("runs").alias(found)),
+        runs.select(F.col("doc_id").alias(key), F.col("h").alias(text_hash), F.col("runs").alias(found)).hint("merge"),
         F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(text_hash)), "left")
     done = joined.withColumn(out, cleaned(F.col(text_col), F.col(found)))
     columns = [F.col(f"{out}.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]

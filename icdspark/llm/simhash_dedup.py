@@ -153,7 +153,8 @@ def _grouped(docs: DataFrame, folder: str, words: int, max_bits: int, id_col: st
     prints = stored(rows.groupBy("f").agg(F.min("doc_id").alias("first")), folder, "distinct")
     pairs = links(prints, folder, max_bits, bucket_rows)
     label = connected(pairs, prints.select(F.col("f").alias("node"), F.col("first").alias("label")), folder)
-    return rows.join(label.select(F.col("node").alias("f"), F.col("label").alias("component_id")), "f")
+    label = stored(label.select(F.col("node").alias("f"), F.col("label").alias("component_id")), folder, "labels")
+    return rows.join(label, "f")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id",
@@ -188,7 +189,7 @@ def keep_first(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, id
                      .withColumn("repeated", F.lit(False))), folder, "firsts")
     key, text_hash, again = (free_name(docs, n) for n in ("key", "text_hash", "repeated"))
     kept = docs.join(
-        firsts.select(F.col("doc_id").alias(key), F.col("h").alias(text_hash), F.col("repeated").alias(again)),
+        firsts.select(F.col("doc_id").alias(key), F.col("h").alias(text_hash), F.col("repeated").alias(again)).hint("merge"),
         F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(text_hash)))
     if firsts.filter("repeated").isEmpty():
         return kept.select(*docs.columns)
