@@ -75,14 +75,6 @@ def load_procedures(raw: DataFrame, strip_zeros: bool = True, drop_subset=None,
     return normalize_codes(typed_codes(raw, SRC_PROC, drop_subset, on_bad), strip_zeros).drop("src")
 
 
-def keyed_codes(diag_raw: DataFrame, proc_raw: DataFrame, strip_zeros: bool = True) -> DataFrame:
-    """h01 for the labelled-admission job: the union, hash-partitioned on
-    (subject_id, hadm_id) *before* the per-row code normalisation, so that work
-    runs with shuffle parallelism and the later grouping adds no shuffle."""
-    typed = typed_codes(diag_raw, SRC_DIAG).unionByName(typed_codes(proc_raw, SRC_PROC))
-    return normalize_codes(typed.repartition("subject_id", "hadm_id"), strip_zeros)
-
-
 def load_notes(raw: DataFrame, on_bad: str = "raise") -> DataFrame:
     """a06: keep 'Discharge summary' notes; row_id, subject_id, hadm_id, text.
 
@@ -149,30 +141,18 @@ def join_texts_labels(texts: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.join(labels, ["subject_id", "hadm_id"]).select("subject_id", "hadm_id", "text", "labels")
 
 
-def missing_labels(texts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Strict-mode check for d03: admissions with text but no label row (must be empty)."""
-    return texts.join(labels, ["subject_id", "hadm_id"], "left_anti")
-
-
-def labelled_admissions(codes: DataFrame, notes: DataFrame, notes_tokenized: bool = False) -> DataFrame:
+def labelled_admissions(codes: DataFrame, notes: DataFrame) -> DataFrame:
     """The ETL result: subject_id, hadm_id, text, labels for admissions with notes and codes.
 
     Same rows as  group(notes ⋉ codes) ⋈ group(codes ⋉ notes): a pair
     (subject, admission) present on both sides has its admission in both
     inputs, so the two semi-joins remove nothing the inner join keeps.  Written
-    this way the notes are shuffled once and the codes once (the groupings),
-    instead of once per semi-join and again for the final join.
-
-    Raw notes are hash-partitioned on the grouping keys *before* the regex
-    cleaning, so the expensive per-character work runs with the shuffle's
-    parallelism whatever the input file layout (one unsplittable file would
-    otherwise clean every note in one task); the grouping and the join reuse
-    that partitioning, so this adds no shuffle.
+    this way the notes are shuffled once and the codes once (the groupings).
+
+    Notes are cleaned where they are read, before the shuffle: cleaning makes
+    them shorter, and a hot admission's notes are cleaned by many tasks.
     """
-    notes = notes.repartition("subject_id", "hadm_id")
-    if not notes_tokenized:
-        notes = tokenize_notes(notes)
-    return join_texts_labels(admission_texts(notes), admission_labels(codes))
+    return join_texts_labels(admission_texts(tokenize_notes(notes)), admission_labels(codes))
 
 
 # -- counts and frequencies -------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from icdspark.functions.arrays import l2_normalize
 from icdspark.functions.text import split_on_space
-from icdspark.operators.features import broadcast_if_small
+from icdspark.operators.features import KEYS
 
 # The embedding training parameters.
 VECTOR_SIZE = 100
@@ -19,6 +21,7 @@ MIN_COUNT = 3
 WINDOW_SIZE = 5
 MAX_SENTENCE_LENGTH = 2500
 MAX_ITER = 2
+NUM_PARTITIONS = 1
 
 
 def fit_word2vec(
@@ -30,20 +33,21 @@ def fit_word2vec(
     max_sentence_length: int = MAX_SENTENCE_LENGTH,
     max_iter: int = MAX_ITER,
     seed: int = 42,
-    num_partitions: int | None = None,
+    num_partitions: int = NUM_PARTITIONS,
 ) -> Word2VecModel:
     """i01: Word2Vec on the training texts split on one space (c10).
 
-    ``num_partitions`` (default: the session's default parallelism) spreads
-    the skip-gram training; Spark's own default of 1 trains in a single task.
-    More partitions train faster but merge more partial vectors per
-    iteration (a shuffle of vocabulary x dims per partition).
+    The vectors depend on ``num_partitions``, so it is a parameter with a fixed
+    default (Spark's) and never taken from the cluster's size.  More partitions
+    spread the skip-gram training, but merge more partial vectors per iteration
+    (a shuffle of vocabulary x dims per partition).  The library keeps the
+    vocabulary and all vectors on the driver, and ships them to every task that
+    uses the model: words x dims x 4 bytes must fit there.
     """
     tokens = train.select(split_on_space(text_col).alias("tokens"))
-    parts = num_partitions or max(1, train.sparkSession.sparkContext.defaultParallelism)
     w2v = Word2Vec(
         vectorSize=vector_size, minCount=min_count, windowSize=window_size, maxSentenceLength=max_sentence_length,
-        maxIter=max_iter, seed=seed, numPartitions=parts, inputCol="tokens", outputCol="doc_vector",
+        maxIter=max_iter, seed=seed, numPartitions=num_partitions, inputCol="tokens", outputCol="doc_vector",
     )
     return w2v.fit(tokens)
 
@@ -53,11 +57,13 @@ def word_vectors(model: Word2VecModel) -> DataFrame:
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
-def document_vectors(model: Word2VecModel, docs: DataFrame, text_col: str = "text", key: str = "hadm_id") -> DataFrame:
+def document_vectors(
+    model: Word2VecModel, docs: DataFrame, text_col: str = "text", keys: Sequence[str] = KEYS
+) -> DataFrame:
     """i03: mean word vector per document; unknown words count in the denominator."""
-    toks = docs.select(key, split_on_space(text_col).alias("tokens"))
+    toks = docs.select(*keys, split_on_space(text_col).alias("tokens"))
     out = model.transform(toks)
-    return out.select(key, vector_to_array("doc_vector").alias("doc_vector"))
+    return out.select(*keys, vector_to_array("doc_vector").alias("doc_vector"))
 
 
 def save_model(model: Word2VecModel, path: str) -> None:
@@ -84,21 +90,25 @@ def embedding_table(word_index: DataFrame, vectors: DataFrame, dim: int, seed: i
     return words.unionByName(extra).select("idx", l2_normalize("vector").alias("vector"))
 
 
-def token_vectors(doc_ids: DataFrame, embedding: DataFrame, key: str = "hadm_id", ids_col: str = "word_ids") -> DataFrame:
-    """d07: one row per document token with its vector (inner join on the id)."""
-    toks = doc_ids.select(key, F.posexplode(ids_col).alias("pos", "idx"))
-    emb = embedding.select("idx", "vector")
-    dims = emb.select(F.max(F.size("vector"))).first()[0] or 0
-    return toks.join(broadcast_if_small(emb, row_bytes=8 * dims + 32), "idx")
+def token_vectors(
+    doc_ids: DataFrame, embedding: DataFrame, keys: Sequence[str] = KEYS, ids_col: str = "word_ids"
+) -> DataFrame:
+    """d07: one row per document token with its vector; an id without a vector is an error."""
+    toks = doc_ids.select(*keys, F.posexplode(ids_col).alias("pos", "idx"))
+    found = toks.join(embedding.select("idx", "vector"), "idx", "left")
+    missing = F.raise_error(F.concat(F.lit("no vector for id "), F.col("idx").cast("string")))
+    return found.withColumn("vector", F.when(F.col("vector").isNull(), missing).otherwise(F.col("vector")))
 
 
-def max_pool(doc_ids: DataFrame, embedding: DataFrame, key: str = "hadm_id", ids_col: str = "word_ids") -> DataFrame:
+def max_pool(
+    doc_ids: DataFrame, embedding: DataFrame, keys: Sequence[str] = KEYS, ids_col: str = "word_ids"
+) -> DataFrame:
     """i07: element-wise max of the document's token vectors (real tokens only).
 
     ``Summarizer.max`` is a streaming vector aggregate (partial aggregation,
     one running vector per document), so documents are never exploded into
-    dimensions.
+    dimensions.  A document without tokens has no row.
     """
-    tv = token_vectors(doc_ids, embedding, key, ids_col)
-    pooled = tv.groupBy(key).agg(Summarizer.max(array_to_vector("vector")).alias("__v"))
-    return pooled.select(key, vector_to_array("__v").alias("pooled"))
+    tv = token_vectors(doc_ids, embedding, keys, ids_col)
+    pooled = tv.groupBy(*keys).agg(Summarizer.max(array_to_vector("vector")).alias("__v"))
+    return pooled.select(*keys, vector_to_array("__v").alias("pooled"))

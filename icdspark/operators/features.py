@@ -1,21 +1,23 @@
 """Vocabulary, label index, document encoding, batching and code dictionaries.
 
-Lookups (word -> id, label -> id, id -> vector) are equi-joins.  A lookup side
-is broadcast only behind ``broadcast_if_small``: its row count is measured
-first and compared with a limit; beyond it the join stays a shuffle join and
-AQE handles skewed (Zipfian) word keys by splitting hot partitions.
+Lookups (word -> id, label -> id, id -> vector) are equi-joins without hints:
+the lookup tables are written before they are used, so Spark knows their size,
+broadcasts a small one and splits hot (Zipfian) words of a large one.
+A document is known by (subject_id, hadm_id) throughout.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from icdspark.functions.arrays import MAX_DOC_TOKENS, multi_hot, pad_to, truncate
+from icdspark.functions.arrays import MAX_DOC_TOKENS, pad_to, truncate
 from icdspark.functions.codes import reformat_code
 from icdspark.functions.text import split_on_space, split_whitespace
 from icdspark.operators.cohort import LABEL_SEP
-from icdspark.operators.running import quantile_bucket, row_number
+from icdspark.operators.running import grouped_row_number, range_bucket, row_number
 
 # word2vec minimum count, batch sizes, padding id.
 MIN_WORD_COUNT = 3
@@ -23,23 +25,10 @@ TRAIN_BATCH = 32
 EVAL_BATCH = 32
 TEST_BATCH = 1
 PAD_ID = 0
-BROADCAST_ROWS = 2_000_000
-BROADCAST_BYTES = 256 << 20
-
-
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, row_bytes: int | None = None, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Broadcast-hint ``df`` only if its measured size is within bounds.
-
-    The row count is measured (at most ``limit + 1`` rows are counted); with
-    ``row_bytes`` the estimate rows x row_bytes must also stay under
-    ``max_bytes`` (wide rows such as embedding vectors).  Beyond the bounds the
-    join is left to the planner (shuffle join, AQE skew handling).
-    """
-    limit = max_rows if row_bytes is None else min(max_rows, max(1, max_bytes // row_bytes))
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+#: What identifies a document.
+KEYS = ("subject_id", "hadm_id")
+#: Characters of a word or code that make up its bucket in a ranking.
+PREFIX_CHARS = 4
 
 
 # ----------------------------------------------------------------- indexes
@@ -54,11 +43,11 @@ def distinct_labels(labelled: DataFrame) -> DataFrame:
 def label_index(labelled: DataFrame) -> DataFrame:
     """g03: dense 0-based ``idx`` over the sorted distinct labels (code-point order).
 
-    Ranked with the bucketed row number; the bucket is the 3-character code
-    prefix (monotone in the label order).
+    Ranked with the bucketed row number; the bucket is a prefix of the code
+    (monotone in the label order).
     """
     labels = distinct_labels(labelled)
-    ranked = row_number(labels, ["label"], bucket=F.substring("label", 1, 3), name="__rn")
+    ranked = row_number(labels, ["label"], bucket=F.substring("label", 1, PREFIX_CHARS), name="__rn")
     return ranked.select("label", (F.col("__rn") - 1).alias("idx"))
 
 
@@ -75,86 +64,90 @@ def word_index(vocab: DataFrame) -> DataFrame:
     """g04: 1-based ``idx`` by (count desc, word); 0 is padding, V+1 unknown.
 
     idx = (words with a higher count) + (rank of the word among words with its
-    count).  The second part is a bucketed row number partitioned by count
-    (buckets = 2-character word prefixes), so the large low-count groups are
-    spread; the first part is a prefix sum over the distinct counts, a table
+    count).  The ranks are bucketed by word prefixes inside each count, so the
+    large low-count groups are spread; the counts of words by count are a table
     far smaller than the vocabulary.
     """
-    within = row_number(vocab, ["word"], bucket=F.substring("word", 1, 2), name="__r", partition_cols=["count"])
-    sizes = vocab.groupBy("count").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy(F.col("count").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("count", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__above"))
-    return within.join(offsets, "count").select("word", "count", (F.col("__above") + F.col("__r")).alias("idx"))
+    return grouped_row_number(
+        vocab, -F.col("count"), ["word"], F.substring("word", 1, PREFIX_CHARS), "idx").select("word", "count", "idx")
 
 
 # ------------------------------------------------------------- lookups
 
 
-def doc_label_ids(docs: DataFrame, labels_index: DataFrame, key: str = "hadm_id") -> DataFrame:
+def doc_label_ids(docs: DataFrame, labels_index: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """d05: label ids per document; labels missing from the index are ignored.
 
-    Returns ``key, label_ids`` (sorted distinct ids); documents with no known
+    Returns ``keys, label_ids`` (sorted distinct ids); documents with no known
     label are absent (b08).
     """
-    exploded = docs.select(key, F.explode(F.split("labels", LABEL_SEP)).alias("label"))
-    joined = exploded.join(broadcast_if_small(labels_index), "label")
-    return joined.groupBy(key).agg(F.array_sort(F.collect_set("idx")).alias("label_ids"))
+    exploded = docs.select(*keys, F.explode(F.split("labels", LABEL_SEP)).alias("label"))
+    joined = exploded.join(labels_index.select("label", "idx"), "label")
+    return joined.groupBy(*keys).agg(F.array_sort(F.collect_set("idx")).alias("label_ids"))
 
 
 def doc_word_ids(
-    docs: DataFrame, words_index: DataFrame, num_words: int, key: str = "hadm_id", max_len: int = MAX_DOC_TOKENS
+    docs: DataFrame, words_index: DataFrame, num_words: int, keys: Sequence[str] = KEYS, max_len: int = MAX_DOC_TOKENS
 ) -> DataFrame:
     """d06 + c11 + c13: word ids in text order, unknown words -> ``num_words + 1``.
 
     Truncation happens on the tokens before the lookup (one id per token, so
     it is the same as truncating ids) and bounds the per-document work.
     """
-    toks = docs.select(key, F.posexplode(truncate(split_whitespace("text"), max_len)).alias("pos", "word"))
-    joined = toks.join(broadcast_if_small(words_index.select("word", "idx")), "word", "left")
+    toks = docs.select(*keys, F.posexplode(truncate(split_whitespace("text"), max_len)).alias("pos", "word"))
+    joined = toks.join(words_index.select("word", "idx"), "word", "left")
     ids = F.coalesce(F.col("idx"), F.lit(num_words + 1))
-    return joined.groupBy(key).agg(
+    return joined.groupBy(*keys).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", ids.alias("id")))), lambda s: s["id"]).alias("word_ids")
     )
 
 
 def encode_documents(
-    docs: DataFrame, labels_index: DataFrame, words_index: DataFrame, num_labels: int, num_words: int,
-    key: str = "hadm_id", max_len: int = MAX_DOC_TOKENS, carry: tuple[str, ...] = (),
+    docs: DataFrame, labels_index: DataFrame, words_index: DataFrame, num_words: int,
+    keys: Sequence[str] = KEYS, max_len: int = MAX_DOC_TOKENS, carry: Sequence[str] = (),
 ) -> DataFrame:
-    """i05: ``key, word_ids, label_ids, labels_multi_hot`` (+ ``carry`` columns)
-    for documents with a known label.
-
-    The documents are hash-partitioned on ``key`` once; the token and label
-    explodes, the (size-checked) broadcast lookups, the per-document regrouping
-    and the final joins then all keep that partitioning, so the only shuffle
-    moves each text once -- not the exploded (doc, position, id) rows, which
-    are several times larger.  Documents with no word tokens keep an empty id
-    list (the original keeps them too).
+    """i05: ``keys, word_ids, label_ids`` (+ ``carry`` columns) for documents with a known label.
+
+    The documents are hash-partitioned on ``keys`` once; the token and label
+    explodes, the lookups (while Spark broadcasts them), the per-document
+    regrouping and the final joins then all keep that partitioning, so the only
+    shuffle moves each text once -- not the exploded (doc, position, id) rows,
+    which are several times larger.  Labels stay sorted ids: a dense 0/1 vector
+    (c15) is made where one is read.  Documents with no word tokens keep an
+    empty id list (the original keeps them too).
     """
-    docs = docs.select(key, "text", "labels", *carry).repartition(key)
-    lab = doc_label_ids(docs, labels_index, key)
-    words = doc_word_ids(docs, words_index, num_words, key, max_len)
-    out = lab.join(words, key, "left")
+    docs = docs.select(*keys, "text", "labels", *carry).repartition(*keys)
+    lab = doc_label_ids(docs, labels_index, keys)
+    words = doc_word_ids(docs, words_index, num_words, keys, max_len)
+    out = lab.join(words, list(keys), "left")
     if carry:
-        out = out.join(docs.select(key, *carry), key)
+        out = out.join(docs.select(*keys, *carry), list(keys))
     return out.select(
-        key,
-        *carry,
-        F.coalesce(F.col("word_ids"), F.array().cast("array<bigint>")).alias("word_ids"),
-        "label_ids",
-        multi_hot("label_ids", num_labels).alias("labels_multi_hot"),
-    )
+        *keys, *carry, F.coalesce(F.col("word_ids"), F.array().cast("array<bigint>")).alias("word_ids"), "label_ids")
 
 
 # ------------------------------------------------------- batching, padding
 
 
-def batch_ids(df: DataFrame, order_cols: list, bucket: Column, batch_size: int, partition_cols=()) -> DataFrame:
-    """g05: ``position`` (0-based, along ``order_cols``) and ``batch`` = position // batch_size."""
-    ranked = row_number(df, order_cols, bucket=bucket, name="__rn", partition_cols=partition_cols)
-    return ranked.withColumn("position", F.col("__rn") - 1).withColumn(
-        "batch", F.floor(F.col("position") / F.lit(batch_size))
-    ).drop("__rn")
+def batch_ids(
+    df: DataFrame, batch_size: int, length_col: str, keys: Sequence[str] = KEYS, partition_cols: Sequence[str] = ()
+) -> DataFrame:
+    """g05: ``position`` (0-based, by length, then the last key first) and ``batch`` = position // batch_size."""
+    ranked = grouped_row_number(
+        df, F.col(length_col), list(reversed(keys)), range_bucket(keys[-1]), "__rn", partition_cols)
+    return _batches(ranked, batch_size)
+
+
+def shuffled_batch_ids(df: DataFrame, batch_size: int, seed: int, key: str = KEYS[-1]) -> DataFrame:
+    """g11: ``position`` and ``batch`` along the seeded shuffle order."""
+    ranked = row_number(shuffled_order(df, seed, key), ["shuffle_key", key], range_bucket("shuffle_key"), "__rn")
+    return _batches(ranked, batch_size)
+
+
+def _batches(ranked: DataFrame, batch_size: int) -> DataFrame:
+    position = F.col("__rn") - 1
+    return ranked.withColumn("position", position).withColumn(
+        "batch", F.floor(position / F.lit(batch_size))).drop("__rn")
 
 
 # Fixed values of the epoch-shuffle hash: a multiplicative congruential map on
@@ -188,11 +181,19 @@ def pad_batches(df: DataFrame, ids_col: str = "word_ids", partition_cols=()) ->
     return df.withColumn("padded", pad_to(ids_col, F.max(F.size(ids_col)).over(w), PAD_ID))
 
 
-def batch_and_pad(encoded: DataFrame, batch_size: int, order_cols: list, bucket: Column, partition_cols=()) -> DataFrame:
-    """i06: g05 -> g06 -> c14 on encoded documents."""
-    b = batch_ids(encoded, order_cols, bucket, batch_size, partition_cols)
-    b = b.withColumn("length", F.size("word_ids"))
-    return pad_batches(sort_within_batch(b, "length", partition_cols), "word_ids", partition_cols)
+def batch_and_pad(
+    encoded: DataFrame, batch_size: int, length_col: str, keys: Sequence[str] = KEYS, partition_cols: Sequence[str] = ()
+) -> DataFrame:
+    """i06: g05 -> g06 -> c14 on encoded documents.
+
+    Only keys and lengths are ranked and grouped into batches; the id lists
+    are joined to them once and padded to the batch's longest list.
+    """
+    shape = encoded.select(*keys, *partition_cols, length_col, F.size("word_ids").alias("length"))
+    batched = sort_within_batch(batch_ids(shape, batch_size, length_col, keys, partition_cols), "length", partition_cols)
+    longest = Window.partitionBy(*partition_cols, "batch")
+    batched = batched.withColumn("padded_len", F.max("length").over(longest)).drop(length_col, *partition_cols)
+    return encoded.join(batched, list(keys)).withColumn("padded", pad_to("word_ids", F.col("padded_len"), PAD_ID))
 
 
 # ------------------------------------------------------- code dictionaries
@@ -262,15 +263,9 @@ def restrict_labels(labelled: DataFrame, keep: DataFrame) -> DataFrame:
     Label order inside an admission is preserved (position of the exploded label).
     """
     ex = labelled.select("subject_id", "hadm_id", F.posexplode(F.split("labels", LABEL_SEP)).alias("p", "label"))
-    kept = ex.join(broadcast_if_small(keep.select("label").distinct()), "label", "left_semi")
+    kept = ex.join(keep.select("label").distinct(), "label", "left_semi")
     grouped = kept.groupBy("subject_id", "hadm_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "label"))), lambda s: s["label"]), LABEL_SEP).alias("labels")
     )
     return labelled.drop("labels").join(grouped, ["subject_id", "hadm_id"])
 
-
-__all__ = [
-    "broadcast_if_small", "label_index", "vocabulary", "word_index", "doc_label_ids", "doc_word_ids",
-    "encode_documents", "batch_ids", "shuffled_order", "sort_within_batch", "pad_batches", "batch_and_pad",
-    "merge_code_descriptions", "describe_codes", "class_weights", "restrict_labels", "quantile_bucket",
-]

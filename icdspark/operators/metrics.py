@@ -54,30 +54,36 @@ def _f1(p: Column, r: Column) -> Column:
     return F.when(p + r == 0, F.lit(0.0)).otherwise(F.lit(2.0) * p * r / (p + r))
 
 
+def _macro_columns() -> list[Column]:
+    eps = F.lit(MACRO_EPS)
+    return [
+        F.avg(F.col("intersect") / (F.col("union") + eps)).alias("macro_accuracy"),
+        F.avg(F.col("intersect") / (F.col("predicted") + eps)).alias("macro_precision"),
+        F.avg(F.col("intersect") / (F.col("actual") + eps)).alias("macro_recall"),
+    ]
+
+
 def macro_scores(pred: DataFrame) -> DataFrame:
     """f02-f05: macro accuracy/precision/recall (mean of per-label ratios) and F1.
 
     F1 is the harmonic mean of macro precision and macro recall (not the mean
     of per-label F1s); 0 when both are 0.
     """
-    eps = F.lit(MACRO_EPS)
-    per = label_counts(pred)
-    m = per.agg(
-        F.avg(F.col("intersect") / (F.col("union") + eps)).alias("macro_accuracy"),
-        F.avg(F.col("intersect") / (F.col("predicted") + eps)).alias("macro_precision"),
-        F.avg(F.col("intersect") / (F.col("actual") + eps)).alias("macro_recall"),
-    )
+    m = label_counts(pred).agg(*_macro_columns())
     return m.withColumn("macro_f1", _f1(F.col("macro_precision"), F.col("macro_recall")))
 
 
-def micro_scores(pred: DataFrame) -> DataFrame:
-    """f06-f09: ratios of global sums (no epsilon; 0/0 -> null) and micro F1."""
-    s = with_yhat(pred).agg(*_sums())
-    m = s.select(
+def _micro_columns() -> list[Column]:
+    return [
         safe_ratio("intersect", "union", None).alias("micro_accuracy"),
         safe_ratio("intersect", "predicted", None).alias("micro_precision"),
         safe_ratio("intersect", "actual", None).alias("micro_recall"),
-    )
+    ]
+
+
+def micro_scores(pred: DataFrame) -> DataFrame:
+    """f06-f09: ratios of global sums (no epsilon; 0/0 -> null) and micro F1."""
+    m = with_yhat(pred).agg(*_sums()).select(*_micro_columns())
     return m.withColumn("micro_f1", _f1(F.col("micro_precision"), F.col("micro_recall")))
 
 
@@ -118,11 +124,14 @@ def precision_at_k(pred: DataFrame, ks: Sequence[int] = TOP_KS) -> DataFrame:
     return per.agg(*[F.avg(f"p_at_{k}").alias(f"p_at_{k}") for k in ks])
 
 
+def _cell_loss(logit: str) -> Column:
+    x, y = F.col(logit), F.col("y").cast("double")
+    return F.greatest(x, F.lit(0.0)) - x * y + F.log1p(F.exp(-F.abs(x)))
+
+
 def bce_with_logits(pred: DataFrame, logit: str = "logit") -> DataFrame:
     """e09: mean binary cross-entropy with logits over all cells (numerically stable form)."""
-    x, y = F.col(logit), F.col("y").cast("double")
-    cell = F.greatest(x, F.lit(0.0)) - x * y + F.log1p(F.exp(-F.abs(x)))
-    return pred.agg(F.avg(cell).alias("loss"))
+    return pred.agg(F.avg(_cell_loss(logit)).alias("loss"))
 
 
 def weighted_mean(df: DataFrame, value: str, weight: str, by: Sequence[str] = ()) -> DataFrame:
@@ -147,16 +156,25 @@ def normalized_confusion(matrix: DataFrame) -> DataFrame:
 def evaluation_report(pred: DataFrame, with_top_k: bool = True, logit: str | None = "logit") -> DataFrame:
     """f20: one-row report: loss, macro and micro scores, macro/micro AUC, P@5/8/15.
 
-    Each part is a one-row aggregate; they are combined with one-row cross joins.
+    Three passes over the predictions: sums by label give the loss and the
+    macro and micro scores, counts by (label, score) give both AUCs (the micro
+    curve pools them), and the ranking gives precision at k.  The one-row
+    results are combined with one-row cross joins.
     """
     from icdspark.operators import roc
 
-    parts = [macro_scores(pred), micro_scores(pred), roc.macro_auc(pred), roc.micro_auc(pred)]
-    if logit and logit in pred.columns:
-        parts.insert(0, bce_with_logits(pred, logit))
-    if with_top_k:
-        parts.append(precision_at_k(pred, TOP_KS))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(p)
-    return out
+    has_loss = bool(logit) and logit in pred.columns
+    cells = with_yhat(pred)
+    loss = [F.sum(_cell_loss(logit)).alias("loss_sum")] if has_loss else []
+    sums = ["intersect", "union", "predicted", "actual", "cells"] + ["loss_sum"] * has_loss
+    per_label = cells.groupBy("label").agg(*_sums(), *loss)
+    pooled = per_label.agg(*_macro_columns(), *[F.sum(c).alias(c) for c in sums])
+    scores = pooled.select(
+        *([(F.col("loss_sum") / F.col("cells")).alias("loss")] if has_loss else []),
+        "macro_accuracy", "macro_precision", "macro_recall",
+        _f1(F.col("macro_precision"), F.col("macro_recall")).alias("macro_f1"), *_micro_columns(),
+    ).withColumn("micro_f1", _f1(F.col("micro_precision"), F.col("micro_recall")))
+    counts = roc.score_counts(pred)
+    out = scores.crossJoin(roc.macro_auc_of(roc.cumulative(counts))).crossJoin(
+        roc.micro_auc_of(roc.cumulative(roc.micro_counts(counts), per_label=False)))
+    return out.crossJoin(precision_at_k(pred, TOP_KS)) if with_top_k else out

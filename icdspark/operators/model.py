@@ -1,97 +1,121 @@
-"""Multilabel linear model on pooled document vectors."""
+"""Multilabel linear model on pooled document vectors.
+
+All labels are fitted together: one Spark job per iteration sums every label's
+gradient over the documents.  What the driver holds is the model itself
+(labels x dims), as Spark's own linear models do; documents and labels stay in
+their partitions.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark import Broadcast
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icdspark.functions.maths import sigmoid
+from icdspark.operators.features import KEYS
 
-# Bound on the weight matrix carried in one row (labels x dims doubles).
-MAX_WEIGHT_CELLS = 50_000_000
+#: Weights (labels x dims) in one block of the scoring join.
+BLOCK_CELLS = 1_000_000
 
 
-def fit_label_models(
-    features: DataFrame, num_labels: int, feature_col: str = "pooled", labels_col: str = "labels_multi_hot",
-    max_iter: int = 50, reg_param: float = 0.0, parallelism: int = 8,
-) -> DataFrame:
-    """i08: one logistic regression per label on the same cached feature frame.
+def _gradients(sent: Broadcast):
+    """Per partition and label: its documents' gradient, followed by its loss and positives."""
 
-    Returns ``label, weights array<double>, bias, skipped`` where labels with a
-    single class in the data are reported as skipped (no fit is possible).
-    Each fit is a distributed job; ``parallelism`` fits are submitted at once
-    (as ``CrossValidator(parallelism=...)`` does), and only the L coefficient
-    vectors reach the driver.
-    """
-    from concurrent.futures import ThreadPoolExecutor
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights = sent.value
+        total = np.zeros((weights.shape[0], weights.shape[1] + 2))
+        for batch in batches:
+            x = np.column_stack([np.stack(batch["x"].to_numpy()), np.ones(len(batch))])
+            z = x @ weights.T
+            y = np.zeros_like(z)
+            for row, ids in enumerate(batch["label_ids"]):
+                y[row, np.asarray(ids, np.int64)] = 1.0
+            total[:, :-2] += (1.0 / (1.0 + np.exp(-z)) - y).T @ x
+            total[:, -2] += (np.logaddexp(0.0, z) - y * z).sum(0)
+            total[:, -1] += y.sum(0)
+        yield pd.DataFrame({"label": np.arange(len(total)), "sums": list(total)})
 
-    spark = features.sparkSession
-    data = features.select(array_to_vector(feature_col).alias("features"), F.col(labels_col).alias("y"))
-    # Size the cached training frame to ~64 MB partitions: every L-BFGS iteration
-    # is one job over it, so tiny partitions only add per-task overhead.
-    shape = features.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(feature_col)).alias("d")).first()
-    est = (shape["n"] or 0) * ((shape["d"] or 0) * 8 + num_labels * 4 + 64)
-    parallel = spark.sparkContext.defaultParallelism
-    parts = int(min(max(1, -(-est // (64 << 20))), 4 * parallel))
-    data = data.repartition(parts).persist()
-    stats = data.select(F.posexplode("y").alias("label", "v")).groupBy("label").agg(
-        F.sum("v").alias("pos"), F.count(F.lit(1)).alias("n")
-    )
-    fit_able = {r["label"] for r in stats.filter((F.col("pos") > 0) & (F.col("pos") < F.col("n"))).collect()}
+    return summed
 
-    def fit(j: int):
-        if j not in fit_able:
-            return (j, None, None, True)
-        lr = LogisticRegression(maxIter=max_iter, regParam=reg_param, featuresCol="features", labelCol="label_y")
-        m = lr.fit(data.select("features", F.col("y")[j].cast("double").alias("label_y")))
-        return (j, [float(x) for x in m.coefficients.toArray()], float(m.intercept), False)
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(fit, range(num_labels)))
-    finally:
-        data.unpersist()
-    return spark.createDataFrame(rows, "label long, weights array<double>, bias double, skipped boolean")
 
+def fit_label_models(
+    features: DataFrame, num_labels: int, feature_col: str = "pooled", ids_col: str = "label_ids",
+    iterations: int = 20, reg_param: float = 0.0,
+) -> DataFrame:
+    """i08: one logistic regression per label, all labels in one job per iteration.
 
-def linear_scores(features: DataFrame, weights: DataFrame, key: str = "instance", feature_col: str = "pooled") -> DataFrame:
-    """i09 + c16: dense long scores ``key, label, logit, score`` with logit = w_label . x + b.
+    Accelerated gradient steps on the mean loss with a step that suits the
+    data's largest squared length.  Returns ``label, weights array<double>, bias,
+    skipped, first_loss, first_gradient, loss``: the loss and the gradient's length
+    at zero weights, and the loss at the last step's point.  Labels with a
+    single class in the data are skipped (null weights).
+    """
+    data = features.select(F.col(feature_col).alias("x"), F.col(ids_col).alias("label_ids"))
+    square = F.aggregate("x", F.lit(1.0), lambda a, v: a + v * v)
+    shape = data.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("d"), F.max(square).alias("s")).first()
+    n, dims = shape["n"], shape["d"] or 0
+    schema = "label long, weights array<double>, bias double, skipped boolean, first_loss double, first_gradient double, loss double"
+    spark = features.sparkSession
+    if not n:
+        return spark.createDataFrame([], schema)
+    step = 1.0 / (0.25 * shape["s"] + reg_param)
+    weights = ahead = np.zeros((num_labels, dims + 1))
+    first = None
+    for k in range(iterations):
+        sums = (
+            data.mapInPandas(_gradients(spark.sparkContext.broadcast(ahead)), "label long, sums array<double>")
+            .groupBy("label").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
+        )
+        total = np.zeros((num_labels, dims + 3))
+        for row in sums.toLocalIterator():
+            total[row["label"]] = row["sums"]
+        gradient, loss, positives = total[:, :-2] / n, total[:, -2] / n, total[:, -1]
+        if first is None:
+            first = loss, np.sqrt((gradient * gradient).sum(1))
+        moved = ahead - step * (gradient + reg_param * ahead)
+        ahead = moved + k / (k + 3.0) * (moved - weights)
+        weights = moved
+    rows = []
+    for j in range(num_labels):
+        skipped = bool(positives[j] in (0, n))
+        fitted = (None, None) if skipped else (weights[j, :-1].tolist(), float(weights[j, -1]))
+        rows.append((j, *fitted, skipped, float(first[0][j]), float(first[1][j]), float(loss[j])))
+    return spark.createDataFrame(rows, schema)
+
+
+def linear_scores(
+    features: DataFrame, weights: DataFrame, keys: Sequence[str] = KEYS, feature_col: str = "pooled",
+    min_score: float | None = None, block_cells: int = BLOCK_CELLS,
+) -> DataFrame:
+    """i09 + c16: long scores ``keys, label, logit, score`` with logit = w_label . x + b.
 
-    The weight matrix (labels x dims, checked against ``MAX_WEIGHT_CELLS``) is
-    folded into one row and attached to every document with a one-row
-    cross join; each document then yields its L scores in one pass.
+    The weights are packed into blocks of at most ``block_cells`` cells, each a
+    row that meets every document (every label needs every document); a model
+    of any size is scored block by block.  ``min_score`` keeps only cells with at
+    least that probability, before they are exploded.
     """
     w = weights.filter(~F.coalesce(F.col("skipped"), F.lit(False))) if "skipped" in weights.columns else weights
-    cells = w.agg(F.sum(F.size("weights")).alias("c")).first()["c"] or 0
-    if cells > MAX_WEIGHT_CELLS:
-        raise ValueError(f"weight matrix of {cells} cells exceeds {MAX_WEIGHT_CELLS}")
-    packed = w.agg(F.array_sort(F.collect_list(F.struct("label", "weights", "bias"))).alias("__w"))
+    per_block = F.greatest(F.lit(1), F.floor(F.lit(block_cells) / F.greatest(F.size("weights"), F.lit(1))))
+    blocks = w.groupBy(F.floor(F.col("label") / per_block).alias("block")).agg(
+        F.array_sort(F.collect_list(F.struct("label", "weights", "bias"))).alias("__w")).drop("block")
     x = F.col(feature_col)
-    scored = features.crossJoin(F.broadcast(packed)).select(
-        key,
-        F.explode(
-            F.transform(
-                "__w",
-                lambda s: F.struct(
-                    s["label"].alias("label"),
-                    (F.aggregate(F.zip_with(s["weights"], x, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-                     + s["bias"]).alias("logit"),
-                ),
-            )
-        ).alias("__s"),
+    cells = F.transform(
+        "__w",
+        lambda s: F.struct(
+            s["label"].alias("label"),
+            (F.aggregate(F.zip_with(s["weights"], x, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+             + s["bias"]).alias("logit"),
+        ),
     )
-    out = scored.select(key, F.col("__s.label").alias("label"), F.col("__s.logit").alias("logit"))
+    if min_score is not None:
+        cells = F.filter(cells, lambda s: sigmoid(s["logit"]) >= min_score)
+    scored = features.crossJoin(blocks).select(*keys, F.explode(cells).alias("__s"))
+    out = scored.select(*keys, F.col("__s.label").alias("label"), F.col("__s.logit").alias("logit"))
     return out.withColumn("score", sigmoid("logit"))
-
-
-def centroid_weights(vectors: DataFrame, class_col: str = "label", vector_col: str = "vector") -> DataFrame:
-    """Per-class mean vector as weights (bias 0): a linear scorer derived from data."""
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.ml.stat import Summarizer
-
-    summ = vectors.groupBy(class_col).agg(Summarizer.mean(array_to_vector(vector_col)).alias("__m"))
-    return summ.select(
-        F.col(class_col).cast("long").alias("label"), vector_to_array("__m").alias("weights"), F.lit(0.0).alias("bias")
-    )

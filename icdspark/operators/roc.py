@@ -2,7 +2,7 @@
 
 Scores are first aggregated to one row per distinct (label, score) with the
 number of positives and negatives at that score; curve points and areas come
-from running sums over the ascending scores (``running_sum`` with quantile
+from running sums over the ascending scores (``running_sum`` with score
 buckets, so neither a label nor the micro curve is pulled into one task).
 
 AUC uses the rank form  sum_s pos_s * (neg_below(s) + neg_s / 2) / (P * N),
@@ -12,32 +12,31 @@ A label needs P > 0 and N > 0 to have an AUC (b09).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icdspark.operators.running import quantile_bucket, running_sum
+from icdspark.operators.running import previous_value, running_sum, score_bucket
 
-SCORE_BUCKETS = 64
+#: Buckets of the false positive rate, a share with a bounded number of distinct values in each.
+FPR_BUCKETS = 1 << 16
 
 
-def score_counts(pred: DataFrame, per_label: bool = True) -> DataFrame:
-    keys = ["label", "score"] if per_label else ["score"]
-    return pred.groupBy(*keys).agg(
-        F.sum("y").cast("long").alias("pos"), F.sum(F.lit(1) - F.col("y")).cast("long").alias("neg")
-    )
+def score_counts(pred: DataFrame) -> DataFrame:
+    """Positives and negatives at each distinct (label, score)."""
+    return pred.groupBy("label", "score").agg(
+        F.sum("y").cast("long").alias("pos"), F.sum(F.lit(1) - F.col("y")).cast("long").alias("neg"))
 
 
-def _cumulative(counts: DataFrame, per_label: bool, num_buckets: int) -> DataFrame:
-    """Add pos_below / neg_below (strictly lower scores) and label totals P, N."""
-    pcols = ["label"] if per_label else []
-    bucket = quantile_bucket(counts, "score", num_buckets)
-    run = running_sum(
-        counts, ["score"], {"pos_below": "pos", "neg_below": "neg"}, bucket, partition_cols=pcols, exclusive=True
-    )
-    totals = counts.groupBy(*pcols).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    if per_label:
-        return run.join(totals, "label")
-    return run.crossJoin(totals)  # one-row totals
+def micro_counts(counts: DataFrame) -> DataFrame:
+    """``score_counts`` of all labels pooled; ``counts`` may be summed up by label already."""
+    return counts.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def cumulative(counts: DataFrame, per_label: bool = True) -> DataFrame:
+    """Add pos_below / neg_below (strictly lower scores) and the totals P, N."""
+    return running_sum(
+        counts, ["score"], {"pos_below": "pos", "neg_below": "neg"}, score_bucket("score"),
+        partition_cols=["label"] if per_label else [], exclusive=True, totals={"pos_below": "P", "neg_below": "N"})
 
 
 def eligible_labels(pred: DataFrame) -> DataFrame:
@@ -46,63 +45,74 @@ def eligible_labels(pred: DataFrame) -> DataFrame:
     return t.filter((F.col("P") > 0) & (F.col("N") > 0)).select("label", "P", "N")
 
 
-def roc_points(pred: DataFrame, per_label: bool = True, num_buckets: int = SCORE_BUCKETS) -> DataFrame:
+def _curve(pred: DataFrame, per_label: bool) -> DataFrame:
+    counts = score_counts(pred)
+    return cumulative(counts if per_label else micro_counts(counts), per_label)
+
+
+def roc_points(pred: DataFrame, per_label: bool = True) -> DataFrame:
     """f14 / f18: one point per distinct score: threshold, fpr, tpr (score >= threshold).
 
     The (0, 0) start point is implicit.  Labels without positives (or without
     negatives) get null tpr (fpr).
     """
-    cum = _cumulative(score_counts(pred, per_label), per_label, num_buckets)
     tp = F.col("P") - F.col("pos_below")
     fp = F.col("N") - F.col("neg_below")
-    keys = ["label"] if per_label else []
-    return cum.select(
-        *keys,
+    return _curve(pred, per_label).select(
+        *(["label"] if per_label else []),
         F.col("score").alias("threshold"),
         F.try_divide(fp.cast("double"), F.col("N").cast("double")).alias("fpr"),
         F.try_divide(tp.cast("double"), F.col("P").cast("double")).alias("tpr"),
     )
 
 
-def _auc_from_cum(cum: DataFrame, keys: list[str]) -> DataFrame:
-    contrib = F.col("pos") * (F.col("neg_below") + F.col("neg") / F.lit(2.0))
-    return (
-        cum.groupBy(*keys)
-        .agg(F.sum(contrib).alias("__area"), F.first("P").alias("P"), F.first("N").alias("N"))
-        .filter((F.col("P") > 0) & (F.col("N") > 0))
-        .select(*keys, (F.col("__area") / (F.col("P").cast("double") * F.col("N"))).alias("auc"))
-    )
+def _area() -> Column:
+    """A row's share of its curve's area; null without positives or negatives."""
+    pairs = F.col("P").cast("double") * F.col("N")
+    return F.when(pairs > 0, F.col("pos") * (F.col("neg_below") + F.col("neg") / F.lit(2.0)) / pairs)
 
 
-def label_auc(pred: DataFrame, num_buckets: int = SCORE_BUCKETS) -> DataFrame:
+def label_auc(pred: DataFrame) -> DataFrame:
     """f15: AUC per eligible label."""
-    cum = _cumulative(score_counts(pred, True), True, num_buckets)
-    return _auc_from_cum(cum, ["label"])
+    return _curve(pred, True).groupBy("label").agg(F.sum(_area()).alias("auc")).filter(F.col("auc").isNotNull())
+
 
+def macro_auc_of(cum: DataFrame) -> DataFrame:
+    """f16 from cumulative counts: the label's rows are summed up in one step.
 
-def macro_auc(pred: DataFrame, num_buckets: int = SCORE_BUCKETS) -> DataFrame:
+    A label's lowest score is the one row with nothing below, so such rows
+    count the labels.
+    """
+    first = (F.col("pos_below") + F.col("neg_below") == 0) & (F.col("P") > 0) & (F.col("N") > 0)
+    labels = F.sum(F.when(first, 1))
+    return cum.agg((F.sum(_area()) / labels).alias("auc_macro"))
+
+
+def macro_auc(pred: DataFrame) -> DataFrame:
     """f16: mean of the per-label AUCs (eligible labels only)."""
-    return label_auc(pred, num_buckets).agg(F.avg("auc").alias("auc_macro"))
+    return macro_auc_of(_curve(pred, True))
+
 
+def micro_auc_of(cum: DataFrame) -> DataFrame:
+    return cum.agg(F.sum(_area()).alias("auc_micro"))
 
-def micro_auc(pred: DataFrame, num_buckets: int = SCORE_BUCKETS) -> DataFrame:
+
+def micro_auc(pred: DataFrame) -> DataFrame:
     """f17: AUC of all cells pooled into one curve."""
-    cum = _cumulative(score_counts(pred, False), False, num_buckets)
-    return _auc_from_cum(cum, []).select(F.col("auc").alias("auc_micro"))
+    return micro_auc_of(_curve(pred, False))
 
 
-__all__ = ["eligible_labels", "roc_points", "label_auc", "macro_auc", "micro_auc", "score_counts", "Window"]
+def _fpr() -> Column:
+    return F.try_divide((F.col("N") - F.col("neg_below")).cast("double"), F.col("N").cast("double"))
 
 
-def fpr_grid(pred: DataFrame, num_buckets: int = SCORE_BUCKETS) -> DataFrame:
+def fpr_grid(pred: DataFrame) -> DataFrame:
     """h04: the union of every label's FPR values (plus 0), distinct."""
-    cum = _cumulative(score_counts(pred, True), True, num_buckets)
-    fpr = ((F.col("N") - F.col("neg_below")).cast("double") / F.col("N").cast("double")).alias("fpr")
     zero = pred.sparkSession.range(1).select(F.lit(0.0).alias("fpr"))
-    return cum.select(fpr).unionByName(zero).distinct()
+    return _curve(pred, True).select(_fpr().alias("fpr")).unionByName(zero).distinct()
 
 
-def macro_roc_area(pred: DataFrame, num_buckets: int = SCORE_BUCKETS) -> DataFrame:
+def macro_roc_area(pred: DataFrame) -> DataFrame:
     """f19: area under the macro-average ROC curve (mean of the labels' TPRs
     interpolated on the union of all FPR values, then trapezoids).
 
@@ -111,32 +121,30 @@ def macro_roc_area(pred: DataFrame, num_buckets: int = SCORE_BUCKETS) -> DataFra
     its FPR values it takes the *top* of the vertical run there; trapezoids on
     the grid therefore give  AUC_l + sum_a V_l(a) * (a - prev(a)) / 2, where
     V_l(a) is the TPR gained at FPR a by scores with no negatives and prev(a)
-    is the next lower grid value.  The grid is ranked with the bucketed row
-    number and prev(a) is a self-join on rank.  Null when a label has no
-    positive or no negative (the original fails there).
+    is the next lower grid value.  The labels' V are summed up with the grid
+    itself, so one pass over its distinct values is enough.  Null when a label
+    has no positive or no negative (the original fails there).
     """
-    from icdspark.operators.running import row_number
-
-    counts = score_counts(pred, True)
-    cum = _cumulative(counts, True, num_buckets)
-    fpr = (F.col("N") - F.col("neg_below")).cast("double") / F.col("N").cast("double")
-    pts = cum.withColumn("fpr", fpr)
-    spark = pred.sparkSession
-    zero = spark.range(1).select(F.lit(0.0).alias("fpr"))
-    grid = pts.select("fpr").unionByName(zero).distinct()
-    ranked = row_number(grid, ["fpr"], bucket=quantile_bucket(grid, "fpr", num_buckets), name="rk")
-    prev = ranked.select((F.col("rk") + 1).alias("rk"), F.col("fpr").alias("prev_fpr"))
-    grid_prev = ranked.join(prev, "rk").select("fpr", "prev_fpr")
-    vertical = (
-        pts.filter((F.col("neg") == 0) & (F.col("fpr") > 0))
-        .join(grid_prev, "fpr")
-        .select((F.col("pos") / F.col("P").cast("double") * (F.col("fpr") - F.col("prev_fpr")) / 2.0).alias("extra"))
-        .agg(F.coalesce(F.sum("extra"), F.lit(0.0)).alias("extra"))
-    )
-    labels = pred.groupBy("label").agg(F.sum("y").alias("P"), F.sum(F.lit(1) - F.col("y")).alias("N")).agg(
-        F.count(F.lit(1)).alias("L"), F.min(F.least("P", "N")).alias("min_class")
-    )
-    aucs = _auc_from_cum(cum, ["label"]).agg(F.coalesce(F.sum("auc"), F.lit(0.0)).alias("auc_sum"))
-    out = labels.crossJoin(aucs).crossJoin(vertical)  # three one-row frames
-    area = (F.col("auc_sum") + F.col("extra")) / F.col("L")
-    return out.select(F.when(F.col("min_class") > 0, area).alias("auc_macro_curve"))
+    cum = _curve(pred, True)
+    rise = F.when(F.col("neg") == 0, F.try_divide(F.col("pos").cast("double"), F.col("P").cast("double"))).otherwise(0.0)
+    points = cum.select(
+        _fpr().alias("fpr"), rise.alias("rise"), _area().alias("area"),
+        # a label's lowest score is the one row with nothing below
+        F.when(F.col("pos_below") + F.col("neg_below") == 0, 1).otherwise(0).alias("labels"),
+        F.least("P", "N").alias("class"))
+    zero = pred.sparkSession.range(1).select(
+        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("rise"), F.lit(0.0).alias("area"), F.lit(0).alias("labels"),
+        F.lit(None).cast("long").alias("class"))
+    grid = points.unionByName(zero).groupBy("fpr").agg(
+        F.sum("rise").alias("rise"), F.sum("area").alias("area"), F.sum("labels").alias("labels"),
+        F.min("class").alias("class"))
+    steps = previous_value(grid, "fpr", F.floor(F.col("fpr") * FPR_BUCKETS), "prev")
+    extra = F.coalesce(F.sum(F.col("rise") * (F.col("fpr") - F.col("prev")) / 2.0), F.lit(0.0))
+    area = (F.sum("area") + extra) / F.sum("labels")
+    return steps.agg(F.when(F.min("class") > 0, area).alias("auc_macro_curve"))
+
+
+__all__ = [
+    "eligible_labels", "roc_points", "label_auc", "macro_auc", "micro_auc", "score_counts", "micro_counts",
+    "cumulative", "fpr_grid", "macro_roc_area",
+]

@@ -3,19 +3,17 @@
 A window with no ``partitionBy`` moves every row into one task.  Here the order
 is cut into *buckets* (a column that is monotone in the order), so the work is:
 
-1. one shuffle on ``(partition_cols, bucket)``; inside each bucket a window
-   computes the local running sum and the bucket total (same window spec, so a
-   single sort);
-2. the bucket totals (one row per bucket) are turned into bucket offsets by a
-   window over the buckets of each partition key;
-3. the offsets are joined back on ``(partition_cols, bucket)``; the windowed
-   side is already hash-partitioned on those keys, so only the small offset
-   table moves (AQE broadcasts it when its measured size is small).
-
-The bucket must be deterministic per row (a pure expression of the row, or a
-split list fixed before the plan runs), otherwise recomputed tasks could land
-rows in other buckets.  Per-bucket rows are bounded by the bucket width
-(``range_bucket``) or by the quantile spacing (``quantile_bucket``).
+1. one shuffle on ``(partition_cols, bucket)`` and one window for the running
+   sum inside each bucket;
+2. the bucket totals, a grouped sum that is combined before its shuffle (the
+   input is not windowed for it);
+3. offsets by a window over the totals of each partition key, joined back on
+   ``(partition_cols, bucket)``; the windowed side is already partitioned so.
+
+A bucket is a pure expression of the row, so it is the same for a recomputed
+task, and building a query runs no job.  ``range_bucket`` bounds the rows of a
+bucket by its width, ``score_bucket`` cuts probabilities on the logit scale;
+the number of buckets follows the data, never a constant.
 """
 
 from __future__ import annotations
@@ -25,42 +23,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from icdspark.functions._util import as_col
+
 BUCKET = "__bucket"
+#: Ids in one range bucket.
+ID_WIDTH = 1 << 16
+#: Score buckets in one unit of the logit.
+BUCKETS_PER_LOGIT = 64
+#: Logits beyond this share the outermost buckets (a double's sigmoid is 0 or 1 there).
+MAX_LOGIT = 745
 
 
-def range_bucket(col: str | Column, width: int) -> Column:
+def range_bucket(col: str | Column, width: int = ID_WIDTH) -> Column:
     """Bucket of an integer key: ``floor(key / width)``; at most ``width`` keys each."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.floor(c / F.lit(width))
-
+    return F.floor(as_col(col) / F.lit(width))
 
-def split_bucket(col: str | Column, splits: Sequence[float]) -> Column:
-    """Index of the half-open interval of ``splits`` holding ``col`` (binary CASE tree)."""
-    c = F.col(col) if isinstance(col, str) else col
-    splits = sorted(set(float(s) for s in splits))
 
-    def build(lo: int, hi: int) -> Column:
-        # bucket ids lo..hi; boundary between b and b+1 is splits[b]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c < F.lit(splits[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
+def score_bucket(col: str | Column) -> Column:
+    """Bucket of a probability, equally wide on the logit scale.
 
-    if not splits:
-        return F.lit(0)
-    return build(0, len(splits))
+    Monotone in the score, and as fine near 0 and 1 as in the middle, where
+    most scores of a sparse multilabel model lie.
+    """
+    p = as_col(col)
+    logit = F.when(p <= 0, F.lit(-MAX_LOGIT)).when(p >= 1, F.lit(MAX_LOGIT)).otherwise(F.log(p / (F.lit(1.0) - p)))
+    return F.floor(logit * F.lit(BUCKETS_PER_LOGIT))
 
 
-def quantile_bucket(df: DataFrame, col: str, num_buckets: int = 64, rel_error: float = 0.001) -> Column:
-    """Bucket by approximate quantiles of a numeric column.
+def _never_null(df: DataFrame, bucket: Column) -> Column:
+    """The bucket with nulls as the smallest one (where null keys are sorted).
 
-    Runs one sketch aggregation; only ``num_buckets - 1`` split values reach the
-    driver.  The splits are then literals in the plan, so the bucket of a row is
-    fixed even if tasks are recomputed.
+    A join on a nullable bucket would filter only one of its sides below the
+    input's aggregation, and the sides could no longer share its shuffle.
     """
-    probs = [i / num_buckets for i in range(1, num_buckets)]
-    splits = df.approxQuantile(col, probs, rel_error) if probs else []
-    return split_bucket(col, [s for s in splits if s is not None])
+    kind = df.select(bucket.alias(BUCKET)).schema[BUCKET].dataType
+    return F.coalesce(bucket, F.lit("" if kind.simpleString() == "string" else -(1 << 62)).cast(kind))
 
 
 def running_sum(
@@ -70,34 +67,31 @@ def running_sum(
     bucket: Column,
     partition_cols: Sequence[str] = (),
     exclusive: bool = False,
+    totals: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add running sums of ``values`` along ``order_cols`` (ascending) per ``partition_cols``.
 
     ``order_cols`` must be a total order inside each partition key (ties would
     make the running sums depend on row arrival order).  ``exclusive`` sums
-    the rows strictly before the current one.
+    the rows strictly before the current one.  ``totals`` names columns for the
+    whole sum of a value over its partition key, which the offsets know anyway.
     """
-    pcols = list(partition_cols)
-    vals = {name: (F.col(v) if isinstance(v, str) else v) for name, v in values.items()}
-    d = df.withColumn(BUCKET, bucket)
-    w_bucket = Window.partitionBy(*pcols, BUCKET)
-    w_run = w_bucket.orderBy(*order_cols).rowsBetween(
-        Window.unboundedPreceding, -1 if exclusive else Window.currentRow
-    )
-    local = d
-    for name, v in vals.items():
-        local = local.withColumn(f"__loc_{name}", F.coalesce(F.sum(v).over(w_run), F.lit(0)))
-        local = local.withColumn(f"__tot_{name}", F.sum(v).over(w_bucket))
-    totals = local.groupBy(*pcols, BUCKET).agg(*[F.max(f"__tot_{n}").alias(f"__tot_{n}") for n in vals])
-    w_off = Window.partitionBy(*pcols).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *pcols, BUCKET, *[F.coalesce(F.sum(f"__tot_{n}").over(w_off), F.lit(0)).alias(f"__off_{n}") for n in vals]
+    pcols, totals = list(partition_cols), totals or {}
+    vals = {name: as_col(v) for name, v in values.items()}
+    d = df.withColumn(BUCKET, _never_null(df, bucket))
+    sums = d.groupBy(*pcols, BUCKET).agg(*[F.sum(v).alias(f"__tot_{n}") for n, v in vals.items()])
+    whole = Window.partitionBy(*pcols)
+    before = whole.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        *pcols, BUCKET, *[F.coalesce(F.sum(f"__tot_{n}").over(before), F.lit(0)).alias(f"__off_{n}") for n in vals],
+        *[F.sum(f"__tot_{n}").over(whole).alias(out) for n, out in totals.items()],
     )
+    run = Window.partitionBy(*pcols, BUCKET).orderBy(*order_cols).rowsBetween(
+        Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
+    local = d.select("*", *[F.coalesce(F.sum(v).over(run), F.lit(0)).alias(f"__loc_{n}") for n, v in vals.items()])
     out = local.join(offsets, [*pcols, BUCKET])
-    for name in vals:
-        out = out.withColumn(name, F.col(f"__off_{name}") + F.col(f"__loc_{name}"))
-    drop = [BUCKET] + [f"__{k}_{n}" for n in vals for k in ("loc", "tot", "off")]
-    return out.drop(*drop)
+    return out.select(
+        *df.columns, *totals.values(), *[(F.col(f"__off_{n}") + F.col(f"__loc_{n}")).alias(n) for n in vals])
 
 
 def row_number(
@@ -109,3 +103,36 @@ def row_number(
 ) -> DataFrame:
     """1-based row number along a total order, computed with ``running_sum``."""
     return running_sum(df, order_cols, {name: F.lit(1)}, bucket, partition_cols)
+
+
+def grouped_row_number(
+    df: DataFrame,
+    group: Column,
+    order_cols: Sequence[str | Column],
+    bucket: Column,
+    name: str = "row_number",
+    partition_cols: Sequence[str] = (),
+) -> DataFrame:
+    """1-based row number by (``group``, ``order_cols``), for a group column with few distinct values.
+
+    The number is the count of smaller groups plus the row number inside the
+    group, so neither depends on a packed key that could overflow.
+    """
+    pcols = list(partition_cols)
+    d = df.withColumn("__group", group)
+    within = row_number(d, order_cols, bucket, "__within", [*pcols, "__group"])
+    sizes = d.groupBy(*pcols, "__group").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*pcols).orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
+    smaller = sizes.select(*pcols, "__group", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__smaller"))
+    return within.join(smaller, [*pcols, "__group"]).select(
+        *df.columns, (F.col("__smaller") + F.col("__within")).alias(name))
+
+
+def previous_value(df: DataFrame, col: str, bucket: Column, name: str) -> DataFrame:
+    """Add the next smaller value of a column of distinct values (null for the smallest one)."""
+    d = df.withColumn(BUCKET, _never_null(df, bucket))
+    largest = d.groupBy(BUCKET).agg(F.max(col).alias("__max"))
+    below = largest.select(BUCKET, F.max("__max").over(
+        Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)).alias("__below"))
+    local = d.withColumn("__prev", F.lag(col).over(Window.partitionBy(BUCKET).orderBy(col)))
+    return local.join(below, BUCKET).select(*df.columns, F.coalesce("__prev", "__below").alias(name))

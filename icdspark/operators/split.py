@@ -10,47 +10,32 @@ left.  The running sum is the bucketed ``running_sum`` (no global window).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icdspark.functions.text import text_length
-from icdspark.operators.running import quantile_bucket, range_bucket, row_number, running_sum
+from icdspark.operators.running import ID_WIDTH, grouped_row_number, range_bucket, running_sum
 
 # Split shares and split names.
 TRAIN_SHARE = 0.8
 VAL_SHARE = 0.1
 TEST_SHARE = 0.1
 SPLITS = ("train", "val", "test")
-PATIENT_BUCKET_WIDTH = 1 << 16   # patients per running-sum bucket (ids are unique per row)
 
 
 def assign_splits(
-    labelled: DataFrame,
-    p_train: float = TRAIN_SHARE,
-    p_val: float = VAL_SHARE,
-    bucket_width: int | None = None,
-    num_buckets: int = 64,
-    id_source: DataFrame | None = None,
+    admissions: DataFrame, p_train: float = TRAIN_SHARE, p_val: float = VAL_SHARE, bucket_width: int = ID_WIDTH
 ) -> DataFrame:
     """g01: one row per patient: subject_id, n_admissions, split.
 
-    Running-sum buckets are quantile ranges of patient ids: ``num_buckets``
-    balanced buckets whatever the id distribution.  The sketch runs over
-    ``id_source`` (any frame with the patients' ``subject_id``, e.g. the raw
-    notes -- a one-column scan) or, by default, over the per-patient keys
-    (which re-evaluates the labelled keys once).  Buckets only need to be
-    monotone in the id, so any sample of the ids gives correct results.
-    ``bucket_width`` switches to fixed id ranges (no sketch; at most
-    ``bucket_width`` patients per bucket, as many buckets as the id range needs).
+    ``admissions`` has one row per admission; only its ``subject_id`` is read.
+    Running sums are taken in ranges of ``bucket_width`` patient ids, so a
+    bucket has at most that many patients and their number follows the ids.
     """
-    per_patient = labelled.groupBy("subject_id").agg(F.count(F.lit(1)).alias("n_admissions"))
+    per_patient = admissions.groupBy("subject_id").agg(F.count(F.lit(1)).alias("n_admissions"))
     total = per_patient.agg(F.sum("n_admissions").cast("double").alias("__total"))
-    if bucket_width:
-        bucket = range_bucket("subject_id", bucket_width)
-    else:
-        source = (id_source if id_source is not None else per_patient).select("subject_id")
-        bucket = quantile_bucket(source, "subject_id", num_buckets)
-    ranked = running_sum(per_patient, ["subject_id"], {"__before": "n_admissions"}, bucket=bucket, exclusive=True)
+    ranked = running_sum(
+        per_patient, ["subject_id"], {"__before": "n_admissions"}, range_bucket("subject_id", bucket_width), exclusive=True)
     # one-row frames: the total and the train total T (both 1 x 1)
     ranked = ranked.crossJoin(total)
     is_train = F.col("__before") / F.col("__total") <= F.lit(p_train)
@@ -64,47 +49,31 @@ def assign_splits(
     return out.select("subject_id", "n_admissions", "split")
 
 
-def split_admissions(labelled: DataFrame, assignment: DataFrame) -> DataFrame:
+def split_admissions(labelled: DataFrame, assignment: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """d04: attach each admission's split via its patient.
 
     The patient -> split assignment is first expanded to admission keys (only
     key columns move), then joined on (subject_id, hadm_id): the labelled side
     is already partitioned on those keys by its grouping, so the texts are not
-    shuffled again whatever the size of the assignment.
+    shuffled again whatever the size of the assignment.  ``keys`` may give the
+    admissions' ids more cheaply than ``labelled`` does.
     """
-    keys = labelled.select("subject_id", "hadm_id")
+    keys = (labelled if keys is None else keys).select("subject_id", "hadm_id")
     adm_split = keys.join(assignment.select("subject_id", "split"), "subject_id")
     return labelled.join(adm_split, ["subject_id", "hadm_id"])
 
 
-def order_within_split(split_df: DataFrame, num_buckets: int = 64) -> DataFrame:
-    """g02: ``length`` (tokens, c09) and ``pos`` = 1-based rank by (length, hadm_id) per split.
+def order_within_split(split_df: DataFrame) -> DataFrame:
+    """g02: ``length`` (tokens, c09) and ``pos`` = 1-based rank by (length, hadm_id, subject_id) per split.
 
-    The rank is a bucketed running count keyed by split.  Buckets are quantile
-    ranges of the composite key ``length * 2^40 + hadm_id`` (monotone in the
-    order for ids below 2^40), so each bucket holds about 1/num_buckets of a
-    split whatever the length distribution; only the split values reach the
-    driver.  Run it on a written/checkpointed input: the quantile sketch is
-    one extra pass over it.
+    The rank is that of the key within its length plus the number of shorter
+    rows; only keys and lengths are ranked, and joined back once.
     """
-    key = F.col("length").cast("bigint") * F.lit(1 << 40) + F.col("hadm_id")
-    with_len = split_df.withColumn("length", text_length("text")).withColumn(
-        "__key",
-        F.when(F.col("hadm_id") < F.lit(1 << 40), key).otherwise(F.raise_error(F.lit("hadm_id >= 2^40"))),
-    )
-    bucket = quantile_bucket(with_len, "__key", num_buckets)
-    ranked = row_number(with_len, ["__key"], bucket=bucket, name="pos", partition_cols=["split"])
-    return ranked.drop("__key")
-
-
-def sorted_split(split_df: DataFrame, split: str) -> DataFrame:
-    """One split's rows sorted by token length (a range-partitioned sort, for sinks)."""
-    return (
-        split_df.filter(F.col("split") == F.lit(split))
-        .withColumn("__len", text_length("text"))
-        .orderBy("__len", "hadm_id")
-        .drop("__len", "split")
-    )
+    with_len = split_df.withColumn("length", text_length("text"))
+    ranked = grouped_row_number(
+        with_len.select("subject_id", "hadm_id", "split", "length"), F.col("length"), ["hadm_id", "subject_id"],
+        range_bucket("hadm_id"), "pos", ["split"])
+    return with_len.join(ranked.select("subject_id", "hadm_id", "pos"), ["subject_id", "hadm_id"])
 
 
 def split_sizes(assignment: DataFrame) -> DataFrame:
@@ -112,6 +81,3 @@ def split_sizes(assignment: DataFrame) -> DataFrame:
     return assignment.groupBy("split").agg(
         F.sum("n_admissions").alias("n_admissions"), F.count(F.lit(1)).alias("n_patients")
     )
-
-
-__all__ = ["assign_splits", "split_admissions", "order_within_split", "sorted_split", "split_sizes", "Window"]

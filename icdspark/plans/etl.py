@@ -1,4 +1,4 @@
-"""The note/code ETL composed from the operators, on the proxy views."""
+"""The note/code ETL composed from the operators, on any three raw tables."""
 
 from __future__ import annotations
 
@@ -7,27 +7,28 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from icdspark.operators import cohort as co
+from icdspark.operators import split as sp
+from icdspark.sources.files import read_csv_table
 from icdspark.sources.proxy import ProxyTables
 
 
 @dataclass
 class Etl:
-    spark: SparkSession
-    sf_dir: str
-    strip_zeros: bool = True
+    """Raw notes, diagnosis and procedure codes (all columns strings, as CSV readers give them)."""
 
-    @property
-    def proxy(self) -> ProxyTables:
-        return ProxyTables(self.spark, self.sf_dir)
+    notes_raw: DataFrame
+    diag_raw: DataFrame
+    proc_raw: DataFrame
+    strip_zeros: bool = True
 
     def diagnoses(self) -> DataFrame:
-        return co.load_diagnoses(ProxyTables.bronze(self.proxy.diag_raw()), self.strip_zeros)
+        return co.load_diagnoses(self.diag_raw, self.strip_zeros)
 
     def procedures(self) -> DataFrame:
-        return co.load_procedures(ProxyTables.bronze(self.proxy.proc_raw()), self.strip_zeros)
+        return co.load_procedures(self.proc_raw, self.strip_zeros)
 
     def notes(self) -> DataFrame:
-        return co.load_notes(ProxyTables.bronze(self.proxy.notes_raw()))
+        return co.load_notes(self.notes_raw)
 
     def codes(self) -> DataFrame:
         return co.all_codes(self.diagnoses(), self.procedures())
@@ -38,21 +39,35 @@ class Etl:
     def cohort(self) -> tuple[DataFrame, DataFrame]:
         return co.filter_cohort(self.codes(), self.tokenized_notes())
 
-    def patient_ids(self) -> DataFrame:
-        """Patient ids of the raw notes: a cheap sample for split bucket boundaries."""
-        from pyspark.sql import functions as F
+    def admission_keys(self) -> DataFrame:
+        """(subject_id, hadm_id) of the labelled admissions, without touching a text."""
+        keys = ["subject_id", "hadm_id"]
+        return self.notes().select(*keys).distinct().join(self.codes().select(*keys).distinct(), keys)
+
+    def labelled(self) -> DataFrame:
+        return co.labelled_admissions(self.codes(), self.notes())
 
-        return self.proxy.notes_raw().select(F.col("subject_id").cast("bigint").alias("subject_id"))
+    def assignment(self) -> DataFrame:
+        return sp.assign_splits(self.admission_keys())
 
-    def split(self, labelled: DataFrame | None = None) -> DataFrame:
+    def split(self) -> DataFrame:
         """Labelled admissions with their patient-disjoint split (g01 + d04)."""
-        from icdspark.operators import split as sp
+        return sp.split_admissions(self.labelled(), self.assignment(), self.admission_keys())
 
-        lab = labelled if labelled is not None else self.labelled()
-        return sp.split_admissions(lab, sp.assign_splits(lab, id_source=self.patient_ids()))
 
-    def labelled(self) -> DataFrame:
-        codes = co.keyed_codes(
-            ProxyTables.bronze(self.proxy.diag_raw()), ProxyTables.bronze(self.proxy.proc_raw()), self.strip_zeros
-        )
-        return co.labelled_admissions(codes, self.notes())
+def proxy_etl(spark: SparkSession, sf_dir: str) -> Etl:
+    """The ETL over the proxy views of the given tables."""
+    px = ProxyTables(spark, sf_dir)
+    return Etl(px.bronze(px.notes_raw()), px.bronze(px.diag_raw()), px.bronze(px.proc_raw()))
+
+
+def csv_etl(spark: SparkSession, folder: str) -> Etl:
+    """The ETL over a folder with NOTEEVENTS.csv, DIAGNOSES_ICD.csv and PROCEDURES_ICD.csv.
+
+    Quoted multi-line fields make a CSV file one task; convert large files to
+    Parquet once and give their tables to ``Etl``.
+    """
+    tables = (read_csv_table(spark, f"{folder}/{name}.csv", register=False)
+              for name in ("NOTEEVENTS", "DIAGNOSES_ICD", "PROCEDURES_ICD"))
+    notes, diag, proc = (t.toDF(*[c.lower() for c in t.columns]) for t in tables)
+    return Etl(notes.select("row_id", "subject_id", "hadm_id", "category", "text"), diag, proc)

@@ -1,78 +1,81 @@
 """Materialised stage boundaries for the model-input jobs.
 
 The original application hands its stages CSV files (labelled admissions,
-splits, word vectors).  Here the same boundaries are reliable checkpoints in
-the shared folder named by ``spark.checkpoint.dir``: later stages read them
-instead of recomputing the ETL, lineage is cut, and the small lookup tables
-(label index, word index) can be measured cheaply before being broadcast.
+splits, word vectors).  Here the same boundaries are Parquet tables in the
+shared folder named by ``spark.checkpoint.dir`` (or a folder of the caller's):
+later stages read them instead of recomputing the ETL, lineage is cut, and
+Spark knows the lookup tables' sizes when it plans a join.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from icdspark.operators import embeddings as em
 from icdspark.operators import features as fe
-from icdspark.operators import split as sp
-from icdspark.operators.running import split_bucket
-from icdspark.plans.etl import Etl
-import uuid
+from icdspark.plans.etl import Etl, proxy_etl
+from icdspark.session import delete_path, shared_path
 
-from icdspark.session import shared_path
 
+class Prepared:
+    """Labelled admissions with split, label index, word index and vectors, each written once.
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
-
-    The write is the lineage cut: later stages (and recomputed tasks after an
-    executor loss) read the table, never the upstream plan.  Parquet keeps the
-    columns prunable and gives AQE real sizes for its join decisions.
+    ``folder`` is where the tables go; a new one in the shared folder by
+    default, which ``close`` deletes.
     """
-    path = shared_path(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def order_key(length_col: str = "tlen", key: str = "hadm_id"):
-    """Composite long key ordering by (token length, admission id); ids < 2^40."""
-    return F.col(length_col).cast("bigint") * F.lit(1 << 40) + F.col(key)
-
 
-class Prepared:
-    """Labelled admissions with split, label index and word index, materialised once."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, etl: Etl | None, folder: str | None = None):
         self.spark = spark
-        self.sf_dir = sf_dir
-        self.buckets = buckets
-        self.etl = Etl(spark, sf_dir)
+        self.etl = etl
+        self._own = folder is None
+        self.folder = folder or shared_path(spark, "tables", uuid.uuid4().hex)
 
     @classmethod
-    def from_split_table(cls, spark: SparkSession, sf_dir: str, split_adm: DataFrame, buckets: int = 64) -> "Prepared":
+    def from_split_table(cls, spark: SparkSession, split_adm: DataFrame, folder: str | None = None) -> "Prepared":
         """Continue from an already written split table (later runs skip the ETL)."""
-        out = cls(spark, sf_dir, buckets)
+        out = cls(spark, None, folder)
         out.__dict__["split_adm"] = split_adm
         return out
 
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as a Parquet table of this folder.
+
+        The write is the lineage cut: later stages (and recomputed tasks after
+        an executor loss) read the table, never the upstream plan.
+        """
+        path = f"{self.folder}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        """Delete the tables, if their folder is this object's own."""
+        if self._own:
+            delete_path(self.spark, self.folder)
+
     @cached_property
     def split_adm(self) -> DataFrame:
-        out = self.etl.split()
-        out = out.withColumn("tlen", F.size(F.split("text", " ")))
-        return materialize(out, "split_admissions")
+        out = self.etl.split().withColumn("tlen", F.size(F.split("text", " ")))
+        return self.written(out, "split_admissions")
 
     @property
     def labelled(self) -> DataFrame:
         return self.split_adm.select("subject_id", "hadm_id", "text", "labels")
 
+    @property
+    def train(self) -> DataFrame:
+        return self.split_adm.filter(F.col("split") == "train")
+
     @cached_property
     def label_index(self) -> DataFrame:
-        return materialize(fe.label_index(self.labelled), "label_index")
+        return self.written(fe.label_index(self.labelled), "label_index")
 
     @cached_property
     def word_index(self) -> DataFrame:
-        return materialize(fe.word_index(fe.vocabulary(self.split_adm.filter(F.col("split") == "train"))), "word_index")
+        return self.written(fe.word_index(fe.vocabulary(self.train)), "word_index")
 
     @cached_property
     def num_labels(self) -> int:
@@ -82,24 +85,39 @@ class Prepared:
     def num_words(self) -> int:
         return self.word_index.count()
 
-    @cached_property
-    def length_splits(self) -> list[float]:
-        """Quantile split points of the (length, id) key, from the materialised table."""
-        keyed = self.split_adm.select(order_key().alias("__k"))
-        probs = [i / self.buckets for i in range(1, self.buckets)]
-        return [s for s in keyed.approxQuantile("__k", probs, 0.001) if s is not None]
-
-    def length_bucket(self):
-        return split_bucket(order_key(), self.length_splits)
-
     def encoded(self) -> DataFrame:
-        """i05 on every split: split, hadm_id, tlen, word_ids, label_ids, labels_multi_hot."""
+        """i05 on every split: subject_id, hadm_id, split, tlen, word_ids, label_ids."""
         return fe.encode_documents(
-            self.split_adm, self.label_index, self.word_index, self.num_labels, self.num_words,
-            carry=("split", "tlen"),
-        )
+            self.split_adm, self.label_index, self.word_index, self.num_words, carry=("split", "tlen"))
+
+    @cached_property
+    def encoded_table(self) -> DataFrame:
+        return self.written(self.encoded(), "encoded")
 
     def batched(self, batch_size: int = fe.EVAL_BATCH) -> DataFrame:
         """i06 per split in file order (length, id): batch, position, slot, padded."""
-        enc = self.encoded()
-        return fe.batch_and_pad(enc, batch_size, [order_key()], self.length_bucket(), partition_cols=["split"])
+        return fe.batch_and_pad(self.encoded(), batch_size, "tlen", partition_cols=["split"])
+
+    @cached_property
+    def word2vec(self):
+        """The model of the training split, saved (a10) and loaded again; fitted once."""
+        path = f"{self.folder}/word2vec"
+        em.save_model(em.fit_word2vec(self.train, seed=7), path)
+        return em.load_model(path)
+
+
+_PREPARED: dict[tuple[str, str], Prepared] = {}
+
+
+def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
+    """The stages over the proxy views of ``sf_dir``; written once in a Spark application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PREPARED:
+        _PREPARED[key] = Prepared(spark, proxy_etl(spark, sf_dir))
+    return _PREPARED[key]
+
+
+def close_all() -> None:
+    """Delete the tables of all prepared inputs."""
+    while _PREPARED:
+        _PREPARED.popitem()[1].close()

@@ -8,7 +8,7 @@ from icdspark.functions import codes as fc
 from icdspark.functions import text as ft
 from icdspark.functions.dates import iso_to_date
 from icdspark.operators import cohort as co
-from icdspark.plans.etl import Etl
+from icdspark.plans.etl import proxy_etl
 from icdspark.plans.registry import register
 from icdspark.plans.sql import (
     clean_sql,
@@ -29,7 +29,7 @@ from icdspark.sources.proxy import ProxyTables
     with_ctes("SELECT subject_id, hadm_id, seq_num, icd9_code FROM diagnoses", "diagnoses"),
 )
 def a04(spark, sf):
-    return Etl(spark, sf).diagnoses()
+    return proxy_etl(spark, sf).diagnoses()
 
 
 @register(
@@ -37,12 +37,12 @@ def a04(spark, sf):
     with_ctes("SELECT subject_id, hadm_id, seq_num, icd9_code FROM procedures", "procedures"),
 )
 def a05(spark, sf):
-    return Etl(spark, sf).procedures()
+    return proxy_etl(spark, sf).procedures()
 
 
 @register("a06_load_notes", with_ctes("SELECT row_id, subject_id, hadm_id, text FROM notes", "notes"))
 def a06(spark, sf):
-    return Etl(spark, sf).notes()
+    return proxy_etl(spark, sf).notes()
 
 
 # -------------------------------------------------------- b: projections/filters
@@ -169,7 +169,7 @@ def c05(spark, sf):
     with_ctes(f"SELECT row_id, subject_id, hadm_id, text FROM tok_notes", "tok_notes"),
 )
 def c06(spark, sf):
-    return Etl(spark, sf).tokenized_notes()
+    return proxy_etl(spark, sf).tokenized_notes()
 
 
 @register(
@@ -191,7 +191,7 @@ def c08(spark, sf):
     with_ctes("SELECT hadm_id, len(string_split(text, ' ')) AS length FROM labelled", "labelled"),
 )
 def c09(spark, sf):
-    return Etl(spark, sf).labelled().select("hadm_id", ft.text_length("text").cast("bigint").alias("length"))
+    return proxy_etl(spark, sf).labelled().select("hadm_id", ft.text_length("text").cast("bigint").alias("length"))
 
 
 @register(
@@ -204,7 +204,7 @@ def c09(spark, sf):
 )
 def c10(spark, sf):
     pieces = ft.split_on_space("text")
-    return Etl(spark, sf).labelled().select(
+    return proxy_etl(spark, sf).labelled().select(
         "hadm_id",
         F.size(pieces).cast("bigint").alias("n_pieces"),
         F.size(F.filter(pieces, lambda x: x == F.lit(""))).cast("bigint").alias("n_empty"),
@@ -234,7 +234,7 @@ def c11(spark, sf):
     ),
 )
 def c12(spark, sf):
-    return co.explode_labels(Etl(spark, sf).labelled(), keep_empty=True).select("hadm_id", "label")
+    return co.explode_labels(proxy_etl(spark, sf).labelled(), keep_empty=True).select("hadm_id", "label")
 
 
 @register(
@@ -255,7 +255,7 @@ def c19(spark, sf):
     with_ctes("SELECT subject_id, hadm_id, seq_num, icd9_code, src FROM codes", "codes"),
 )
 def h01(spark, sf):
-    return Etl(spark, sf).codes()
+    return proxy_etl(spark, sf).codes()
 
 
 @register(
@@ -263,7 +263,7 @@ def h01(spark, sf):
     with_ctes("SELECT DISTINCT hadm_id FROM codes", "codes"),
 )
 def h02(spark, sf):
-    return Etl(spark, sf).codes().select("hadm_id").distinct()
+    return proxy_etl(spark, sf).codes().select("hadm_id").distinct()
 
 
 @register(
@@ -271,7 +271,7 @@ def h02(spark, sf):
     with_ctes("SELECT subject_id, hadm_id, seq_num, icd9_code, src FROM kept_codes", "kept_codes"),
 )
 def d01(spark, sf):
-    return Etl(spark, sf).cohort()[0]
+    return proxy_etl(spark, sf).cohort()[0]
 
 
 @register(
@@ -279,7 +279,7 @@ def d01(spark, sf):
     with_ctes("SELECT row_id, subject_id, hadm_id, text FROM kept_notes", "kept_notes"),
 )
 def d02(spark, sf):
-    return Etl(spark, sf).cohort()[1]
+    return proxy_etl(spark, sf).cohort()[1]
 
 
 @register(
@@ -287,7 +287,7 @@ def d02(spark, sf):
     with_ctes("SELECT subject_id, hadm_id, labels FROM adm_labels", "adm_labels"),
 )
 def e04(spark, sf):
-    return co.admission_labels(Etl(spark, sf).cohort()[0])
+    return co.admission_labels(proxy_etl(spark, sf).cohort()[0])
 
 
 @register(
@@ -295,7 +295,7 @@ def e04(spark, sf):
     with_ctes("SELECT subject_id, hadm_id, text FROM adm_texts", "adm_texts"),
 )
 def e05(spark, sf):
-    return co.admission_texts(Etl(spark, sf).cohort()[1])
+    return co.admission_texts(proxy_etl(spark, sf).cohort()[1])
 
 
 @register(
@@ -303,7 +303,7 @@ def e05(spark, sf):
     with_ctes("SELECT subject_id, hadm_id, text, labels FROM labelled", "labelled"),
 )
 def d03(spark, sf):
-    return Etl(spark, sf).labelled()
+    return proxy_etl(spark, sf).labelled()
 
 
 @register(
@@ -317,7 +317,7 @@ def d03(spark, sf):
     ),
 )
 def e01(spark, sf):
-    e = Etl(spark, sf)
+    e = proxy_etl(spark, sf)
     return co.input_counts(e.notes(), e.procedures(), e.diagnoses())
 
 
@@ -326,7 +326,7 @@ def e01(spark, sf):
     with_ctes("SELECT count(DISTINCT icd9_code) AS n_codes FROM codes", "codes"),
 )
 def e02(spark, sf):
-    return co.distinct_codes(Etl(spark, sf).codes())
+    return co.distinct_codes(proxy_etl(spark, sf).codes())
 
 
 @register(
@@ -341,7 +341,7 @@ def e02(spark, sf):
     ),
 )
 def e03(spark, sf):
-    e = Etl(spark, sf)
+    e = proxy_etl(spark, sf)
     return co.admission_counts(e.tokenized_notes(), e.codes())
 
 
@@ -350,7 +350,7 @@ def e03(spark, sf):
     with_ctes("SELECT subject_id, count(*) AS n_admissions FROM labelled GROUP BY subject_id", "labelled"),
 )
 def e06(spark, sf):
-    return co.admissions_per_patient(Etl(spark, sf).labelled())
+    return co.admissions_per_patient(proxy_etl(spark, sf).labelled())
 
 
 @register(
@@ -361,7 +361,7 @@ def e06(spark, sf):
     ),
 )
 def e07(spark, sf):
-    return co.label_frequency(Etl(spark, sf).cohort()[0])
+    return co.label_frequency(proxy_etl(spark, sf).cohort()[0])
 
 
 @register(
@@ -373,7 +373,7 @@ def e07(spark, sf):
     ),
 )
 def g08(spark, sf):
-    return co.top_labels(co.label_frequency(Etl(spark, sf).cohort()[0]), 50)
+    return co.top_labels(co.label_frequency(proxy_etl(spark, sf).cohort()[0]), 50)
 
 
 @register(
@@ -384,4 +384,4 @@ def g08(spark, sf):
     ),
 )
 def b07(spark, sf):
-    return co.explode_labels(Etl(spark, sf).labelled()).select("hadm_id", "label")
+    return co.explode_labels(proxy_etl(spark, sf).labelled()).select("hadm_id", "label")

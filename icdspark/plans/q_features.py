@@ -8,12 +8,12 @@ from icdspark.functions.arrays import l2_normalize, multi_hot, truncate
 from icdspark.functions.text import split_whitespace
 from icdspark.operators import cohort as co
 from icdspark.operators import features as fe
-from icdspark.operators import split as sp
-from icdspark.plans.etl import Etl
-from icdspark.plans.prepare import Prepared, order_key
+from icdspark.plans.etl import proxy_etl
+from icdspark.plans.prepare import prepared
 from icdspark.plans.q_split import _SPLIT_CTES
 from icdspark.plans.registry import register
 from icdspark.plans.sql import r9, reformat_sql, split_ws_sql, with_ctes
+from icdspark.sources.files import parse_text_dictionary
 from icdspark.sources.proxy import ProxyTables
 
 # ------------------------------------------------------------------ SQL views
@@ -36,20 +36,21 @@ _FEAT_CTES.update(
             ("vocab",),
         ),
         "doc_tokens": (
-            f"""SELECT hadm_id, unnest(toks) AS word, unnest(range(len(toks))) AS pos FROM (
-  SELECT hadm_id, list_slice({split_ws_sql('text')}, 1, 2500) AS toks FROM labelled)""",
+            f"""SELECT subject_id, hadm_id, unnest(toks) AS word, unnest(range(len(toks))) AS pos FROM (
+  SELECT subject_id, hadm_id, list_slice({split_ws_sql('text')}, 1, 2500) AS toks FROM labelled)""",
             ("labelled",),
         ),
         "doc_words": (
-            """SELECT t.hadm_id, string_agg(CAST(coalesce(w.idx, (SELECT count(*) FROM word_idx) + 1) AS VARCHAR), ' ' ORDER BY t.pos) AS word_ids,
+            """SELECT t.subject_id, t.hadm_id,
+       string_agg(CAST(coalesce(w.idx, (SELECT count(*) FROM word_idx) + 1) AS VARCHAR), ' ' ORDER BY t.pos) AS word_ids,
        count(*) AS n_ids
-FROM doc_tokens t LEFT JOIN word_idx w ON t.word = w.word GROUP BY t.hadm_id""",
+FROM doc_tokens t LEFT JOIN word_idx w ON t.word = w.word GROUP BY t.subject_id, t.hadm_id""",
             ("doc_tokens", "word_idx"),
         ),
         "doc_labels": (
-            """SELECT hadm_id, list_sort(list(DISTINCT idx)) AS label_ids FROM (
-  SELECT l.hadm_id, i.idx FROM (SELECT hadm_id, unnest(string_split(labels, ';')) AS label FROM labelled) l
-  JOIN label_idx i ON l.label = i.label) GROUP BY hadm_id""",
+            """SELECT subject_id, hadm_id, list_sort(list(DISTINCT idx)) AS label_ids FROM (
+  SELECT l.subject_id, l.hadm_id, i.idx FROM (SELECT subject_id, hadm_id, unnest(string_split(labels, ';')) AS label FROM labelled) l
+  JOIN label_idx i ON l.label = i.label) GROUP BY subject_id, hadm_id""",
             ("labelled", "label_idx"),
         ),
         "top50": (
@@ -70,25 +71,6 @@ def fsql(body: str, *names: str) -> str:
 # ------------------------------------------------------------- spark helpers
 
 
-class _Feat:
-    """Query-side view of the materialised preparation stages."""
-
-    def __init__(self, spark, sf):
-        self.prep = Prepared(spark, sf)
-        self.etl = self.prep.etl
-        self.split_adm = self.prep.split_adm
-        self.labelled = self.prep.labelled
-
-    def label_index(self):
-        return self.prep.label_index
-
-    def vocab(self):
-        return self.prep.word_index.select("word", "count")
-
-    def word_index(self):
-        return self.prep.word_index
-
-
 def _ids_str(c):
     return F.array_join(F.col(c).cast("array<string>"), " ")
 
@@ -100,71 +82,74 @@ def _ids_str(c):
     "SELECT DISTINCT label FROM (SELECT unnest(string_split(labels, ';')) AS label FROM labelled) WHERE label <> ''",
     "labelled"))
 def h03(spark, sf):
-    return fe.distinct_labels(Etl(spark, sf).labelled())
+    return fe.distinct_labels(proxy_etl(spark, sf).labelled())
 
 
 @register("g03_label_index", fsql("SELECT label, idx FROM label_idx", "label_idx"))
 def g03(spark, sf):
-    return _Feat(spark, sf).label_index()
+    return prepared(spark, sf).label_index
 
 
 @register("i02_vocabulary", fsql("SELECT word, count FROM vocab", "vocab"))
 def i02(spark, sf):
-    return _Feat(spark, sf).vocab()
+    return fe.vocabulary(prepared(spark, sf).train)
 
 
 @register("g04_word_index", fsql("SELECT word, count, idx FROM word_idx", "word_idx"))
 def g04(spark, sf):
-    return _Feat(spark, sf).word_index()
+    return prepared(spark, sf).word_index
 
 
 # ------------------------------------------------------------------ lookups
 
 
 @register("d05_label_ids", fsql(
-    "SELECT hadm_id, array_to_string(label_ids, ' ') AS label_ids FROM doc_labels", "doc_labels"))
+    "SELECT subject_id, hadm_id, array_to_string(label_ids, ' ') AS label_ids FROM doc_labels", "doc_labels"))
 def d05(spark, sf):
-    f = _Feat(spark, sf)
-    out = fe.doc_label_ids(f.labelled, f.label_index())
-    return out.select("hadm_id", _ids_str("label_ids").alias("label_ids"))
+    p = prepared(spark, sf)
+    return fe.doc_label_ids(p.labelled, p.label_index).select(*fe.KEYS, _ids_str("label_ids").alias("label_ids"))
 
 
-@register("d06_word_ids", fsql("SELECT hadm_id, word_ids, n_ids FROM doc_words", "doc_words"))
+@register("d06_word_ids", fsql("SELECT subject_id, hadm_id, word_ids, n_ids FROM doc_words", "doc_words"))
 def d06(spark, sf):
-    f = _Feat(spark, sf)
-    out = fe.doc_word_ids(f.labelled, f.word_index(), f.prep.num_words)
-    return out.select("hadm_id", _ids_str("word_ids").alias("word_ids"), F.size("word_ids").cast("bigint").alias("n_ids"))
+    p = prepared(spark, sf)
+    out = fe.doc_word_ids(p.labelled, p.word_index, p.num_words)
+    return out.select(*fe.KEYS, _ids_str("word_ids").alias("word_ids"), F.size("word_ids").cast("bigint").alias("n_ids"))
 
 
 @register("c13_truncate", fsql(
     f"""SELECT hadm_id, len({split_ws_sql('text')}) AS n_tokens, len(list_slice({split_ws_sql('text')}, 1, 2500)) AS n_kept
 FROM labelled""", "labelled"))
 def c13(spark, sf):
-    lab = Etl(spark, sf).labelled()
+    lab = proxy_etl(spark, sf).labelled()
     toks = split_whitespace("text")
     return lab.select("hadm_id", F.size(toks).cast("bigint").alias("n_tokens"), F.size(truncate(toks)).cast("bigint").alias("n_kept"))
 
 
 @register("c15_multi_hot", fsql(
-    """SELECT hadm_id, array_to_string(list_transform(range((SELECT count(*) FROM label_idx)),
+    """SELECT subject_id, hadm_id, array_to_string(list_transform(range((SELECT count(*) FROM label_idx)),
        lambda i: CASE WHEN list_contains(label_ids, i) THEN 1 ELSE 0 END), '') AS multi_hot FROM doc_labels""",
     "doc_labels", "label_idx"))
 def c15(spark, sf):
-    f = _Feat(spark, sf)
-    ids = fe.doc_label_ids(f.labelled, f.label_index())
-    return ids.select("hadm_id", F.array_join(multi_hot("label_ids", f.prep.num_labels).cast("array<string>"), "").alias("multi_hot"))
+    p = prepared(spark, sf)
+    ids = fe.doc_label_ids(p.labelled, p.label_index)
+    hot = multi_hot("label_ids", p.num_labels).cast("array<string>")
+    return ids.select(*fe.KEYS, F.array_join(hot, "").alias("multi_hot"))
+
+
+_ENCODED_SQL = fsql(
+    """SELECT w.subject_id, w.hadm_id, a.split, w.word_ids, array_to_string(l.label_ids, ' ') AS label_ids
+FROM doc_words w JOIN doc_labels l USING (subject_id, hadm_id) JOIN split_adm a USING (subject_id, hadm_id)""",
+    "doc_words", "doc_labels", "split_adm")
+
 
+def _encoded_rows(enc):
+    return enc.select(*fe.KEYS, "split", _ids_str("word_ids").alias("word_ids"), _ids_str("label_ids").alias("label_ids"))
 
-@register("i05_encode_documents", fsql(
-    """SELECT w.hadm_id, w.word_ids, array_to_string(l.label_ids, ' ') AS label_ids, len(l.label_ids) AS n_labels
-FROM doc_words w JOIN doc_labels l ON w.hadm_id = l.hadm_id""", "doc_words", "doc_labels"))
+
+@register("i05_encode_documents", _ENCODED_SQL)
 def i05(spark, sf):
-    f = _Feat(spark, sf)
-    enc = f.prep.encoded()
-    return enc.select(
-        "hadm_id", _ids_str("word_ids").alias("word_ids"), _ids_str("label_ids").alias("label_ids"),
-        F.aggregate("labels_multi_hot", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_labels"),
-    )
+    return _encoded_rows(prepared(spark, sf).encoded())
 
 
 @register("b10_restrict_top50", fsql(
@@ -172,53 +157,49 @@ def i05(spark, sf):
   SELECT subject_id, hadm_id, unnest(string_split(labels, ';')) AS label, unnest(range(len(string_split(labels, ';')))) AS p
   FROM labelled) WHERE label IN (SELECT label FROM top50) GROUP BY subject_id, hadm_id""", "labelled", "top50"))
 def b10(spark, sf):
-    etl = Etl(spark, sf)
+    etl = proxy_etl(spark, sf)
     kept_codes, _ = etl.cohort()
     top = co.top_labels(co.label_frequency(kept_codes), 50)
-    return fe.restrict_labels(etl.labelled(), top).select("subject_id", "hadm_id", "labels")
+    return fe.restrict_labels(prepared(spark, sf).labelled, top).select("subject_id", "hadm_id", "labels")
 
 
 @register("b08_drop_unlabelled_docs", fsql(
-    """SELECT hadm_id, array_to_string(list_sort(list(DISTINCT idx)), ' ') AS label_ids FROM (
-  SELECT l.hadm_id, t.idx FROM (SELECT hadm_id, unnest(string_split(labels, ';')) AS label FROM labelled) l
-  JOIN (SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx FROM top50) t ON l.label = t.label) GROUP BY hadm_id""",
+    """SELECT subject_id, hadm_id, array_to_string(list_sort(list(DISTINCT idx)), ' ') AS label_ids FROM (
+  SELECT l.subject_id, l.hadm_id, t.idx FROM (SELECT subject_id, hadm_id, unnest(string_split(labels, ';')) AS label FROM labelled) l
+  JOIN (SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx FROM top50) t ON l.label = t.label) GROUP BY subject_id, hadm_id""",
     "labelled", "top50"))
 def b08(spark, sf):
-    etl = Etl(spark, sf)
+    etl = proxy_etl(spark, sf)
     kept_codes, _ = etl.cohort()
-    top = co.top_labels(co.label_frequency(kept_codes), 50).select("label")
-    from icdspark.operators.running import row_number
-
-    top_idx = row_number(top, ["label"], bucket=F.substring("label", 1, 3), name="__rn").select(
-        "label", (F.col("__rn") - 1).alias("idx"))
-    out = fe.doc_label_ids(etl.labelled(), top_idx)
-    return out.select("hadm_id", _ids_str("label_ids").alias("label_ids"))
+    top = co.top_labels(co.label_frequency(kept_codes), 50).select(F.col("label").alias("labels"))
+    out = fe.doc_label_ids(prepared(spark, sf).labelled, fe.label_index(top))
+    return out.select(*fe.KEYS, _ids_str("label_ids").alias("label_ids"))
 
 
 # ---------------------------------------------------------- batching, padding
 
-_BATCH_SQL_BASE = """SELECT split, hadm_id, len(string_split(text, ' ')) AS length FROM split_adm"""
-
 
 @register("g05_batches", fsql(
-    """SELECT split, hadm_id, position, position // 32 AS batch FROM (
-  SELECT split, hadm_id, row_number() OVER (PARTITION BY split ORDER BY len(string_split(text, ' ')), hadm_id) - 1 AS position
+    """SELECT split, subject_id, hadm_id, position, position // 32 AS batch FROM (
+  SELECT split, subject_id, hadm_id,
+         row_number() OVER (PARTITION BY split ORDER BY len(string_split(text, ' ')), hadm_id, subject_id) - 1 AS position
   FROM split_adm)""", "split_adm"))
 def g05(spark, sf):
-    f = _Feat(spark, sf)
-    out = fe.batch_ids(f.split_adm, [order_key()], f.prep.length_bucket(), fe.EVAL_BATCH, partition_cols=["split"])
-    return out.select("split", "hadm_id", F.col("position").cast("bigint").alias("position"), F.col("batch").cast("bigint").alias("batch"))
+    rows = prepared(spark, sf).split_adm.select("split", *fe.KEYS, "tlen")
+    out = fe.batch_ids(rows, fe.EVAL_BATCH, "tlen", partition_cols=["split"])
+    return out.select("split", *fe.KEYS, F.col("position").cast("bigint").alias("position"), F.col("batch").cast("bigint").alias("batch"))
 
 
 _BATCHED_CTE = {
     "enc": (
-        """SELECT a.split, a.hadm_id, len(string_split(a.text, ' ')) AS tlen, w.word_ids, w.n_ids
-FROM split_adm a JOIN doc_words w ON a.hadm_id = w.hadm_id JOIN doc_labels l ON a.hadm_id = l.hadm_id""",
+        """SELECT a.split, a.subject_id, a.hadm_id, len(string_split(a.text, ' ')) AS tlen,
+       coalesce(w.word_ids, '') AS word_ids, coalesce(w.n_ids, 0) AS n_ids
+FROM split_adm a JOIN doc_labels l USING (subject_id, hadm_id) LEFT JOIN doc_words w USING (subject_id, hadm_id)""",
         ("split_adm", "doc_words", "doc_labels"),
     ),
     "batched": (
         """SELECT *, position // 32 AS batch FROM (
-  SELECT *, row_number() OVER (PARTITION BY split ORDER BY tlen, hadm_id) - 1 AS position FROM enc)""",
+  SELECT *, row_number() OVER (PARTITION BY split ORDER BY tlen, hadm_id, subject_id) - 1 AS position FROM enc)""",
         ("enc",),
     ),
 }
@@ -231,63 +212,53 @@ def bsql(body: str, *names: str) -> str:
 
 
 def _batched(spark, sf):
-    return Prepared(spark, sf).batched(fe.EVAL_BATCH)
+    return prepared(spark, sf).batched(fe.EVAL_BATCH)
 
 
 @register("g06_sort_in_batch", bsql(
-    """SELECT split, hadm_id, batch, row_number() OVER (PARTITION BY split, batch ORDER BY n_ids DESC, position DESC) - 1 AS slot
+    """SELECT split, subject_id, hadm_id, batch,
+       row_number() OVER (PARTITION BY split, batch ORDER BY n_ids DESC, position DESC) - 1 AS slot
 FROM batched""", "batched"))
 def g06(spark, sf):
     out = _batched(spark, sf)
-    return out.select("split", "hadm_id", F.col("batch").cast("bigint").alias("batch"), F.col("slot").cast("bigint").alias("slot"))
+    return out.select("split", *fe.KEYS, F.col("batch").cast("bigint").alias("batch"), F.col("slot").cast("bigint").alias("slot"))
 
 
 @register("i06_batch_pad", bsql(
-    """SELECT split, hadm_id, batch, max(n_ids) OVER (PARTITION BY split, batch) AS padded_len,
+    """SELECT split, subject_id, hadm_id, batch, max(n_ids) OVER (PARTITION BY split, batch) AS padded_len,
        max(n_ids) OVER (PARTITION BY split, batch) - n_ids AS n_pad FROM batched""", "batched"))
 def i06(spark, sf):
     out = _batched(spark, sf)
     return out.select(
-        "split", "hadm_id", F.col("batch").cast("bigint").alias("batch"),
+        "split", *fe.KEYS, F.col("batch").cast("bigint").alias("batch"),
         F.size("padded").cast("bigint").alias("padded_len"),
         (F.size("padded") - F.size("word_ids")).cast("bigint").alias("n_pad"),
     )
 
 
 @register("c14_pad", bsql(
-    """SELECT split, hadm_id, word_ids || repeat(' 0', (max(n_ids) OVER (PARTITION BY split, batch) - n_ids)::INTEGER) AS padded
-FROM batched WHERE n_ids > 0""", "batched"))
+    """SELECT split, subject_id, hadm_id,
+       ltrim(word_ids || repeat(' 0', (max(n_ids) OVER (PARTITION BY split, batch) - n_ids)::INTEGER)) AS padded
+FROM batched""", "batched"))
 def c14(spark, sf):
-    out = _batched(spark, sf).filter(F.size("word_ids") > 0)
-    return out.select("split", "hadm_id", _ids_str("padded").alias("padded"))
+    return _batched(spark, sf).select("split", *fe.KEYS, _ids_str("padded").alias("padded"))
 
 
 @register("g11_epoch_shuffle", fsql(
-    """SELECT hadm_id, position, position // 32 AS batch FROM (
-  SELECT hadm_id, row_number() OVER (ORDER BY ((hadm_id % 2147483648) * 1103515245 + 1) % 2147483648, hadm_id) - 1 AS position
+    """SELECT subject_id, hadm_id, position, position // 32 AS batch FROM (
+  SELECT subject_id, hadm_id, row_number() OVER (ORDER BY ((hadm_id % 2147483648) * 1103515245 + 1) % 2147483648, hadm_id) - 1 AS position
   FROM split_adm WHERE split = 'train')""", "split_adm"))
 def g11(spark, sf):
-    f = _Feat(spark, sf)
-    train = fe.shuffled_order(f.split_adm.filter(F.col("split") == "train"), seed=1)
-    splits = [s for s in train.approxQuantile("shuffle_key", [i / 16 for i in range(1, 16)], 0.001) if s is not None]
-    from icdspark.operators.running import split_bucket
-
-    out = fe.batch_ids(train, ["shuffle_key", "hadm_id"], split_bucket("shuffle_key", splits), fe.TRAIN_BATCH)
-    return out.select("hadm_id", F.col("position").cast("bigint").alias("position"), F.col("batch").cast("bigint").alias("batch"))
+    out = fe.shuffled_batch_ids(prepared(spark, sf).train.select(*fe.KEYS), fe.TRAIN_BATCH, seed=1)
+    return out.select(*fe.KEYS, F.col("position").cast("bigint").alias("position"), F.col("batch").cast("bigint").alias("batch"))
 
 
 # ------------------------------------------------------- dictionaries, weights
 
 
-def _text_entries(lines):
-    """a14 on the proxy lines: first whitespace token = code, rest joined by one space."""
-    parts = split_whitespace("line")
-    return lines.select("pos", parts[0].alias("code"), F.array_join(F.slice(parts, 2, 1 << 30), " ").alias("description"))
-
-
 def _dictionary(spark, sf):
     px = ProxyTables(spark, sf)
-    text = _text_entries(px.text_dictionary_lines())
+    text = parse_text_dictionary(px.text_dictionary_lines())
     return fe.merge_code_descriptions(px.diag_dictionary(), px.proc_dictionary(), text)
 
 
@@ -341,14 +312,14 @@ def d09(spark, sf):
 
 @register("a14_text_dictionary", dsql("SELECT pos, key AS code, description FROM t_rows", "t_rows"))
 def a14(spark, sf):
-    return _text_entries(ProxyTables(spark, sf).text_dictionary_lines())
+    return parse_text_dictionary(ProxyTables(spark, sf).text_dictionary_lines()).select("pos", "code", "description")
 
 
 @register("d08_describe_labels", dsql(
     """SELECT l.label, coalesce(m.description, '') AS description FROM label_idx l LEFT JOIN merged m ON l.label = m.code""",
     "label_idx", "merged"))
 def d08(spark, sf):
-    return fe.describe_codes(_Feat(spark, sf).label_index().select("label"), _dictionary(spark, sf))
+    return fe.describe_codes(prepared(spark, sf).label_index.select("label"), _dictionary(spark, sf))
 
 
 _DICT_SQL["freq"] = (
@@ -361,9 +332,8 @@ _DICT_SQL["freq"] = (
     """SELECT i.idx, f.label, CAST(1.0 - f.frequency / (SELECT CAST(sum(frequency) AS DOUBLE) FROM freq) AS FLOAT) AS weight
 FROM freq f JOIN label_idx i ON f.label = i.label""", "label_idx", "freq"))
 def e10(spark, sf):
-    f = _Feat(spark, sf)
-    kept_codes, _ = f.etl.cohort()
-    return fe.class_weights(co.label_frequency(kept_codes), f.label_index())
+    p = prepared(spark, sf)
+    return fe.class_weights(co.label_frequency(p.etl.cohort()[0]), p.label_index)
 
 
 # ---------------------------------------------------------- vectors, pooling
@@ -381,10 +351,9 @@ def c18(spark, sf):
 @register("d10_frequency_class_index", dsql(
     "SELECT f.label, f.frequency, i.idx FROM freq f JOIN label_idx i ON f.label = i.label", "label_idx", "freq"))
 def d10(spark, sf):
-    f = _Feat(spark, sf)
-    kept_codes, _ = f.etl.cohort()
-    w = fe.class_weights(co.label_frequency(kept_codes), f.label_index())
-    freq = co.label_frequency(kept_codes)
+    p = prepared(spark, sf)
+    freq = co.label_frequency(p.etl.cohort()[0])
+    w = fe.class_weights(freq, p.label_index)
     return freq.join(w.select("label", "idx"), "label").select("label", "frequency", "idx")
 
 
@@ -393,9 +362,8 @@ def d10(spark, sf):
        row_number() OVER (ORDER BY idx) AS ord FROM freq f JOIN label_idx i ON f.label = i.label""", "label_idx", "freq"))
 def g09(spark, sf):
     """Weights in class-index order; ``ord`` makes the order observable (idx is dense)."""
-    f = _Feat(spark, sf)
-    kept_codes, _ = f.etl.cohort()
-    w = fe.class_weights(co.label_frequency(kept_codes), f.label_index())
+    p = prepared(spark, sf)
+    w = fe.class_weights(co.label_frequency(p.etl.cohort()[0]), p.label_index)
     return w.select("idx", "weight", (F.col("idx") + 1).alias("ord"))
 
 
@@ -403,7 +371,7 @@ def g09(spark, sf):
     "SELECT subject_id, hadm_id, text, labels FROM labelled ORDER BY hadm_id, subject_id LIMIT 20", "labelled"))
 def g10(spark, sf):
     """Preview: the first 20 labelled admissions by key (the limit is the feature; a bounded top-k)."""
-    return Etl(spark, sf).labelled().orderBy("hadm_id", "subject_id").limit(20)
+    return proxy_etl(spark, sf).labelled().orderBy("hadm_id", "subject_id").limit(20)
 
 
 @register("h04_fpr_grid", fsql(

@@ -8,7 +8,7 @@ from icdspark.functions.maths import binarize, safe_ratio, sigmoid
 from icdspark.operators import metrics as me
 from icdspark.operators import roc
 from icdspark.plans.registry import register
-from icdspark.plans.sql import r9, with_ctes
+from icdspark.plans.sql import r9, tied, with_ctes
 from icdspark.sources.proxy import ProxyTables
 
 
@@ -129,15 +129,15 @@ def f13(spark, sf):
     return _round(me.precision_at_k(_pred(spark, sf), (5, 8, 15)))
 
 
-@register(
-    "g07_top_k_labels",
-    with_ctes(
+_TOP_SQL = with_ctes(
         """SELECT instance, label, rk AS rank FROM (
   SELECT instance, label, row_number() OVER (PARTITION BY instance ORDER BY score DESC, label DESC) AS rk FROM pred)
 WHERE rk <= 5""",
         "pred",
-    ),
-)
+    )
+
+
+@register("g07_top_k_labels", _TOP_SQL)
 def g07(spark, sf):
     return me.top_k(_pred(spark, sf), 5).select("instance", "label", F.col("rank").cast("bigint").alias("rank"))
 
@@ -157,19 +157,22 @@ def b09(spark, sf):
 # ---------------------------------------------------------------- ROC / AUC
 
 
-@register(
-    "f14_roc_curve",
-    with_ctes(
+_ROC_SQL = with_ctes(
         f"""SELECT label, {r9('score')} AS threshold, {r9('CAST(n - neg_below AS DOUBLE) / nullif(n, 0)')} AS fpr,
        {r9('CAST(p - pos_below AS DOUBLE) / nullif(p, 0)')} AS tpr FROM score_cum""",
         "score_cum",
-    ),
-)
+    )
+
+
+@register("f14_roc_curve", _ROC_SQL)
 def f14(spark, sf):
     return _round(roc.roc_points(_pred(spark, sf), per_label=True))
 
 
-@register("f15_label_auc", with_ctes(f"SELECT label, {r9('auc')} AS auc FROM label_auc", "label_auc"))
+_AUC_SQL = with_ctes(f"SELECT label, {r9('auc')} AS auc FROM label_auc", "label_auc")
+
+
+@register("f15_label_auc", _AUC_SQL)
 def f15(spark, sf):
     return _round(roc.label_auc(_pred(spark, sf)))
 
@@ -179,25 +182,25 @@ def f16(spark, sf):
     return _round(roc.macro_auc(_pred(spark, sf)))
 
 
-@register(
-    "f17_micro_auc",
-    with_ctes(
+_MICRO_AUC_SQL = with_ctes(
         f"SELECT {r9('sum(pos * (neg_below + neg / 2.0)) / (CAST(max(p) AS DOUBLE) * max(n))')} AS auc_micro FROM micro_cum",
         "micro_cum",
-    ),
-)
+    )
+
+
+@register("f17_micro_auc", _MICRO_AUC_SQL)
 def f17(spark, sf):
     return _round(roc.micro_auc(_pred(spark, sf)))
 
 
-@register(
-    "f18_micro_roc_curve",
-    with_ctes(
+_MICRO_ROC_SQL = with_ctes(
         f"""SELECT {r9('score')} AS threshold, {r9('CAST(n - neg_below AS DOUBLE) / nullif(n, 0)')} AS fpr,
        {r9('CAST(p - pos_below AS DOUBLE) / nullif(p, 0)')} AS tpr FROM micro_cum""",
         "micro_cum",
-    ),
-)
+    )
+
+
+@register("f18_micro_roc_curve", _MICRO_ROC_SQL)
 def f18(spark, sf):
     return _round(roc.roc_points(_pred(spark, sf), per_label=False))
 
@@ -305,3 +308,45 @@ def _report_sql() -> str:
 @register("f20_evaluation_report", _report_sql())
 def f20(spark, sf):
     return _round(me.evaluation_report(_pred(spark, sf)))
+
+
+# ------------------------------------------- the tie rules, on scores of which many are equal
+
+
+def _tied(spark, sf):
+    return ProxyTables(spark, sf).pred_tied()
+
+
+@register("f13_precision_at_k_tied", tied(_PAK_SQL))
+def f13_tied(spark, sf):
+    return _round(me.precision_at_k(_tied(spark, sf), (5, 8, 15)))
+
+
+@register("g07_top_k_labels_tied", tied(_TOP_SQL))
+def g07_tied(spark, sf):
+    return me.top_k(_tied(spark, sf), 5).select("instance", "label", F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("f14_roc_curve_tied", tied(_ROC_SQL))
+def f14_tied(spark, sf):
+    return _round(roc.roc_points(_tied(spark, sf), per_label=True))
+
+
+@register("f15_label_auc_tied", tied(_AUC_SQL))
+def f15_tied(spark, sf):
+    return _round(roc.label_auc(_tied(spark, sf)))
+
+
+@register("f17_micro_auc_tied", tied(_MICRO_AUC_SQL))
+def f17_tied(spark, sf):
+    return _round(roc.micro_auc(_tied(spark, sf)))
+
+
+@register("f18_micro_roc_curve_tied", tied(_MICRO_ROC_SQL))
+def f18_tied(spark, sf):
+    return _round(roc.roc_points(_tied(spark, sf), per_label=False))
+
+
+@register("f20_evaluation_report_tied", tied(_report_sql()))
+def f20_tied(spark, sf):
+    return _round(me.evaluation_report(_tied(spark, sf)))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from icdspark.operators import split as sp
-from icdspark.plans.etl import Etl
+from icdspark.plans.etl import proxy_etl
+from icdspark.plans.prepare import prepared
 from icdspark.plans.registry import register
 from icdspark.plans.sql import with_ctes
 
@@ -38,15 +39,9 @@ def split_sql(body: str, *names: str) -> str:
     return with_ctes(body, *names, extra=_SPLIT_CTES)
 
 
-def _assignment(spark, sf):
-    etl = Etl(spark, sf)
-    labelled = etl.labelled()
-    return labelled, sp.assign_splits(labelled, id_source=etl.patient_ids())
-
-
 @register("g01_group_split", split_sql("SELECT subject_id, n_admissions, split FROM assignment", "assignment"))
 def g01(spark, sf):
-    return _assignment(spark, sf)[1]
+    return proxy_etl(spark, sf).assignment()
 
 
 @register(
@@ -54,22 +49,20 @@ def g01(spark, sf):
     split_sql("SELECT subject_id, hadm_id, text, labels, split FROM split_adm", "split_adm"),
 )
 def d04(spark, sf):
-    labelled, assignment = _assignment(spark, sf)
-    return sp.split_admissions(labelled, assignment).select("subject_id", "hadm_id", "text", "labels", "split")
+    return proxy_etl(spark, sf).split().select("subject_id", "hadm_id", "text", "labels", "split")
 
 
 @register(
     "g02_sort_by_length",
     split_sql(
-        """SELECT split, hadm_id, len(string_split(text, ' ')) AS length,
-       row_number() OVER (PARTITION BY split ORDER BY len(string_split(text, ' ')), hadm_id) AS pos FROM split_adm""",
+        """SELECT split, subject_id, hadm_id, len(string_split(text, ' ')) AS length,
+       row_number() OVER (PARTITION BY split ORDER BY len(string_split(text, ' ')), hadm_id, subject_id) AS pos FROM split_adm""",
         "split_adm",
     ),
 )
 def g02(spark, sf):
-    labelled, assignment = _assignment(spark, sf)
-    ordered = sp.order_within_split(sp.split_admissions(labelled, assignment))
-    return ordered.select("split", "hadm_id", ordered["length"].cast("bigint").alias("length"), "pos")
+    ordered = sp.order_within_split(prepared(spark, sf).split_adm.drop("tlen"))
+    return ordered.select("split", "subject_id", "hadm_id", ordered["length"].cast("bigint").alias("length"), "pos")
 
 
 @register(
@@ -80,4 +73,4 @@ def g02(spark, sf):
     ),
 )
 def g01_sizes(spark, sf):
-    return sp.split_sizes(_assignment(spark, sf)[1])
+    return sp.split_sizes(proxy_etl(spark, sf).assignment())

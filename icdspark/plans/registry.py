@@ -20,6 +20,7 @@ _MODULES = (
     "icdspark.plans.q_metrics",
     "icdspark.plans.q_features",
     "icdspark.plans.q_model",
+    "icdspark.plans.q_sources",
 )
 
 

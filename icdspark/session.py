@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -66,25 +65,28 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, cores: int |
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS/object-store) folder there.  Only when the
-    setting is absent -- local tests -- a private folder is created and set.
+    A cluster names a folder there that all its machines reach.  Only a local
+    session may leave it out and gets a private folder; anywhere else that
+    would be lost or invisible to the executors, so it is an error.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all machines share")
         current = tempfile.mkdtemp(prefix="icdspark-ckpt-")
-        try:
-            spark.conf.set(CHECKPOINT_CONF, current)
-        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
-            pass
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+        spark.conf.set(CHECKPOINT_CONF, current)
     return current
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediate tables)."""
-    return os.path.join(checkpoint_dir(spark), *parts)
+    return "/".join([checkpoint_dir(spark).rstrip("/"), *parts])
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store Spark keeps it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from icdspark.functions.text import join_vector
+from icdspark.functions.text import join_vector, split_whitespace
 
 # Fixed value: a view name is the last word-character run of the path, before an
 # optional ".csv" suffix; without one the whole path is the name.
@@ -65,7 +66,9 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", "true").option("escape", '"').csv(path)
+        # spaces at either end belong to the value
+        spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        writer.options(header="true", escape='"', **spaces).csv(path)
     else:
         writer.format(fmt).save(path)
 
@@ -99,28 +102,36 @@ def read_label_list(spark: SparkSession, path: str, with_frequency: bool = False
 
 
 def read_code_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """a13: description CSV with header: code = 2nd field, description = last field."""
+    """a13: description CSV with header: pos (file order), code = 2nd field, description = last field.
+
+    A multi-line CSV file is read by one task in file order, so the rising ids
+    are its row order; files of a folder follow each other.
+    """
     df = read_csv_table(spark, path, register=False)
     cols = df.columns
-    return df.select(F.col(cols[1]).alias("code"), F.col(cols[-1]).alias("description"))
+    return df.select(
+        F.monotonically_increasing_id().alias("pos"), F.col(cols[1]).alias("code"), F.col(cols[-1]).alias("description"))
 
 
 def read_text_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """a14: whitespace text dictionary: first token = code, rest joined by one space."""
+    """a14: whitespace text dictionary: pos, first token = code, rest joined by one space."""
     lines = spark.read.text(path)
-    return parse_text_dictionary(lines.select(F.col("value").alias("line")))
+    return parse_text_dictionary(
+        lines.select(F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line")))
 
 
 def parse_text_dictionary(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    parts = F.filter(F.split(F.trim(F.col(line_col)), r"\s+"), lambda t: t != F.lit(""))
-    return (
-        lines.select(parts.alias("_p"))
-        .filter(F.size("_p") > 0)
-        .select(
-            F.col("_p")[0].alias("code"),
-            F.array_join(F.slice("_p", 2, 1 << 30), " ").alias("description"),
-        )
-    )
+    """``pos, code, description`` of lines with at least one token; ``pos`` is passed through."""
+    parts = split_whitespace(line_col)
+    return lines.select("pos", parts.alias("_p")).filter(F.size("_p") > 0).select(
+        "pos", F.col("_p")[0].alias("code"), F.array_join(F.slice("_p", 2, 1 << 30), " ").alias("description"))
+
+
+def write_splits(split_df: DataFrame, path: str, splits: Sequence[str] = ("train", "val", "test")) -> None:
+    """a07: one CSV table ``<split>_split.csv`` per split with the labelled columns."""
+    for name in splits:
+        rows = split_df.filter(F.col("split") == name).select("subject_id", "hadm_id", "text", "labels")
+        write_table(rows, f"{path}/{name}_split.csv", fmt="csv")
 
 
 def read_splits(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -135,5 +146,5 @@ def read_splits(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     from icdspark.sources.schemas import LABELLED
 
     df = read_csv_table(spark, f"{path}/*_split.csv", schema=LABELLED, register=False)
-    name = F.regexp_extract(F.input_file_name(), r"([A-Za-z]+)_split\.csv", 1)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([A-Za-z]+)_split\.csv", 1)
     return df.withColumn("split", name)

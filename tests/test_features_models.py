@@ -2,45 +2,33 @@
 
 import os
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from icdspark.operators import embeddings as em
 from icdspark.operators import features as fe
+from icdspark.operators import model as mo
 
 
-def _reformat(code, is_diag):
-    code = code.replace(".", "")
-    if not is_diag:
-        return code[:2] + "." + code[2:]
-    cut = 4 if code.startswith("E") else 3
-    return code[:cut] + "." + code[cut:] if len(code) > cut else code
-
-
-def _brute_merge(diag, proc, text):
-    out = {}
-    for _, code, d in sorted(diag):
-        out[_reformat(code, True)] = d
-    for _, code, d in sorted(proc):
-        if code not in out:
-            out[_reformat(code, False)] = d
-    for _, line in sorted(text):
-        toks = line.split()
-        if toks[0] not in out:
-            out[toks[0]] = " ".join(toks[1:])
-    return out
-
-
-def test_merge_code_descriptions_brute_force(spark):
+def test_merge_code_descriptions(spark):
     diag = [(1, "4019", "d1"), (2, "401.9", "d2"), (3, "12", "d3"), (4, "E8790", "d4"), (5, "38", "d5")]
     proc = [(1, "12", "p1"), (2, "3893", "p2"), (3, "38.93", "p3"), (4, "38.93", "p4"), (5, "1", "p5"),
             (6, "1.", "p6"), (7, "45.1", "p7"), (8, "451", "p8"), (9, "45.1", "p9"), (10, "38", "p10")]
-    text = [(1, "401.9  t1 a"), (2, "999 t2"), (3, "999  t3"), (4, "38.93 t4"), (5, "E879.0 t5")]
+    text = [(1, "401.9", "t1 a"), (2, "999", "t2"), (3, "999", "t3"), (4, "38.93", "t4"), (5, "E879.0", "t5")]
+    expected = {
+        "401.9": "d2",   # both spellings of a diagnosis, the later row
+        "12": "d3",      # a procedure whose raw code is a diagnosis is skipped
+        "E879.0": "d4",  # a text entry only fills a gap
+        "38": "d5",      # as above; p10 is skipped too
+        "38.93": "p2",   # dotted later rows find their own code taken
+        "1.": "p5",
+        "45.1": "p8",    # p7 first, p8 by another spelling replaces it, p9 finds its code taken
+        "999": "t2",     # of two text entries the first
+    }
     sch = "pos long, code string, description string"
-    got = fe.merge_code_descriptions(
-        spark.createDataFrame(diag, sch), spark.createDataFrame(proc, sch),
-        spark.createDataFrame([(p, l.split()[0], " ".join(l.split()[1:])) for p, l in text], sch),
-    )
-    assert {r["code"]: r["description"] for r in got.collect()} == _brute_merge(diag, proc, text)
+    got = fe.merge_code_descriptions(*(spark.createDataFrame(x, sch) for x in (diag, proc, text)))
+    assert {r["code"]: r["description"] for r in got.collect()} == expected
 
 
 def test_label_index_dense_sorted(spark):
@@ -49,23 +37,47 @@ def test_label_index_dense_sorted(spark):
     assert [(r["label"], r["idx"]) for r in rows] == [("a", 0), ("b", 1), ("c", 2)]
 
 
+DOC_SCHEMA = "subject_id long, hadm_id long, text string, labels string"
+
+
 def test_encode_documents(spark):
-    docs = spark.createDataFrame([(1, "x y  z x", "a;q"), (2, "y", "q"), (3, "", "a")], "hadm_id long, text string, labels string")
+    docs = spark.createDataFrame([(7, 1, "x y  z x", "a;q"), (7, 2, "y", "q"), (7, 3, "", "a")], DOC_SCHEMA)
     labels = spark.createDataFrame([("a", 0), ("b", 1)], "label string, idx long")
     words = spark.createDataFrame([("x", 5, 1), ("y", 4, 2)], "word string, count long, idx long")
-    enc = {r["hadm_id"]: r for r in fe.encode_documents(docs, labels, words, 2, 2).collect()}
+    enc = {r["hadm_id"]: r for r in fe.encode_documents(docs, labels, words, 2).collect()}
     assert set(enc) == {1, 3}  # doc 2 has no known label (b08)
-    assert enc[1]["word_ids"] == [1, 2, 3, 1] and enc[1]["labels_multi_hot"] == [1, 0]
+    assert enc[1]["word_ids"] == [1, 2, 3, 1] and enc[1]["label_ids"] == [0]
     assert enc[3]["word_ids"] == []
 
 
+def test_admissions_with_the_same_id_stay_apart(spark):
+    docs = spark.createDataFrame([(1, 10, "a b c", "x"), (2, 10, "c b", "y")], DOC_SCHEMA).withColumn("tlen", F.lit(2))
+    labels = spark.createDataFrame([("x", 0), ("y", 1)], "label string, idx long")
+    words = spark.createDataFrame([("a", 5, 1), ("b", 4, 2), ("c", 3, 3)], "word string, count long, idx long")
+    enc = fe.encode_documents(docs, labels, words, 3, carry=("tlen",))
+    got = {r["subject_id"]: (r["word_ids"], r["label_ids"]) for r in enc.collect()}
+    assert got == {1: ([1, 2, 3], [0]), 2: ([3, 2], [1])}
+    batched = {r["subject_id"]: r for r in fe.batch_and_pad(enc, 2, "tlen").collect()}
+    assert batched[1]["position"] == 0 and batched[2]["position"] == 1 and batched[2]["padded"] == [3, 2, 0]
+    emb = spark.createDataFrame([(k, [float(k)]) for k in (1, 2, 3)], "idx long, vector array<double>")
+    assert {r["subject_id"]: r["pooled"] for r in em.max_pool(enc, emb).collect()} == {1: [3.0], 2: [3.0]}
+
+
+def test_batches_of_huge_ids(spark):
+    """Ids beyond 2^40 and equal lengths keep their order."""
+    rows = [(1, (1 << 40) + 1, 5), (1, 1, 6), (1, 2, 5), (1, 3, 5)]
+    df = spark.createDataFrame(rows, "subject_id long, hadm_id long, n long")
+    got = [r["hadm_id"] for r in fe.batch_ids(df, 2, "n").orderBy("position").collect()]
+    assert got == [2, 3, (1 << 40) + 1, 1]
+
+
 def test_word2vec_vocab_and_mean_vector(spark):
     train = spark.createDataFrame([("a b  a c",)] * 3, "text string")
     model = em.fit_word2vec(train, vector_size=5, min_count=3, seed=1)
     vecs = {r["word"]: r["vector"] for r in em.word_vectors(model).collect()}
     assert set(vecs) == {"", "a", "b", "c"}
     assert set(vecs) == {r["word"] for r in fe.vocabulary(train).collect()}
-    docs = spark.createDataFrame([(1, "a zzz zzz"), (2, "zzz")], "hadm_id long, text string")
+    docs = spark.createDataFrame([(5, 1, "a zzz zzz"), (5, 2, "zzz")], "subject_id long, hadm_id long, text string")
     dv = {r["hadm_id"]: r["doc_vector"] for r in em.document_vectors(model, docs).collect()}
     assert all(abs(x - y / 3) < 1e-6 for x, y in zip(dv[1], vecs["a"]))
     assert dv[2] == [0.0] * 5
@@ -85,9 +97,33 @@ def test_embedding_table_and_pool(spark):
     table = {r["idx"]: r["vector"] for r in em.embedding_table(widx, vecs, 2).collect()}
     assert set(table) == {0, 1, 2, 3} and table[0] == [0.0, 0.0]
     assert abs(table[1][0] - 3 / (5 + 1e-6)) < 1e-12
-    docs = spark.createDataFrame([(1, [1, 2, 0])], "hadm_id long, word_ids array<long>")
+    docs = spark.createDataFrame([(5, 1, [1, 2, 1])], "subject_id long, hadm_id long, word_ids array<long>")
     emb = spark.createDataFrame([(1, [1.0, -1.0]), (2, [0.0, 5.0])], "idx long, vector array<double>")
     assert em.max_pool(docs, emb).first()["pooled"] == [1.0, 5.0]
+    unknown = spark.createDataFrame([(5, 1, [1, 9])], "subject_id long, hadm_id long, word_ids array<long>")
+    with pytest.raises(Exception, match="no vector for id 9"):
+        em.max_pool(unknown, emb).collect()
+
+
+def test_label_models_learn_all_labels_together(spark):
+    rng = np.random.RandomState(3)
+    x = rng.randn(300, 4)
+    y = np.stack([x[:, 0] > 0, x[:, 1] + x[:, 2] > 0.5, np.zeros(300, bool)], 1)
+    rows = [(1, i, x[i].tolist(), [int(j) for j in np.flatnonzero(y[i])]) for i in range(300)]
+    feats = spark.createDataFrame(rows, "subject_id long, hadm_id long, pooled array<double>, label_ids array<long>")
+    models = mo.fit_label_models(feats, 3, iterations=60)
+    got = {r["label"]: r for r in models.collect()}
+    gradient = ((0.5 - y).T @ np.column_stack([x, np.ones(300)])) / 300
+    for j in range(3):
+        assert abs(got[j]["first_loss"] - np.log(2)) < 1e-12
+        assert abs(got[j]["first_gradient"] - np.linalg.norm(gradient[j])) < 1e-12
+        assert got[j]["loss"] < got[j]["first_loss"]
+    assert got[2]["skipped"] and got[2]["weights"] is None and not got[0]["skipped"]
+    scores = mo.linear_scores(feats, models, block_cells=4)  # a block for each label
+    right = {(r["hadm_id"], r["label"]): r["score"] > 0.5 for r in scores.collect()}
+    assert len(right) == 600
+    assert np.mean([right[i, j] == y[i, j] for i in range(300) for j in (0, 1)]) > 0.9
+    assert mo.linear_scores(feats, models, min_score=0.5).count() == sum(right.values())
 
 
 def test_streaming_notes(spark, tmp_dir):
@@ -106,8 +142,6 @@ def test_streaming_notes(spark, tmp_dir):
 
 
 def test_class_weights_strict_missing_label_raises(spark):
-    import pytest
-
     freq = spark.createDataFrame([("a", 3), ("zz", 1)], "label string, frequency long")
     idx = spark.createDataFrame([("a", 0)], "label string, idx long")
     with pytest.raises(Exception, match="unknown label"):

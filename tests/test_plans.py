@@ -1,96 +1,154 @@
-"""Plan-shape regressions: shuffles and pushdown of the key jobs."""
+"""Plan-shape regressions: shuffles, scans and pushdown of the key jobs."""
 
-from icdspark.operators import features as fe
-from icdspark.operators import split as sp
-from icdspark.plans.etl import Etl
-
-SF = "/root/testdata/sf0.001"
+import re
+from contextlib import contextmanager
 
+import pytest
 
-def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+from icdspark.operators import metrics as me
+from icdspark.operators import roc
+from icdspark.plans.etl import proxy_etl
+from icdspark.plans.prepare import prepared
+from icdspark.sources.proxy import ProxyTables
 
-
-def _shuffles(df) -> int:
-    return _plan(df).count("Exchange hashpartitioning") + _plan(df).count("Exchange rangepartitioning")
+SF = "/root/testdata/sf0.001"
 
 
-def test_labelled_admissions_one_shuffle_per_input(spark):
+@contextmanager
+def static_plans(spark, broadcast=False):
+    """Plans as they are before run time, without broadcasts unless asked for."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    if not broadcast:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        lab = Etl(spark, SF).labelled()
-        plan = _plan(lab)
-        assert _shuffles(lab) == 2, plan
-        assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan
+        yield
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_scans_are_pruned(spark):
-    lab = Etl(spark, SF).labelled()
-    text = lab._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in lab._jdf.queryExecution().simpleString() or \
-        "doc_id" in text
-    for forbidden in ("n_chars", "source", "l_quantity", "o_totalprice"):
-        assert forbidden not in lab._jdf.queryExecution().simpleString()
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_split_does_not_reshuffle_texts(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        lab = Etl(spark, SF).labelled()
-        out = sp.split_admissions(lab, sp.assign_splits(lab))
-        plan = out._jdf.queryExecution().executedPlan()
-        # the top join's left child (labelled texts) must not sit under an Exchange
-        top = plan.toString().split("\n")
-        join_line = next(i for i, line in enumerate(top) if "SortMergeJoin" in line)
-        assert "Exchange" not in top[join_line + 1] or "Sort" in top[join_line + 1]
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def depth(line):
+    return len(re.match(r"[\s:|+\-*()\d]*", line).group(0))
+
+
+def below(plan, pattern):
+    """The lines under the first line that matches."""
+    lines = plan.split("\n")
+    at = next(i for i, line in enumerate(lines) if re.search(pattern, line))
+    out = []
+    for line in lines[at + 1 :]:
+        if depth(line) <= depth(lines[at]):
+            break
+        out.append(line)
+    return out
+
+
+def shuffles(plan):
+    return re.findall(r"(?<!Reused)Exchange (?:hash|range)partitioning\(([^)]*)\)", plan)
+
+
+def scans(plan):
+    return plan.count("FileScan parquet")
+
 
+def test_labelled_admissions_shuffle_each_input_once(spark):
+    with static_plans(spark, broadcast=True):
+        plan = plan_of(proxy_etl(spark, SF).labelled())
+    assert len(shuffles(plan)) == 2, plan
 
-def test_no_unpartitioned_window_on_data(spark):
-    """Windows without PARTITION BY may only run over bucket totals (bounded)."""
-    lab = Etl(spark, SF).labelled()
-    out = sp.assign_splits(lab)
-    plan = _plan(out)
-    import re
 
-    # "Window [exprs], [order]" (one trailing list holding a sort order) has no PARTITION BY
+def test_notes_are_cleaned_before_the_shuffle(spark):
+    with static_plans(spark):
+        plan = plan_of(proxy_etl(spark, SF).labelled())
+    text_exchange = below(plan, r"Exchange hashpartitioning\(subject_id")
+    assert any("regexp_replace" in line for line in text_exchange), plan
+
+
+def test_scans_read_only_what_is_used(spark):
+    plan = proxy_etl(spark, SF).labelled()._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)", plan)
+    read = {c.split(":")[0] for schema in schemas for c in schema.split(",") if ":" in c}
+    assert read == {
+        "doc_id", "text", "lang", "o_orderkey", "o_custkey", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"}
+
+
+def test_split_moves_no_text_again(spark):
+    with static_plans(spark):
+        etl = proxy_etl(spark, SF)
+        plan = plan_of(etl.split())
+    # every exchange under which the cleaned text is aggregated already would move it a second time
+    lines = plan.split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            inner = [x for x in lines[i + 1 : i + 4]]
+            assert not any("collect_list" in x and "partial" not in x for x in inner), plan
+
+
+def test_admission_keys_need_no_text(spark):
+    plan = plan_of(proxy_etl(spark, SF).admission_keys())
+    assert "regexp_replace(text" not in plan and "text:string" not in plan
+
+
+def test_windows_without_partition_run_over_totals_only(spark):
     tail = re.compile(r"\) AS [^\],]+\], \[([^\]]*)\]$")
-    unpartitioned = [
-        line for line in plan.split("\n")
-        if "Window [" in line and (m := tail.search(line.strip())) and ("ASC" in m.group(1) or "DESC" in m.group(1))
-    ]
-    assert unpartitioned, plan
-    for line in unpartitioned:
-        assert "__tot_" in line, line  # only the offsets window over per-bucket totals
+    for df in (proxy_etl(spark, SF).assignment(), roc.micro_auc(ProxyTables(spark, SF).pred())):
+        alone = [
+            line for line in plan_of(df).split("\n")
+            if "Window [" in line and (m := tail.search(line.strip())) and ("ASC" in m.group(1) or "DESC" in m.group(1))
+        ]
+        assert all("__tot_" in line for line in alone), alone
 
 
-def test_broadcast_guard(spark):
-    small = spark.range(10)
-    assert "broadcast" in small.hint("broadcast")._jdf.queryExecution().logical().toString().lower()
-    big = spark.range(100)
-    guarded = fe.broadcast_if_small(big, max_rows=50)
-    assert guarded is big
-    assert fe.broadcast_if_small(big, max_rows=1000, row_bytes=1 << 20, max_bytes=10 << 20) is big
+def test_running_sums_window_the_rows_once(spark):
+    with static_plans(spark):
+        plan = plan_of(roc.roc_points(ProxyTables(spark, SF).pred()))
+    rows = [line for line in plan.split("\n") if "Window [" in line and "score#" in line]
+    assert len(rows) == 1 and scans(plan) == 1, plan
 
 
-def test_encoding_shuffles_documents_not_tokens(spark):
-    import re
+def test_report_and_macro_curve_are_bounded(spark):
+    pred = ProxyTables(spark, SF).pred()
+    with static_plans(spark):
+        report, macro = plan_of(me.evaluation_report(pred)), plan_of(roc.macro_roc_area(pred))
+    assert scans(report) <= 3, report
+    assert len(shuffles(macro)) <= 16 and scans(macro) <= 2, macro
 
-    from icdspark.plans.prepare import Prepared
 
-    prep = Prepared(spark, SF)
-    prep.split_adm, prep.label_index, prep.word_index  # materialised inputs
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_building_a_query_runs_no_job(spark):
+    pred, etl = ProxyTables(spark, SF).pred(), proxy_etl(spark, SF)  # reading a table's schema is a job
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job may run")
     try:
-        plan = _plan(prep.encoded())
-        keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-        assert keys, plan
-        # every shuffle is keyed on the document id (never on words or exploded tokens)
-        assert all(k.split(",")[0].startswith("hadm_id") for k in keys), keys
+        roc.macro_roc_area(pred), me.evaluation_report(pred), etl.split()
+        assert not [j for j in tracker.getJobIdsForGroup("building")]
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_encoding_shuffles_documents_not_tokens(spark):
+    p = prepared(spark, SF)
+    p.split_adm, p.label_index, p.word_index, p.num_words  # written before the plan is looked at
+    with static_plans(spark, broadcast=True):
+        keys = shuffles(plan_of(p.encoded()))
+    assert keys and all(k.startswith("subject_id") for k in keys), keys
+
+
+def test_batches_are_numbered_without_their_lists(spark):
+    p = prepared(spark, SF)
+    with static_plans(spark):
+        plan = plan_of(p.batched())
+    lines = plan.split("\n")
+    ranked = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning(split#" in line]
+    assert ranked and all("AS word_ids#" not in line and "collect" not in line for line in ranked), ranked
+
+
+@pytest.mark.parametrize("name", ["g01_group_split", "f19_macro_roc_area", "i05_encode_documents"])
+def test_no_python_in_the_plans(spark, name):
+    from icdspark.plans import registry
+
+    plan = plan_of(registry.queries()[name](spark, SF))
+    assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|PythonRDD", plan)

@@ -56,7 +56,25 @@ def test_code_and_text_dictionaries(spark, tmp_dir):
     with open(t, "w") as f:
         f.write("401.9\tUnspecified   essential hypertension\n@\tdummy\n")
     rows = fs.read_text_dictionary(spark, t).collect()
-    assert [(r[0], r[1]) for r in rows] == [("401.9", "Unspecified essential hypertension"), ("@", "dummy")]
+    assert [(r["code"], r["description"]) for r in rows] == [("401.9", "Unspecified essential hypertension"), ("@", "dummy")]
+
+
+def test_descriptions_from_files(spark, tmp_dir):
+    """The readers' rows go straight into the merge."""
+    from icdspark.operators.features import merge_code_descriptions
+
+    def write(name, text):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(text)
+        return os.path.join(tmp_dir, name)
+
+    diag = write("D_ICD_DIAGNOSES.csv", 'ROW_ID,ICD9_CODE,LONG\n1,4019,"old, name"\n2,4019,"new\nname"\n')
+    proc = write("D_ICD_PROCEDURES.csv", "ROW_ID,ICD9_CODE,LONG\n1,3893,line\n")
+    text = write("ICD9_descriptions", "999  first  one\n\n999 second\n38.93 other\n")
+    merged = merge_code_descriptions(
+        fs.read_code_dictionary(spark, diag), fs.read_code_dictionary(spark, proc), fs.read_text_dictionary(spark, text))
+    assert {r["code"]: r["description"] for r in merged.collect()} == {
+        "401.9": "new\nname", "38.93": "line", "999": "first one"}
 
 
 def test_partitioned_parquet_roundtrip(spark, tmp_dir):
@@ -108,3 +126,80 @@ def test_scale_conf():
     conf = scale_conf(100 * (1 << 40), cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(1 << 20, cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_csv_files_to_encoded_splits(spark, tmp_dir):
+    """The whole path a user takes: three CSV files, split CSVs, word vectors, encoded Parquet."""
+    from icdspark.operators import embeddings as em
+    from icdspark.plans.etl import csv_etl
+    from icdspark.plans.prepare import Prepared
+
+    def write(name, header, rows):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(header + "\n" + "\n".join(rows) + "\n")
+
+    notes, codes = [], []
+    for i in range(40):
+        notes.append(f'{i},{100 + i},{200 + i},2101-01-01,,,Discharge summary,Report,,,"Patient, stable today\n""home"" w{i % 3} w{i % 3}"')
+        notes.append(f"{100 + i},{100 + i},{200 + i},2101-01-01,,,Nursing,Report,,,other")
+        codes.append(f"{i},{100 + i},{200 + i},1,{4019 if i % 2 else 25000}")
+    write("NOTEEVENTS.csv", "ROW_ID,SUBJECT_ID,HADM_ID,CHARTDATE,CHARTTIME,STORETIME,CATEGORY,DESCRIPTION,CGID,ISERROR,TEXT", notes)
+    write("DIAGNOSES_ICD.csv", "ROW_ID,SUBJECT_ID,HADM_ID,SEQ_NUM,ICD9_CODE", codes)
+    write("PROCEDURES_ICD.csv", "ROW_ID,SUBJECT_ID,HADM_ID,SEQ_NUM,ICD9_CODE", ["1,100,200,1,3893"])
+
+    p = Prepared(spark, csv_etl(spark, tmp_dir), folder=os.path.join(tmp_dir, "stages"))
+    rows = {r["hadm_id"]: r for r in p.split_adm.collect()}
+    assert len(rows) == 40 and rows[200]["labels"] == "250.00;38.93" and rows[201]["labels"] == "401.9"
+    assert rows[201]["text"] == "patient stable today home w1 w1"
+    assert {r["split"] for r in rows.values()} == {"train", "val", "test"}
+
+    fs.write_splits(p.split_adm, os.path.join(tmp_dir, "splits"))
+    back = fs.read_splits(spark, os.path.join(tmp_dir, "splits"), fmt="csv")
+    assert {(r["hadm_id"], r["split"], r["text"]) for r in back.collect()} == {
+        (r["hadm_id"], r["split"], r["text"]) for r in rows.values()}
+
+    fs.write_word_vectors(em.word_vectors(p.word2vec), os.path.join(tmp_dir, "word_embeddings.csv"))
+    vectors = fs.read_word_vectors(spark, os.path.join(tmp_dir, "word_embeddings.csv"))
+    assert {r["word"] for r in vectors.collect()} == {r["word"] for r in p.word_index.collect()}
+
+    out = os.path.join(tmp_dir, "encoded")
+    fs.write_table(p.encoded(), out, partition_by=["split"])
+    enc = {r["hadm_id"]: r for r in spark.read.parquet(out).collect()}
+    index = {r["word"]: r["idx"] for r in p.word_index.collect()}
+    assert enc[201]["word_ids"] == [index[w] for w in rows[201]["text"].split()]
+    p.close()
+    assert os.path.exists(os.path.join(tmp_dir, "stages"))  # the caller's own folder stays
+
+
+def test_shared_folder_is_an_error_off_local_masters():
+    import pytest
+
+    from icdspark.session import checkpoint_dir
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+
+
+def test_own_stage_tables_are_deleted(spark):
+    from icdspark.plans.etl import proxy_etl
+    from icdspark.plans.prepare import Prepared
+
+    p = Prepared(spark, proxy_etl(spark, "/root/testdata/sf0.001"))
+    p.label_index
+    assert os.path.exists(p.folder)
+    p.close()
+    assert not os.path.exists(p.folder)
