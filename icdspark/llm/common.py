@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -54,3 +56,44 @@ def free_name(df: DataFrame, stem: str) -> str:
     while name.lower() in used:
         name += "_"
     return name
+
+
+#: Rows that a task holds as Python objects at a time; texts can be long.
+SLICE_ROWS = 512
+
+
+def struct_of(**fields: pa.DataType) -> pa.DataType:
+    return pa.struct(list(fields.items()))
+
+
+def _ddl(kind: pa.DataType) -> str:
+    if pa.types.is_list(kind):
+        return f"array<{_ddl(kind.value_type)}>"
+    if pa.types.is_struct(kind):
+        return "struct<" + ",".join(f"{f.name}:{_ddl(f.type)}" for f in kind) + ">"
+    return {"int64": "bigint", "int32": "int", "double": "double", "string": "string", "bool": "boolean"}[str(kind)]
+
+
+def map_rows(df: DataFrame, keep: Mapping[str, Column], inputs: Sequence[Column], fields: Mapping[str, pa.DataType],
+             compute: Callable[..., list[tuple]], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """One row per row of ``df``: the columns ``keep`` as they are, then what ``compute`` makes of ``inputs``.
+
+    ``compute`` gets one list for each input, for a slice of the rows, and
+    returns a tuple of ``fields`` for each row.  Only slices are turned into
+    Python objects, so a task's memory doesn't grow with Spark's batch size.
+    """
+    n_keep, n_inputs, names = len(keep), len(inputs), [*keep, *fields]
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, slice_rows):
+                batch = whole.slice(start, slice_rows)
+                given = [c.to_pylist() for c in batch.columns[n_keep : n_keep + n_inputs]]
+                made = zip(*compute(*given), strict=True)
+                arrays = [pa.array(v, kind) for v, kind in zip(made, fields.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:n_keep], *arrays], names=names)
+
+    chosen = df.select(*(c.alias(n) for n, c in keep.items()), *(c.alias(f"input_{i}_") for i, c in enumerate(inputs)))
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:n_keep]]
+    schema = ", ".join(kinds + [f"`{n}` {_ddl(k)}" for n, k in fields.items()])
+    return chosen.mapInArrow(mapped, schema)

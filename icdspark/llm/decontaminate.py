@@ -16,12 +16,12 @@ from __future__ import annotations
 from collections import defaultdict
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icdspark.llm.common import free_name, need_columns, stored, work_folder
+from icdspark.llm.common import free_name, map_rows, need_columns, stored, struct_of, work_folder
 
 #: Edits that an item may have, as a share of its characters.
 ERROR_RATE = 0.06
@@ -135,12 +135,9 @@ def _block(name: str, items: list[tuple[int, str]], error_rate: float) -> Block:
 def _matcher(sent: Broadcast, error_rate: float):
     name = f"{sent._jbroadcast.id()}"
 
-    @F.pandas_udf("array<struct<item_id:long,distance:int,end_at:long>>")
-    def matched(texts: pd.Series) -> pd.Series:
+    def matched(texts: list[str | None]) -> list[tuple]:
         block = _block(name, sent.value, error_rate)
-        return pd.Series([
-            [{"item_id": i, "distance": d, "end_at": e} for i, d, e in block.matches(normal(t))] for t in texts
-        ], dtype=object)
+        return [([{"item_id": i, "distance": d, "end_at": e} for i, d, e in block.matches(normal(t))],) for t in texts]
 
     return matched
 
@@ -171,10 +168,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
             for row in usable.filter(F.col("block") == number).toLocalIterator()
         )
         matched = _matcher(spark.sparkContext.broadcast(items), error_rate)
+        match = struct_of(item_id=pa.int64(), distance=pa.int32(), end_at=pa.int64())
+        matches = map_rows(docs, {"doc_id": F.col(id_col)}, [F.col(text_col)], {"m": pa.list_(match)}, matched)
         found.append(
-            docs.select(F.col(id_col).alias("doc_id"), matched(F.col(text_col)).alias("m"))
-            .filter(F.size("m") > 0).select("doc_id", F.explode("m").alias("m"))
-            .select("doc_id", "m.item_id", "m.distance", "m.end_at"))
+            matches.select("doc_id", F.explode("m").alias("m")).select("doc_id", "m.item_id", "m.distance", "m.end_at"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

@@ -16,10 +16,11 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icdspark.llm.common import need_columns
+from icdspark.llm.common import map_rows, need_columns
 
 # Phrases and labels that the base scan reports.
 BASE_PHRASES = {
@@ -158,14 +159,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     need_columns(docs, id_col, text_col)
     counts, n_docs = document_counts(docs, text_col)
-    fields = ("n_words long", "n_base long", "first_word long", "last_word long", "base_labels string",
-              "labels string", "score double")
     index = Index(counts, n_docs)
-
-    @F.pandas_udf(", ".join(fields))
-    def scanned(texts: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame([scan_text(index, t) for t in texts], columns=[f.split()[0] for f in fields])
-        return out.astype({"first_word": "Int64", "last_word": "Int64"})
-
-    return docs.select(F.col(id_col).alias("doc_id"), scanned(F.col(text_col)).alias("s")).select(
-        "doc_id", *(F.col(f"s.{f.split()[0]}").alias(f.split()[0]) for f in fields))
+    long, string = pa.int64(), pa.string()
+    fields = {"n_words": long, "n_base": long, "first_word": long, "last_word": long, "base_labels": string,
+              "labels": string, "score": pa.float64()}
+    return map_rows(docs, {"doc_id": F.col(id_col)}, [F.col(text_col)], fields,
+                    lambda texts: [scan_text(index, t) for t in texts])

@@ -19,11 +19,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icdspark.llm.common import free_name, need_columns, stored, work_folder
+from icdspark.llm.common import free_name, map_rows, need_columns, stored, work_folder
 
 MIN_WORDS = 50
 GRAM_WORDS = 20
@@ -93,15 +94,12 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int =
     """
     need_columns(docs, id_col, text_col)
     folder = work_folder(docs.sparkSession)
-    fields = ("grams array<long>", "start array<int>", "end array<int>", "window array<long>", "gram array<long>")
-
-    @F.pandas_udf(", ".join(fields))
-    def cut(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([windows_of(t, min_words, gram_words) for t in texts], columns=[f.split()[0] for f in fields])
-
-    units = stored(
-        docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"), cut(F.col(text_col)).alias("w"))
-        .select("doc_id", "h", "w.*").filter(F.size("window") > 0), folder, "units")
+    places, codes = pa.list_(pa.int32()), pa.list_(pa.int64())
+    units = map_rows(
+        docs, {"doc_id": F.col(id_col), "h": F.xxhash64(text_col)}, [F.col(text_col)],
+        {"grams": codes, "start": places, "end": places, "window": codes, "gram": codes},
+        lambda texts: [windows_of(t, min_words, gram_words) for t in texts])
+    units = stored(units.filter(F.size("window") > 0), folder, "units")
     # stored before they are joined: both sides of a join are then plain exchanges, and a hot key can be split
     repeated = units.select(F.explode("grams").alias("gram")).groupBy("gram").count().filter("count > 1")
     repeated = stored(repeated.select("gram"), folder, "repeated")
@@ -139,6 +137,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = G
 
     key, text_hash, found, out = (free_name(docs, n) for n in ("key", "text_hash", "runs", "cleaned"))
     # always a merge join: the runs grow with the documents, so they aren't broadcast at any size
+    # the function is said not to be deterministic so that it isn't run once for each field of its result
+    cleaned = cleaned.asNondeterministic()
     joined = docs.join(
         runs.select(F.col("doc_id").alias(key), F.col("h").alias(text_hash), F.col("runs").alias(found)).hint("merge"),
         F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(text_hash)), "left")

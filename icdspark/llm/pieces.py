@@ -18,10 +18,10 @@ SPACE = "▁"
 COARSE = re.compile(r" *[^ \n]+| +|\n")
 #: Cut also after letters that signs follow, and around digits.
 FINE = re.compile(r" *[^ \n\w]*[^\W\d_]+| *[^ \n\w]+| *[\d_]+| +|\n")
-#: Chunks longer than this are not kept in the per-process tables.
+#: Longer chunks are encoded one by one.
 KEEP_CHARS = 48
-#: Entries of a per-process table; when full it starts anew, so memory stays bounded.
-TABLE_ENTRIES = 400_000
+#: A per-process table with more entries than this is cut to what is in use, so memory stays bounded.
+TABLE_ENTRIES = 250_000
 
 
 class Vocabulary:

@@ -19,11 +19,12 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icdspark.llm.common import need_columns, stored, work_folder
+from icdspark.llm.common import map_rows, need_columns, stored, work_folder
 
 BITS = 18
 #: Labelled rows that the model is fitted on, at most.
@@ -162,11 +163,8 @@ def classify(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD,
     need_columns(docs, id_col, text_col)
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        w = sent.value
-        return pd.Series([score(w, t) for t in texts], dtype="float64")
+    def scored(texts: list[str | None]) -> list[tuple]:
+        return [(s, int(s >= threshold)) for s in (score(sent.value, t) for t in texts)]
 
-    return docs.select(
-        F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), scored(F.col(text_col)).alias("score")
-    ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    keep = {"doc_id": F.col(id_col), "held_out": held_out(id_col)}
+    return map_rows(docs, keep, [F.col(text_col)], {"score": pa.float64(), "predicted": pa.int32()}, scored)

@@ -16,10 +16,11 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icdspark.llm.common import free_name, need_columns
+from icdspark.llm.common import map_rows, need_columns
 
 WINDOW = 8
 SPACES = " \t\n\x0b\x0c\r"
@@ -160,26 +161,6 @@ def rule_order(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPL
     return sorted(RULES, key=worth)
 
 
-def verdict_struct(order: Sequence[str], measures: bool) -> Callable[[Column], Column]:
-    """A column function: the measures (if asked for), ``base_failed`` and ``kept`` of a text."""
-    order = list(order)
-    fields = [f"{n} long" for n in MEASURES] * measures + ["base_failed boolean"] * measures + ["kept boolean"]
-
-    @F.pandas_udf(", ".join(fields))
-    def judge(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            m = Measures(text)
-            kept = rejected_by(m, order) is None
-            if measures:
-                rows.append((*(getattr(m, n) for n in MEASURES), any(RULES[r](m) for r in BASE_RULES), kept))
-            else:
-                rows.append((kept,))
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in fields])
-
-    return judge
-
-
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    order: Sequence[str] | None = None) -> DataFrame:
     """One row per input row: its id, the measures, ``base_failed`` and ``kept``.
@@ -189,16 +170,27 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Columns besides the two named ones are ignored.
     """
     need_columns(docs, id_col, text_col)
-    judge = verdict_struct(order or rule_order(docs, text_col), measures=True)
-    return (
-        docs.select(F.col(id_col).alias("doc_id"), judge(F.col(text_col)).alias("q"))
-        .select("doc_id", *(F.col(f"q.{n}").alias(n) for n in (*MEASURES, "base_failed", "kept")))
-    )
+    order = list(order or rule_order(docs, text_col))
+
+    def judged(texts: list[str | None]) -> list[tuple]:
+        rows = []
+        for text in texts:
+            m = Measures(text)
+            kept = rejected_by(m, order) is None  # what the cascade measured isn't measured again
+            rows.append((*(getattr(m, n) for n in MEASURES), any(RULES[r](m) for r in BASE_RULES), kept))
+        return rows
+
+    fields = {n: pa.int64() for n in MEASURES} | {"base_failed": pa.bool_(), "kept": pa.bool_()}
+    return map_rows(docs, {"doc_id": F.col(id_col)}, [F.col(text_col)], fields, judged)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", order: Sequence[str] | None = None) -> DataFrame:
     """The rows of ``docs`` that every rule passes, with their columns as they were."""
     need_columns(docs, text_col)
-    judge = verdict_struct(order or rule_order(docs, text_col), measures=False)
-    mark = free_name(docs, "kept")
-    return docs.withColumn(mark, judge(F.col(text_col))["kept"]).filter(F.col(mark)).drop(mark)
+    order = list(order or rule_order(docs, text_col))
+
+    @F.pandas_udf("boolean")
+    def passes(texts: pd.Series) -> pd.Series:
+        return pd.Series([rejected_by(Measures(t), order) is None for t in texts], dtype=bool)
+
+    return docs.filter(passes(F.col(text_col)))

@@ -16,10 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icdspark.llm.common import need_columns
+from icdspark.llm.common import map_rows, need_columns, struct_of
 
 ASSIGN = re.compile(
     rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
@@ -142,8 +143,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     need_columns(docs, id_col, text_col)
 
-    @F.pandas_udf("spans array<struct<kind:string,start:int,end:int>>, base_sha256 string, joined string")
-    def scanned(texts: pd.Series) -> pd.DataFrame:
+    def scanned(texts: list[str | None]) -> list[tuple]:
         rows = []
         for text in texts:
             spans = scan(text)
@@ -152,11 +152,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [{"kind": k, "start": a, "end": b} for k, a, b in spans],
                 hashlib.sha256(base.encode()).hexdigest(), joined(spans),
             ))
-        return pd.DataFrame(rows, columns=["spans", "base_sha256", "joined"])
+        return rows
 
-    return docs.select(F.col(id_col).alias("doc_id"), scanned(F.col(text_col)).alias("s")).select(
-        "doc_id", F.col("s.spans").alias("spans"), F.col("s.base_sha256").alias("base_sha256"),
-        F.col("s.joined").alias("joined"))
+    span = struct_of(kind=pa.string(), start=pa.int32(), end=pa.int32())
+    fields = {"spans": pa.list_(span), "base_sha256": pa.string(), "joined": pa.string()}
+    return map_rows(docs, {"doc_id": F.col(id_col)}, [F.col(text_col)], fields, scanned)
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:

@@ -20,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icdspark.llm.common import free_name, need_columns, stored, work_folder
+from icdspark.llm.common import free_name, map_rows, need_columns, stored, work_folder
 from icdspark.llm.components import connected
 
 WORDS = 3
@@ -140,11 +141,8 @@ def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", te
     """``doc_id, f, h``: one row per input row; ``h`` is a hash of the exact text."""
     need_columns(docs, id_col, text_col)
 
-    @F.pandas_udf("long")
-    def printed(texts: pd.Series) -> pd.Series:
-        return pd.Series([simhash(t, words) for t in texts], dtype="int64")
-
-    return docs.select(F.col(id_col).alias("doc_id"), printed(F.col(text_col)).alias("f"), F.xxhash64(text_col).alias("h"))
+    keep = {"doc_id": F.col(id_col), "h": F.xxhash64(text_col)}
+    return map_rows(docs, keep, [F.col(text_col)], {"f": pa.int64()}, lambda texts: [(simhash(t, words),) for t in texts])
 
 
 def _grouped(docs: DataFrame, folder: str, words: int, max_bits: int, id_col: str, text_col: str,

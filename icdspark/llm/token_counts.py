@@ -15,11 +15,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icdspark.llm import pieces
-from icdspark.llm.common import need_columns
+from icdspark.llm.common import map_rows, need_columns
 
 LIMIT = 4096
 
@@ -32,25 +33,20 @@ class PrefixCounter:
         self.tokens: dict[str, int] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
-    def learn(self, chunks: set[str]) -> dict[str, int]:
-        """Token counts of at least these chunks."""
+    def learn(self, chunks: set[str]) -> None:
+        """Put these chunks' token counts into the table; a full table first forgets all others."""
+        if len(self.tokens) > pieces.TABLE_ENTRIES:
+            self.tokens = {c: self.tokens[c] for c in chunks if c in self.tokens}
         new = [c for c in chunks if c not in self.tokens]
-        counts = dict(zip(new, map(len, self.vocabulary.library_ids(new)), strict=True))
-        if len(self.tokens) + len(new) > pieces.TABLE_ENTRIES:
-            counts |= {c: self.tokens[c] for c in chunks if c in self.tokens}
-            self.tokens = {}
-        self.tokens.update((c, n) for c, n in counts.items() if len(c) <= pieces.KEEP_CHARS)
-        return counts
+        self.tokens.update(zip(new, map(len, self.vocabulary.library_ids(new)), strict=True))
 
     def ends(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Prefix lengths at chunk ends (code points of the text) and their token counts."""
-        known = self.tokens
         try:
-            counts = [known[c] for c in chunks]
+            counts = [self.tokens[c] for c in chunks]
         except KeyError:
-            fresh = self.learn(set(chunks))
-            known = self.tokens
-            counts = [fresh[c] if c in fresh else known[c] for c in chunks]
+            self.learn(set(chunks))
+            counts = [self.tokens[c] for c in chunks]
         lengths = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks))) - 1  # the added space
         return lengths, np.cumsum(np.asarray(counts, np.int64))
 
@@ -127,20 +123,21 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = LIMIT, id_col: s
     """
     need_columns(docs, id_col, text_col)
 
-    @F.pandas_udf("n_bytes long, n_tokens long, cut_chars long")
-    def counted(texts: pd.Series) -> pd.DataFrame:
+    def counted(texts: list[str | None]) -> list[tuple]:
         c, rows = counter(model_path), []
-        for text in texts:
-            text = text or ""
-            chunks = c.vocabulary.chunks(text)
+        texts = [t or "" for t in texts]
+        parts = [c.vocabulary.chunks(t) for t in texts]
+        c.learn(set().union(*parts))
+        for text, chunks in zip(texts, parts, strict=True):
             lengths, counts = c.ends(chunks)
-            rows.append((len(text.encode("utf-8", "surrogatepass")), int(counts[-1]) if len(counts) else 0,
+            n_tokens = int(counts[-1]) if len(counts) else 0
+            rows.append((len(text.encode("utf-8", "surrogatepass")), n_tokens, n_tokens > limit,
                          c.cut(chunks, lengths, counts, limit)))
-        return pd.DataFrame(rows, columns=["n_bytes", "n_tokens", "cut_chars"])
+        return rows
 
-    return docs.select(F.col(id_col).alias("doc_id"), counted(F.col(text_col)).alias("t")).select(
-        "doc_id", F.col("t.n_bytes").alias("n_bytes"), F.col("t.n_tokens").alias("n_tokens"),
-        (F.col("t.n_tokens") > limit).alias("over_limit"), F.col("t.cut_chars").alias("cut_chars"))
+    long = pa.int64()
+    fields = {"n_bytes": long, "n_tokens": long, "over_limit": pa.bool_(), "cut_chars": long}
+    return map_rows(docs, {"doc_id": F.col(id_col)}, [F.col(text_col)], fields, counted)
 
 
 def truncate(docs: DataFrame, model_path: str, budget: int, text_col: str = "text") -> DataFrame:
