@@ -33,6 +33,10 @@ class Vocabulary:
         self.piece_of = [p.id_to_piece(i) for i in range(size)]
         self.byte_ids = [p.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
+        self.text_of = [x.replace(SPACE, " ") for x in self.piece_of]
+        for b in range(128):
+            self.text_of[self.byte_ids[b]] = chr(b)
+        self.high_bytes = frozenset(self.byte_ids[128:])
         special = {i for i in range(size) if p.is_control(i) or p.is_unknown(i) or p.is_byte(i) or p.is_unused(i)}
         self.id_of = {x.replace(SPACE, " "): i for i, x in enumerate(self.piece_of) if i not in special}
         self.score_of = {x: p.get_score(i) for x, i in self.id_of.items()}
@@ -66,18 +70,21 @@ class Vocabulary:
 
     def decode(self, ids: list[int]) -> str:
         """The text of a sequence of ids, without the leading space; bad byte runs become U+FFFD."""
-        out, pending = [], bytearray()
-        for i in ids:
-            b = self.byte_of.get(i)
-            if b is not None:
-                pending.append(b)
-                continue
-            if pending:
-                out.append(pending.decode("utf-8", "replace"))
-                pending.clear()
-            out.append(self.piece_of[i])
-        out.append(pending.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
+        if self.high_bytes.isdisjoint(ids):
+            text = "".join(map(self.text_of.__getitem__, ids))
+        else:
+            out, pending = [], bytearray()
+            for i in ids:
+                b = self.byte_of.get(i)
+                if b is not None:
+                    pending.append(b)
+                    continue
+                if pending:
+                    out.append(pending.decode("utf-8", "replace"))
+                    pending.clear()
+                out.append(self.text_of[i])
+            out.append(pending.decode("utf-8", "replace"))
+            text = "".join(out)
         return text[1:] if text.startswith(" ") else text
 
 
