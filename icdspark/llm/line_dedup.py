@@ -18,13 +18,12 @@ minimum or an equality join; no pairs of places are made.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icdspark.llm.common import free_name, map_rows, need_columns, stored, work_folder
+from icdspark.llm.common import columns_of, free_name, map_rows, need_columns, stored, work_folder
 
 MIN_WORDS = 50
 GRAM_WORDS = 20
@@ -127,21 +126,18 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = G
     """
     runs = stored(repeated_runs(docs, min_words, gram_words, id_col, text_col), work_folder(docs.sparkSession), "runs")
 
-    @F.pandas_udf("text string, removed long")
-    def cleaned(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
-        rows = [
+    def cleaned(texts: list[str | None], found: list[list[dict] | None]) -> list[tuple]:
+        return [
             (t, 0) if r is None or t is None else without(t, [(x["start"], x["end"]) for x in r])
             for t, r in zip(texts, found, strict=True)
         ]
-        return pd.DataFrame(rows, columns=["text", "removed"]).astype({"removed": "int64"})
 
-    key, text_hash, found, out = (free_name(docs, n) for n in ("key", "text_hash", "runs", "cleaned"))
+    key, text_hash, found, text, removed = (free_name(docs, n) for n in ("key", "text_hash", "runs", "cleaned", "removed"))
     # always a merge join: the runs grow with the documents, so they aren't broadcast at any size
-    # the function is said not to be deterministic so that it isn't run once for each field of its result
-    cleaned = cleaned.asNondeterministic()
     joined = docs.join(
         runs.select(F.col("doc_id").alias(key), F.col("h").alias(text_hash), F.col("runs").alias(found)).hint("merge"),
         F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(text_hash)), "left")
-    done = joined.withColumn(out, cleaned(F.col(text_col), F.col(found)))
-    columns = [F.col(f"{out}.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return done.select(*columns, *([F.col(f"{out}.removed").alias(removed_col)] if removed_col else []))
+    done = map_rows(joined, columns_of(docs, text_col), [docs[f"`{text_col}`"], joined[found]],
+                    {text: pa.string(), removed: pa.int64()}, cleaned)
+    columns = [F.col(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    return done.select(*columns, *([F.col(removed).alias(removed_col)] if removed_col else []))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icdspark.llm.common import map_rows, need_columns
+from icdspark.llm.common import columns_of, free_name, map_rows, need_columns
 
 WINDOW = 8
 SPACES = " \t\n\x0b\x0c\r"
@@ -130,6 +130,7 @@ def rule_order(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPL
 
     An empty table, or rules that reject nothing, leave the order to cost alone.
     """
+    need_columns(docs, text_col)
     total = docs.count()
 
     def timed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,8 +190,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", order: Sequence[str] | No
     need_columns(docs, text_col)
     order = list(order or rule_order(docs, text_col))
 
-    @F.pandas_udf("boolean")
-    def passes(texts: pd.Series) -> pd.Series:
-        return pd.Series([rejected_by(Measures(t), order) is None for t in texts], dtype=bool)
-
-    return docs.filter(passes(F.col(text_col)))
+    mark = free_name(docs, "kept")
+    judged = map_rows(docs, columns_of(docs), [text_col], {mark: pa.bool_()},
+                      lambda texts: [(rejected_by(Measures(t), order) is None,) for t in texts])
+    return judged.filter(F.col(mark)).drop(mark)

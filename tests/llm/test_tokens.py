@@ -129,3 +129,18 @@ def test_decode_operator(make, texts):
     assert {r["doc_id"]: r["text"] for r in codec.decode(encoded, piece_model()).collect()} == dict(rows)
     best = codec.encode_nbest(make([(1, "the fox"), (2, "")]), piece_model(), 3).collect()
     assert [(r["doc_id"], r["rank"]) for r in best] == [(1, 0), (1, 1), (1, 2), (2, 0)]
+
+
+def test_a_full_table_is_cut_to_the_batch(monkeypatch, texts):
+    monkeypatch.setattr(codec, "TABLE_ENTRIES", 50)
+    small, large = codec.Codec(piece_model()), codec.Codec(piece_model())
+    monkeypatch.setattr(codec, "TABLE_ENTRIES", 300_000)
+    for some in (list(texts.values())[:8], list(texts.values())[4:12]):
+        parts = [small.vocabulary.chunks(t) for t in some]
+        monkeypatch.setattr(codec, "TABLE_ENTRIES", 50)
+        at = small.places(parts)
+        monkeypatch.setattr(codec, "TABLE_ENTRIES", 300_000)
+        for chunks, places, other in zip(parts, at, large.places(parts), strict=True):
+            assert (small.best[places] == large.best[other]).all() and (small.loss[places] == large.loss[other]).all()
+            assert (small.best_ids(places) == large.best_ids(other)).all()
+    assert len(small.place) < len(large.place)
