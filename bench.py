@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from icdspark.operators import cohort as co  # noqa: E402
 from icdspark.operators import embeddings as em  # noqa: E402
 from icdspark.operators import features as fe  # noqa: E402
 from icdspark.operators import metrics as me  # noqa: E402
@@ -91,8 +92,10 @@ def main() -> None:
 
     def q_label_models():
         p = state["prep"]
-        feats = p.written(state["pooled"].join(fe.doc_label_ids(p.labelled, p.label_index), list(fe.KEYS)), "features")
-        state["models"] = mo.fit_label_models(feats, p.num_labels, iterations=10)
+        counts = co.explode_labels(p.labelled).groupBy("label").agg(F.count(F.lit(1)).alias("frequency"))
+        top = p.written(fe.label_index(co.top_labels(counts, 50).select(F.col("label").alias("labels"))), "top_labels")
+        feats = p.written(state["pooled"].join(fe.doc_label_ids(p.labelled, top), list(fe.KEYS)), "features")
+        state["models"] = mo.fit_label_models(feats, top.count(), iterations=10)
 
     def q_linear_scores():
         run(mo.linear_scores(state["pooled"], state["models"], min_score=0.5))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from icdspark.functions.maths import sigmoid
 from icdspark.operators.features import KEYS
 
-#: Weights (labels x dims) in one block of the scoring join.
+#: Weights (labels x dims) in one block of the scoring join, and cells (documents x labels) of one gradient step.
 BLOCK_CELLS = 1_000_000
 
 
@@ -31,15 +31,18 @@ def _gradients(sent: Broadcast):
     def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = sent.value
         total = np.zeros((weights.shape[0], weights.shape[1] + 2))
-        for batch in batches:
-            x = np.column_stack([np.stack(batch["x"].to_numpy()), np.ones(len(batch))])
-            z = x @ weights.T
-            y = np.zeros_like(z)
-            for row, ids in enumerate(batch["label_ids"]):
-                y[row, np.asarray(ids, np.int64)] = 1.0
-            total[:, :-2] += (1.0 / (1.0 + np.exp(-z)) - y).T @ x
-            total[:, -2] += (np.logaddexp(0.0, z) - y * z).sum(0)
-            total[:, -1] += y.sum(0)
+        rows = max(1, BLOCK_CELLS // max(1, len(weights)))  # documents x labels held at a time
+        for whole in batches:
+            for start in range(0, len(whole), rows):
+                batch = whole.iloc[start : start + rows]
+                x = np.column_stack([np.stack(batch["x"].to_numpy()), np.ones(len(batch))])
+                z = x @ weights.T
+                y = np.zeros_like(z)
+                for row, ids in enumerate(batch["label_ids"]):
+                    y[row, np.asarray(ids, np.int64)] = 1.0
+                total[:, :-2] += (1.0 / (1.0 + np.exp(-z)) - y).T @ x
+                total[:, -2] += (np.logaddexp(0.0, z) - y * z).sum(0)
+                total[:, -1] += y.sum(0)
         yield pd.DataFrame({"label": np.arange(len(total)), "sums": list(total)})
 
     return summed
