@@ -28,7 +28,7 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 12, 18, 16
 #: Order of the kinds in span lists.
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64", "entropy_lower", "entropy_upper")
 BASE_KINDS = KINDS[:3]
 
 HEX_LOWER = b"0123456789abcdef"
@@ -39,10 +39,15 @@ CLASSES: dict[str, tuple[bytes, int, float, tuple[bytes, ...]]] = {
         b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 20, 3.7,
         (b"0123456789", b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ),
+    # keys of one case (base32 and the like); what is hex alone is left to its own class
+    "entropy_lower": (b"abcdefghijklmnopqrstuvwxyz0123456789", 20, 3.5, (b"0123456789", b"ghijklmnopqrstuvwxyz")),
+    "entropy_upper": (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 20, 3.5, (b"0123456789", b"GHIJKLMNOPQRSTUVWXYZ")),
 }
-#: Strings of high entropy that are no secrets: alphabets, digit runs, documentation keys, UUIDs.
+#: Strings of high entropy that are no secrets: alphabets (as far as they go), digit runs, documentation keys, UUIDs.
+#: Only windows that overlap one are spared, not all of the run around it.
 ALLOWED = tuple(re.compile(p, re.IGNORECASE) for p in (
-    rb"abcdefghijklmnop|0123456789abcdef|qwertyuiop|1234567890",
+    rb"abcdefghijklmnop(?:qrstuvwxyz)?(?:0123456789)?|0123456789abcdef(?:ghijklmnopqrstuvwxyz)?|qwertyuiop|1234567890",
+    rb"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
     rb"example|placeholder|changeme|lorem",
     rb"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
 ))
@@ -106,6 +111,17 @@ def base_spans(raw: bytes) -> list[tuple[str, int, int]]:
     return found
 
 
+def not_allowed(value: bytes) -> Iterator[tuple[int, int]]:
+    """(start, end) of the parts of ``value`` between its allowed strings."""
+    at = 0
+    for start, end in sorted(m.span() for p in ALLOWED for m in p.finditer(value)):
+        if start > at:
+            yield at, start
+        at = max(at, end)
+    if at < len(value):
+        yield at, len(value)
+
+
 def high_entropy(raw: bytes) -> list[tuple[str, int, int]]:
     found = []
     for kind, (_, window, bits, mixed) in CLASSES.items():
@@ -113,9 +129,9 @@ def high_entropy(raw: bytes) -> list[tuple[str, int, int]]:
             value = raw[a:b]
             if any(len(value.translate(None, chars)) == len(value) for chars in mixed):
                 continue
-            if any(p.search(value) for p in ALLOWED):
-                continue
-            found += [(kind, a + s, a + e) for s, e in entropy_spans(value, window, bits)]
+            for start, end in not_allowed(value):
+                spans = entropy_spans(value[start:end], window, bits)
+                found += [(kind, a + start + s, a + start + e) for s, e in spans]
     return found
 
 
