@@ -18,7 +18,7 @@ from collections import defaultdict
 import ahocorasick
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icdspark.llm.common import free_name, map_rows, need_columns, stored, struct_of, work_folder
@@ -153,6 +153,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
     Items with the same id are matched one by one.  Repeated rows get rows
     each; empty tables give an empty one; other columns are ignored.
     """
+    return _leaks(docs, benchmark, {"doc_id": F.col(id_col)}, error_rate, min_words, block_chars, id_col, text_col)
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, keep: dict[str, Column], error_rate: float, min_words: int,
+           block_chars: int, id_col: str, text_col: str) -> DataFrame:
+    """The columns ``keep`` of a row of ``docs``, and ``item_id, distance, end_at`` of each item that it holds."""
     need_columns(docs, id_col, text_col)
     need_columns(benchmark, "item_id", "text")
     spark = docs.sparkSession
@@ -169,9 +175,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
         )
         matched = _matcher(spark.sparkContext.broadcast(items), error_rate)
         match = struct_of(item_id=pa.int64(), distance=pa.int32(), end_at=pa.int64())
-        matches = map_rows(docs, {"doc_id": F.col(id_col)}, [F.col(text_col)], {"m": pa.list_(match)}, matched)
+        matches = map_rows(docs, keep, [F.col(text_col)], {"m": pa.list_(match)}, matched)
         found.append(
-            matches.select("doc_id", F.explode("m").alias("m")).select("doc_id", "m.item_id", "m.distance", "m.end_at"))
+            matches.select(*keep, F.explode("m").alias("m")).select(*keep, "m.item_id", "m.distance", "m.end_at"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -180,11 +186,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_words: int = MIN_WORDS,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id holds no benchmark item; columns stay as they were.
+    """The rows of ``docs`` whose text holds no benchmark item; columns stay as they were.
 
-    Rows that share an id with a leaking one go with it (null ids too).
+    Each row is judged by its own text, whatever other rows have its id (or none).
     """
-    leaks = find_leaks(docs, benchmark, error_rate, min_words, id_col=id_col, text_col=text_col)
-    key = free_name(docs, "key")
-    ids = stored(leaks.select(F.col("doc_id").alias(key)).distinct(), work_folder(docs.sparkSession), "leaks")
-    return docs.join(ids.hint("merge"), F.col(id_col).eqNullSafe(F.col(key)), "left_anti")
+    keep = {"doc_id": F.col(id_col), "h": F.xxhash64(text_col)}
+    leaks = _leaks(docs, benchmark, keep, error_rate, min_words, BLOCK_CHARS, id_col, text_col)
+    key, text_hash = free_name(docs, "key"), free_name(docs, "text_hash")
+    rows = leaks.select(F.col("doc_id").alias(key), F.col("h").alias(text_hash)).distinct()
+    rows = stored(rows, work_folder(docs.sparkSession), "leaks")
+    return docs.join(
+        rows.hint("merge"), F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(text_hash)), "left_anti")

@@ -147,11 +147,19 @@ def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", te
 
 def _grouped(docs: DataFrame, folder: str, words: int, max_bits: int, id_col: str, text_col: str,
              bucket_rows: int) -> DataFrame:
+    """``doc_id, h, f, node, component_id``; ``node`` is one of the component's fingerprints, the same for all its rows.
+
+    Two components have the same smallest id where an id is repeated over
+    unrelated texts; their nodes differ.
+    """
     rows = stored(fingerprints(docs, words, id_col, text_col), folder, "prints")
     prints = stored(rows.groupBy("f").agg(F.min("doc_id").alias("first")), folder, "distinct")
     pairs = links(prints, folder, max_bits, bucket_rows)
-    label = connected(pairs, prints.select(F.col("f").alias("node"), F.col("first").alias("label")), folder)
-    label = stored(label.select(F.col("node").alias("f"), F.col("label").alias("component_id")), folder, "labels")
+    least = F.struct(F.col("first").isNull().alias("none"), "first", "f")  # a missing id is the last, as in min()
+    label = connected(pairs, prints.select(F.col("f").alias("node"), least.alias("label")), folder)
+    label = stored(
+        label.select(F.col("node").alias("f"), F.col("label.f").alias("node"), F.col("label.first").alias("component_id")),
+        folder, "labels")
     return rows.join(label, "f")
 
 
@@ -174,14 +182,16 @@ def keep_first(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, id
     """``docs`` with one row of each component, the one with its smallest id; columns stay as they were.
 
     If the kept id is repeated within its component, the row whose text has
-    the smallest hash stays, and one of those that repeat it exactly.  A
-    component without any id keeps all its rows: nothing tells which is first.
+    the smallest hash stays, and one of those that repeat it exactly.  An id
+    that is repeated over several components has a row in each where it is the
+    smallest.  A component without any id keeps all its rows: nothing tells
+    which is first.
     """
     need_columns(docs, id_col, text_col)
     folder = work_folder(docs.sparkSession)
     groups = _grouped(docs, folder, words, max_bits, id_col, text_col, BUCKET_ROWS)
-    of_first = groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id", "h").count()
-    firsts = stored(of_first.groupBy("doc_id").agg(F.min(F.struct("h", "count")).alias("m")).select(
+    of_first = groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("node", "doc_id", "h").count()
+    firsts = stored(of_first.groupBy("node", "doc_id").agg(F.min(F.struct("h", "count")).alias("m")).select(
         "doc_id", F.col("m.h").alias("h"), (F.col("m.count") > 1).alias("repeated"))
         .unionByName(groups.filter("doc_id is null and component_id is null").select("doc_id", "h").distinct()
                      .withColumn("repeated", F.lit(False))), folder, "firsts")
@@ -191,4 +201,4 @@ def keep_first(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, id
         F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(text_hash)))
     if firsts.filter("repeated").isEmpty():
         return kept.select(*docs.columns)
-    return kept.filter(~F.col(again)).unionByName(kept.filter(again).dropDuplicates([id_col])).select(*docs.columns)
+    return kept.filter(~F.col(again)).unionByName(kept.filter(again).dropDuplicates([id_col, text_hash])).select(*docs.columns)

@@ -81,6 +81,15 @@ def test_blocks_give_the_same(make):
     assert sorted(one) == sorted(many) and len(one) == 40
 
 
+def test_each_row_is_judged_by_its_own_text(make):
+    item = "The quick brown fox jumps over the lazy dog near the river bank"
+    rows = [(None, f"it says {item}"), (None, "clean text without an id"), (None, None), (1, f"{item} again"), (1, "clean text"),
+            (2, item), (2, item), (3, "another clean text")]
+    got = dc.keep_clean(make(rows), make([(7, item)], "item_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == [
+        (0, ""), (0, "clean text without an id"), (1, "clean text"), (3, "another clean text")]
+
+
 def test_odd_rows(make, odd_docs, no_docs, spark):
     bench = make([(1, None), (2, ""), (3, "too short"), (None, "tied text of seven words in all but one"),
                   (4, "line 1 of many lines line 2 of many lines")], "item_id long, text string")

@@ -130,3 +130,10 @@ def test_repeated_id_with_other_text(make):
     rows = [(1, "a b c d"), (1, "a b c d "), (2, "a b c d"), (3, "quite another text")]
     got = sh.keep_first(make(rows)).collect()
     assert sorted(r["doc_id"] for r in got) == [1, 3]
+
+
+def test_an_id_repeated_over_unrelated_texts_is_first_in_each_group(make):
+    rows = [(1, "a b c d"), (1, "quite another text of its own"), (1, "quite another text of its own"),
+            (2, "a b c d"), (3, "quite another text of its own"), (None, "quite another text of its own")]
+    got = sh.keep_first(make(rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(1, "a b c d"), (1, "quite another text of its own")]
