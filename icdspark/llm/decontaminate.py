@@ -25,7 +25,7 @@ from icdspark.llm.common import free_name, map_rows, need_columns, stored, struc
 
 #: Edits that an item may have, as a share of its characters.
 ERROR_RATE = 0.06
-#: Items with fewer words are too short to be told from ordinary text.
+#: Items with fewer words are too short for edits: they match exactly and as whole words.
 MIN_WORDS = 8
 #: Characters of items in one block (an automaton of a few hundred MB at most).
 BLOCK_CHARS = 2_000_000
@@ -39,15 +39,20 @@ def normal(text: str | None) -> str:
 
 
 class Item:
-    def __init__(self, item_id: int, text: str, error_rate: float):
-        self.id, self.text, self.size = item_id, text, len(text)
-        self.budget = int(error_rate * self.size)
+    def __init__(self, item_id: int, text: str, error_rate: float, whole: bool = False):
+        self.id, self.text, self.size, self.whole = item_id, text, len(text), whole
+        self.budget = 0 if whole else int(error_rate * self.size)
         cuts = [self.size * i // (self.budget + 1) for i in range(self.budget + 2)]
         self.pieces = [(a, text[a:b]) for a, b in zip(cuts, cuts[1:])]
         self.masks: dict[str, int] = {}
         for i, c in enumerate(text):
             self.masks[c] = self.masks.get(c, 0) | 1 << i
 
+    def stands_alone(self, text: str, at: int) -> bool:
+        """Whether no word goes on beyond either end of the item, which occurs at ``at``."""
+        inner, outer = (self.text[0], self.text[-1]), (text[at - 1 : at], text[at + self.size : at + self.size + 1])
+        return not any(a.isalnum() and b.isalnum() for a, b in zip(inner, outer, strict=True))
+
     def best(self, text: str) -> tuple[int, int]:
         """(distance, end) of the best occurrence inside ``text``: Myers' algorithm, one column for each character."""
         full = (1 << self.size) - 1
@@ -76,8 +81,8 @@ class Item:
 class Block:
     """The automaton of some items' pieces."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float):
-        self.items = [Item(i, t, error_rate) for i, t in items]
+    def __init__(self, items: list[tuple[int, str]], error_rate: float, min_words: int = MIN_WORDS):
+        self.items = [Item(i, t, error_rate, len(t.split()) < min_words) for i, t in items]
         where = defaultdict(list)
         for item in self.items:
             for offset, piece in item.pieces:
@@ -98,6 +103,11 @@ class Block:
                 diagonals[item].add(end + 1 - offset)
         found = []
         for item, starts in diagonals.items():
+            if item.whole:  # its one piece is all of it, so a hit is an occurrence
+                at = next((s for s in sorted(starts) if item.stands_alone(text, s)), None)
+                if at is not None:
+                    found.append((item.id, 0, at + item.size))
+                continue
             best = None
             for low, high in _merged(sorted(starts), 2 * item.budget):
                 begin = max(0, low - item.budget)
@@ -124,19 +134,19 @@ def _merged(starts: list[int], gap: int) -> list[tuple[int, int]]:
 _blocks: dict[str, Block] = {}
 
 
-def _block(name: str, items: list[tuple[int, str]], error_rate: float) -> Block:
+def _block(name: str, items: list[tuple[int, str]], error_rate: float, min_words: int) -> Block:
     """The block's automaton, built once in each process; only the latest is kept."""
     if name not in _blocks:
         _blocks.clear()
-        _blocks[name] = Block(items, error_rate)
+        _blocks[name] = Block(items, error_rate, min_words)
     return _blocks[name]
 
 
-def _matcher(sent: Broadcast, error_rate: float):
+def _matcher(sent: Broadcast, error_rate: float, min_words: int):
     name = f"{sent._jbroadcast.id()}"
 
     def matched(texts: list[str | None]) -> list[tuple]:
-        block = _block(name, sent.value, error_rate)
+        block = _block(name, sent.value, error_rate, min_words)
         return [([{"item_id": i, "distance": d, "end_at": e} for i, d, e in block.matches(normal(t))],) for t in texts]
 
     return matched
@@ -148,8 +158,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
 
     An item matches within ``int(error_rate * its characters)`` edits, both in
     normal form (see ``normal``); ``distance`` is the smallest found, ``end_at``
-    where that occurrence ends in the normal form.  Null and empty texts match
-    nothing, nor do items with fewer than ``min_words`` words or a null id.
+    where that occurrence ends in the normal form.  An item with fewer than
+    ``min_words`` words matches without an edit only, and not inside a longer
+    word.  Null and empty texts match nothing, nor do empty items or a null id.
     Items with the same id are matched one by one.  Repeated rows get rows
     each; empty tables give an empty one; other columns are ignored.
     """
@@ -162,18 +173,15 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, keep: dict[str, Column], error
     need_columns(docs, id_col, text_col)
     need_columns(benchmark, "item_id", "text")
     spark = docs.sparkSession
-    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda w: w != "")
-    usable = benchmark.select("item_id", "text").filter((F.size(words) >= min_words) & F.col("item_id").isNotNull())
+    usable = benchmark.select("item_id", "text").filter(F.col("text").isNotNull() & F.col("item_id").isNotNull())
     chars = usable.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n_blocks = 1 + chars // block_chars
     usable = usable.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)))
     found = []
     for number in range(n_blocks):
-        items = sorted(
-            (row["item_id"], normal(row["text"]))
-            for row in usable.filter(F.col("block") == number).toLocalIterator()
-        )
-        matched = _matcher(spark.sparkContext.broadcast(items), error_rate)
+        texts = usable.filter(F.col("block") == number).toLocalIterator()
+        items = sorted((row["item_id"], item) for row in texts if (item := normal(row["text"])))
+        matched = _matcher(spark.sparkContext.broadcast(items), error_rate, min_words)
         match = struct_of(item_id=pa.int64(), distance=pa.int32(), end_at=pa.int64())
         matches = map_rows(docs, keep, [F.col(text_col)], {"m": pa.list_(match)}, matched)
         found.append(

@@ -81,6 +81,15 @@ def test_blocks_give_the_same(make):
     assert sorted(one) == sorted(many) and len(one) == 40
 
 
+def test_short_items_match_exactly_and_as_whole_words(make):
+    bench = make([(1, "Who wrote Hamlet?"), (2, "red  fox"), (3, " "), (4, "é")], "item_id long, text string")
+    rows = [(1, "asked: who wrote\nhamlet? then"), (2, "who wrote hamlets?"), (3, "a hundred fox"), (4, "a redfox; red foxes, a (RED FOX)."),
+            (5, "red foxes"), (6, "red fix"), (7, "café"), (8, "é")]
+    got = {(r["doc_id"], r["item_id"]): r for r in dc.find_leaks(make(rows), bench).collect()}
+    assert set(got) == {(1, 1), (4, 2), (8, 4)} and all(r["distance"] == 0 for r in got.values())
+    assert got[4, 2]["end_at"] == len("a redfox; red foxes, a (red fox")
+
+
 def test_each_row_is_judged_by_its_own_text(make):
     item = "The quick brown fox jumps over the lazy dog near the river bank"
     rows = [(None, f"it says {item}"), (None, "clean text without an id"), (None, None), (1, f"{item} again"), (1, "clean text"),
