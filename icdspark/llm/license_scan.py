@@ -1,12 +1,12 @@
 """Licence scan with a positional rare-token index.
 
-Templates are short licence notices as word sequences.  The index holds, for
-each template, postings (word -> offset).  A file looks up its licence words
-that are rarest in the corpus (highest IDF); each posting of such a word
-proposes a start of the template, and the proposals of its other words are
-intersected at that start.  A template counts only if its mandatory key phrase
-stands there word by word.  Every template is anchored at its key phrase's
-rarest word, so no place of a phrase is missed.
+Templates are short licence notices as word sequences.  The index holds one
+posting for each template: the word of its mandatory key phrase that is rarest
+in the corpus (highest IDF).  Each place of that word in a file proposes a
+start, and the template counts if its key phrase stands there word by word, so
+no place of a phrase is missed.  The other words of the notice, at their
+relative positions, only give the score; a file's own rarest words aren't
+looked up and no postings are intersected.
 """
 
 from __future__ import annotations
