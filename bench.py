@@ -82,7 +82,7 @@ def main() -> None:
         run(roc.macro_roc_area(ProxyTables(spark, sf_dir).pred()))
 
     def q_word2vec():
-        em.fit_word2vec(state["prep"].train, seed=7, num_partitions=cpus)
+        em.fit_word2vec(state["prep"].train, seed=7)
 
     def q_max_pool():
         p = state["prep"]

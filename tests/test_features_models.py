@@ -83,6 +83,14 @@ def test_word2vec_vocab_and_mean_vector(spark):
     assert dv[2] == [0.0] * 5
 
 
+def test_word2vec_trains_in_several_tasks(spark):
+    train = spark.createDataFrame([(f"a b c d{i % 7} e",) for i in range(60)], "text string")
+    model = em.fit_word2vec(train, vector_size=5)
+    assert model.getNumPartitions() == em.NUM_PARTITIONS > 1
+    again = em.fit_word2vec(train, vector_size=5, num_partitions=1)
+    assert {r["word"] for r in em.word_vectors(model).collect()} == {r["word"] for r in em.word_vectors(again).collect()}
+
+
 def test_word2vec_save_load(spark, tmp_dir):
     train = spark.createDataFrame([("a b a b a b",)], "text string")
     model = em.fit_word2vec(train, vector_size=3, min_count=1, seed=1)
