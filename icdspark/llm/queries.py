@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from icdspark.llm import (
+    conversation_repair,
     decontaminate,
     html_extract,
     license_scan,
@@ -17,8 +18,10 @@ from icdspark.llm import (
     secret_scan,
     sentencepiece_codec,
     simhash_dedup,
+    source_mix,
     sql,
     token_counts,
+    vector_codes,
 )
 from icdspark.llm.common import read_table
 
@@ -81,13 +84,30 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.report(read_table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(read_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_simhash_dedup, op2_sentencepiece, op3_license_scan, op4_quality_classifier, op5_decontaminate,
         op6_token_counts, op7_line_dedup, op8_html_extract, op9_secret_scan, op10_quality_rules,
+        op11_vector_codes, op12_source_mix, op13_conversation_repair,
     )
     return {f.__name__: f for f in operators}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality_rules": sql.QUALITY_RULES}
+    return {
+        "op10_quality_rules": sql.QUALITY_RULES,
+        "op11_vector_codes": sql.vector_codes(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE),
+        "op12_source_mix": sql.SOURCE_MIX,
+    }
