@@ -81,6 +81,9 @@ def main() -> None:
     def q_macro_roc():
         run(roc.macro_roc_area(ProxyTables(spark, sf_dir).pred()))
 
+    def q_macro_roc_curve():
+        run(roc.macro_roc_curve(ProxyTables(spark, sf_dir).pred()))
+
     def q_word2vec():
         em.fit_word2vec(state["prep"].train, seed=7)
 
@@ -88,7 +91,7 @@ def main() -> None:
         p = state["prep"]
         unknown = spark.range(1).select(F.lit(p.num_words + 1).cast("bigint").alias("idx"))
         vectors = ProxyTables(spark, sf_dir).index_vectors(p.word_index.select("idx").unionByName(unknown))
-        state["pooled"] = p.written(em.max_pool(p.encoded(), vectors), "pooled")
+        state["pooled"] = p.written(em.max_pool(p.encoded_table, vectors), "pooled")
 
     def q_label_models():
         p = state["prep"]
@@ -100,6 +103,9 @@ def main() -> None:
     def q_linear_scores():
         run(mo.linear_scores(state["pooled"], state["models"], min_score=0.5))
 
+    def q_top_labels():
+        run(mo.top_k_scores(state["pooled"], state["models"], 15))
+
     queries = {
         "labelled_admissions": q_labelled,
         "split": q_split,
@@ -110,10 +116,12 @@ def main() -> None:
         "metrics_report": q_metrics_report,
         "roc_auc": q_roc_auc,
         "macro_roc": q_macro_roc,
+        "macro_roc_curve": q_macro_roc_curve,
         "word2vec_fit": q_word2vec,
         "max_pool": q_max_pool,
         "label_models": q_label_models,
         "linear_scores": q_linear_scores,
+        "top_labels": q_top_labels,
     }
     q_labelled()  # JVM warm-up, not timed
     times = {}

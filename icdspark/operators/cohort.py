@@ -6,7 +6,9 @@ bigint, ``seq_num`` string (as in the source files), ``icd9_code`` string.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from icdspark.functions.codes import dot_diagnosis, dot_procedure
@@ -25,7 +27,8 @@ def _id(c: str, on_bad: str) -> Column:
     """Cast an id column to bigint.
 
     ``raise``: a null or non-integer id fails the job (whatever the session's
-    ANSI setting); ``quarantine``: such rows get a null id and are dropped.
+    ANSI setting); ``quarantine``: such rows get a null id and are left out
+    (``split_rejects`` keeps them).
     """
     col = F.col(c)
     parsed = F.expr(f"try_cast(`{c}` as bigint)")
@@ -38,6 +41,32 @@ def _id(c: str, on_bad: str) -> Column:
     )
 
 
+def split_rejects(
+    raw: DataFrame, ids: Sequence[str], needed: Sequence[str] = (), write: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """b04, quarantine: the rows of ``raw`` that load, and a table of those that don't.
+
+    A row is rejected for the first column of ``ids`` that is null or no
+    integer, or of ``needed`` that is null.  The reject table keeps the whole
+    source row as a VARIANT, whatever its columns, with ``column`` and
+    ``reason``.  Kept and rejected rows together are the input.  ``write``
+    stores the checked rows as a table, so both parts come out of one pass.
+    """
+    def fault(c: str, why: str) -> Column:
+        return F.struct(F.lit(c).alias("column"), F.lit(why).alias("reason"))
+
+    found = [
+        F.when(F.col(c).isNull(), fault(c, "null")).when(F.expr(f"try_cast(`{c}` as bigint)").isNull(), fault(c, "not an integer"))
+        for c in ids
+    ] + [F.when(F.col(c).isNull(), fault(c, "null")) for c in needed if c not in ids]
+    checked = raw.withColumn("__fault", F.coalesce(*found))
+    if write:
+        checked = write(checked)
+    kept = checked.filter(F.col("__fault").isNull()).drop("__fault")
+    bad = checked.filter(F.col("__fault").isNotNull())
+    return kept, bad.select(F.to_variant_object(F.struct(*raw.columns)).alias("source"), "__fault.column", "__fault.reason")
+
+
 def typed_codes(raw: DataFrame, src: int, drop_subset=None, on_bad: str = "raise") -> DataFrame:
     """Codes with typed ids and the raw (un-dotted) code: subject_id, hadm_id, seq_num, raw_code, src."""
     df = raw.na.drop(how="any", subset=drop_subset)
@@ -141,6 +170,44 @@ def join_texts_labels(texts: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.join(labels, ["subject_id", "hadm_id"]).select("subject_id", "hadm_id", "text", "labels")
 
 
+class MissingKeys(ValueError):
+    """Admissions that stand on one side of a strict join only."""
+
+    def __init__(self, counts: dict[str, int]):
+        super().__init__(", ".join(f"{n} admissions {what.replace('_', ' ')}" for what, n in counts.items() if n))
+        self.counts = counts
+
+
+def observed_join(texts: DataFrame, labels: DataFrame) -> tuple[DataFrame, Observation]:
+    """d03 that counts what it leaves out: the joined rows, and the numbers of keys without a partner on either side.
+
+    The counts are taken while the join runs and are there after its first
+    action; the join's shuffles are those of the lenient form.
+    """
+    keys = ["subject_id", "hadm_id"]
+    both = texts.withColumn("__t", F.lit(True)).join(labels.withColumn("__l", F.lit(True)), keys, "full_outer")
+    counts = Observation()
+    seen = both.observe(
+        counts, F.count(F.when(F.col("__l").isNull(), 1)).alias("without_labels"),
+        F.count(F.when(F.col("__t").isNull(), 1)).alias("without_text"))
+    return seen.filter(F.col("__t") & F.col("__l")).select(*keys, "text", "labels"), counts
+
+
+def strict_labelled_admissions(codes: DataFrame, notes: DataFrame, write: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """d03, strict: raises ``MissingKeys`` if the cohort's texts and labels don't pair up.
+
+    The semi-joins go by admission alone, so a pair can still be missing where a
+    note and a code of one admission name different patients.  ``write`` stores
+    the joined rows as a table; that one job also counts, and the check follows it.
+    """
+    kept_codes, kept_notes = filter_cohort(codes, notes)
+    joined, counts = observed_join(admission_texts(tokenize_notes(kept_notes)), admission_labels(kept_codes))
+    out = write(joined)
+    if any(counts.get.values()):
+        raise MissingKeys(counts.get)
+    return out
+
+
 def labelled_admissions(codes: DataFrame, notes: DataFrame) -> DataFrame:
     """The ETL result: subject_id, hadm_id, text, labels for admissions with notes and codes.
 
@@ -171,18 +238,28 @@ def distinct_codes(codes: DataFrame) -> DataFrame:
 
 
 def admission_counts(notes: DataFrame, codes: DataFrame) -> DataFrame:
-    """e03: distinct admissions in notes and codes, before and after the cohort filter."""
-    kept_codes, kept_notes = filter_cohort(codes, notes)
-    parts = [
-        notes.agg(F.count_distinct("hadm_id").alias("notes_admissions")),
-        codes.agg(F.count_distinct("hadm_id").alias("codes_admissions")),
-        kept_notes.agg(F.count_distinct("hadm_id").alias("kept_notes_admissions")),
-        kept_codes.agg(F.count_distinct("hadm_id").alias("kept_codes_admissions")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(p)  # one-row frames
-    return out
+    """e03: distinct admissions in notes and codes, before and after the cohort filter.
+
+    Exact, from bitmaps of the ids (32,768 ids each): either input is read once
+    and becomes one small row for each range of ids it touches.  An admission
+    survives the filter when it is in both, so both figures after it are
+    |notes| + |codes| - |notes or codes|.  Null ids count nowhere.
+    """
+    def bits(df: DataFrame, name: str) -> DataFrame:
+        ids = df.select(F.col("hadm_id").cast("bigint").alias("id")).filter(F.col("id").isNotNull())
+        return ids.groupBy(F.bitmap_bucket_number("id").alias("range")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits")).withColumn("src", F.lit(name))
+
+    def of(name: str) -> Column:
+        return F.sum(F.when(F.col("src") == name, F.bitmap_count("bits")).otherwise(0))
+
+    ranges = bits(notes, "notes").unionByName(bits(codes, "codes")).groupBy("range").agg(
+        of("notes").alias("notes"), of("codes").alias("codes"), F.bitmap_count(F.bitmap_or_agg("bits")).alias("either"))
+    totals = ranges.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("notes", "codes", "either")])
+    both = F.col("notes") + F.col("codes") - F.col("either")
+    return totals.select(
+        F.col("notes").alias("notes_admissions"), F.col("codes").alias("codes_admissions"),
+        both.alias("kept_notes_admissions"), both.alias("kept_codes_admissions"))
 
 
 def admissions_per_patient(labelled: DataFrame) -> DataFrame:

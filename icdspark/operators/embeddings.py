@@ -67,6 +67,22 @@ def document_vectors(
     return out.select(*keys, vector_to_array("doc_vector").alias("doc_vector"))
 
 
+def mean_vectors(docs: DataFrame, vectors: DataFrame, dim: int, text_col: str = "text", keys: Sequence[str] = KEYS) -> DataFrame:
+    """i03 without the model: ``document_vectors`` from the written table ``vectors`` (word, vector).
+
+    A document meets the vector of each of its words once, weighted by the
+    word's count, in a join on the word; no task holds all vectors.
+    """
+    tokens = docs.select(*keys, split_on_space(text_col).alias("tokens"))
+    terms = tokens.select(*keys, F.explode("tokens").alias("word")).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+    weighted = terms.join(vectors.select("word", "vector"), "word").select(
+        *keys, array_to_vector(F.transform("vector", lambda x: x * F.col("n"))).alias("v"))
+    sums = weighted.groupBy(*keys).agg(vector_to_array(Summarizer.sum(F.col("v"))).alias("sums"))
+    total = F.coalesce("sums", F.array_repeat(F.lit(0.0), dim))
+    return tokens.select(*keys, F.size("tokens").alias("n_tokens")).join(sums, list(keys), "left").select(
+        *keys, F.transform(total, lambda x: x / F.greatest(F.col("n_tokens"), F.lit(1))).alias("doc_vector"))
+
+
 def save_model(model: Word2VecModel, path: str) -> None:
     """a10: persist a fitted model (overwrite)."""
     model.write().overwrite().save(path)
@@ -95,21 +111,50 @@ def token_vectors(
     doc_ids: DataFrame, embedding: DataFrame, keys: Sequence[str] = KEYS, ids_col: str = "word_ids"
 ) -> DataFrame:
     """d07: one row per document token with its vector; an id without a vector is an error."""
-    toks = doc_ids.select(*keys, F.posexplode(ids_col).alias("pos", "idx"))
-    found = toks.join(embedding.select("idx", "vector"), "idx", "left")
+    return _with_vectors(doc_ids.select(*keys, F.posexplode(ids_col).alias("pos", "idx")), embedding)
+
+
+def term_vectors(
+    doc_ids: DataFrame, embedding: DataFrame, keys: Sequence[str] = KEYS, ids_col: str = "word_ids", counts: bool = True
+) -> DataFrame:
+    """Each distinct id of a document with its count ``n`` and its vector, one row; an id without a vector is an error.
+
+    All that a sum or a maximum over the tokens needs: a vector is shipped once
+    for each document that uses it, and a hot word is one row a document.
+    """
+    if counts:
+        terms = doc_ids.select(*keys, F.explode(ids_col).alias("idx")).groupBy(*keys, "idx").agg(F.count(F.lit(1)).alias("n"))
+    else:  # no shuffle of ids
+        terms = doc_ids.select(*keys, F.explode(F.array_distinct(ids_col)).alias("idx"))
+    return _with_vectors(terms, embedding)
+
+
+def _with_vectors(ids: DataFrame, embedding: DataFrame) -> DataFrame:
+    found = ids.join(embedding.select("idx", "vector"), "idx", "left")
     missing = F.raise_error(F.concat(F.lit("no vector for id "), F.col("idx").cast("string")))
     return found.withColumn("vector", F.when(F.col("vector").isNull(), missing).otherwise(F.col("vector")))
 
 
+def sum_pool(
+    doc_ids: DataFrame, embedding: DataFrame, keys: Sequence[str] = KEYS, ids_col: str = "word_ids"
+) -> DataFrame:
+    """Sum of the document's token vectors (``sums``) and their number, from distinct ids and counts."""
+    terms = term_vectors(doc_ids, embedding, keys, ids_col)
+    weighted = array_to_vector(F.transform("vector", lambda x: x * F.col("n")))
+    return terms.groupBy(*keys).agg(
+        F.sum("n").alias("n_tokens"), vector_to_array(Summarizer.sum(weighted)).alias("sums"))
+
+
 def max_pool(
     doc_ids: DataFrame, embedding: DataFrame, keys: Sequence[str] = KEYS, ids_col: str = "word_ids"
 ) -> DataFrame:
     """i07: element-wise max of the document's token vectors (real tokens only).
 
-    ``Summarizer.max`` is a streaming vector aggregate (partial aggregation,
-    one running vector per document), so documents are never exploded into
-    dimensions.  A document without tokens has no row.
+    A repeated token changes no maximum, so each distinct id of a document meets
+    its vector once.  ``Summarizer.max`` is a streaming vector aggregate (partial
+    aggregation, one running vector per document), so documents are never
+    exploded into dimensions.  A document without tokens has no row.
     """
-    tv = token_vectors(doc_ids, embedding, keys, ids_col)
-    pooled = tv.groupBy(*keys).agg(Summarizer.max(array_to_vector("vector")).alias("__v"))
+    terms = term_vectors(doc_ids, embedding, keys, ids_col, counts=False)
+    pooled = terms.groupBy(*keys).agg(Summarizer.max(array_to_vector("vector")).alias("__v"))
     return pooled.select(*keys, vector_to_array("__v").alias("pooled"))

@@ -8,16 +8,18 @@ A document is known by (subject_id, hadm_id) throughout.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import random
+from collections.abc import Callable, Sequence
+from functools import partial
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from icdspark.functions.arrays import MAX_DOC_TOKENS, pad_to, truncate
 from icdspark.functions.codes import reformat_code
 from icdspark.functions.text import split_on_space, split_whitespace
 from icdspark.operators.cohort import LABEL_SEP
-from icdspark.operators.running import grouped_row_number, range_bucket, row_number
+from icdspark.operators.running import grouped_row_number, range_bucket, row_number, word_bucket
 
 # word2vec minimum count, batch sizes, padding id.
 MIN_WORD_COUNT = 3
@@ -27,8 +29,6 @@ TEST_BATCH = 1
 PAD_ID = 0
 #: What identifies a document.
 KEYS = ("subject_id", "hadm_id")
-#: Characters of a word or code that make up its bucket in a ranking.
-PREFIX_CHARS = 4
 
 
 # ----------------------------------------------------------------- indexes
@@ -43,11 +43,10 @@ def distinct_labels(labelled: DataFrame) -> DataFrame:
 def label_index(labelled: DataFrame) -> DataFrame:
     """g03: dense 0-based ``idx`` over the sorted distinct labels (code-point order).
 
-    Ranked with the bucketed row number; the bucket is a prefix of the code
-    (monotone in the label order).
+    Ranked with the bucketed row number, in ranges of labels with equal shares.
     """
     labels = distinct_labels(labelled)
-    ranked = row_number(labels, ["label"], bucket=F.substring("label", 1, PREFIX_CHARS), name="__rn")
+    ranked = row_number(labels, ["label"], word_bucket("label"), name="__rn")
     return ranked.select("label", (F.col("__rn") - 1).alias("idx"))
 
 
@@ -64,12 +63,12 @@ def word_index(vocab: DataFrame) -> DataFrame:
     """g04: 1-based ``idx`` by (count desc, word); 0 is padding, V+1 unknown.
 
     idx = (words with a higher count) + (rank of the word among words with its
-    count).  The ranks are bucketed by word prefixes inside each count, so the
-    large low-count groups are spread; the counts of words by count are a table
-    far smaller than the vocabulary.
+    count).  The ranks are bucketed by ranges of whole words inside each count, with
+    equal shares of the words whatever they begin with, so the large low-count
+    groups are spread; the counts of words by count are a table far smaller than
+    the vocabulary.
     """
-    return grouped_row_number(
-        vocab, -F.col("count"), ["word"], F.substring("word", 1, PREFIX_CHARS), "idx").select("word", "count", "idx")
+    return grouped_row_number(vocab, -F.col("count"), ["word"], word_bucket("word"), "idx").select("word", "count", "idx")
 
 
 # ------------------------------------------------------------- lookups
@@ -92,14 +91,18 @@ def doc_word_ids(
     """d06 + c11 + c13: word ids in text order, unknown words -> ``num_words + 1``.
 
     Truncation happens on the tokens before the lookup (one id per token, so
-    it is the same as truncating ids) and bounds the per-document work.
+    it is the same as truncating ids) and bounds the per-document work.  Each
+    distinct word of a document is looked up once, with the list of its places:
+    a row of the lookup stands for all of a word's tokens, so without a
+    broadcast no row per token is shuffled and a hot word is one row a document.
     """
     toks = docs.select(*keys, F.posexplode(truncate(split_whitespace("text"), max_len)).alias("pos", "word"))
-    joined = toks.join(words_index.select("word", "idx"), "word", "left")
-    ids = F.coalesce(F.col("idx"), F.lit(num_words + 1))
-    return joined.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", ids.alias("id")))), lambda s: s["id"]).alias("word_ids")
-    )
+    terms = toks.groupBy(*keys, "word").agg(F.collect_list("pos").alias("places"))
+    joined = terms.join(words_index.select("word", "idx"), "word", "left")
+    found = F.coalesce(F.col("idx"), F.lit(num_words + 1))
+    spread = joined.select(*keys, F.transform("places", lambda p: F.struct(p.alias("pos"), found.alias("id"))).alias("ids"))
+    return spread.groupBy(*keys).agg(
+        F.transform(F.array_sort(F.flatten(F.collect_list("ids"))), lambda s: s["id"]).alias("word_ids"))
 
 
 def encode_documents(
@@ -138,10 +141,9 @@ def batch_ids(
     return _batches(ranked, batch_size)
 
 
-def shuffled_batch_ids(df: DataFrame, batch_size: int, seed: int, key: str = KEYS[-1]) -> DataFrame:
+def shuffled_batch_ids(df: DataFrame, batch_size: int, seed: int, keys: Sequence[str] = KEYS) -> DataFrame:
     """g11: ``position`` and ``batch`` along the seeded shuffle order."""
-    ranked = row_number(shuffled_order(df, seed, key), ["shuffle_key", key], range_bucket("shuffle_key"), "__rn")
-    return _batches(ranked, batch_size)
+    return _batches(shuffled_positions(df, seed, keys), batch_size)
 
 
 def _batches(ranked: DataFrame, batch_size: int) -> DataFrame:
@@ -150,23 +152,67 @@ def _batches(ranked: DataFrame, batch_size: int) -> DataFrame:
         "batch", F.floor(position / F.lit(batch_size))).drop("__rn")
 
 
-# Fixed values of the epoch-shuffle hash: a multiplicative congruential map on
-# 31-bit residues (odd multiplier, so distinct residues stay distinct).
-SHUFFLE_MULT = 1103515245
-SHUFFLE_MOD = 1 << 31
+#: Rounds of the epoch shuffle, the prime of its round function, and the steps of a walk back into range.
+SHUFFLE_ROUNDS, SHUFFLE_PRIME, SHUFFLE_WALK = 8, (1 << 31) - 1, 64
+
+
+def round_keys(seed: int) -> list[tuple[int, int, int]]:
+    """Three numbers below the prime for each round of the shuffle, drawn from ``seed``."""
+    draw = random.Random(f"epoch:{seed}")
+    return [tuple(draw.randrange(1, SHUFFLE_PRIME) for _ in range(3)) for _ in range(SHUFFLE_ROUNDS)]
 
 
-def shuffled_order(df: DataFrame, seed: int, key: str = "hadm_id") -> DataFrame:
-    """g11: a seeded, reproducible shuffle key of an integer id.
+def _mixed(half: Column, key: tuple[int, int, int]) -> Column:
+    """The round function: two squarings modulo the prime; no product exceeds a bigint."""
+    a, b, c = (F.lit(k).cast("bigint") for k in key)
+    prime = F.lit(SHUFFLE_PRIME).cast("bigint")
+    once = (half + a) % prime
+    twice = (once * once % prime + b) % prime
+    return twice * twice % prime * c % prime
 
-    ``(pmod(id, 2^31) * 1103515245 + seed) mod 2^31`` -- integer arithmetic
-    that cannot overflow a bigint, the same on every engine; ties (ids equal
-    mod 2^31) are broken by the id itself by the caller.
+
+def permuted(number: Column, rows: Column, seed: int) -> Column:
+    """A keyed permutation of 0 .. rows - 1, an expression of the row's number alone.
+
+    A Feistel network over pairs (left, right) of a grid that is just large
+    enough: rounds add a function of one half to the other, modulo its size, so
+    each can be undone.  A number that lands behind ``rows`` goes through again
+    until it doesn't; fewer than a row of the grid lie there.
     """
-    residue = F.pmod(F.col(key), F.lit(SHUFFLE_MOD))
-    return df.withColumn(
-        "shuffle_key", F.pmod(residue * F.lit(SHUFFLE_MULT) + F.lit(seed), F.lit(SHUFFLE_MOD))
-    )
+    right = F.greatest(F.ceil(F.sqrt(rows.cast("double"))), F.lit(1))
+    left = F.greatest(F.ceil(rows / right), F.lit(1))
+
+    # a lambda's argument is worked out once; a plain expression would be spelt out twice in each round
+    def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+        return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+    def stir(pair: Column, k: int, key: tuple[int, int, int]) -> Column:
+        l, r = pair["l"], pair["r"]
+        if k % 2:
+            return F.struct(((l + _mixed(r, key)) % left).alias("l"), r.alias("r"))
+        return F.struct(l.alias("l"), ((r + _mixed(l, key)) % right).alias("r"))
+
+    def once(x: Column) -> Column:
+        pair = F.struct(F.floor(x / right).alias("l"), (x % right).alias("r"))
+        for k, key in enumerate(round_keys(seed)):
+            pair = bound(pair, partial(stir, k=k, key=key))
+        return bound(pair, lambda p: p["l"] * right + p["r"])
+
+    walk = F.sequence(F.lit(1), F.lit(SHUFFLE_WALK))
+    return F.aggregate(walk, once(number), lambda x, _: F.when(x < rows, x).otherwise(once(x)))
+
+
+def shuffled_positions(df: DataFrame, seed: int, keys: Sequence[str] = KEYS) -> DataFrame:
+    """g11: add ``__rn``, the row's 1-based place in the order of epoch ``seed``.
+
+    The rows are numbered by their keys (which are distinct) and the numbers
+    permuted, so an epoch's order depends on keys and seed alone, costs no sort
+    of its own, and two epochs have nothing in common.
+    """
+    numbered = row_number(df, list(reversed(keys)), range_bucket(keys[-1]), "__number")
+    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return numbered.withColumn("__rows", rows).withColumn(
+        "__rn", permuted(F.col("__number") - 1, F.col("__rows"), seed) + 1).drop("__number", "__rows")
 
 
 def sort_within_batch(df: DataFrame, length_col: str = "length", partition_cols=()) -> DataFrame:

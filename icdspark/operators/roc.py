@@ -2,8 +2,9 @@
 
 Scores are first aggregated to one row per distinct (label, score) with the
 number of positives and negatives at that score; curve points and areas come
-from running sums over the ascending scores (``running_sum`` with score
-buckets, so neither a label nor the micro curve is pulled into one task).
+from running sums over the ascending scores (``running_sum`` with equal-depth
+buckets, so neither a label nor the micro curve is pulled into one task, however
+close its scores lie together).
 
 AUC uses the rank form  sum_s pos_s * (neg_below(s) + neg_s / 2) / (P * N),
 which equals the trapezoid area under the curve through every threshold.
@@ -15,9 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icdspark.operators.running import previous_value, running_sum, score_bucket
+from icdspark.operators.running import SLICES, depth_bucket, previous_value, running_sum
 
-#: Buckets of the false positive rate, a share with a bounded number of distinct values in each.
+#: Buckets of the false positive rate.  Its distinct values are counts over a label's negatives, so they
+#: lie as evenly as these do, however the scores lie.
 FPR_BUCKETS = 1 << 16
 
 
@@ -34,8 +36,9 @@ def micro_counts(counts: DataFrame) -> DataFrame:
 
 def cumulative(counts: DataFrame, per_label: bool = True) -> DataFrame:
     """Add pos_below / neg_below (strictly lower scores) and the totals P, N."""
+    bucket = depth_bucket("score", slices=1 if per_label else SLICES)
     return running_sum(
-        counts, ["score"], {"pos_below": "pos", "neg_below": "neg"}, score_bucket("score"),
+        counts, ["score"], {"pos_below": "pos", "neg_below": "neg"}, bucket,
         partition_cols=["label"] if per_label else [], exclusive=True, totals={"pos_below": "P", "neg_below": "N"})
 
 
@@ -112,6 +115,38 @@ def fpr_grid(pred: DataFrame) -> DataFrame:
     return _curve(pred, True).select(_fpr().alias("fpr")).unionByName(zero).distinct()
 
 
+def macro_roc_curve(pred: DataFrame) -> DataFrame:
+    """f19: the macro-average ROC curve: ``fpr, tpr`` at every value of ``fpr_grid``, tpr the labels' mean.
+
+    An event sweep instead of labels x grid points.  A score's row is a stretch
+    of its label's polyline, from the point before it to its own.  With
+    negatives it adds its slope and intercept where it begins and takes them
+    back, leaving its rise, where it ends; without negatives it is a jump.  The
+    changes are summed up by FPR and once along the grid: at g, the labels' sum
+    is slope * g + intercept.  Null when a label has no positive or no negative.
+    """
+    cum = _curve(pred, True)
+    start = F.try_divide((F.col("N") - F.col("neg_below") - F.col("neg")).cast("double"), F.col("N").cast("double"))
+    rise = F.coalesce(F.try_divide(F.col("pos").cast("double"), F.col("P").cast("double")), F.lit(0.0))
+    slope = F.coalesce(F.try_divide(rise * F.col("N"), F.col("neg").cast("double")), F.lit(0.0))
+    # a label's lowest score is the one row with nothing below
+    lowest = F.when(F.col("pos_below") + F.col("neg_below") == 0, 1).otherwise(0)
+    event = lambda at, up, level, n: F.struct(
+        at.alias("fpr"), up.alias("slope"), level.alias("level"), n.alias("labels"), F.least("P", "N").alias("class"))
+    begins = event(start, slope, -slope * start, F.lit(0))
+    ends = event(_fpr(), -slope, slope * start + rise, lowest)
+    zero = pred.sparkSession.range(1).select(
+        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("slope"), F.lit(0.0).alias("level"), F.lit(0).alias("labels"),
+        F.lit(None).cast("bigint").alias("class"))
+    events = cum.select(F.inline(F.when(F.col("neg") > 0, F.array(begins, ends)).otherwise(F.array(ends)))).unionByName(zero)
+    grid = events.groupBy("fpr").agg(
+        F.sum("slope").alias("slope"), F.sum("level").alias("level"), F.sum("labels").alias("labels"), F.min("class").alias("class"))
+    shape = grid.agg(F.struct(F.sum("labels").alias("labels"), F.min("class").alias("class")).alias("shape")).scalar()
+    swept = running_sum(grid, ["fpr"], {"slope_": "slope", "level_": "level"}, F.floor(F.col("fpr") * FPR_BUCKETS))
+    mean = (F.col("slope_") * F.col("fpr") + F.col("level_")) / shape["labels"]
+    return swept.select("fpr", F.when(shape["class"] > 0, mean).alias("tpr"))
+
+
 def macro_roc_area(pred: DataFrame) -> DataFrame:
     """f19: area under the macro-average ROC curve (mean of the labels' TPRs
     interpolated on the union of all FPR values, then trapezoids).
@@ -146,5 +181,5 @@ def macro_roc_area(pred: DataFrame) -> DataFrame:
 
 __all__ = [
     "eligible_labels", "roc_points", "label_auc", "macro_auc", "micro_auc", "score_counts", "micro_counts",
-    "cumulative", "fpr_grid", "macro_roc_area",
+    "cumulative", "fpr_grid", "macro_roc_curve", "macro_roc_area",
 ]

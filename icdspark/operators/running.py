@@ -12,13 +12,14 @@ is cut into *buckets* (a column that is monotone in the order), so the work is:
 
 A bucket is a pure expression of the row, so it is the same for a recomputed
 task, and building a query runs no job.  ``range_bucket`` bounds the rows of a
-bucket by its width, ``score_bucket`` cuts probabilities on the logit scale;
-the number of buckets follows the data, never a constant.
+bucket by its width; ``depth_bucket`` and ``word_bucket`` hold equal shares of
+the rows wherever their values lie: their boundaries come from a small summary
+of the same rows (a scalar subquery), in which each row searches its place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,12 @@ from icdspark.functions._util import as_col
 BUCKET = "__bucket"
 #: Ids in one range bucket.
 ID_WIDTH = 1 << 16
+#: Equal-depth buckets and, where asked for, slices of equal width in each.
+DEPTHS, SLICES = 1 << 8, 1 << 6
+#: Boundaries of the equal-depth buckets are off by at most this share of the rows (the sketch's accuracy).
+RANK_ERROR = 1 / 20_000
+#: Values drawn for each boundary of ``word_bucket``.
+DRAWS = 16
 #: Score buckets in one unit of the logit.
 BUCKETS_PER_LOGIT = 64
 #: Logits beyond this share the outermost buckets (a double's sigmoid is 0 or 1 there).
@@ -50,6 +57,73 @@ def score_bucket(col: str | Column) -> Column:
     return F.floor(logit * F.lit(BUCKETS_PER_LOGIT))
 
 
+#: A bucket is an expression of the row, or a function that adds it as the column ``BUCKET``.
+Bucket = Column | Callable[[DataFrame], DataFrame]
+
+
+def _searched(df: DataFrame, bounds: Column, value: Column, depths: int) -> DataFrame:
+    """Add ``BUCKET``: how many of the ``depths - 1`` sorted ``bounds`` are at most ``value``, by halving steps.
+
+    A column for each step, as an expression with a lambda isn't compiled; the
+    planner spells them out, so a step names the last one as rarely as it can.
+    Never null, or a join on it would filter only one of its sides below the
+    input's aggregation, and the sides could no longer share its shuffle.
+    """
+    d = df.withColumn("__bounds", bounds).withColumn(BUCKET, F.lit(0))
+    for k in reversed(range((depths - 1).bit_length())):
+        more = F.get("__bounds", F.col(BUCKET) + F.lit((1 << k) - 1)) <= value
+        d = d.withColumn(BUCKET, F.col(BUCKET) + F.when(more, F.lit(1 << k)).otherwise(F.lit(0)))
+    return d.withColumn(BUCKET, F.coalesce(BUCKET, F.lit(0)))
+
+
+def depth_bucket(col: str, depths: int = DEPTHS, slices: int = 1) -> Bucket:
+    """Buckets of a numeric column: ``depths`` (a power of two) with nearly equal numbers of rows.
+
+    The boundaries are quantiles from a mergeable sketch of all rows.  Equal
+    values share a bucket.  ``slices`` cuts each bucket evenly between its
+    boundaries, so that many rows get many buckets.
+    """
+
+    def add(df: DataFrame) -> DataFrame:
+        # one literal, which the planner's rules needn't walk
+        ranks = F.split(F.lit(",".join(str(k / depths) for k in range(1, depths))), ",").cast("array<double>")
+        sketch = F.percentile_approx(F.col(col).cast("double"), ranks, int(1 / RANK_ERROR))
+        # the other columns are aggregated beside it: the sketch then reads the very rows that are
+        # numbered, and Spark makes and shuffles them once for both
+        rest = [F.max(c).alias(f"max_{i}") for i, c in enumerate(df.columns)]
+        bounds = df.agg(F.struct(sketch.alias("bounds"), *rest).alias("summary")).scalar()["bounds"]
+        value = F.col(col).cast("double")
+        d = _searched(df, bounds, value, depths)
+        if slices > 1:
+            low, high = F.get("__bounds", F.col(BUCKET) - 1), F.get("__bounds", F.col(BUCKET))
+            slice_ = F.coalesce(F.least(F.floor((value - low) / (high - low) * slices), F.lit(slices - 1)), F.lit(0))
+            d = d.withColumn(BUCKET, F.coalesce(F.col(BUCKET) * F.lit(slices) + slice_, F.lit(0)))
+        return d.drop("__bounds")
+
+    return add
+
+
+def word_bucket(col: str, depths: int = DEPTHS) -> Bucket:
+    """Buckets of a string column of distinct values: ``depths`` ranges of whole words with nearly equal numbers of rows.
+
+    The boundaries are every ``DRAWS``-th of the words with the smallest hashes,
+    a uniform draw whose size depends on ``depths`` alone.
+    """
+
+    def add(df: DataFrame) -> DataFrame:
+        drawn = df.select(F.col(col).alias("word")).orderBy(F.xxhash64("word"), "word").limit(depths * DRAWS)
+        bounds = drawn.agg(F.array_sort(F.collect_list("word")).alias("words")).select(F.transform(
+            F.sequence(F.lit(1), F.lit(depths - 1)),
+            lambda k: F.get("words", F.floor(k * F.size("words") / depths).cast("int"))).alias("bounds")).scalar()
+        return _searched(df, bounds, F.col(col), depths).drop("__bounds")
+
+    return add
+
+
+def _bucketed(df: DataFrame, bucket: Bucket) -> DataFrame:
+    return df.withColumn(BUCKET, _never_null(df, bucket)) if isinstance(bucket, Column) else bucket(df)
+
+
 def _never_null(df: DataFrame, bucket: Column) -> Column:
     """The bucket with nulls as the smallest one (where null keys are sorted).
 
@@ -64,7 +138,7 @@ def running_sum(
     df: DataFrame,
     order_cols: Sequence[str | Column],
     values: dict[str, Column | str],
-    bucket: Column,
+    bucket: Bucket,
     partition_cols: Sequence[str] = (),
     exclusive: bool = False,
     totals: dict[str, str] | None = None,
@@ -78,7 +152,7 @@ def running_sum(
     """
     pcols, totals = list(partition_cols), totals or {}
     vals = {name: as_col(v) for name, v in values.items()}
-    d = df.withColumn(BUCKET, _never_null(df, bucket))
+    d = _bucketed(df, bucket)
     sums = d.groupBy(*pcols, BUCKET).agg(*[F.sum(v).alias(f"__tot_{n}") for n, v in vals.items()])
     whole = Window.partitionBy(*pcols)
     before = whole.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -97,7 +171,7 @@ def running_sum(
 def row_number(
     df: DataFrame,
     order_cols: Sequence[str | Column],
-    bucket: Column,
+    bucket: Bucket,
     name: str = "row_number",
     partition_cols: Sequence[str] = (),
 ) -> DataFrame:
@@ -109,7 +183,7 @@ def grouped_row_number(
     df: DataFrame,
     group: Column,
     order_cols: Sequence[str | Column],
-    bucket: Column,
+    bucket: Bucket,
     name: str = "row_number",
     partition_cols: Sequence[str] = (),
 ) -> DataFrame:
@@ -128,10 +202,11 @@ def grouped_row_number(
         *df.columns, (F.col("__smaller") + F.col("__within")).alias(name))
 
 
-def previous_value(df: DataFrame, col: str, bucket: Column, name: str) -> DataFrame:
+def previous_value(df: DataFrame, col: str, bucket: Bucket, name: str) -> DataFrame:
     """Add the next smaller value of a column of distinct values (null for the smallest one)."""
-    d = df.withColumn(BUCKET, _never_null(df, bucket))
-    largest = d.groupBy(BUCKET).agg(F.max(col).alias("__max"))
+    d = _bucketed(df, bucket)
+    # the largest value with its row: a branch that needs the value alone would be made and shuffled by itself
+    largest = d.groupBy(BUCKET).agg(F.max(F.struct(col, *[c for c in df.columns if c != col]))[col].alias("__max"))
     below = largest.select(BUCKET, F.max("__max").over(
         Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)).alias("__below"))
     local = d.withColumn("__prev", F.lag(col).over(Window.partitionBy(BUCKET).orderBy(col)))

@@ -49,18 +49,22 @@ def assign_splits(
     return out.select("subject_id", "n_admissions", "split")
 
 
+def admission_splits(keys: DataFrame, assignment: DataFrame) -> DataFrame:
+    """The patients' splits expanded to admissions: subject_id, hadm_id, split; only key columns move."""
+    return keys.select("subject_id", "hadm_id").join(assignment.select("subject_id", "split"), "subject_id").select(
+        "subject_id", "hadm_id", "split")
+
+
 def split_admissions(labelled: DataFrame, assignment: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """d04: attach each admission's split via its patient.
 
-    The patient -> split assignment is first expanded to admission keys (only
-    key columns move), then joined on (subject_id, hadm_id): the labelled side
-    is already partitioned on those keys by its grouping, so the texts are not
-    shuffled again whatever the size of the assignment.  ``keys`` may give the
-    admissions' ids more cheaply than ``labelled`` does.
+    The patient -> split assignment is first expanded to admission keys, then
+    joined on (subject_id, hadm_id): the labelled side is already partitioned on
+    those keys by its grouping, so the texts are not shuffled again whatever the
+    size of the assignment.  ``keys`` may give the admissions' ids more cheaply
+    than ``labelled`` does.
     """
-    keys = (labelled if keys is None else keys).select("subject_id", "hadm_id")
-    adm_split = keys.join(assignment.select("subject_id", "split"), "subject_id")
-    return labelled.join(adm_split, ["subject_id", "hadm_id"])
+    return labelled.join(admission_splits(labelled if keys is None else keys, assignment), ["subject_id", "hadm_id"])
 
 
 def order_within_split(split_df: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from icdspark.operators import cohort as co
 from icdspark.operators import split as sp
@@ -47,11 +49,35 @@ class Etl:
     def labelled(self) -> DataFrame:
         return co.labelled_admissions(self.codes(), self.notes())
 
-    def assignment(self) -> DataFrame:
-        return sp.assign_splits(self.admission_keys())
-
-    def split(self) -> DataFrame:
-        """Labelled admissions with their patient-disjoint split (g01 + d04)."""
+    def strict_labelled(self, write: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """``labelled``, or an error if a text or a label of the cohort is without its partner; ``write`` makes a table."""
+        return co.strict_labelled_admissions(self.codes(), self.notes(), write)
+
+    def quarantined(self, write: Callable[[DataFrame, str], DataFrame] | None = None) -> tuple["Etl", dict[str, DataFrame]]:
+        """The ETL over the rows that load, and the reject tables of the three inputs.
+
+        ``write(df, name)`` stores a table, so that each input is read once for both.
+        """
+        kept, rejects = {}, {}
+        for name, raw, ids in (
+            ("notes_raw", self.notes_raw.filter(F.col("category") == F.lit(co.DISCHARGE_CATEGORY)), ("row_id", "subject_id", "hadm_id")),
+            ("diag_raw", self.diag_raw, ("subject_id", "hadm_id")), ("proc_raw", self.proc_raw, ("subject_id", "hadm_id")),
+        ):
+            needed = () if name == "notes_raw" else raw.columns
+            store = (lambda df, name=name: write(df, f"checked_{name}")) if write else None
+            kept[name], rejects[name] = co.split_rejects(raw, ids, needed, store)
+        return replace(self, **kept), rejects
+
+    def assignment(self, keys: DataFrame | None = None) -> DataFrame:
+        return sp.assign_splits(self.admission_keys() if keys is None else keys)
+
+    def split(self, splits: DataFrame | None = None) -> DataFrame:
+        """Labelled admissions with their patient-disjoint split (g01 + d04).
+
+        ``splits``: the ``admission_splits`` as a table, where they have been written.
+        """
+        if splits is not None:
+            return self.labelled().join(splits, ["subject_id", "hadm_id"])
         return sp.split_admissions(self.labelled(), self.assignment(), self.admission_keys())
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from icdspark.operators import embeddings as em
 from icdspark.operators import features as fe
+from icdspark.operators import split as sp
 from icdspark.plans.etl import Etl, proxy_etl
 from icdspark.session import delete_path, shared_path
 
@@ -51,14 +52,28 @@ class Prepared:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def written_anew(self, df: DataFrame, name: str) -> DataFrame:
+        """``written`` under a name of its own, for tables that several queries make."""
+        return self.written(df, f"{name}-{uuid.uuid4().hex}")
+
     def close(self) -> None:
         """Delete the tables, if their folder is this object's own."""
         if self._own:
             delete_path(self.spark, self.folder)
 
+    @cached_property
+    def admission_keys(self) -> DataFrame:
+        """The labelled admissions' ids, which the split needs more than once."""
+        return self.written(self.etl.admission_keys(), "admission_keys")
+
+    @cached_property
+    def admission_splits(self) -> DataFrame:
+        keys = self.admission_keys
+        return self.written(sp.admission_splits(keys, self.etl.assignment(keys)), "admission_splits")
+
     @cached_property
     def split_adm(self) -> DataFrame:
-        out = self.etl.split().withColumn("tlen", F.size(F.split("text", " ")))
+        out = self.etl.split(self.admission_splits).withColumn("tlen", F.size(F.split("text", " ")))
         return self.written(out, "split_admissions")
 
     @property
@@ -96,7 +111,7 @@ class Prepared:
 
     def batched(self, batch_size: int = fe.EVAL_BATCH) -> DataFrame:
         """i06 per split in file order (length, id): batch, position, slot, padded."""
-        return fe.batch_and_pad(self.encoded(), batch_size, "tlen", partition_cols=["split"])
+        return fe.batch_and_pad(self.encoded_table, batch_size, "tlen", partition_cols=["split"])
 
     @cached_property
     def word2vec(self):
@@ -105,6 +120,11 @@ class Prepared:
         em.save_model(em.fit_word2vec(self.train, seed=7), path)
         return em.load_model(path)
 
+    @cached_property
+    def word_vectors(self) -> DataFrame:
+        """The model's vectors as a table of their own (i03, i04)."""
+        return self.written(em.word_vectors(self.word2vec), "word_vectors")
+
 
 _PREPARED: dict[tuple[str, str], Prepared] = {}
 

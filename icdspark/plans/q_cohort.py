@@ -8,7 +8,8 @@ from icdspark.functions import codes as fc
 from icdspark.functions import text as ft
 from icdspark.functions.dates import iso_to_date
 from icdspark.operators import cohort as co
-from icdspark.plans.etl import proxy_etl
+from icdspark.plans.etl import Etl, proxy_etl
+from icdspark.plans.prepare import prepared
 from icdspark.plans.registry import register
 from icdspark.plans.sql import (
     clean_sql,
@@ -86,6 +87,51 @@ def b04(spark, sf):
     return bronze.select(co._id("subject_id", "raise").alias("subject_id"), co._id("hadm_id", "raise").alias("hadm_id"))
 
 
+_DAMAGED = {
+    "damaged": (
+        """SELECT CASE WHEN seq_num <> 6 THEN CAST(subject_id AS VARCHAR) END AS subject_id,
+       CASE WHEN seq_num = 7 THEN 'A' ELSE '' END || CAST(hadm_id AS VARCHAR) AS hadm_id, CAST(seq_num AS VARCHAR) AS seq_num, icd9_code
+FROM diag_raw""",
+        ("diag_raw",),
+    ),
+}
+
+
+def _quarantined(spark, sf):
+    px, p = ProxyTables(spark, sf), prepared(spark, sf)
+    etl = Etl(px.bronze(px.notes_raw()), px.diag_damaged(), px.bronze(px.proc_raw()))
+    return etl.quarantined(p.written_anew)
+
+
+@register(
+    "b04_quarantine_kept",
+    with_ctes(
+        f"SELECT CAST(subject_id AS BIGINT) AS subject_id, CAST(hadm_id AS BIGINT) AS hadm_id, seq_num, {loader_diag_sql('icd9_code')} AS icd9_code "
+        "FROM damaged WHERE subject_id IS NOT NULL AND TRY_CAST(hadm_id AS BIGINT) IS NOT NULL",
+        "damaged", extra=_DAMAGED,
+    ),
+)
+def b04_kept(spark, sf):
+    """What loads of a table with ids that don't."""
+    return _quarantined(spark, sf)[0].diagnoses()
+
+
+@register(
+    "b04_quarantine_rejects",
+    with_ctes(
+        "SELECT CASE WHEN subject_id IS NULL THEN 'subject_id' ELSE 'hadm_id' END AS \"column\", "
+        "CASE WHEN subject_id IS NULL THEN 'null' ELSE 'not an integer' END AS reason, subject_id, hadm_id, seq_num, icd9_code "
+        "FROM damaged WHERE subject_id IS NULL OR TRY_CAST(hadm_id AS BIGINT) IS NULL",
+        "damaged", extra=_DAMAGED,
+    ),
+)
+def b04_rejects(spark, sf):
+    """The rejected rows, their source columns taken out of the VARIANT again."""
+    rejects = _quarantined(spark, sf)[1]["diag_raw"]
+    fields = [F.variant_get("source", f"$.{c}", "string").alias(c) for c in ("subject_id", "hadm_id", "seq_num", "icd9_code")]
+    return rejects.select("column", "reason", *fields)
+
+
 @register(
     "b05_drop_columns",
     with_ctes("SELECT row_id, subject_id, hadm_id FROM notes_raw", "notes_raw"),
@@ -306,6 +352,15 @@ def d03(spark, sf):
     return proxy_etl(spark, sf).labelled()
 
 
+@register(
+    "d03_strict_labelled_admissions",
+    with_ctes("SELECT subject_id, hadm_id, text, labels FROM labelled", "labelled"),
+)
+def d03_strict(spark, sf):
+    p = prepared(spark, sf)
+    return p.etl.strict_labelled(lambda df: p.written_anew(df, "strict_labelled"))
+
+
 @register(
     "e01_input_counts",
     with_ctes(
@@ -342,7 +397,7 @@ def e02(spark, sf):
 )
 def e03(spark, sf):
     e = proxy_etl(spark, sf)
-    return co.admission_counts(e.tokenized_notes(), e.codes())
+    return co.admission_counts(e.notes(), e.codes())
 
 
 @register(

@@ -244,15 +244,45 @@ def c14(spark, sf):
     return _batched(spark, sf).select("split", *fe.KEYS, _ids_str("padded").alias("padded"))
 
 
-@register("g11_epoch_shuffle", fsql(
-    """SELECT subject_id, hadm_id, position, position // 32 AS batch FROM (
-  SELECT subject_id, hadm_id, row_number() OVER (ORDER BY ((hadm_id % 2147483648) * 1103515245 + 1) % 2147483648, hadm_id) - 1 AS position
-  FROM split_adm WHERE split = 'train')""", "split_adm"))
-def g11(spark, sf):
-    out = fe.shuffled_batch_ids(prepared(spark, sf).train.select(*fe.KEYS), fe.TRAIN_BATCH, seed=1)
+def _shuffle_sql(seed: int) -> str:
+    """The permutation the other way round: every position is taken back, round by round, to the row that stands there."""
+    p = fe.SHUFFLE_PRIME
+    steps = [f"""undo{fe.SHUFFLE_ROUNDS} AS (
+  SELECT x AS position, x // b AS l, x % b AS r FROM grid, range(a * b) AS t(x))"""]
+    for k, (u, v, w) in reversed(list(enumerate(fe.round_keys(seed)))):
+        f = lambda h: f"((((({h} + {u}) % {p}) * (({h} + {u}) % {p}) % {p} + {v}) % {p}) * (((({h} + {u}) % {p}) * (({h} + {u}) % {p}) % {p} + {v}) % {p}) % {p}) * {w} % {p}"
+        l, r = (f"(((l - {f('r')}) % a) + a) % a", "r") if k % 2 else ("l", f"(((r - {f('l')}) % b) + b) % b")
+        steps.append(f"undo{k} AS (SELECT position, {l} AS l, {r} AS r FROM undo{k + 1}, grid)")
+    return fsql(f"""SELECT subject_id, hadm_id, position, position // 32 AS batch FROM (
+  WITH RECURSIVE rows_ AS (
+    SELECT subject_id, hadm_id, row_number() OVER (ORDER BY hadm_id, subject_id) - 1 AS number FROM split_adm WHERE split = 'train'),
+  grid AS (
+    SELECT n, b, greatest(ceil(n / b), 1)::BIGINT AS a FROM (
+      SELECT n, greatest(ceil(sqrt(n)), 1)::BIGINT AS b FROM (SELECT count(*) AS n FROM rows_))),
+  {(","+chr(10)+"  ").join(steps)},
+  back AS (SELECT undo0.position, l * b + r AS x FROM undo0, grid),
+  walk AS (
+    SELECT position, x FROM back, grid WHERE position < n
+    UNION ALL SELECT w.position, back.x FROM walk w, back, grid WHERE w.x >= grid.n AND back.position = w.x)
+  SELECT subject_id, hadm_id, position FROM walk JOIN rows_ ON x = number)""", "split_adm")
+
+
+def _shuffled(spark, sf, seed: int):
+    out = fe.shuffled_batch_ids(prepared(spark, sf).train.select(*fe.KEYS), fe.TRAIN_BATCH, seed)
     return out.select(*fe.KEYS, F.col("position").cast("bigint").alias("position"), F.col("batch").cast("bigint").alias("batch"))
 
 
+@register("g11_epoch_shuffle", _shuffle_sql(1))
+def g11(spark, sf):
+    return _shuffled(spark, sf, 1)
+
+
+@register("g11_epoch_shuffle_next", _shuffle_sql(2))
+def g11_next(spark, sf):
+    """The order of another epoch."""
+    return _shuffled(spark, sf, 2)
+
+
 # ------------------------------------------------------- dictionaries, weights
 
 

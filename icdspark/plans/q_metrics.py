@@ -246,36 +246,37 @@ def e12(spark, sf):
     return _round(me.normalized_confusion(me.confusion_matrix(ProxyTables(spark, sf).class_pairs())))
 
 
-_F19_SQL = with_ctes(
-    f"""SELECT {r9('sum((g - pg) * (m + pm) / 2)')} AS auc_macro_curve FROM (
-  SELECT g, m, lag(g) OVER (ORDER BY g) AS pg, lag(m) OVER (ORDER BY g) AS pm FROM mean_tpr)""",
-    "mean_tpr",
-    extra={
-        "pts": (
-            """SELECT label, CAST(n - neg_below AS DOUBLE) / n AS fpr, CAST(p - pos_below AS DOUBLE) / p AS tpr FROM score_cum
+_CURVE_CTES = {
+    "pts": (
+        """SELECT label, CAST(n - neg_below AS DOUBLE) / n AS fpr, CAST(p - pos_below AS DOUBLE) / p AS tpr FROM score_cum
 UNION ALL SELECT DISTINCT label, 0.0, 0.0 FROM score_cum""",
-            ("score_cum",),
-        ),
-        "tops": ("SELECT label, fpr, max(tpr) AS top, min(tpr) AS bot FROM pts GROUP BY label, fpr", ("pts",)),
-        "grid": ("SELECT DISTINCT fpr AS g FROM pts", ("pts",)),
-        "ev": (
-            """SELECT l.label, grid.g,
+        ("score_cum",),
+    ),
+    "tops": ("SELECT label, fpr, max(tpr) AS top, min(tpr) AS bot FROM pts GROUP BY label, fpr", ("pts",)),
+    "grid": ("SELECT DISTINCT fpr AS g FROM pts", ("pts",)),
+    "ev": (
+        """SELECT l.label, grid.g,
        (SELECT max(fpr) FROM tops t WHERE t.label = l.label AND t.fpr <= grid.g) AS a,
        (SELECT min(fpr) FROM tops t WHERE t.label = l.label AND t.fpr > grid.g) AS b
 FROM (SELECT DISTINCT label FROM pts) l, grid""",
-            ("tops", "grid"),
-        ),
-        "interp": (
-            """SELECT ev.label, ev.g,
+        ("tops", "grid"),
+    ),
+    "interp": (
+        """SELECT ev.label, ev.g,
        CASE WHEN ev.b IS NULL OR ev.a = ev.g THEN ta.top
-            ELSE ta.top + (ev.g - ev.a) * (tb.bot - ta.top) / (ev.b - ev.a) END AS v
+        ELSE ta.top + (ev.g - ev.a) * (tb.bot - ta.top) / (ev.b - ev.a) END AS v
 FROM ev JOIN tops ta ON ta.label = ev.label AND ta.fpr = ev.a
 LEFT JOIN tops tb ON tb.label = ev.label AND tb.fpr = ev.b""",
-            ("ev",),
-        ),
-        "mean_tpr": ("SELECT g, avg(v) AS m FROM interp GROUP BY g", ("interp",)),
-    },
-)
+        ("ev",),
+    ),
+    "mean_tpr": ("SELECT g, avg(v) AS m FROM interp GROUP BY g", ("interp",)),
+}
+
+_F19_SQL = with_ctes(
+    f"""SELECT {r9('sum((g - pg) * (m + pm) / 2)')} AS auc_macro_curve FROM (
+  SELECT g, m, lag(g) OVER (ORDER BY g) AS pg, lag(m) OVER (ORDER BY g) AS pm FROM mean_tpr)""",
+    "mean_tpr", extra=_CURVE_CTES)
+_F19_CURVE_SQL = with_ctes(f"SELECT {r9('g')} AS fpr, {r9('m')} AS tpr FROM mean_tpr", "mean_tpr", extra=_CURVE_CTES)
 
 
 @register("f19_macro_roc_area", _F19_SQL)
@@ -283,8 +284,13 @@ def f19(spark, sf):
     return _round(roc.macro_roc_area(_pred(spark, sf)))
 
 
-def _report_sql() -> str:
-    body = f"""SELECT lo.loss, ma.*, mi.*, {r9('am.auc_macro')} AS auc_macro, {r9('ai.auc_micro')} AS auc_micro, pk.* FROM
+@register("f19_macro_roc_curve", _F19_CURVE_SQL)
+def f19_curve(spark, sf):
+    return _round(roc.macro_roc_curve(_pred(spark, sf)))
+
+
+def _report_sql(with_top_k: bool = True) -> str:
+    body = f"""SELECT lo.loss, ma.*, mi.*, {r9('am.auc_macro')} AS auc_macro, {r9('ai.auc_micro')} AS auc_micro{', pk.*' if with_top_k else ''} FROM
   (SELECT {r9('avg(greatest(logit, 0.0) - logit * y + ln(1 + exp(-abs(logit))))')} AS loss FROM pred) lo,
   (SELECT {r9('ma')} AS macro_accuracy, {r9('mp')} AS macro_precision, {r9('mr')} AS macro_recall,
           {r9('CASE WHEN mp + mr = 0 THEN 0.0 ELSE 2 * mp * mr / (mp + mr) END')} AS macro_f1
@@ -294,7 +300,9 @@ def _report_sql() -> str:
    FROM (SELECT sum(i) / nullif(sum(u), 0) AS a, sum(i) / nullif(sum(h), 0) AS p, sum(i) / nullif(sum(t), 0) AS r
          FROM per_label)) mi,
   (SELECT avg(auc) AS auc_macro FROM label_auc) am,
-  (SELECT sum(pos * (neg_below + neg / 2.0)) / (CAST(max(p) AS DOUBLE) * max(n)) AS auc_micro FROM micro_cum) ai,
+  (SELECT sum(pos * (neg_below + neg / 2.0)) / (CAST(max(p) AS DOUBLE) * max(n)) AS auc_micro FROM micro_cum) ai"""
+    if with_top_k:
+        body += f""",
   (SELECT {r9('avg(p5)')} AS p_at_5, {r9('avg(p8)')} AS p_at_8, {r9('avg(p15)')} AS p_at_15 FROM (
      SELECT instance,
             sum(CASE WHEN rk <= 5 THEN y ELSE 0 END) / sum(CASE WHEN rk <= 5 THEN 1 ELSE 0 END) AS p5,
@@ -310,6 +318,12 @@ def f20(spark, sf):
     return _round(me.evaluation_report(_pred(spark, sf)))
 
 
+@register("f20_train_report", _report_sql(with_top_k=False))
+def f20_train(spark, sf):
+    """The report of a training epoch: no precision at k."""
+    return _round(me.evaluation_report(_pred(spark, sf), with_top_k=False))
+
+
 # ------------------------------------------- the tie rules, on scores of which many are equal
 
 
@@ -347,6 +361,11 @@ def f18_tied(spark, sf):
     return _round(roc.roc_points(_tied(spark, sf), per_label=False))
 
 
+@register("f19_macro_roc_curve_tied", tied(_F19_CURVE_SQL))
+def f19_curve_tied(spark, sf):
+    return _round(roc.macro_roc_curve(_tied(spark, sf)))
+
+
 @register("f20_evaluation_report_tied", tied(_report_sql()))
 def f20_tied(spark, sf):
     return _round(me.evaluation_report(_tied(spark, sf)))

@@ -49,7 +49,8 @@ def g01(spark, sf):
     split_sql("SELECT subject_id, hadm_id, text, labels, split FROM split_adm", "split_adm"),
 )
 def d04(spark, sf):
-    return proxy_etl(spark, sf).split().select("subject_id", "hadm_id", "text", "labels", "split")
+    p = prepared(spark, sf)
+    return p.etl.split(p.admission_splits).select("subject_id", "hadm_id", "text", "labels", "split")
 
 
 @register(

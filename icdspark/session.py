@@ -7,6 +7,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Private folders of local sessions that name none, by application.
+_PRIVATE: dict[str, str] = {}
 
 
 def build_session(
@@ -76,8 +78,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all machines share")
-        current = tempfile.mkdtemp(prefix="icdspark-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, current)
+        app = spark.sparkContext.applicationId
+        if app not in _PRIVATE:
+            _PRIVATE[app] = tempfile.mkdtemp(prefix="icdspark-ckpt-")
+        current = _PRIVATE[app]
     return current
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,19 +105,25 @@ def read_code_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """a13: description CSV with header: pos (file order), code = 2nd field, description = last field.
 
     A multi-line CSV file is read by one task in file order, so the rising ids
-    are its row order; files of a folder follow each other.
+    are its row order; files of a folder follow each other by name.
     """
     df = read_csv_table(spark, path, register=False)
     cols = df.columns
-    return df.select(
-        F.monotonically_increasing_id().alias("pos"), F.col(cols[1]).alias("code"), F.col(cols[-1]).alias("description"))
+    return df.select(file_position().alias("pos"), F.col(cols[1]).alias("code"), F.col(cols[-1]).alias("description"))
+
+
+def file_position() -> Column:
+    """Where a row stands in a folder of files: ``file`` (its path), then ``row``, which rises along the file.
+
+    Spark deals files out by size, so rising ids alone would follow that.
+    """
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
 
 
 def read_text_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """a14: whitespace text dictionary: pos, first token = code, rest joined by one space."""
     lines = spark.read.text(path)
-    return parse_text_dictionary(
-        lines.select(F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line")))
+    return parse_text_dictionary(lines.select(file_position().alias("pos"), F.col("value").alias("line")))
 
 
 def parse_text_dictionary(lines: DataFrame, line_col: str = "line") -> DataFrame:

@@ -84,6 +84,12 @@ class ProxyTables:
             raw.alias("icd9_code"),
         )
 
+    def diag_damaged(self) -> DataFrame:
+        """The diagnoses as strings, with ids that don't load: sixth codes have no patient, seventh ones no integer admission."""
+        return self.bronze(self.diag_raw()).withColumn(
+            "subject_id", F.when(F.col("seq_num") != "6", F.col("subject_id"))).withColumn(
+            "hadm_id", F.when(F.col("seq_num") == "7", F.concat(F.lit("A"), "hadm_id")).otherwise(F.col("hadm_id")))
+
     def proc_raw(self) -> DataFrame:
         """PROCEDURES_ICD stand-in: code = zero-padded supplier key."""
         return self._codes_base().select(

@@ -156,3 +156,105 @@ def test_class_weights_strict_missing_label_raises(spark):
         fe.class_weights(freq, idx).collect()
     ok = fe.class_weights(freq.filter("label = 'a'"), idx).collect()
     assert [(r["idx"], r["weight"]) for r in ok] == [(0, 0.0)]
+
+
+def _order(spark, n, seed, partitions=4):
+    df = spark.createDataFrame([(i % 3, 5 * i) for i in range(n)], "subject_id long, hadm_id long").repartition(partitions)
+    rows = fe.shuffled_batch_ids(df, 32, seed).collect()
+    assert sorted(r["position"] for r in rows) == list(range(n)) and all(r["batch"] == r["position"] // 32 for r in rows)
+    return [r["hadm_id"] for r in sorted(rows, key=lambda r: r["position"])]
+
+
+def test_epochs_are_different_permutations(spark):
+    n = 1500
+    first, again, other, far = (_order(spark, n, 1), _order(spark, n, 1, 7), _order(spark, n, 2), _order(spark, n, 12345))
+    assert first == again and first != sorted(first)
+    pairs = lambda order: {frozenset(p) for p in zip(order, order[1:], strict=False)}
+    for a, b in ((first, other), (first, far), (other, far), (first, sorted(first))):
+        assert len(pairs(a) & pairs(b)) < 15  # two are expected by chance
+        assert sum(x == y for x, y in zip(a, b, strict=True)) < 15  # one is
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 6, 97])
+def test_small_epochs_are_permutations(spark, n):
+    assert len(_order(spark, n, 3)) == n
+
+
+def test_words_are_looked_up_once_a_document(spark):
+    docs = spark.createDataFrame([(7, 1, "x y x  q x y", "a"), (7, 2, "", "a"), (8, 1, "q", "a")], DOC_SCHEMA)
+    words = spark.createDataFrame([("x", 5, 1), ("y", 4, 2)], "word string, count long, idx long")
+    got = {(r["subject_id"], r["hadm_id"]): r["word_ids"] for r in fe.doc_word_ids(docs, words, 2).collect()}
+    assert got == {(7, 1): [1, 2, 1, 3, 1, 2], (8, 1): [3]}
+    cut = fe.doc_word_ids(docs, words, 2, max_len=2).filter("subject_id = 7").first()
+    assert cut["word_ids"] == [1, 2]
+
+
+def test_pools_from_distinct_ids(spark):
+    rng = np.random.RandomState(5)
+    table = {k: rng.randn(3) for k in range(1, 6)}
+    docs = {(1, d): [int(x) for x in rng.randint(1, 6, rng.randint(0, 30))] for d in range(20)}
+    ids = spark.createDataFrame([(*k, v) for k, v in docs.items()], "subject_id long, hadm_id long, word_ids array<long>")
+    emb = spark.createDataFrame([(k, v.tolist()) for k, v in table.items()], "idx long, vector array<double>")
+    sums = {(r["subject_id"], r["hadm_id"]): (r["n_tokens"], r["sums"]) for r in em.sum_pool(ids, emb).collect()}
+    most = {(r["subject_id"], r["hadm_id"]): r["pooled"] for r in em.max_pool(ids, emb).collect()}
+    assert set(sums) == set(most) == {k for k, v in docs.items() if v}
+    for k, (n, total) in sums.items():
+        rows = np.array([table[i] for i in docs[k]])
+        assert n == len(rows) and np.allclose(total, rows.sum(0)) and np.allclose(most[k], rows.max(0))
+    with pytest.raises(Exception, match="no vector for id 9"):
+        em.sum_pool(spark.createDataFrame([(1, 1, [9])], "subject_id long, hadm_id long, word_ids array<long>"), emb).collect()
+
+
+def test_mean_vectors_equal_the_model(spark):
+    train = spark.createDataFrame([("a b  a c",)] * 3, "text string")
+    model = em.fit_word2vec(train, vector_size=5, min_count=3, seed=1)
+    docs = spark.createDataFrame(
+        [(5, 1, "a zzz zzz a"), (5, 2, "zzz"), (5, 3, " b"), (6, 1, "")], "subject_id long, hadm_id long, text string")
+    own = {(r[0], r[1]): r["doc_vector"] for r in em.document_vectors(model, docs).collect()}
+    got = {(r[0], r[1]): r["doc_vector"] for r in em.mean_vectors(docs, em.word_vectors(model), 5).collect()}
+    assert set(own) == set(got) and all(np.allclose(own[k], got[k], atol=1e-6) for k in own)
+
+
+def _brute_fit(x, y, iterations, reg=0.0):
+    x = np.column_stack([x, np.ones(len(x))])
+    step = 1.0 / (0.25 * (x * x).sum(1).max() + reg)
+    w = ahead = np.zeros((y.shape[1], x.shape[1]))
+    for k in range(iterations):
+        g = (1 / (1 + np.exp(-(x @ ahead.T))) - y).T @ x / len(x)
+        moved = ahead - step * (g + reg * ahead)
+        ahead, w = moved + k / (k + 3.0) * (moved - w), moved
+    return w
+
+
+def test_label_models_equal_a_brute_force_fit(spark):
+    rng = np.random.RandomState(8)
+    x = rng.randn(2500, 3)
+    y = np.stack([x[:, 0] > 0.3, x[:, 1] > 0, np.ones(2500, bool)], 1)
+    rows = [(1, i, x[i].tolist(), [int(j) for j in np.flatnonzero(y[i])]) for i in range(2500)]
+    feats = spark.createDataFrame(rows, "subject_id long, hadm_id long, pooled array<double>, label_ids array<long>").repartition(7)
+    want = _brute_fit(x, y.astype(float), 12, 0.01)
+    for partials in (1, 3, 64):
+        got = {r["label"]: r for r in mo.fit_label_models(feats, 3, iterations=12, reg_param=0.01, partials=partials).collect()}
+        for j in (0, 1):
+            assert np.allclose(got[j]["weights"] + [got[j]["bias"]], want[j], atol=1e-10)
+        assert got[2]["skipped"]
+
+
+def test_top_k_scores_equal_the_dense_top_k(spark):
+    rng = np.random.RandomState(6)
+    x, w, b = rng.randn(60, 4), rng.randn(900, 4) * rng.rand(900, 1) ** 3, rng.randn(900) * 0.1
+    w[7], b[7] = w[8], b[8]  # a tie, which the higher label wins
+    feats = spark.createDataFrame([(1, i, v.tolist()) for i, v in enumerate(x)], "subject_id long, hadm_id long, pooled array<double>")
+    models = spark.createDataFrame(
+        [(j, w[j].tolist(), float(b[j]), j == 3) for j in range(900)], "label long, weights array<double>, bias double, skipped boolean")
+    z = x @ w.T + b
+    z[:, 3] = -np.inf
+    for cells in (1_000_000, 400):
+        got = mo.top_k_scores(feats, models, 5, block_cells=cells).collect()
+        assert len(got) == 300
+        for i in range(60):
+            own = sorted((r for r in got if r["hadm_id"] == i), key=lambda r: r["rank"])
+            order = sorted(range(900), key=lambda j: (-z[i, j], -j))[:5]
+            assert [r["label"] for r in own] == order and np.allclose([r["logit"] for r in own], z[i, order])
+    few = mo.top_k_scores(feats, models.limit(2), 5).filter("hadm_id = 0").count()
+    assert few == 2 and mo.top_k_scores(feats, models.limit(0), 5).count() == 0

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from icdspark.operators import metrics as me
 from icdspark.operators import roc
@@ -115,3 +116,61 @@ def test_report_row(pred):
     row = me.evaluation_report(pred).first().asDict()
     for key in ("loss", "macro_f1", "micro_f1", "auc_macro", "auc_micro", "p_at_15"):
         assert row[key] is not None
+
+
+def _mean_curve(score, y):
+    """Every label's curve interpolated at every value of the joint grid."""
+    fprs, tprs = [], []
+    for j in range(y.shape[1]):
+        order = np.argsort(-score[:, j], kind="stable")
+        s, t = score[order, j], y[order, j]
+        last = np.r_[np.nonzero(np.diff(s))[0], len(s) - 1]
+        tp, fp = np.r_[0, np.cumsum(t)[last]], np.r_[0, (last + 1) - np.cumsum(t)[last]]
+        fprs.append(fp / fp[-1])
+        tprs.append(tp / tp[-1])
+    grid = np.unique(np.concatenate(fprs))
+    return grid, sum(np.interp(grid, f, t) for f, t in zip(fprs, tprs, strict=True)) / len(fprs)
+
+
+def test_macro_roc_curve_equals_interpolated_mean(pred, dense):
+    grid, mean = _mean_curve(*dense)
+    got = sorted((r.fpr, r.tpr) for r in roc.macro_roc_curve(pred).collect())
+    assert [g for g, _ in got] == grid.tolist()
+    assert np.abs(np.array([t for _, t in got]) - mean).max() < 1e-12
+    area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(got, got[1:], strict=False))
+    assert abs(roc.macro_roc_area(pred).first()[0] - area) < 1e-12
+
+
+def test_macro_roc_curve_without_a_class_is_null(spark):
+    rows = [(0, 0, 0.2, 1), (1, 0, 0.4, 0), (0, 1, 0.3, 0), (1, 1, 0.6, 0)]
+    df = spark.createDataFrame(rows, "instance long, label long, score double, y int")
+    curve = roc.macro_roc_curve(df).collect()
+    assert curve and all(r.tpr is None for r in curve)
+    kept = df.filter("label = 0")
+    assert sorted(map(tuple, roc.macro_roc_curve(kept).collect())) == [(0.0, 0.0), (1.0, 1.0)]
+
+
+def test_curves_of_close_scores(spark):
+    """All logits within 0.01 of each other: the same areas, and no bucket with much more than its share."""
+    from icdspark.operators import running as ru
+
+    rng = np.random.RandomState(2)
+    logit = 3.0 + 0.01 * rng.rand(20_000)
+    y = (rng.rand(20_000) < 0.3).astype(int)
+    rows = [(i, i % 5, float(1 / (1 + np.exp(-x))), int(t)) for i, (x, t) in enumerate(zip(logit, y, strict=True))]
+    df = spark.createDataFrame(rows, "instance long, label long, score double, y int")
+    counts = roc.micro_counts(roc.score_counts(df))
+    for slices in (1, ru.SLICES):
+        sizes = [r["count"] for r in ru.depth_bucket("score", slices=slices)(counts).groupBy(
+            F.floor(F.col(ru.BUCKET) / slices)).count().collect()]
+        assert len(sizes) == ru.DEPTHS and max(sizes) <= 2 * sum(sizes) / ru.DEPTHS
+    s = np.array([r[2] for r in rows])
+    pos, neg = np.sort(s[y == 1]), np.sort(s[y == 0])
+    want = np.searchsorted(neg, pos).sum() / (len(pos) * len(neg))
+    assert abs(roc.micro_auc(df).first().auc_micro - want) < 1e-12
+
+
+def test_train_report_is_the_report_without_top_k(pred):
+    whole, train = me.evaluation_report(pred).first().asDict(), me.evaluation_report(pred, with_top_k=False).first().asDict()
+    assert set(whole) - set(train) == {"p_at_5", "p_at_8", "p_at_15"}
+    assert all(abs(train[k] - whole[k]) < 1e-12 for k in train)

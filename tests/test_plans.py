@@ -152,3 +152,55 @@ def test_no_python_in_the_plans(spark, name):
 
     plan = plan_of(registry.queries()[name](spark, SF))
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|PythonRDD", plan)
+
+
+def test_no_row_per_token_is_shuffled_without_broadcasts(spark):
+    p = prepared(spark, SF)
+    p.split_adm, p.label_index, p.word_index, p.num_words
+    with static_plans(spark):
+        plan = plan_of(p.encoded())
+    lines = plan.split("\n")
+    by_word = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning(word#" in line and "ReusedExchange" not in line]
+    # what is shuffled for the lookup has been gathered by document and word: no row for each place
+    assert any("functions=[collect_list(pos#" in line for line in by_word) and not any("posexplode" in line for line in by_word), by_word
+
+
+def test_split_and_batches_are_planned_once(spark):
+    p = prepared(spark, SF)
+    p.admission_splits, p.encoded_table
+    with static_plans(spark):
+        labelled, split, batches = plan_of(p.etl.labelled()), plan_of(p.etl.split(p.admission_splits)), plan_of(p.batched())
+    assert len(shuffles(split)) == len(shuffles(labelled)) + 1, split
+    lists = [line for line in batches.split("\n") if "FileScan parquet" in line and "word_ids" in line and "label_ids" in line]
+    assert len(lists) == 1 and scans(batches) <= 4 and len(shuffles(batches)) <= 12, batches
+
+
+def test_pooling_ships_a_vector_once_a_document(spark):
+    from icdspark.operators import embeddings as em
+
+    p = prepared(spark, SF)
+    vectors = p.written_anew(ProxyTables(spark, SF).index_vectors(p.word_index.select("idx")), "vectors")
+    with static_plans(spark):
+        plan = plan_of(em.max_pool(p.encoded_table, vectors))
+    assert "array_distinct" in plan and "Broadcast" not in plan
+    with static_plans(spark):
+        mean = plan_of(em.mean_vectors(p.split_adm, p.written_anew(p.word_index.join(vectors, "idx").select("word", "vector"), "by_word"), 64))
+    assert "Broadcast" not in mean and "partial_count" in mean
+
+
+def test_top_labels_make_no_row_for_each_pair(spark):
+    from icdspark.operators import model as mo
+
+    feats = spark.createDataFrame([(1, 1, [1.0, 2.0])], "subject_id long, hadm_id long, pooled array<double>")
+    models = spark.createDataFrame([(j, [1.0, 0.5 * j], 0.0) for j in range(9)], "label long, weights array<double>, bias double")
+    plan = plan_of(mo.top_k_scores(feats, models, 3))
+    assert "Join" not in plan and "CartesianProduct" not in plan
+
+
+def test_admission_counts_read_each_input_once(spark):
+    from icdspark.operators.cohort import admission_counts
+
+    etl = proxy_etl(spark, SF)
+    with static_plans(spark, broadcast=True):
+        plan = plan_of(admission_counts(etl.notes(), etl.codes()))
+    assert plan.count("documents.parquet") == 1 and "text:string" not in plan

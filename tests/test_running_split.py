@@ -115,3 +115,36 @@ def test_split_disjoint_and_exhaustive(spark):
     assert per == 0
     sizes = {r["split"]: r["n"] for r in adm.groupBy("split").agg(F.count("*").alias("n")).collect()}
     assert set(sizes) <= {"train", "val", "test"} and sizes["train"] >= 0.8 * sum(sizes.values())
+
+
+def test_depth_buckets_are_monotone_and_even(spark):
+    from icdspark.operators import running as ru
+
+    rng = random.Random(4)
+    values = [rng.choice([rng.random() * 1e-9, 5 + rng.random(), -1e6 * rng.random()]) for _ in range(30_000)] + [7.0] * 50
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for slices in (1, 8):
+        got = sorted((r["v"], r[ru.BUCKET]) for r in ru.depth_bucket("v", 64, slices)(df).collect())
+        assert [b for _, b in got] == sorted(b for _, b in got)
+        shares = [0] * 64
+        for _, b in got:
+            shares[b // slices] += 1
+        assert max(shares) <= 2 * len(values) / 64
+    out = running_sum(spark.range(500).select(F.col("id").cast("double").alias("v")), ["v"], {"n": F.lit(1)}, ru.depth_bucket("v", 16, 4))
+    assert {r["v"]: r["n"] for r in out.collect()} == {float(k): k + 1 for k in range(500)}
+    assert running_sum(df.limit(0), ["v"], {"n": F.lit(1)}, ru.depth_bucket("v")).count() == 0
+
+
+def test_word_buckets_spread_words_with_one_beginning(spark):
+    from icdspark.operators import running as ru
+
+    words = [f"https://{k:07d}" for k in range(40_000)] + ["", "a", "z"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = sorted((r["w"], r[ru.BUCKET]) for r in ru.word_bucket("w", 64)(df).collect())
+    assert [b for _, b in got] == sorted(b for _, b in got)
+    sizes = {}
+    for _, b in got:
+        sizes[b] = sizes.get(b, 0) + 1
+    assert len(sizes) == 64 and max(sizes.values()) <= 2 * len(words) / 64
+    ranked = row_number(df, ["w"], ru.word_bucket("w", 64), "n").collect()
+    assert {r["w"]: r["n"] for r in ranked} == {w: k + 1 for k, w in enumerate(sorted(words))}

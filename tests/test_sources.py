@@ -203,3 +203,117 @@ def test_own_stage_tables_are_deleted(spark):
     assert os.path.exists(p.folder)
     p.close()
     assert not os.path.exists(p.folder)
+
+
+CODE_SCHEMA = "subject_id string, hadm_id string, seq_num string, icd9_code string"
+
+
+def test_rejected_rows_are_kept_apart(spark, tmp_dir):
+    from icdspark.operators.cohort import split_rejects
+
+    rows = [("1", "10", "1", "4019"), (None, "x", "2", "4019"), ("1", "1x", "3", "4019"), ("2", "20", None, "4019"), ("3", "30", "1", "")]
+    raw = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], CODE_SCHEMA + ", extra int")
+    written = []
+
+    def write(df):
+        df.write.parquet(os.path.join(tmp_dir, "checked"))
+        written.append(1)
+        return spark.read.parquet(os.path.join(tmp_dir, "checked"))
+
+    for store in (None, write):
+        kept, bad = split_rejects(raw, ("subject_id", "hadm_id"), raw.columns, store)
+        assert [tuple(r) for r in kept.orderBy("extra").collect()] == [(*rows[0], 0), (*rows[4], 4)]
+        got = bad.select("column", "reason", F.variant_get("source", "$.extra", "int").alias("i")).orderBy("i").collect()
+        assert [tuple(r) for r in got] == [("subject_id", "null", 1), ("hadm_id", "not an integer", 2), ("seq_num", "null", 3)]
+        assert kept.count() + bad.count() == raw.count()
+    assert written == [1]
+
+
+def test_quarantined_etl_loads_the_rest(spark):
+    from icdspark.plans.etl import Etl
+
+    notes = spark.createDataFrame(
+        [("1", "5", "10", "Discharge summary", "a"), ("2", "5", "ten", "Discharge summary", "b"), ("x", "y", "z", "Nursing", "c")],
+        "row_id string, subject_id string, hadm_id string, category string, text string")
+    diag = spark.createDataFrame([("5", "10", "1", "4019"), ("5", "?", "2", "4019")], CODE_SCHEMA)
+    etl, rejects = Etl(notes, diag, diag.limit(0)).quarantined()
+    assert [(r["hadm_id"], r["labels"]) for r in etl.labelled().collect()] == [(10, "401.9")]
+    assert {k: v.count() for k, v in rejects.items()} == {"notes_raw": 1, "diag_raw": 1, "proc_raw": 0}
+
+
+def test_strict_join_raises_on_a_missing_partner(spark, tmp_dir):
+    import pytest
+
+    from icdspark.operators.cohort import MissingKeys, observed_join, strict_labelled_admissions
+
+    def write(name):
+        def stored(df):
+            df.write.parquet(os.path.join(tmp_dir, name))
+            return spark.read.parquet(os.path.join(tmp_dir, name))
+        return stored
+
+    codes = spark.createDataFrame([(1, 10, "1", "401.9", 0), (2, 20, "1", "250.00", 0)], "subject_id long, hadm_id long, seq_num string, icd9_code string, src int")
+    notes = spark.createDataFrame([(1, 1, 10, "a"), (2, 2, 20, "b")], "row_id long, subject_id long, hadm_id long, text string")
+    assert strict_labelled_admissions(codes, notes, write("whole")).count() == 2
+    # another patient's note on the second admission: in the cohort, but without a partner
+    other = spark.createDataFrame([(1, 1, 10, "a"), (2, 3, 20, "b"), (3, 4, 20, "c")], notes.schema)
+    with pytest.raises(MissingKeys) as found:
+        strict_labelled_admissions(codes, other, write("broken"))
+    assert found.value.counts == {"without_labels": 2, "without_text": 1}
+    joined, counts = observed_join(
+        other.select("subject_id", "hadm_id", "text"), codes.select("subject_id", "hadm_id", F.col("icd9_code").alias("labels")))
+    assert joined.count() == 1 and counts.get == {"without_labels": 2, "without_text": 1}
+
+
+def test_admission_counts_from_bitmaps(spark):
+    from icdspark.operators.cohort import admission_counts
+
+    ids = [0, 1, -1, -40_000, 32_768, 32_769, 1 << 40, (1 << 63) - 1, None, 1, 1]
+    notes = spark.createDataFrame([(i,) for i in ids], "hadm_id long")
+    codes = spark.createDataFrame([(i,) for i in [1, 32_769, 5, None, -1, 5]], "hadm_id long")
+    assert tuple(admission_counts(notes, codes).first()) == (8, 4, 3, 3)
+    assert tuple(admission_counts(notes.limit(0), codes).first()) == (0, 4, 0, 0)
+
+
+def test_dictionary_files_follow_each_other_by_name(spark, tmp_dir):
+    """The last row wins across files too, whatever their sizes."""
+    from icdspark.operators.features import merge_code_descriptions
+
+    folder = os.path.join(tmp_dir, "D_ICD_DIAGNOSES")
+    os.makedirs(folder)
+    for name, rows in (("a.csv", 1), ("b.csv", 300), ("c.csv", 2)):
+        with open(os.path.join(folder, name), "w") as f:
+            f.write("ROW_ID,ICD9_CODE,LONG\n" + "".join(f"{k},4019,{name} {k}\n" for k in range(rows)))
+    empty = spark.createDataFrame([], "pos struct<file:string,row:long>, code string, description string")
+    merged = merge_code_descriptions(fs.read_code_dictionary(spark, folder), empty, empty)
+    assert [tuple(r) for r in merged.collect()] == [("401.9", "c.csv 1")]
+
+
+def test_session_settings_stay_as_they_are(spark):
+    from icdspark.plans import registry
+
+    before = dict(spark.sparkContext.getConf().getAll()), {k: spark.conf.get(k, None) for k in ("spark.checkpoint.dir", "spark.sql.shuffle.partitions")}
+    registry.queries()["d03_labelled_admissions"](spark, "/root/testdata/sf0.001").count()
+    after = dict(spark.sparkContext.getConf().getAll()), {k: spark.conf.get(k, None) for k in ("spark.checkpoint.dir", "spark.sql.shuffle.partitions")}
+    assert before == after
+
+
+def test_entry_works_without_the_extra_queries_dependencies():
+    """A missing dependency of the optional subpackage costs its queries, not the others."""
+    import subprocess
+    import sys
+
+    code = (
+        "import sys\n"
+        "class Blocked:\n"
+        "    def find_spec(self, name, path=None, target=None):\n"
+        "        if name.split('.')[0] in ('ahocorasick', 'xxhash'):\n"
+        "            raise ImportError(name)\n"
+        "sys.meta_path.insert(0, Blocked())\n"
+        "import __spark_entry__ as e\n"
+        "names = set(e.queries())\n"
+        "from icdspark.plans import registry\n"
+        "assert names == set(registry.queries()) == set(e.oracle_sql()), names\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
