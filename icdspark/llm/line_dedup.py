@@ -1,22 +1,26 @@
-"""Line dedup: delete runs of lines that occur earlier, found by winnowing.
-
-The unit is a line that has a word; blank lines don't count.  A *window* is a
-shortest run of lines with ``MIN_WORDS`` words from a line on, or up to a line;
-a *gram* is a shortest run with ``GRAM_WORDS`` words.  Of the grams inside a
-window the one with the smallest hash is its fingerprint.  A run of at least
-``MIN_WORDS`` words that occurs twice holds an equal window in both places, so
-it has an equal fingerprint in both: the guarantee of winnowing.
-
-Fingerprints that occur once end the search for most windows.  The positions
-of the others are joined, and the windows that reach from a fingerprint to
-either side are compared; those that occur earlier (by id, then position) are
-deleted.  Windows are shortest runs in both directions, so together they cover
-a repeated run from its first to its last line.  Every step is a grouped
-minimum or an equality join; no pairs of places are made.
+"""Line dedup: delete passages that occur earlier, found by winnowing and extended both ways.
+
+Texts are read as lines of words; a passage may begin and end inside a line.
+Of the ``MIN_WORDS - GRAM_WORDS + 1`` grams (runs of ``GRAM_WORDS`` words) in a
+window of ``MIN_WORDS`` words the one with the smallest hash is its fingerprint.
+Two places with an equal passage of ``MIN_WORDS`` words have an equal fingerprint
+at the same distance: the guarantee of winnowing.  A fingerprint stands for all
+windows that chose it, its *reach*: what it extends to on either side.
+
+1. Fingerprints are joined by gram and the hash of their whole reach.  All but
+   the first place of an equal reach go, from end to end; this settles copies.
+2. The first places of the different reaches of one gram are extended: each of
+   their windows is compared, and those that occur earlier go.  A window's
+   first place is the first place of its reach, so none is missed.
+
+Every step is a grouped minimum or an equality join; no pairs of places are
+made, and passages that many documents share are rows of step 1 alone.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,101 +32,161 @@ from icdspark.llm.common import columns_of, free_name, map_rows, need_columns, s
 MIN_WORDS = 50
 GRAM_WORDS = 20
 _SEED = 7
-
-
-def lines_of(text: str | None) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The ``\\n``-split lines, which of them have words, and how many."""
-    lines = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
-    words = np.array([len(line.split()) for line in lines], np.int64)
-    at = np.flatnonzero(words)
-    return lines, at, words[at]
-
-
-def _shortest_runs(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, end) of the shortest run of at least ``least`` words from each line on; end exclusive."""
-    total = np.concatenate(([0], np.cumsum(words)))
-    ends = np.searchsorted(total, total[:-1] + least)
-    start = np.flatnonzero(ends < len(total))
-    return start, ends[start]
-
-
-def _hashes(codes: bytes, starts: np.ndarray, ends: np.ndarray) -> list[int]:
-    digest = xxhash.xxh64_intdigest
-    return [digest(codes[8 * a : 8 * b], _SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-
-
-def windows_of(text: str | None, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> tuple:
-    """(fingerprints, window starts, window ends, window hashes, fingerprint of each window) of one text."""
-    lines, at, words = lines_of(text)
-    if words.sum() < min_words:
-        return [], [], [], [], []
-    codes = np.array([xxhash.xxh64_intdigest(lines[i].strip(), _SEED) for i in at], np.uint64).tobytes()
-    starts, ends = _shortest_runs(words, min_words)
-    back_ends, back_starts = (len(words) - x for x in _shortest_runs(words[::-1], min_words))
-    both = np.unique(np.stack([np.concatenate([starts, back_starts]), np.concatenate([ends, back_ends])], 1), axis=0)
-    starts, ends = both[:, 0], both[:, 1]
-    gram_starts, gram_ends = _shortest_runs(words, gram_words)
-    grams = _hashes(codes, gram_starts, gram_ends)  # the gram of line i is number i: lines without one are last
-    order = np.array(grams, np.uint64)
-    chosen = []
-    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-        last = int(np.searchsorted(gram_ends, b, side="right"))  # grams end in order
-        chosen.append(a + int(np.argmin(order[a:last])) if last - a > 1 else a)
-    signed = np.array(grams, np.uint64).view(np.int64)
-    whole = np.array(_hashes(codes, starts, ends), np.uint64).view(np.int64)
-    return (signed[sorted(set(chosen))].tolist(), starts.tolist(), ends.tolist(), whole.tolist(), signed[chosen].tolist())
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+#: Base of the rolling hash modulo 2^64 (odd, so it has an inverse), and what grams, windows and reaches are told apart by.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_WINDOWS = 1 << 12
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out, dtype=np.uint64) if n else out
+
+
+class Words:
+    """Hashes of any run of a text's words."""
+
+    def __init__(self, text: str | None):
+        digest = xxhash.xxh64_intdigest
+        found = (text or "").encode("utf-8", "surrogatepass").split()
+        codes = np.array([digest(w, _SEED) for w in found], np.uint64)
+        self.n = len(found)
+        self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * _powers(_BASE, self.n), dtype=np.uint64)])
+        self._back = _powers(_INVERSE, self.n + 1)
+
+    def runs(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of the words from each start to its end: their polynomial, stirred so that its low bits are good too."""
+        x = (self._sums[ends] - self._sums[starts]) * self._back[starts]
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        return x ^ (x >> np.uint64(32))
+
+
+def _fingerprints(words: Words, min_words: int, gram_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Grams, the first and the last window that chose each, and where the gram stands."""
+    span = min_words - gram_words + 1
+    at = np.arange(words.n - gram_words + 1)
+    grams = words.runs(at, at + gram_words)
+    chosen = np.empty(words.n - min_words + 1, np.int64)
+    for start in range(0, len(chosen), _WINDOWS):  # the last of equal minima: the choice never moves back
+        part = grams[start : start + _WINDOWS + span - 1]
+        view = np.lib.stride_tricks.sliding_window_view(part, span)[:, ::-1]
+        chosen[start : start + len(view)] = np.arange(start, start + len(view)) + span - 1 - view.argmin(1)
+    places, first, counts = np.unique(chosen, return_index=True, return_counts=True)
+    return grams[places], first, first + counts - 1, places
+
+
+def reaches_of(text: str | None, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> tuple:
+    """(grams, hashes of their reaches, first windows, last windows) of one text."""
+    words = Words(text)
+    if words.n < min_words:
+        return [], [], [], []
+    grams, first, last, places = _fingerprints(words, min_words, gram_words)
+    whole = words.runs(first, last + min_words) ^ ((places - first).astype(np.uint64) * np.uint64(_BASE))
+    return grams.view(np.int64).tolist(), whole.view(np.int64).tolist(), first.tolist(), last.tolist()
+
+
+def windows_of(text: str, reaches: list[tuple[int, int]], min_words: int = MIN_WORDS) -> tuple[list[int], list[int]]:
+    """Start and hash of every window of these reaches (first and last window) of one text."""
+    words = Words(text)
+    starts = np.concatenate([np.arange(a, b + 1) for a, b in reaches])
+    return starts.tolist(), words.runs(starts, starts + min_words).view(np.int64).tolist()
 
 
 def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
-    """The text without the lines of these runs, and how many lines that were."""
-    lines, at, _ = lines_of(text)
-    gone = np.zeros(len(at) + 1, np.int64)
+    """The text without the words of these runs (start, end exclusive), and how many words that were.
+
+    A line whose words all go goes; what stays of a line on both sides of a run
+    is parted by a space.
+    """
+    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+    spans = [[m.span() for m in _WORD.finditer(line)] for line in lines]
+    gone = np.zeros(sum(map(len, spans)) + 1, np.int64)
     for a, b in runs:
         gone[a] += 1
         gone[b] -= 1
-    drop = set(at[np.cumsum(gone[:-1]) > 0].tolist())
-    kept = b"\n".join(line for i, line in enumerate(lines) if i not in drop)
-    return kept.decode("utf-8", "surrogatepass"), len(drop)
+    gone = np.cumsum(gone[:-1]) > 0
+    out, at = [], 0
+    for line, own in zip(lines, spans, strict=True):
+        drop = gone[at : at + len(own)]
+        at += len(own)
+        if not drop.any():
+            out.append(line)
+        elif not drop.all():
+            keep = np.flatnonzero(~drop)
+            cuts = np.flatnonzero(np.diff(keep) > 1)
+            pieces = zip(keep[np.r_[0, cuts + 1]], keep[np.r_[cuts, len(keep) - 1]], strict=True)
+            out.append(b" ".join(line[own[a][0] : own[b][1]] for a, b in pieces))
+    return b"\n".join(out).decode("utf-8", "surrogatepass"), int(gone.sum())
+
+
+def _keyed(runs: DataFrame, docs: DataFrame, id_col: str, text_col: str, name: str) -> tuple[DataFrame, str]:
+    """``docs`` with the column ``name`` of ``runs`` (by id and hash of the text), under a free name."""
+    key, text_hash, found = (free_name(docs, n) for n in ("key", "text_hash", name))
+    # always a merge join: the runs grow with the documents, so they aren't broadcast at any size
+    side = runs.select(F.col("doc_id").alias(key), F.col("h").alias(text_hash), F.col(name).alias(found)).hint("merge")
+    return docs.join(side, F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(text_hash)), "left"), found
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, h, runs``: the windows of each text (its id and ``xxhash64``) that occur earlier.
+    """``doc_id, h, runs``: the passages of each text (its id and ``xxhash64``) that occur earlier.
 
-    Runs are (start, end) over lines with words.  Texts without one have no row.
+    Runs are (start, end) over the words of the text.  Texts without one have no row.
     """
     need_columns(docs, id_col, text_col)
+    if min_words < 1:
+        raise ValueError("a passage has a word at least")
+    gram_words = min(gram_words, min_words)
     folder = work_folder(docs.sparkSession)
     places, codes = pa.list_(pa.int32()), pa.list_(pa.int64())
     units = map_rows(
         docs, {"doc_id": F.col(id_col), "h": F.xxhash64(text_col)}, [F.col(text_col)],
-        {"grams": codes, "start": places, "end": places, "window": codes, "gram": codes},
-        lambda texts: [windows_of(t, min_words, gram_words) for t in texts])
-    units = stored(units.filter(F.size("window") > 0), folder, "units")
+        {"gram": codes, "reach": codes, "first": places, "last": places},
+        lambda texts: [reaches_of(t, min_words, gram_words) for t in texts])
+    units = stored(units.filter(F.size("gram") > 0), folder, "units")
     # stored before they are joined: both sides of a join are then plain exchanges, and a hot key can be split
-    repeated = units.select(F.explode("grams").alias("gram")).groupBy("gram").count().filter("count > 1")
-    repeated = stored(repeated.select("gram"), folder, "repeated")
-    windows = stored(
-        units.select("doc_id", "h", F.explode(F.arrays_zip("start", "end", "window", "gram")).alias("w"))
-        .select("doc_id", "h", "w.*").join(repeated, "gram", "left_semi").drop("gram"), folder, "windows")
-    place = F.struct("doc_id", "h", "start")
-    first = windows.groupBy("window").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = stored(first.filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last"), folder, "first")
-    later = windows.join(first, "window").filter(~place.eqNullSafe(F.col("first")))
-    return later.groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+    marks = units.select("doc_id", "h", F.explode(F.arrays_zip("gram", "reach", "first", "last")).alias("m")).select("doc_id", "h", "m.*")
+    place = F.struct("doc_id", "h", "first", "last")
+    classes = marks.groupBy("gram", "reach").agg(F.min(place).alias("place"), F.max(place).alias("latest"))
+    classes = stored(classes, folder, "classes")
+    # 1. equal reaches: all but the first place go
+    shared = stored(classes.filter(~F.col("place").eqNullSafe(F.col("latest"))).select("gram", "reach", "place"), folder, "shared")
+    whole = marks.join(shared, ["gram", "reach"]).filter(~place.eqNullSafe(F.col("place"))).select(
+        "doc_id", "h", F.col("first").alias("start"), (F.col("last") + min_words).alias("end"))
+    # 2. grams with several reaches: their first places, window by window
+    several = stored(classes.groupBy("gram").count().filter("count > 1").select("gram"), folder, "several")
+    firsts = classes.join(several, "gram", "left_semi").select("place.*").groupBy("doc_id", "h").agg(
+        F.array_distinct(F.collect_list(F.struct("first", "last"))).alias("reaches"))
+    joined, found = _keyed(stored(firsts, folder, "firsts"), docs.select(id_col, text_col), id_col, text_col, "reaches")
+    opened = map_rows(
+        joined.filter(F.col(found).isNotNull()), {"doc_id": F.col(id_col), "h": F.xxhash64(text_col)},
+        [joined[text_col], joined[found]], {"start": places, "window": codes},
+        lambda texts, reaches: [
+            windows_of(t, [(r["first"], r["last"]) for r in rs], min_words) for t, rs in zip(texts, reaches, strict=True)])
+    windows = stored(opened.select("doc_id", "h", F.explode(F.arrays_zip("start", "window")).alias("w")).select(
+        "doc_id", "h", "w.*"), folder, "windows")
+    spot = F.struct("doc_id", "h", "start")
+    first = windows.groupBy("window").agg(F.min(spot).alias("first"), F.max(spot).alias("latest"))
+    first = stored(first.filter(~F.col("first").eqNullSafe(F.col("latest"))).drop("latest"), folder, "first")
+    later = windows.join(first, "window").filter(~spot.eqNullSafe(F.col("first"))).select(
+        "doc_id", "h", "start", (F.col("start") + min_words).alias("end"))
+    return whole.unionByName(later).groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS,
                 id_col: str = "doc_id", text_col: str = "text", removed_col: str | None = None) -> DataFrame:
-    """``docs`` with later repeated runs deleted from the text; every row and column stays.
-
-    A line goes if it lies in a run of whole lines with at least ``min_words``
-    words in all that occurs earlier: in a row with a smaller id (null ids are
-    the smallest; equal ids by a hash of the text), or further up in the same
-    text.  Lines are compared without white space around them.  Rows with the
-    same id and text are one document, with one result.  Null texts stay null,
-    empty ones empty; a text whose lines all go becomes empty.
-    ``removed_col`` adds the number of lines that went.
+    """``docs`` with later repeated passages deleted from the text; every row and column stays.
+
+    A word goes if it lies in a passage of at least ``min_words`` words that
+    occurs earlier: in a row with a smaller id (null ids are the smallest; equal
+    ids by a hash of the text), or further up in the same text, where both may
+    overlap.  White space between words doesn't matter, line ends included.  Rows with the same id and
+    text are one document, with one result.  Null texts stay null, empty ones
+    empty; lines whose words all go go with them, so a text that repeats others
+    throughout becomes empty.  ``removed_col`` adds the number of words that went.
     """
     runs = stored(repeated_runs(docs, min_words, gram_words, id_col, text_col), work_folder(docs.sparkSession), "runs")
 
@@ -132,11 +196,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = G
             for t, r in zip(texts, found, strict=True)
         ]
 
-    key, text_hash, found, text, removed = (free_name(docs, n) for n in ("key", "text_hash", "runs", "cleaned", "removed"))
-    # always a merge join: the runs grow with the documents, so they aren't broadcast at any size
-    joined = docs.join(
-        runs.select(F.col("doc_id").alias(key), F.col("h").alias(text_hash), F.col("runs").alias(found)).hint("merge"),
-        F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(text_hash)), "left")
+    text, removed = (free_name(docs, n) for n in ("cleaned", "removed"))
+    joined, found = _keyed(runs, docs, id_col, text_col, "runs")
     done = map_rows(joined, columns_of(docs, text_col), [docs[f"`{text_col}`"], joined[found]],
                     {text: pa.string(), removed: pa.int64()}, cleaned)
     columns = [F.col(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]

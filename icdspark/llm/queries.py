@@ -64,7 +64,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's text without later repeated runs, and how many lines went."""
+    """Every document's text without later repeated passages, and how many words went."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs, removed_col="n_removed")
 

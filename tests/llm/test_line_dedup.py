@@ -1,4 +1,7 @@
-from collections import defaultdict
+import random
+import re
+
+import pytest
 
 from icdspark.llm import line_dedup as ld
 from icdspark.llm.queries import op7_line_dedup
@@ -7,24 +10,25 @@ SF = "/root/testdata/sf0.001"
 
 
 def plain(rows, least=50):
-    """Every run of worded lines with enough words, looked up in all earlier places."""
-    lines = {i: [x.strip() for x in (t or "").split("\n") if x.split()] for i, t in rows}
-    first, gone = {}, defaultdict(set)
-    for i in sorted(lines):
-        for a in range(len(lines[i])):
-            words = 0
-            for b in range(a, len(lines[i])):
-                words += len(lines[i][b].split())
-                if words >= least:
-                    if first.setdefault(tuple(lines[i][a : b + 1]), (i, a)) != (i, a):
-                        gone[i].update(range(a, b + 1))
-                    if words > least + 150:
-                        break
-    return {i: [x for k, x in enumerate(ls) if k not in gone[i]] for i, ls in lines.items()}
+    """Every passage of enough words, wherever it begins and ends, looked up in all earlier places."""
+    first, out = {}, {}
+    for i, text in sorted(rows):
+        lines = [x.split() for x in re.split("\n", text or "")]
+        words = [w for line in lines for w in line]
+        gone = set()
+        for a in range(len(words) - least + 1):
+            if first.setdefault(tuple(words[a : a + least]), (i, a)) != (i, a):
+                gone.update(range(a, a + least))
+        at, out[i] = 0, []
+        for line in lines:
+            left_ = [w for k, w in enumerate(line, at) if k not in gone]
+            at += len(line)
+            out[i] += [" ".join(left_)] * bool(left_)
+    return out
 
 
 def left(df):
-    return {r["doc_id"]: [x.strip() for x in r["text"].split("\n") if x.split()] for r in df.collect()}
+    return {r["doc_id"]: [" ".join(x.split()) for x in r["text"].split("\n") if x.split()] for r in df.collect()}
 
 
 def test_query_equals_brute_force(spark, texts):
@@ -65,6 +69,30 @@ def test_short_common_lines_stay(make):
     assert left(ld.dedup_lines(make(rows))) == plain(rows)
 
 
+def test_passages_inside_lines(make):
+    """A passage that begins and ends in the middle of lines, and one in a single line."""
+    shared = words("s", 30) + "\n" + words("t", 40)
+    rows = [(1, f"{words('a', 20)} {shared} {words('b', 20)}"), (2, f"{words('c', 9)} {shared} {words('d', 9)}"),
+            (3, f"{words('e', 5)} {words('t', 40)} {words('f', 5)}"), (4, f"{words('g', 70)} {words('b', 20)}"),
+            (5, f"{words('h', 3)} {words('g', 70)} {words('i', 3)}")]
+    got = left(ld.dedup_lines(make(rows)))
+    assert got == plain(rows)
+    assert got[2] == [words("c", 9), words("d", 9)] and got[5] == [f"{words('h', 3)} {words('i', 3)}"] and len(got[3]) == 1
+
+
+@pytest.mark.parametrize("least", [1, 2, 10, 20, 33])
+def test_any_length_of_passage(make, least):
+    """Words of which many are equal, so that grams tie, overlap and repeat in themselves."""
+    rng = random.Random(least)
+    parts = [" ".join(rng.choice("abc") for _ in range(rng.randint(1, 60))) for _ in range(8)]
+    rows = [(i, "\n".join(rng.choice(parts) if rng.random() < 0.7 else " ".join(rng.choice("abcd") for _ in range(30))
+                          for _ in range(rng.randint(1, 5)))) for i in range(25)]
+    out = ld.dedup_lines(make(rows), min_words=least, removed_col="n")
+    assert left(out) == plain(rows, least)
+    counts = {i: len(t.split()) for i, t in rows}
+    assert all(counts[r["doc_id"]] == len(r["text"].split()) + r["n"] for r in out.collect())
+
+
 def test_odd_rows(odd_docs):
     out = ld.dedup_lines(odd_docs, removed_col="gone_")
     assert out.columns == [*odd_docs.columns, "gone_"]
@@ -75,6 +103,7 @@ def test_odd_rows(odd_docs):
         by.setdefault(r["doc_id"], []).append(r)
     assert by[1][0]["text"] is None and by[2][0]["text"] == "" and by[12][0]["text"] == "\n\n\n"
     assert len(by[9]) == 2 and by[11][0]["text"].count("\n") == 2999
+    assert by[5][0]["text"] == "word"  # each passage but the first one begins inside an earlier, equal one
     assert ld.dedup_lines(odd_docs.limit(0)).collect() == []
 
 

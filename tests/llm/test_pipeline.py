@@ -40,4 +40,4 @@ def test_every_operator_has_its_query():
 
     names = entry.queries()
     assert [n for n in names if n.startswith("op")] == list(queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11)) and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 14)) and "pipeline" in names
