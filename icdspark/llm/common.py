@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from pathlib import Path
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-CHECKPOINT_CONF = "spark.checkpoint.dir"
+from icdspark.session import shared_path
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,17 +21,10 @@ def work_folder(spark: SparkSession) -> str:
     """A new folder under the shared ``spark.checkpoint.dir`` of the session.
 
     Only a ``local`` session may leave the setting out; it then gets a private
-    folder.  On a cluster a machine-local folder would be invisible to the
-    other machines, so that is an error.
+    folder (the setting stays as it is).  On a cluster a machine-local folder
+    would be invisible to the other machines, so that is an error.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None)
-    if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="icdspark-llm-")
-        spark.conf.set(CHECKPOINT_CONF, base)
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    return shared_path(spark, f"llm-{uuid.uuid4().hex}")
 
 
 def stored(df: DataFrame, folder: str, name: str) -> DataFrame:

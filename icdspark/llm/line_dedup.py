@@ -30,52 +30,88 @@ from pyspark.sql import functions as F
 from icdspark.llm.common import columns_of, free_name, map_rows, need_columns, stored, work_folder
 
 MIN_WORDS = 50
-GRAM_WORDS = 20
+GRAM_WORDS = 10
 _SEED = 7
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Base of the rolling hash modulo 2^64 (odd, so it has an inverse), and what grams, windows and reaches are told apart by.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_WINDOWS = 1 << 12
+#: Words whose hashes a worker remembers, and words of a text for which it keeps the powers of the base.
+_KNOWN_WORDS, _KEPT_POWERS = 1 << 18, 1 << 16
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+class _Codes(dict):
+    """Hashes of words; texts repeat their words, so most are looked up."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= _KNOWN_WORDS:
+            self.clear()
+        self[word] = code = xxhash.xxh64_intdigest(word, _SEED)
+        return code
+
+
+_codes = _Codes()
+
+
+def _powers(base: int, n: int, kept: dict[int, np.ndarray] = {}) -> np.ndarray:  # noqa: B006
+    """The first ``n`` powers of ``base`` modulo 2^64."""
+    if n <= len(kept.get(base, ())):
+        return kept[base][:n]
     out = np.full(n, base, np.uint64)
     out[:1] = 1
-    return np.multiply.accumulate(out, dtype=np.uint64) if n else out
+    out = np.multiply.accumulate(out, dtype=np.uint64)
+    if n <= _KEPT_POWERS:
+        kept[base] = out
+    return out
 
 
 class Words:
     """Hashes of any run of a text's words."""
 
     def __init__(self, text: str | None):
-        digest = xxhash.xxh64_intdigest
         found = (text or "").encode("utf-8", "surrogatepass").split()
-        codes = np.array([digest(w, _SEED) for w in found], np.uint64)
         self.n = len(found)
-        self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * _powers(_BASE, self.n), dtype=np.uint64)])
+        codes = np.fromiter(map(_codes.__getitem__, found), np.uint64, self.n)
+        self._sums = np.zeros(self.n + 1, np.uint64)
+        np.cumsum(codes * _powers(_BASE, self.n), out=self._sums[1:])
         self._back = _powers(_INVERSE, self.n + 1)
 
     def runs(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hash of the words from each start to its end: their polynomial, stirred so that its low bits are good too."""
-        x = (self._sums[ends] - self._sums[starts]) * self._back[starts]
-        x ^= x >> np.uint64(29)
-        x *= np.uint64(0xBF58476D1CE4E5B9)
-        return x ^ (x >> np.uint64(32))
+        return _stirred((self._sums[ends] - self._sums[starts]) * self._back[starts])
+
+    def all_runs(self, size: int) -> np.ndarray:
+        """``runs`` of every ``size`` words on end."""
+        return _stirred((self._sums[size:] - self._sums[: self.n + 1 - size]) * self._back[: self.n + 1 - size])
+
+
+def _stirred(x: np.ndarray) -> np.ndarray:
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def _window_minima(values: np.ndarray, span: int) -> np.ndarray:
+    """Where the smallest of every ``span`` values on end stands, the last of equals (so it never moves back)."""
+    least, at, size = values, np.arange(len(values)), 1
+    while size < span:
+        step = min(size, span - size)  # two overlapping windows of ``size`` make one of ``size + step``
+        later = least[step:] <= least[:-step]
+        at = np.where(later, at[step:], at[:-step])
+        least = np.where(later, least[step:], least[:-step])
+        size += step
+    return at
 
 
 def _fingerprints(words: Words, min_words: int, gram_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Grams, the first and the last window that chose each, and where the gram stands."""
-    span = min_words - gram_words + 1
-    at = np.arange(words.n - gram_words + 1)
-    grams = words.runs(at, at + gram_words)
-    chosen = np.empty(words.n - min_words + 1, np.int64)
-    for start in range(0, len(chosen), _WINDOWS):  # the last of equal minima: the choice never moves back
-        part = grams[start : start + _WINDOWS + span - 1]
-        view = np.lib.stride_tricks.sliding_window_view(part, span)[:, ::-1]
-        chosen[start : start + len(view)] = np.arange(start, start + len(view)) + span - 1 - view.argmin(1)
-    places, first, counts = np.unique(chosen, return_index=True, return_counts=True)
-    return grams[places], first, first + counts - 1, places
+    grams = words.all_runs(gram_words)
+    chosen = _window_minima(grams, min_words - gram_words + 1)
+    first = np.flatnonzero(np.diff(chosen, prepend=-1))
+    places = chosen[first]
+    last = np.append(first[1:], len(chosen)) - 1
+    return grams[places], first, last, places
 
 
 def reaches_of(text: str | None, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> tuple:
@@ -85,14 +121,14 @@ def reaches_of(text: str | None, min_words: int = MIN_WORDS, gram_words: int = G
         return [], [], [], []
     grams, first, last, places = _fingerprints(words, min_words, gram_words)
     whole = words.runs(first, last + min_words) ^ ((places - first).astype(np.uint64) * np.uint64(_BASE))
-    return grams.view(np.int64).tolist(), whole.view(np.int64).tolist(), first.tolist(), last.tolist()
+    return grams.view(np.int64), whole.view(np.int64), first, last
 
 
-def windows_of(text: str, reaches: list[tuple[int, int]], min_words: int = MIN_WORDS) -> tuple[list[int], list[int]]:
+def windows_of(text: str, reaches: list[tuple[int, int]], min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of every window of these reaches (first and last window) of one text."""
     words = Words(text)
     starts = np.concatenate([np.arange(a, b + 1) for a, b in reaches])
-    return starts.tolist(), words.runs(starts, starts + min_words).view(np.int64).tolist()
+    return starts, words.runs(starts, starts + min_words).view(np.int64)
 
 
 def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
@@ -102,23 +138,25 @@ def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
     is parted by a space.
     """
     lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-    spans = [[m.span() for m in _WORD.finditer(line)] for line in lines]
-    gone = np.zeros(sum(map(len, spans)) + 1, np.int64)
+    counts = [len(line.split()) for line in lines]
+    gone = np.zeros(sum(counts) + 1, np.int64)
     for a, b in runs:
         gone[a] += 1
         gone[b] -= 1
     gone = np.cumsum(gone[:-1]) > 0
+    dropped = np.concatenate([np.zeros(1, np.int64), np.cumsum(gone)])
     out, at = [], 0
-    for line, own in zip(lines, spans, strict=True):
-        drop = gone[at : at + len(own)]
-        at += len(own)
-        if not drop.any():
+    for line, n in zip(lines, counts, strict=True):
+        cut = dropped[at + n] - dropped[at]
+        if not cut:
             out.append(line)
-        elif not drop.all():
-            keep = np.flatnonzero(~drop)
+        elif cut < n:
+            own = [m.span() for m in _WORD.finditer(line)]
+            keep = np.flatnonzero(~gone[at : at + n])
             cuts = np.flatnonzero(np.diff(keep) > 1)
             pieces = zip(keep[np.r_[0, cuts + 1]], keep[np.r_[cuts, len(keep) - 1]], strict=True)
             out.append(b" ".join(line[own[a][0] : own[b][1]] for a, b in pieces))
+        at += n
     return b"\n".join(out).decode("utf-8", "surrogatepass"), int(gone.sum())
 
 
@@ -148,7 +186,10 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int =
         lambda texts: [reaches_of(t, min_words, gram_words) for t in texts])
     units = stored(units.filter(F.size("gram") > 0), folder, "units")
     # stored before they are joined: both sides of a join are then plain exchanges, and a hot key can be split
+    repeated = units.select(F.explode("gram").alias("gram")).groupBy("gram").count().filter("count > 1").select("gram")
+    repeated = stored(repeated, folder, "repeated")
     marks = units.select("doc_id", "h", F.explode(F.arrays_zip("gram", "reach", "first", "last")).alias("m")).select("doc_id", "h", "m.*")
+    marks = stored(marks.join(repeated.hint("shuffle_hash"), "gram", "left_semi"), folder, "marks")
     place = F.struct("doc_id", "h", "first", "last")
     classes = marks.groupBy("gram", "reach").agg(F.min(place).alias("place"), F.max(place).alias("latest"))
     classes = stored(classes, folder, "classes")
