@@ -1,12 +1,14 @@
 """Licence scan with a positional rare-token index.
 
-Templates are short licence notices as word sequences.  The index holds one
-posting for each template: the word of its mandatory key phrase that is rarest
-in the corpus (highest IDF).  Each place of that word in a file proposes a
-start, and the template counts if its key phrase stands there word by word, so
-no place of a phrase is missed.  The other words of the notice, at their
-relative positions, only give the score; a file's own rarest words aren't
-looked up and no postings are intersected.
+Templates are short licence notices as word sequences, each with a mandatory key
+phrase.  The index posts every word of every notice with its offset, weighted by
+its rarity in the corpus (IDF).  A file's licence words are looked up from the
+rarest on.  A word proposes, for each template that has it in its key phrase,
+the starts at which it would stand in place; they are intersected, by relative
+position, with those of the template's next rarest key words in the file, and
+what is left is verified word by word against the key phrase.  All words of a
+phrase stand in place where it occurs, so no place is lost.  The notice's other
+words, by their postings at the same start, give the score.
 """
 
 from __future__ import annotations
@@ -71,45 +73,63 @@ LICENCE_WORDS = frozenset(w for _, _, notice in NOTICES for w in _split(notice))
     w for phrase in BASE_PHRASES for w in _split(phrase))
 
 
+#: Key words of a template whose proposed starts are intersected before the phrase is verified.
+INTERSECTED = 3
+
+
 class Template:
-    """One notice: its words, where the key phrase starts in it, and the anchor inside the key phrase."""
+    """One notice: its words and weights, and where its key phrase starts."""
 
     def __init__(self, label: str, key: str, notice: str, idf: Mapping[bytes, float]):
         self.label, self.base = label, BASE_PHRASES.get(key) == label
         self.words, self.key = _split(notice), _split(key)
         n = len(self.key)
         self.key_at = next(i for i in range(len(self.words) - n + 1) if self.words[i : i + n] == self.key)
-        anchor = max(range(n), key=lambda i: (idf[self.key[i]], -i))
-        self.anchor, self.anchor_in_key = self.key[anchor], anchor
         self.weights = [idf[w] for w in self.words]
         self.total = sum(self.weights)
+        #: The key phrase's words as (word, offset in the notice), the rarest first.
+        self.rarest = sorted(((w, self.key_at + i) for i, w in enumerate(self.key)), key=lambda x: (-idf[x[0]], x[1]))
 
 
 class Index:
-    """Postings of the templates' anchors, and weights by corpus rarity."""
+    """Postings (template, offset) of all notice words, and their rarity in the corpus."""
 
     def __init__(self, doc_counts: Mapping[bytes, int], n_docs: int):
         self.idf = {w: math.log((n_docs + 1) / (doc_counts.get(w, 0) + 1)) + 1.0 for w in LICENCE_WORDS}
-        self.postings: dict[bytes, list[Template]] = defaultdict(list)
+        self.postings: dict[bytes, list[tuple[Template, int]]] = defaultdict(list)
         for label, key, notice in NOTICES:
             t = Template(label, key, notice, self.idf)
-            self.postings[t.anchor].append(t)
+            for offset, word in enumerate(t.words):
+                self.postings[word].append((t, offset))
+
+    def _starts(self, t: Template, places: Mapping[bytes, list[int]]) -> set[int]:
+        """Where the notice would start, as far as its rarest key words agree."""
+        (word, offset), *others = t.rarest
+        starts = {at - offset for at in places[word]}
+        for word, offset in others[: INTERSECTED - 1]:
+            starts.intersection_update([at - offset for at in places[word]])
+        return starts
 
     def places(self, words: list[bytes]) -> Iterator[tuple[Template, int, float]]:
         """(template, start of its key phrase, weighted share of its words that stand in place)."""
-        if self.postings.keys().isdisjoint(words):
-            return
+        own: dict[bytes, list[int]] = {}
         for at, word in enumerate(words):
-            for t in self.postings.get(word, ()):
-                start = at - t.anchor_in_key
-                if start < 0 or words[start : start + len(t.key)] != t.key:
+            if word in LICENCE_WORDS:
+                own.setdefault(word, []).append(at)
+        for word in sorted(own, key=lambda w: (-self.idf[w], w)):
+            for t, offset in self.postings[word]:
+                # a template's turn comes with its rarest key word; without the other ones its phrase can't be there
+                if t.rarest[0] != (word, offset) or any(w not in own for w in t.key):
                     continue
-                first = start - t.key_at
-                there = sum(
-                    weight for i, weight in enumerate(t.weights)
-                    if 0 <= first + i < len(words) and words[first + i] == t.words[i]
-                )
-                yield t, start, there / t.total
+                for first in sorted(self._starts(t, own)):
+                    start = first + t.key_at
+                    if start < 0 or words[start : start + len(t.key)] != t.key:
+                        continue
+                    there = sum(
+                        weight for i, weight in enumerate(t.weights)
+                        if 0 <= first + i < len(words) and words[first + i] == t.words[i]
+                    )
+                    yield t, start, there / t.total
 
 
 def document_counts(docs: DataFrame, text_col: str = "text") -> tuple[dict[bytes, int], int]:

@@ -42,6 +42,30 @@ def test_licence_places_and_labels(make):
     assert got[5]["labels"] == "mit" and 0 < got[5]["score"] < 1 and got[6]["labels"] == "" and got[7]["labels"] == "apache,gpl"
 
 
+def test_licence_starts_are_intersected():
+    """Rare words out of place propose starts that the other key words don't share; whatever is rare, places are whole."""
+    import random
+
+    rng = random.Random(3)
+    words = sorted(lic.LICENCE_WORDS)
+    for n in range(60):
+        counts = {w: rng.randint(0, 500) for w in words}
+        index = lic.Index(counts, 500)
+        keys = [k.split() for _, k, _ in lic.NOTICES]
+        text = []
+        for _ in range(rng.randint(0, 40)):
+            text += [w.encode() for w in rng.choice(keys)] if rng.random() < 0.3 else [rng.choice(words)]
+        got = sorted((t.label, " ".join(w.decode() for w in t.key), start) for t, start, _ in index.places(text))
+        want = sorted((label, key, i) for label, key, _ in lic.NOTICES for i in range(len(text))
+                      if text[i : i + len(key.split())] == [w.encode() for w in key.split()])
+        assert got == want
+        assert all(0 < share <= 1 + 1e-12 for _, _, share in index.places(text))
+    text = b"apache software and the apache license".split()
+    index = lic.Index({w: 1 for w in words}, 10)
+    t = next(t for t, _ in index.postings[b"apache"])
+    assert index._starts(t, {w: [i for i, x in enumerate(text) if x == w] for w in text}) == {4 - t.key_at}
+
+
 def test_licence_document_counts(make):
     counts, rows = lic.document_counts(make([(1, "license license"), (2, "the license"), (3, None)]))
     assert rows == 3 and counts[b"license"] == 2 and counts[b"the"] == 1
