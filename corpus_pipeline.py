@@ -17,31 +17,47 @@ from icdspark.llm.queries import piece_model
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects.
+
+    Null and empty texts have too few words and go; repeated rows are judged
+    one by one; an empty table stays empty.
+    """
     return quality_rules.keep_good(docs)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without runs of lines that occur earlier.
+    """All documents, without passages of 50 words or more that occur earlier (by id).
 
     A document that repeats earlier ones as a whole has an empty text from here
-    on; the next stage keeps one of these.
+    on; the next stage keeps one of these.  Null texts stay null; rows with one id
+    and text are one document; other columns are carried along.
     """
     return line_dedup.dedup_lines(docs)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
+    """The document with the smallest id of each group of near duplicates.
+
+    Null, empty and blank texts are one group; of rows with one id and text one
+    stays; null ids come first.
+    """
     return simhash_dedup.keep_first(docs)
 
 
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.
+
+    Each row is judged by its own text, null and empty ones hold none; null and
+    empty items match nothing; an empty benchmark keeps every row.
+    """
     return decontaminate.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, the scores of the best segmentations, and whether decoding gives the text back."""
+    """Token ids of each document, the scores of the best segmentations, and whether decoding gives the text back.
+
+    Null and empty texts have no ids; repeated rows get a row each.
+    """
     return sentencepiece_codec.encode(docs, piece_model())
 
 
