@@ -19,11 +19,8 @@ made, and passages that many documents share are rows of step 1 alone.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,26 +28,13 @@ from icdspark.llm.common import columns_of, free_name, map_rows, need_columns, s
 
 MIN_WORDS = 50
 GRAM_WORDS = 10
-_SEED = 7
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-#: Base of the rolling hash modulo 2^64 (odd, so it has an inverse), and what grams, windows and reaches are told apart by.
+#: The bytes between words: ASCII white space.
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: Base of the rolling hash modulo 2^64 (odd, so it has an inverse).
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-#: Words whose hashes a worker remembers, and words of a text for which it keeps the powers of the base.
-_KNOWN_WORDS, _KEPT_POWERS = 1 << 18, 1 << 16
-
-
-class _Codes(dict):
-    """Hashes of words; texts repeat their words, so most are looked up."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _KNOWN_WORDS:
-            self.clear()
-        self[word] = code = xxhash.xxh64_intdigest(word, _SEED)
-        return code
-
-
-_codes = _Codes()
+#: Powers of the base that a worker keeps, and bytes of text that are hashed at a time.
+_KEPT_POWERS = _BLOCK = 1 << 19
 
 
 def _powers(base: int, n: int, kept: dict[int, np.ndarray] = {}) -> np.ndarray:  # noqa: B006
@@ -65,15 +49,45 @@ def _powers(base: int, n: int, kept: dict[int, np.ndarray] = {}) -> np.ndarray:
     return out
 
 
+def _bytes(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def _spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start and end."""
+    solid = np.zeros(len(data) + 2, np.int8)
+    solid[1:-1] = ~_SPACE[np.frombuffer(data, np.uint8)]
+    edges = np.diff(solid)
+    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+
+
+def _sums(values: np.ndarray) -> np.ndarray:
+    """Prefix sums of the values' polynomial modulo 2^64."""
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _powers(_BASE, len(values)), out=out[1:])
+    return out
+
+
+def _codes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word, from the bytes of some whole words at a time."""
+    out, at, values = [], 0, np.frombuffer(data, np.uint8)
+    while at < len(starts):
+        origin = starts[at]
+        stop = max(at + 1, int(np.searchsorted(ends, origin + _BLOCK, side="right")))
+        sums = _sums(values[origin : ends[stop - 1]].astype(np.uint64) + np.uint64(1))
+        a, b = starts[at:stop] - origin, ends[at:stop] - origin
+        out.append(_stirred((sums[b] - sums[a]) * _powers(_INVERSE, len(sums))[a]))
+        at = stop
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 class Words:
-    """Hashes of any run of a text's words."""
-
-    def __init__(self, text: str | None):
-        found = (text or "").encode("utf-8", "surrogatepass").split()
-        self.n = len(found)
-        codes = np.fromiter(map(_codes.__getitem__, found), np.uint64, self.n)
-        self._sums = np.zeros(self.n + 1, np.uint64)
-        np.cumsum(codes * _powers(_BASE, self.n), out=self._sums[1:])
+    """Hashes of any run of words of a text (or of several, on end)."""
+
+    def __init__(self, data: bytes):
+        self.starts, ends = _spans(data)
+        self.n = len(self.starts)
+        self._sums = _sums(_codes(data, self.starts, ends))
         self._back = _powers(_INVERSE, self.n + 1)
 
     def runs(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -104,29 +118,42 @@ def _window_minima(values: np.ndarray, span: int) -> np.ndarray:
     return at
 
 
-def _fingerprints(words: Words, min_words: int, gram_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Grams, the first and the last window that chose each, and where the gram stands."""
+def _reaches(texts: list[bytes], min_words: int, gram_words: int) -> list[tuple]:
+    """``reaches_of`` of several texts, which stand on end; windows that leave their text don't count."""
+    words = Words(b"\n".join(texts))
+    ends = np.searchsorted(words.starts, np.cumsum([len(t) + 1 for t in texts]))
+    counts = np.diff(ends, prepend=0)
+    if words.n < min_words:
+        return [(np.zeros(0, np.int64),) * 4] * len(texts)
     grams = words.all_runs(gram_words)
     chosen = _window_minima(grams, min_words - gram_words + 1)
-    first = np.flatnonzero(np.diff(chosen, prepend=-1))
-    places = chosen[first]
-    last = np.append(first[1:], len(chosen)) - 1
-    return grams[places], first, last, places
+    inside = np.flatnonzero(np.arange(min_words, words.n + 1) <= np.repeat(ends, counts)[: len(chosen)])
+    at = chosen[inside]
+    begins = np.flatnonzero(np.diff(at, prepend=-1))  # each window that chose another gram than the one before
+    first, places = inside[begins], at[begins]
+    last = inside[np.append(begins[1:], len(inside)) - 1] if len(begins) else first
+    whole = words.runs(first, last + min_words) ^ ((places - first).astype(np.uint64) * np.uint64(_BASE))
+    cuts = np.searchsorted(first, ends[:-1])
+    start = np.repeat(ends - counts, np.diff(np.concatenate([[0], cuts, [len(first)]])))
+    parts = (grams[places].view(np.int64), whole.view(np.int64), first - start, last - start)
+    return list(zip(*(np.split(x, cuts) for x in parts), strict=True))
 
 
-def reaches_of(text: str | None, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> tuple:
-    """(grams, hashes of their reaches, first windows, last windows) of one text."""
-    words = Words(text)
-    if words.n < min_words:
-        return [], [], [], []
-    grams, first, last, places = _fingerprints(words, min_words, gram_words)
-    whole = words.runs(first, last + min_words) ^ ((places - first).astype(np.uint64) * np.uint64(_BASE))
-    return grams.view(np.int64), whole.view(np.int64), first, last
+def reaches_of(texts: list[str | None], min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> list[tuple]:
+    """(grams, hashes of their reaches, first windows, last windows) of each text."""
+    out, some, n = [], [], 0
+    for data in map(_bytes, texts):
+        if some and n + len(data) > _BLOCK:
+            out += _reaches(some, min_words, gram_words)
+            some, n = [], 0
+        some.append(data)
+        n += len(data)
+    return out + (_reaches(some, min_words, gram_words) if some else [])
 
 
 def windows_of(text: str, reaches: list[tuple[int, int]], min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of every window of these reaches (first and last window) of one text."""
-    words = Words(text)
+    words = Words(_bytes(text))
     starts = np.concatenate([np.arange(a, b + 1) for a, b in reaches])
     return starts, words.runs(starts, starts + min_words).view(np.int64)
 
@@ -137,26 +164,27 @@ def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
     A line whose words all go goes; what stays of a line on both sides of a run
     is parted by a space.
     """
-    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-    counts = [len(line.split()) for line in lines]
-    gone = np.zeros(sum(counts) + 1, np.int64)
+    data = _bytes(text)
+    lines = data.split(b"\n")
+    starts, ends = _spans(data)
+    fronts = np.cumsum([0, *(len(line) + 1 for line in lines)])
+    places = np.searchsorted(starts, fronts).tolist()
+    gone = np.zeros(len(starts) + 1, np.int64)
     for a, b in runs:
         gone[a] += 1
         gone[b] -= 1
     gone = np.cumsum(gone[:-1]) > 0
-    dropped = np.concatenate([np.zeros(1, np.int64), np.cumsum(gone)])
-    out, at = [], 0
-    for line, n in zip(lines, counts, strict=True):
-        cut = dropped[at + n] - dropped[at]
+    dropped = np.concatenate([np.zeros(1, np.int64), np.cumsum(gone)]).tolist()
+    out = []
+    for line, a, b in zip(lines, places, places[1:], strict=False):
+        cut = dropped[b] - dropped[a]
         if not cut:
             out.append(line)
-        elif cut < n:
-            own = [m.span() for m in _WORD.finditer(line)]
-            keep = np.flatnonzero(~gone[at : at + n])
+        elif cut < b - a:
+            keep = a + np.flatnonzero(~gone[a:b])
             cuts = np.flatnonzero(np.diff(keep) > 1)
             pieces = zip(keep[np.r_[0, cuts + 1]], keep[np.r_[cuts, len(keep) - 1]], strict=True)
-            out.append(b" ".join(line[own[a][0] : own[b][1]] for a, b in pieces))
-        at += n
+            out.append(b" ".join(data[starts[x] : ends[y]] for x, y in pieces))
     return b"\n".join(out).decode("utf-8", "surrogatepass"), int(gone.sum())
 
 
@@ -183,7 +211,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int =
     units = map_rows(
         docs, {"doc_id": F.col(id_col), "h": F.xxhash64(text_col)}, [F.col(text_col)],
         {"gram": codes, "reach": codes, "first": places, "last": places},
-        lambda texts: [reaches_of(t, min_words, gram_words) for t in texts])
+        lambda texts: reaches_of(texts, min_words, gram_words))
     units = stored(units.filter(F.size("gram") > 0), folder, "units")
     # stored before they are joined: both sides of a join are then plain exchanges, and a hot key can be split
     repeated = units.select(F.explode("gram").alias("gram")).groupBy("gram").count().filter("count > 1").select("gram")
