@@ -39,7 +39,7 @@ _KEPT_POWERS = _BLOCK = 1 << 19
 
 def _powers(base: int, n: int, kept: dict[int, np.ndarray] = {}) -> np.ndarray:  # noqa: B006
     """The first ``n`` powers of ``base`` modulo 2^64."""
-    if n <= len(kept.get(base, ())):
+    if base in kept and n <= len(kept[base]):
         return kept[base][:n]
     out = np.full(n, base, np.uint64)
     out[:1] = 1

@@ -107,6 +107,17 @@ def test_odd_rows(odd_docs):
     assert ld.dedup_lines(odd_docs.limit(0)).collect() == []
 
 
+def test_texts_without_words():
+    """The first texts that a worker sees may have none."""
+    import subprocess
+    import sys
+
+    code = ("from icdspark.llm import line_dedup as ld\n"
+            "assert [len(r[0]) for r in ld.reaches_of([None, '', ' \\n', 'one'])] == [0, 0, 0, 0]\n"
+            "assert ld.reaches_of([]) == [] and len(ld.reaches_of(['w ' * 60])[0][0]) > 0\n")
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=60, cwd=__file__.rsplit("/tests/", 1)[0])
+
+
 def test_same_id_and_text_is_one_document(make):
     text = words("w", 70)
     got = ld.dedup_lines(make([(2, text), (2, text), (3, text), (None, text)])).collect()
