@@ -258,3 +258,15 @@ def test_top_k_scores_equal_the_dense_top_k(spark):
             assert [r["label"] for r in own] == order and np.allclose([r["logit"] for r in own], z[i, order])
     few = mo.top_k_scores(feats, models.limit(2), 5).filter("hadm_id = 0").count()
     assert few == 2 and mo.top_k_scores(feats, models.limit(0), 5).count() == 0
+
+
+def test_multi_hot_in_runs(spark):
+    from icdspark.functions.arrays import multi_hot
+
+    rows = [([],), ([0],), ([4],), ([0, 4],), ([3, 1, 1],), ([7, -1, 2],), (None,)]
+    df = spark.createDataFrame(rows, "ids array<long>")
+    got = df.select(multi_hot("ids", 5).alias("v"), multi_hot("ids", 5, text=True).alias("t")).collect()
+    for (ids,), r in zip(rows[:-1], got, strict=False):
+        assert r["v"] == [int(i in ids) for i in range(5)] and r["t"] == "".join(map(str, r["v"]))
+    wide = df.limit(2).select(multi_hot("ids", 2_000_000, text=True).alias("t")).collect()
+    assert [r["t"].count("1") for r in wide] == [0, 1] and all(len(r["t"]) == 2_000_000 for r in wide)
