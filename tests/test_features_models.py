@@ -260,6 +260,34 @@ def test_top_k_scores_equal_the_dense_top_k(spark):
     assert few == 2 and mo.top_k_scores(feats, models.limit(0), 5).count() == 0
 
 
+def test_lists_meet_vectors_over_shards_and_groups(spark):
+    """Ids of many shards, several groups a shard, repeated and null keys, an id with two vectors."""
+    from functools import partial
+
+    from icdspark.operators import shards
+
+    rng = np.random.RandomState(7)
+    ids = [1, 5, 4095, 4096, 20_000, 65_536, 131_071, 131_072, 900_000]
+    table = [(k, rng.randn(3).tolist()) for k in [*ids, 5]]
+    docs = [(1, d, [int(x) for x in rng.choice(ids, rng.randint(0, 9))]) for d in range(40)] + [(1, 0, [5, 5]), (None, 3, [1, 900_000]), (2, 2, None)]
+    lists = spark.createDataFrame(docs, "subject_id long, hadm_id long, word_ids array<long>").repartition(3)
+    emb = spark.createDataFrame(table, "idx long, vector array<double>").repartition(2)
+    want = {}
+    for a, b, own in docs:
+        for x in own or ():
+            want.setdefault((a, b), []).extend(v for k, v in table if k == x)
+    for reduce, brute in ((np.add, lambda r: np.sum(r, 0)), (np.maximum, lambda r: np.max(r, 0))):
+        parts = shards.meet(lists, emb, fe.KEYS, "word_ids", partial(shards.pooled_lists, reduce=reduce), "n bigint, part array<double>", reduce, group_ids=7)
+        got = {}
+        for r in parts.collect():
+            got.setdefault((r[0], r[1]), []).append((r["n"], r["part"]))
+        assert set(got) == set(want)
+        for k, rows in want.items():
+            assert sum(n for n, _ in got[k]) == len(rows) and np.allclose(brute([v for _, v in got[k]]), brute(rows))
+    tokens = sorted(((r[0] is None, r[0] or 0, r[1]), r["pos"], r["idx"], r["vector"]) for r in em.token_vectors(lists, emb).collect())
+    assert tokens == sorted(((a is None, a or 0, b), pos, x, v) for a, b, own in docs for pos, x in enumerate(own or ()) for k, v in table if k == x)
+
+
 def test_multi_hot_in_runs(spark):
     from icdspark.functions.arrays import multi_hot
 

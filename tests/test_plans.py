@@ -204,3 +204,13 @@ def test_admission_counts_read_each_input_once(spark):
     with static_plans(spark, broadcast=True):
         plan = plan_of(admission_counts(etl.notes(), etl.codes()))
     assert plan.count("documents.parquet") == 1 and "text:string" not in plan
+
+
+def test_pooling_joins_no_vector_to_an_id(spark):
+    from icdspark.operators import embeddings as em
+
+    p = prepared(spark, SF)
+    vectors = p.written_anew(ProxyTables(spark, SF).index_vectors(p.word_index.select("idx")), "vectors")
+    with static_plans(spark):
+        plans = [plan_of(f(p.encoded_table, vectors)) for f in (em.max_pool, em.sum_pool, em.token_vectors)]
+    assert not any("Join" in plan for plan in plans)
