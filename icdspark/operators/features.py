@@ -1,8 +1,9 @@
 """Vocabulary, label index, document encoding, batching and code dictionaries.
 
-Lookups (word -> id, label -> id, id -> vector) are equi-joins without hints:
-the lookup tables are written before they are used, so Spark knows their size,
-broadcasts a small one and splits hot (Zipfian) words of a large one.
+Lookups (word -> id, label -> id) are equi-joins: the lookup tables are written
+before they are used, so Spark knows their size, broadcasts a small one and
+splits hot labels of a large one.  Only a bounded table, the most frequent words,
+has a broadcast hint.  Id lists meet their vectors in ``shards``.
 A document is known by (subject_id, hadm_id) throughout.
 """
 
@@ -27,6 +28,8 @@ TRAIN_BATCH = 32
 EVAL_BATCH = 32
 TEST_BATCH = 1
 PAD_ID = 0
+#: Most frequent words that every task of an encoding gets.
+HEAD_WORDS = 1 << 16
 #: What identifies a document.
 KEYS = ("subject_id", "hadm_id")
 
@@ -86,42 +89,53 @@ def doc_label_ids(docs: DataFrame, labels_index: DataFrame, keys: Sequence[str]
 
 
 def doc_word_ids(
-    docs: DataFrame, words_index: DataFrame, num_words: int, keys: Sequence[str] = KEYS, max_len: int = MAX_DOC_TOKENS
+    docs: DataFrame, words_index: DataFrame, num_words: int, keys: Sequence[str] = KEYS, max_len: int = MAX_DOC_TOKENS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """d06 + c11 + c13: word ids in text order, unknown words -> ``num_words + 1``.
 
     Truncation happens on the tokens before the lookup (one id per token, so
-    it is the same as truncating ids) and bounds the per-document work.  Each
-    distinct word of a document is looked up once, with the list of its places:
-    a row of the lookup stands for all of a word's tokens, so without a
-    broadcast no row per token is shuffled and a hot word is one row a document.
+    it is the same as truncating ids) and bounds the per-document work.  The
+    documents are shuffled once, by their keys, into ``partitions`` parts: a
+    token's row is far larger than the token, so parts follow the number of
+    tokens and not, as Spark would have it, the bytes shuffled.  The
+    ``HEAD_WORDS`` most frequent words (nearly all tokens) are a small table that
+    every task gets; their tokens are looked up where they are.  Each other
+    distinct word of a document is looked up once, with the list of its places,
+    so no row per token is shuffled and a hot word is one row a document.
     """
-    toks = docs.select(*keys, F.posexplode(truncate(split_whitespace("text"), max_len)).alias("pos", "word"))
-    terms = toks.groupBy(*keys, "word").agg(F.collect_list("pos").alias("places"))
+    tokens = truncate(split_whitespace("text"), max_len)
+    docs = docs.select(*keys, F.array_join(tokens, " ").alias("tokens")).filter(F.col("tokens") != F.lit(""))
+    docs = docs.repartition(partitions, *keys) if partitions else docs.repartition(*keys)
+    toks = docs.select(*keys, F.posexplode(F.split("tokens", " ")).alias("pos", "word"))
+    head = F.broadcast(words_index.filter(F.col("idx") <= F.lit(HEAD_WORDS)).select("word", F.col("idx").alias("id")))
+    frequent = toks.join(head, "word").groupBy(*keys).agg(F.collect_list(F.struct("pos", "id")).alias("found")).select(
+        *keys, F.col("found.pos").alias("places"), F.col("found.id").alias("ids"))
+    terms = toks.join(head.select("word"), "word", "left_anti").groupBy(*keys, "word").agg(F.collect_list("pos").alias("places"))
     joined = terms.join(words_index.select("word", "idx"), "word", "left")
-    found = F.coalesce(F.col("idx"), F.lit(num_words + 1))
-    spread = joined.select(*keys, F.transform("places", lambda p: F.struct(p.alias("pos"), found.alias("id"))).alias("ids"))
-    return spread.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.flatten(F.collect_list("ids"))), lambda s: s["id"]).alias("word_ids"))
+    rare = joined.select(*keys, "places", F.array(F.coalesce(F.col("idx"), F.lit(num_words + 1))).alias("ids"))
+    # a row's places have one id each, or all the same one
+    spread = F.transform("parts", lambda part: F.transform(part["places"], lambda p, i: F.struct(
+        p.alias("pos"), F.get(part["ids"], F.when(F.size(part["ids"]) == 1, F.lit(0)).otherwise(i)).alias("id"))))
+    return frequent.unionByName(rare).groupBy(*keys).agg(F.collect_list(F.struct("places", "ids")).alias("parts")).select(
+        *keys, F.transform(F.array_sort(F.flatten(spread)), lambda s: s["id"]).alias("word_ids"))
 
 
 def encode_documents(
     docs: DataFrame, labels_index: DataFrame, words_index: DataFrame, num_words: int,
-    keys: Sequence[str] = KEYS, max_len: int = MAX_DOC_TOKENS, carry: Sequence[str] = (),
+    keys: Sequence[str] = KEYS, max_len: int = MAX_DOC_TOKENS, carry: Sequence[str] = (), partitions: int | None = None,
 ) -> DataFrame:
     """i05: ``keys, word_ids, label_ids`` (+ ``carry`` columns) for documents with a known label.
 
-    The documents are hash-partitioned on ``keys`` once; the token and label
-    explodes, the lookups (while Spark broadcasts them), the per-document
-    regrouping and the final joins then all keep that partitioning, so the only
-    shuffle moves each text once -- not the exploded (doc, position, id) rows,
-    which are several times larger.  Labels stay sorted ids: a dense 0/1 vector
-    (c15) is made where one is read.  Documents with no word tokens keep an
-    empty id list (the original keeps them too).
+    A text is shuffled once (``doc_word_ids``, which ``partitions`` is for); what
+    is regrouped and joined by ``keys`` behind the lookups are lists of numbers --
+    not the exploded (doc, position, id) rows, which are several times larger.
+    Labels stay sorted ids: a dense 0/1 vector (c15) is made where one is read.
+    Documents with no word tokens keep an empty id list (the original keeps them
+    too).
     """
-    docs = docs.select(*keys, "text", "labels", *carry).repartition(*keys)
     lab = doc_label_ids(docs, labels_index, keys)
-    words = doc_word_ids(docs, words_index, num_words, keys, max_len)
+    words = doc_word_ids(docs, words_index, num_words, keys, max_len, partitions)
     out = lab.join(words, list(keys), "left")
     if carry:
         out = out.join(docs.select(*keys, *carry), list(keys))

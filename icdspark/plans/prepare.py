@@ -22,6 +22,10 @@ from icdspark.plans.etl import Etl, proxy_etl
 from icdspark.session import delete_path, shared_path
 
 
+#: Tokens in a part of the encoding (its rows per token take some 100 bytes each there).
+PART_TOKENS = 1_000_000
+
+
 class Prepared:
     """Labelled admissions with split, label index, word index and vectors, each written once.
 
@@ -90,7 +94,8 @@ class Prepared:
 
     @cached_property
     def word_index(self) -> DataFrame:
-        return self.written(fe.word_index(fe.vocabulary(self.train)), "word_index")
+        # the count of all texts is made once; the ranks read it several times
+        return self.written(fe.word_index(self.written(fe.vocabulary(self.train), "vocabulary")), "word_index")
 
     @cached_property
     def num_labels(self) -> int:
@@ -100,10 +105,21 @@ class Prepared:
     def num_words(self) -> int:
         return self.word_index.count()
 
+    @cached_property
+    def num_tokens(self) -> dict[str, int]:
+        """Tokens of each split."""
+        return {r["split"]: r["n"] or 0 for r in self.split_adm.groupBy("split").agg(F.sum("tlen").alias("n")).collect()}
+
+    @property
+    def text_parts(self) -> int:
+        """In how many parts the texts are encoded."""
+        return max(2, -(-sum(self.num_tokens.values()) // PART_TOKENS))
+
     def encoded(self) -> DataFrame:
         """i05 on every split: subject_id, hadm_id, split, tlen, word_ids, label_ids."""
         return fe.encode_documents(
-            self.split_adm, self.label_index, self.word_index, self.num_words, carry=("split", "tlen"))
+            self.split_adm, self.label_index, self.word_index, self.num_words, carry=("split", "tlen"),
+            partitions=self.text_parts)
 
     @cached_property
     def encoded_table(self) -> DataFrame:

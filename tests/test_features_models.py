@@ -288,6 +288,23 @@ def test_lists_meet_vectors_over_shards_and_groups(spark):
     assert tokens == sorted(((a is None, a or 0, b), pos, x, v) for a, b, own in docs for pos, x in enumerate(own or ()) for k, v in table if k == x)
 
 
+def test_rare_words_are_looked_up_apart(spark, monkeypatch):
+    """Frequent words by a small table, the others by a join: the same ids, whatever their share."""
+    rng = np.random.RandomState(2)
+    words = spark.createDataFrame([(f"w{k}", 9, k) for k in range(1, 9)], "word string, count long, idx long")
+    texts = {d: [f"w{k}" for k in rng.randint(1, 12, d % 7)] for d in range(30)}
+    docs = spark.createDataFrame([(1, d, "  ".join(t), "a") for d, t in texts.items()] + [(1, 6, "w1 w9", "a")], DOC_SCHEMA)
+    index = {f"w{k}": k for k in range(1, 9)}
+    for head in (0, 3, 100):
+        monkeypatch.setattr(fe, "HEAD_WORDS", head)
+        for partitions in (None, 3):
+            got = {r["hadm_id"]: r["word_ids"] for r in fe.doc_word_ids(docs, words, 8, partitions=partitions).collect()}
+            assert set(got) == {d for d, t in texts.items() if t}
+            assert all(got[d] == [index.get(w, 9) for w in t] for d, t in texts.items() if t and d != 6)
+            both = sorted([(p, index.get(w, 9)) for p, w in enumerate(texts[6])] + [(0, 1), (1, 9)])
+            assert got[6] == [i for _, i in both]  # two rows of one document
+
+
 def test_multi_hot_in_runs(spark):
     from icdspark.functions.arrays import multi_hot
 

@@ -214,3 +214,12 @@ def test_pooling_joins_no_vector_to_an_id(spark):
     with static_plans(spark):
         plans = [plan_of(f(p.encoded_table, vectors)) for f in (em.max_pool, em.sum_pool, em.token_vectors)]
     assert not any("Join" in plan for plan in plans)
+
+
+def test_frequent_words_are_not_shuffled(spark):
+    p = prepared(spark, SF)
+    p.split_adm, p.label_index, p.word_index, p.num_words
+    with static_plans(spark):
+        plan = plan_of(p.encoded())
+    by_word = below(plan, r"Exchange hashpartitioning\(word#")
+    assert any("BroadcastHashJoin" in line and "LeftAnti" in line for line in by_word), plan
