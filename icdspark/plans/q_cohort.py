@@ -416,7 +416,7 @@ def e06(spark, sf):
     ),
 )
 def e07(spark, sf):
-    return co.label_frequency(proxy_etl(spark, sf).cohort()[0])
+    return prepared(spark, sf).label_frequency
 
 
 @register(
@@ -428,7 +428,7 @@ def e07(spark, sf):
     ),
 )
 def g08(spark, sf):
-    return co.top_labels(co.label_frequency(proxy_etl(spark, sf).cohort()[0]), 50)
+    return co.top_labels(prepared(spark, sf).label_frequency, 50)
 
 
 @register(

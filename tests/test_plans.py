@@ -223,3 +223,38 @@ def test_frequent_words_are_not_shuffled(spark):
         plan = plan_of(p.encoded())
     by_word = below(plan, r"Exchange hashpartitioning\(word#")
     assert any("BroadcastHashJoin" in line and "LeftAnti" in line for line in by_word), plan
+
+
+def test_split_reads_the_kept_codes(spark):
+    p = prepared(spark, SF)
+    p.admission_splits, p.kept_codes
+    with static_plans(spark):
+        plan = plan_of(p.etl.split(p.admission_splits, p.kept_codes))
+    assert "lineitem" not in plan and p.kept_codes.count() == p.etl.cohort()[0].count()
+    assert p.split_adm.select("hadm_id", "labels").exceptAll(p.etl.labelled().select("hadm_id", "labels")).count() == 0
+
+
+def test_all_codes_are_filtered_before_their_orders_are_joined(spark):
+    p = prepared(spark, SF)
+    admissions = p.written_anew(p.etl.notes().select("hadm_id").distinct(), "note_admissions")
+    with static_plans(spark, broadcast=True):
+        plan = plan_of(p.etl.kept_codes(admissions))
+    lines = [line for line in plan.split("\n") if "Join" in line]
+    semi = [depth(line) for line in lines if "LeftSemi" in line]
+    # with all codes, the only semi-joins are above the joins
+    assert max(semi) > min(depth(line) for line in lines if "Inner" in line), plan
+
+
+def test_kept_codes_without_a_narrower_source(spark):
+    from icdspark.plans.etl import Etl
+
+    notes = spark.createDataFrame([("1", "5", "10", "Discharge summary", "t")], "row_id string, subject_id string, hadm_id string, category string, text string")
+    codes = spark.createDataFrame(
+        [("5", "10", "1", "4019"), ("6", "20", "1", "4019"), ("7", "+10", "2", "25000")], "subject_id string, hadm_id string, seq_num string, icd9_code string")
+    etl = Etl(notes, codes, codes.limit(0))
+    kept = etl.kept_codes(etl.notes().select("hadm_id"))
+    assert sorted(map(tuple, kept.select("subject_id", "hadm_id", "icd9_code").collect())) == sorted(
+        map(tuple, etl.cohort()[0].select("subject_id", "hadm_id", "icd9_code").collect())) == [(5, 10, "401.9"), (7, 10, "250.00")]
+    bad = codes.unionByName(spark.createDataFrame([("8", "x", "1", "4019")], codes.schema))
+    with pytest.raises(Exception, match="bad hadm_id"):
+        Etl(notes, bad, codes.limit(0)).kept_codes(etl.notes().select("hadm_id")).collect()
