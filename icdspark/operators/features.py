@@ -269,28 +269,29 @@ def merge_code_descriptions(diag: DataFrame, proc: DataFrame, text: DataFrame) -
     3. text entries (key = raw code) only fill absent keys; the first row wins.
     Step 2's "already a key" covers keys added by earlier procedure rows: only
     a raw code that is its own dotted form can hit one, and then only after the
-    first not-skipped row with that key.
+    first not-skipped row with that key.  So among a key's free rows (raw code no
+    diagnosis) the last one that isn't its own dotted form wins, or, if there is
+    none, the first one.
+
+    One join finds the free rows; the three sources then meet in one grouping by
+    key.  A null key meets no other: each source's stands alone.
     """
     d = diag.select("pos", reformat_code("code", True).alias("key"), "description")
-    d_keys = d.select("key").distinct()
-    d_final = d.groupBy("key").agg(F.max_by("description", "pos").alias("description"))
-
     p = proc.select("pos", F.col("code").alias("raw"), reformat_code("code", False).alias("key"), "description")
-    in_d = d_keys.select(F.col("key").alias("raw")).withColumn("__in_d", F.lit(True))
-    p = p.join(in_d, "raw", "left").fillna(False, ["__in_d"])
-    first_free = p.filter(~F.col("__in_d")).groupBy("key").agg(F.min("pos").alias("__first"))
-    key_in_d = d_keys.withColumn("__key_in_d", F.lit(True))
-    p = p.join(first_free, "key", "left").join(key_in_d, "key", "left").fillna(False, ["__key_in_d"])
-    canonical = F.col("raw") == F.col("key")
-    skipped = F.col("__in_d") | (canonical & (F.col("__key_in_d") | (F.col("pos") > F.col("__first"))))
-    p_final = p.filter(~skipped).groupBy("key").agg(F.max_by("description", "pos").alias("description"))
-
-    dp = d_final.join(p_final.select("key"), "key", "left_anti").unionByName(p_final)
+    taken = d.select(F.col("key").alias("raw")).distinct()
+    own = F.col("raw") == F.col("key")
+    free = p.join(taken, "raw", "left_anti").filter(F.col("key").isNotNull()).select(
+        "pos", "key", "description", F.when(own, F.lit("own")).otherwise(F.lit("proc")).alias("src"))
     t = text.select("pos", F.col("code").alias("key"), "description")
-    t_final = t.join(dp.select("key"), "key", "left_anti").groupBy("key").agg(
-        F.min_by("description", "pos").alias("description")
-    )
-    return dp.unionByName(t_final).select(F.col("key").alias("code"), "description")
+    rows = d.withColumn("src", F.lit("diag")).unionByName(free).unionByName(t.withColumn("src", F.lit("text")))
+
+    def row(src: str, pick: Callable[[Column], Column]) -> Column:
+        return pick(F.when(F.col("src") == src, F.struct("pos", "description"))).alias(src)
+
+    alone = F.when(F.col("key").isNull(), F.col("src")).alias("alone")
+    found = rows.groupBy("key", alone).agg(row("proc", F.max), row("own", F.min), row("diag", F.max), row("text", F.min))
+    best = F.coalesce("proc", "own", "diag", "text")
+    return found.select(F.col("key").alias("code"), best["description"].alias("description"))
 
 
 def describe_codes(codes: DataFrame, dictionary: DataFrame, code_col: str = "label") -> DataFrame:

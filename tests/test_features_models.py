@@ -260,6 +260,36 @@ def test_top_k_scores_equal_the_dense_top_k(spark):
     assert few == 2 and mo.top_k_scores(feats, models.limit(0), 5).count() == 0
 
 
+def _merged_row_by_row(diag, proc, text):
+    """The three steps as the original takes them."""
+    dot = lambda c, n: c.replace(".", "")[:n] + "." + c.replace(".", "")[n:]
+    out = {}
+    for _, c, t in diag:
+        plain = c.replace(".", "")
+        n = 4 if plain.startswith("E") else 3
+        out[dot(c, n) if len(plain) > n else plain] = t
+    taken = set(out)
+    for _, c, t in proc:
+        if c not in taken and c not in out:
+            out[dot(c, 2)] = t
+    for _, c, t in text:
+        out.setdefault(c, t)
+    return out
+
+
+def test_descriptions_merge_in_one_grouping(spark):
+    rng = np.random.RandomState(4)
+    draw = lambda: "".join(rng.choice(list("12."), rng.randint(1, 5)))
+    diag, proc, text = ([(i, draw(), f"{kind}{i}") for i in range(120)] for kind in "dpt")
+    sch = "pos long, code string, description string"
+    got = fe.merge_code_descriptions(*(spark.createDataFrame(x, sch).repartition(3) for x in (diag, proc, text)))
+    rows = got.collect()
+    assert {r["code"]: r["description"] for r in rows} == _merged_row_by_row(diag, proc, text) and len(rows) == len({r["code"] for r in rows})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    joins = {line.split("Join")[0].split()[-1] for line in plan.split("Initial Plan")[-1].split("\n") if "Join" in line}
+    assert len([line for line in plan.split("Initial Plan")[-1].split("\n") if "Join" in line]) == 1, (joins, plan)
+
+
 def test_lists_meet_vectors_over_shards_and_groups(spark):
     """Ids of many shards, several groups a shard, repeated and null keys, an id with two vectors."""
     from functools import partial
