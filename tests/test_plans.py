@@ -258,3 +258,13 @@ def test_kept_codes_without_a_narrower_source(spark):
     bad = codes.unionByName(spark.createDataFrame([("8", "x", "1", "4019")], codes.schema))
     with pytest.raises(Exception, match="bad hadm_id"):
         Etl(notes, bad, codes.limit(0)).kept_codes(etl.notes().select("hadm_id")).collect()
+
+
+def test_word2vec_tasks_follow_the_tokens(spark, monkeypatch):
+    from icdspark.plans import prepare
+    from icdspark.plans.prepare import Prepared
+
+    p = Prepared.from_split_table(spark, prepared(spark, SF).split_adm)
+    monkeypatch.setattr(prepare, "TRAIN_TOKENS", -(-p.num_tokens["train"] // 12))
+    assert p.word2vec.getNumPartitions() == 12
+    p.close()
