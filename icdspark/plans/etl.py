@@ -48,10 +48,10 @@ class Etl:
         source = self.narrowed(admissions) if self.narrowed else self
         return co.filter_cohort(source.codes(), admissions)[0]
 
-    def admission_keys(self) -> DataFrame:
-        """(subject_id, hadm_id) of the labelled admissions, without touching a text."""
-        keys = ["subject_id", "hadm_id"]
-        return self.notes().select(*keys).distinct().join(self.codes().select(*keys).distinct(), keys)
+    def admission_keys(self, codes: DataFrame | None = None) -> DataFrame:
+        """(subject_id, hadm_id) of the labelled admissions, without touching a text; ``codes`` as in ``labelled``."""
+        keys, codes = ["subject_id", "hadm_id"], self.codes() if codes is None else codes
+        return self.notes().select(*keys).distinct().join(codes.select(*keys).distinct(), keys)
 
     def labelled(self, codes: DataFrame | None = None) -> DataFrame:
         """The labelled admissions; ``codes``: the cohort's codes, where they have been written."""

@@ -69,7 +69,7 @@ class Prepared:
     @cached_property
     def admission_keys(self) -> DataFrame:
         """The labelled admissions' ids, which the split needs more than once."""
-        return self.written(self.etl.admission_keys(), "admission_keys")
+        return self.written(self.etl.admission_keys(self.kept_codes), "admission_keys")
 
     @cached_property
     def admission_splits(self) -> DataFrame:

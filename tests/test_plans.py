@@ -230,7 +230,9 @@ def test_split_reads_the_kept_codes(spark):
     p.admission_splits, p.kept_codes
     with static_plans(spark):
         plan = plan_of(p.etl.split(p.admission_splits, p.kept_codes))
-    assert "lineitem" not in plan and p.kept_codes.count() == p.etl.cohort()[0].count()
+        keys = plan_of(p.etl.admission_keys(p.kept_codes))
+    assert p.admission_keys.exceptAll(p.etl.admission_keys()).count() == 0 == p.etl.admission_keys().exceptAll(p.admission_keys).count()
+    assert "lineitem" not in plan + keys and p.kept_codes.count() == p.etl.cohort()[0].count()
     assert p.split_adm.select("hadm_id", "labels").exceptAll(p.etl.labelled().select("hadm_id", "labels")).count() == 0
 
 
@@ -255,9 +257,11 @@ def test_kept_codes_without_a_narrower_source(spark):
     kept = etl.kept_codes(etl.notes().select("hadm_id"))
     assert sorted(map(tuple, kept.select("subject_id", "hadm_id", "icd9_code").collect())) == sorted(
         map(tuple, etl.cohort()[0].select("subject_id", "hadm_id", "icd9_code").collect())) == [(5, 10, "401.9"), (7, 10, "250.00")]
-    bad = codes.unionByName(spark.createDataFrame([("8", "x", "1", "4019")], codes.schema))
-    with pytest.raises(Exception, match="bad hadm_id"):
-        Etl(notes, bad, codes.limit(0)).kept_codes(etl.notes().select("hadm_id")).collect()
+    # ids that don't load are errors, in admissions without a note too
+    for row, what in ((("8", "x", "1", "4019"), "bad hadm_id"), (("x", "20", "1", "4019"), "bad subject_id")):
+        bad = codes.unionByName(spark.createDataFrame([row], codes.schema))
+        with pytest.raises(Exception, match=what):
+            Etl(notes, bad, codes.limit(0)).kept_codes(etl.notes().select("hadm_id")).collect()
 
 
 def test_word2vec_tasks_follow_the_tokens(spark, monkeypatch):
