@@ -272,3 +272,23 @@ def test_word2vec_tasks_follow_the_tokens(spark, monkeypatch):
     monkeypatch.setattr(prepare, "TRAIN_TOKENS", -(-p.num_tokens["train"] // 12))
     assert p.word2vec.getNumPartitions() == 12
     p.close()
+
+
+def test_multi_hot_tasks_follow_the_characters(spark, monkeypatch):
+    """A writer holds a page of up to a hundred rows, so a task gets few rows where they are long."""
+    from pyspark.sql import functions as F
+
+    from icdspark.plans import prepare
+    from icdspark.plans.prepare import Prepared
+
+    rows = [(d, d, "a b", f"l{d:03};l{(d + 1) % 200:03}" if d % 50 else "", "train", 2) for d in range(200)]
+    table = spark.createDataFrame(rows, "subject_id long, hadm_id long, text string, labels string, split string, tlen int")
+    p = Prepared.from_split_table(spark, table)
+    monkeypatch.setattr(prepare, "ROW_CHARS", 200 * 10)
+    out = p.multi_hot()
+    labels = sorted({x for r in rows for x in r[3].split(";") if x})
+    want = {r[1]: "".join("01"[x in r[3].split(";")] for x in labels) for r in rows if r[3]}
+    assert {r["hadm_id"]: r["multi_hot"] for r in out.collect()} == want
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("part")).agg(F.count("multi_hot").alias("n")).collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 30
+    p.close()
